@@ -46,6 +46,23 @@ def partitions(df: DataFrame, default: int = 64) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", str(default))))
 
 
+def dealing_keys(spark: SparkSession, n: int) -> np.ndarray:
+    """For each of n partitions an integer that repartition(n, key) deals to it; found by asking Spark's own hash."""
+    found = np.full(n, -1, np.int64)
+    at = 0
+    while (found < 0).any():
+        ids = spark.range(at, at + 32 * n + 256, 1, 1).select(F.col("id").cast("int").alias("key"))
+        for key, to in ids.select("key", F.pmod(F.hash("key"), F.lit(n)).alias("to")).groupBy("to").agg(F.min("key").alias("key")).select("key", "to").collect():
+            found[to] = key if found[to] < 0 else found[to]
+        at += 32 * n + 256
+    return found
+
+
+def reduce_partitions(df: DataFrame) -> int:
+    """Partitions for packed records: no fewer than the scan has, so that what one of them gets does not grow."""
+    return max(partitions(df), df.rdd.getNumPartitions())
+
+
 # ---------------------------------------------------------------- vectorised words
 
 _BLANK = np.zeros(256, bool)
@@ -96,7 +113,12 @@ class Words:
             power, inverse = _power_tables(n)
             sums = np.zeros(n + 1, np.uint64)
             np.cumsum((_LOWER[data] if lower else data).astype(np.uint64) * power[:n] + power[:n], out=sums[1:])
-            self.hashes = mix((sums[self.ends] - sums[self.starts]) * inverse[self.starts])
+            self._sums, self._inverse = sums, inverse
+            self.hashes = self.span_hashes(self.starts, self.ends)
+
+    def span_hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """64-bit hashes of the bytes between starts and ends."""
+        return mix((self._sums[ends] - self._sums[starts]) * self._inverse[starts])
 
 
 def texts(column: pa.Array, limit: int = 1 << 20):

@@ -8,8 +8,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, line_dedup, mixing, warc
-from .common import shared_dir, table
+from . import exact_dedup, language_id, line_dedup, mixing, packing, quality_rules, suffix_dedup, url_filters, warc
+from .common import materialise, shared_dir, table
+
+
+def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.judge(table(spark, sf_dir, "pages"), ["page_id"])
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = language_id.predict(docs, language_id.learn(docs), ["doc_id"])
+    return out.select("doc_id", (language_id.remainder(F.col("doc_id")) == 2).alias("held_out"), "lang_pred", "score")
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,23 +28,45 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "host", "n_lines", kept.alias("n_kept"), (F.col("n_lines") - kept).alias("n_dropped"), F.sha2(F.array_join("lines", "\n"), 256).alias("kept_sha256"))
 
 
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.repeated_spans(table(spark, sf_dir, "documents"))
+    words = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return out.select("doc_id", F.size("spans").cast("long").alias("n_spans"), words.alias("n_repeated_words"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.groups(table(spark, sf_dir, "documents"))
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.col("mix_size").alias("size"), "source_size", "target", (F.col("mix_copies") * F.col("mix_size")).alias("taken"), "source", F.col("mix_copies").alias("copies"))
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    measured = materialise(quality_rules.measure(table(spark, sf_dir, "documents"), ["doc_id", "lang"]))
+    rules = quality_rules.fit(measured, table(spark, sf_dir, "labels"), "lang")
+    return rules.judge(measured, "lang").select("doc_id", *quality_rules.MEASURES[:5], "base_failed", "kept", "score", "cutoff")
+
+
 def op9_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}"
     warc.write_archive(table(spark, sf_dir, "pages"), path)
     return warc.described(warc.read_archive(spark, path))
 
 
+_QUERIES = (
+    op1_url_filters, op2_language_id, op3_line_dedup, op4_suffix_array_dedup, op5_exact_dedup,
+    op6_best_fit_packing, op7_source_mixing, op8_quality_rules, op9_warc_archive,
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_line_dedup, op5_exact_dedup, op7_source_mixing, op9_warc_archive)}
+    return {f.__name__: f for f in _QUERIES}
 
 
 _SQL = {
@@ -47,6 +79,14 @@ counts AS (SELECT host, line, count(*) AS n FROM (SELECT host, unnest(list_disti
 boiler AS (SELECT host, list(line) AS boiler FROM counts JOIN totals USING (host) WHERE n >= 3 AND n > 0.3 * pages GROUP BY host),
 kept AS (SELECT page_id, host, lines, list_filter(lines, lambda x: NOT coalesce(list_contains(boiler, x), false)) AS kept FROM p LEFT JOIN boiler USING (host))
 SELECT page_id, host, len(lines)::BIGINT AS n_lines, len(kept)::BIGINT AS n_kept, (len(lines) - len(kept))::BIGINT AS n_dropped, sha256(coalesce(array_to_string(kept, chr(10)), '')) AS kept_sha256 FROM kept""",
+    "op4_suffix_array_dedup": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents WHERE text IS NOT NULL),
+r AS (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS pos FROM d),
+k AS (SELECT doc_id, pos, hash(array_to_string(w[pos:pos + 49], ' ')) AS h FROM r),
+m AS (SELECT doc_id, pos FROM k WHERE h IN (SELECT h FROM k GROUP BY h HAVING count(DISTINCT coalesce(doc_id, -1)) > 1)),
+e AS (SELECT DISTINCT doc_id, pos FROM m),
+g AS (SELECT doc_id, pos, pos - coalesce(lag(pos) OVER (PARTITION BY doc_id ORDER BY pos), -1000) AS gap FROM e)
+SELECT doc_id, count(*) FILTER (gap > 50)::BIGINT AS n_spans, sum(least(gap, 50))::BIGINT AS n_repeated_words FROM g GROUP BY doc_id""",
     "op5_exact_dedup": """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 g AS (SELECT *, max(doc_id) OVER (PARTITION BY text) AS keep_id, count(*) OVER (PARTITION BY text) AS group_size, row_number() OVER (PARTITION BY text, doc_id) AS rn FROM d)
