@@ -1,3 +1,63 @@
+"""A training corpus from raw documents: quality rules, exact dedup, near dedup, source mixing, packing.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and reread as the next one's
+docs. All but the last return the columns of documents.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from spatialfeat.llm import exact_dedup, mixing, ngram_join, packing, quality_rules
+from spatialfeat.llm.common import materialise, table
+from spatialfeat.shipping import ship
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that the base rules or the certified score reject."""
+    ship(spark)
+    measured = materialise(quality_rules.measure(docs, ["doc_id", "lang"]))
+    rules = quality_rules.fit(measured, table(spark, sf_dir, "labels"), "lang")
+    names = docs.columns
+    again = quality_rules.measure(docs, names)  # a second look at each text is cheaper than a shuffle of all texts
+    return rules.judge(again, "lang").where("kept").select(*names)
+
+
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the row with the largest doc_id stays."""
+    ship(spark)
+    return exact_dedup.dedup(docs)
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that are connected by links of 5-gram similarity 0.8 and more, the one with the smallest doc_id stays."""
+    ship(spark)
+    linked = ngram_join.link_components(docs)
+    leave = linked.where(F.col("component_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+    return docs.join(leave, "doc_id", "left_anti").select(*docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as systematic sampling to the target weights of its source draws it."""
+    ship(spark)
+    return mixing.mixed(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents and the bins they are packed into."""
+    ship(spark)
+    return packing.pack(docs)
+
+
+STAGES = [("quality rules", quality), ("exact dedup", exact), ("n-gram Jaccard join", near), ("mixing", mix), ("best-fit packing", pack)]
+
+#: SQL expresses neither the fitted score nor best-fit packing.
 ORACLE_SQL = None
-STAGES = []
-def run(spark, sf_dir): return None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
+        docs = materialise(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

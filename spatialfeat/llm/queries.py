@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language_id, line_dedup, mixing, packing, quality_rules, suffix_dedup, url_filters, warc
+from . import exact_dedup, language_id, line_dedup, mixing, ngram_join, packing, quality_rules, suffix_dedup, url_filters, warc
 from .common import materialise, shared_dir, table
 
 
@@ -59,9 +59,13 @@ def op9_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.described(warc.read_archive(spark, path))
 
 
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_components(table(spark, sf_dir, "documents"))
+
+
 _QUERIES = (
     op1_url_filters, op2_language_id, op3_line_dedup, op4_suffix_array_dedup, op5_exact_dedup,
-    op6_best_fit_packing, op7_source_mixing, op8_quality_rules, op9_warc_archive,
+    op6_best_fit_packing, op7_source_mixing, op8_quality_rules, op9_warc_archive, op10_ngram_jaccard,
 )
 
 
