@@ -1,0 +1 @@
+"""Nothing here streams: features, statistics and gene sets are batch tables without a time axis."""
