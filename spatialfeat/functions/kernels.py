@@ -287,27 +287,40 @@ def flattened(geometry) -> list:
     depth, g = 0, geometry
     while isinstance(g, (list, tuple, np.ndarray)) and len(g):
         depth, g = depth + 1, g[0]
-    if depth <= 2:  # rings of points
+    if depth <= (2 if isinstance(g, dict) else 3):  # rings of points, which are mappings or pairs
         return [geometry]
     return [p for part in geometry for p in flattened(part)]
 
 
+def points_of(ring) -> np.ndarray:
+    """A ring as an array of (x, y), without the point that closes it."""
+    out = ring if isinstance(ring, np.ndarray) else np.array([(p["x"], p["y"]) if isinstance(p, dict) else (p[0], p[1]) for p in ring], float).reshape(-1, 2)
+    return out[:-1] if len(out) > 1 and (out[0] == out[-1]).all() else out
+
+
 def _fill(mask: np.ndarray, ring: np.ndarray, value: int) -> None:
-    """Paints a ring, edges included: rows between crossings, and the pixels that edges run through."""
+    """Paints a ring, edges included: pixels between crossings of their row, and the pixels that edges run through."""
     h, w = mask.shape
     x, y = ring[:, 0], ring[:, 1]
     x2, y2 = np.roll(x, -1), np.roll(y, -1)
-    for row in range(max(0, int(np.ceil(y.min()))), min(h - 1, int(np.floor(y.max()))) + 1):
-        cross = ((y <= row) & (y2 > row)) | ((y2 <= row) & (y > row))
-        at = np.sort(x[cross] + (row - y[cross]) * (x2[cross] - x[cross]) / (y2[cross] - y[cross]))
-        for a, b in zip(at[::2], at[1::2], strict=False):
-            mask[row, max(0, int(np.ceil(a - 1e-9))) : min(w - 1, int(np.floor(b + 1e-9))) + 1] = value
-    for a, b, c, d in zip(x, y, x2, y2, strict=True):
-        steps = int(max(abs(c - a), abs(d - b), 1))
-        t = np.linspace(0, 1, steps + 1)
-        px, py = np.floor(a + t * (c - a) + 0.5).astype(int), np.floor(b + t * (d - b) + 0.5).astype(int)
-        ok = (px >= 0) & (px < w) & (py >= 0) & (py < h)
-        mask[py[ok], px[ok]] = value
+    top, bottom = max(0, int(np.ceil(y.min()))), min(h - 1, int(np.floor(y.max())))
+    left, right = max(0, int(np.ceil(x.min()))), min(w - 1, int(np.floor(x.max())))
+    if top <= bottom and left <= right:
+        rows, cols = np.arange(top, bottom + 1)[:, None], np.arange(left, right + 1)
+        cross = (y <= rows) != (y2 <= rows)
+        at = np.where(cross, x + (rows - y) * (x2 - x) / np.where(y2 == y, 1.0, y2 - y), np.inf)
+        at.sort(axis=1)
+        at = at[:, : int(cross.sum(1).max(initial=0))]
+        odd = lambda c: (at[:, :, None] <= c).sum(1) & 1
+        inside = (odd(cols + 1e-9) | odd(cols - 1e-9)).astype(bool)
+        mask[top : bottom + 1, left : right + 1][inside] = value
+    steps = np.maximum(np.maximum(np.abs(x2 - x), np.abs(y2 - y)), 1).astype(int)
+    edge = np.repeat(np.arange(len(x)), steps + 1)
+    t = (np.arange(len(edge)) - np.repeat(np.cumsum(steps + 1) - steps - 1, steps + 1)) / steps[edge]
+    px = np.floor(x[edge] + t * (x2 - x)[edge] + 0.5).astype(int)
+    py = np.floor(y[edge] + t * (y2 - y)[edge] + 0.5).astype(int)
+    ok = (px >= 0) & (px < w) & (py >= 0) & (py < h)
+    mask[py[ok], px[ok]] = value
 
 
 def rasterised(polygons: list, h: int, w: int, label: int = 255) -> np.ndarray:
@@ -315,9 +328,7 @@ def rasterised(polygons: list, h: int, w: int, label: int = 255) -> np.ndarray:
     mask = np.zeros((h, w), np.uint8)
     for rings in polygons:
         for k, ring in enumerate(rings):
-            points = np.array([(p["x"], p["y"]) if isinstance(p, dict) else (p[0], p[1]) for p in ring], float)
-            if len(points) > 1 and (points[0] == points[-1]).all():
-                points = points[:-1]
+            points = points_of(ring)
             if len(points) >= 3:
                 _fill(mask, points, 0 if k else label)
     return mask
@@ -325,11 +336,13 @@ def rasterised(polygons: list, h: int, w: int, label: int = 255) -> np.ndarray:
 
 def local_mask(polygons: list, label: int = 255, margin: int = 1) -> tuple[np.ndarray, tuple[int, int, int, int]]:
     """Mask of polygons in the frame of their bounding box with a margin, and that box (x, y of both corners)."""
-    points = np.array([(p["x"], p["y"]) if isinstance(p, dict) else (p[0], p[1]) for rings in polygons for ring in rings[:1] for p in ring], float)
-    if not len(points):
+    polygons = [[points_of(ring) for ring in rings] for rings in polygons]
+    outer = [rings[0] for rings in polygons if rings and len(rings[0])]
+    if not outer:
         raise ValueError("no polygon to paint")
+    points = np.concatenate(outer)
     low, high = np.floor(points.min(0)).astype(int) - margin, np.ceil(points.max(0)).astype(int) + margin
-    moved = [[[(p["x"] - low[0], p["y"] - low[1]) if isinstance(p, dict) else (p[0] - low[0], p[1] - low[1]) for p in ring] for ring in rings] for rings in polygons]
+    moved = [[ring - low for ring in rings] for rings in polygons]
     return rasterised(moved, int(high[1] - low[1] + 1), int(high[0] - low[0] + 1), label), (int(low[0]), int(low[1]), int(high[0]), int(high[1]))
 
 
@@ -342,17 +355,29 @@ _SEGMENTS = {
 _MIDDLE = np.array([(0, 0.5), (0.5, 1), (1, 0.5), (0.5, 0)])
 
 
+_TABLE = np.full((16, 2, 2, 2), np.nan)
+for _case, _pairs in _SEGMENTS.items():
+    for _k, (_p, _q) in enumerate(_pairs):
+        _TABLE[_case, _k] = _MIDDLE[_p], _MIDDLE[_q]
+
+
 def _contour(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Ends of the segments of the marching-squares contour; they lie in the middles of cell edges."""
     m = np.pad(mask > 0, 1).astype(int)
     case = m[:-1, :-1] + 2 * m[:-1, 1:] + 4 * m[1:, 1:] + 8 * m[1:, :-1]
-    starts, ends = [np.zeros((0, 2))], [np.zeros((0, 2))]
-    for c, segments in _SEGMENTS.items():
-        at = np.argwhere(case == c)
-        for p, q in segments if len(at) else ():
-            starts.append(at + _MIDDLE[p])
-            ends.append(at + _MIDDLE[q])
-    return np.concatenate(starts), np.concatenate(ends)
+    at = np.argwhere((case > 0) & (case < 15))
+    segments = (_TABLE[case[at[:, 0], at[:, 1]]] + at[:, None, None, :]).reshape(-1, 2, 2)
+    segments = segments[~np.isnan(segments[:, 0, 0])]
+    return segments[:, 0], segments[:, 1]
+
+
+def widest_distance(points: np.ndarray, block: int = 2048) -> float:
+    """Largest distance between two of the points; they can only be the first and last of their rows."""
+    y, x = points[np.lexsort((points[:, 1], points[:, 0]))].T
+    step = y[1:] != y[:-1]
+    ends = np.concatenate([step, [True]]) | np.concatenate([[True], step])
+    y, x = y[ends], x[ends]
+    return max(float(((y[k : k + block, None] - y) ** 2 + (x[k : k + block, None] - x) ** 2).max()) for k in range(0, len(y), block)) ** 0.5
 
 
 def shape2d(mask: np.ndarray) -> dict[str, float] | None:
@@ -366,8 +391,7 @@ def shape2d(mask: np.ndarray) -> dict[str, float] | None:
     m = np.pad((mask > 0).astype(int), 1)
     corners = m[:-1, :-1] + m[:-1, 1:] + m[1:, :-1] + m[1:, 1:]
     surface = float(np.array([0, 0.125, 0.5, 0.875, 1.0])[corners].sum()) - 0.25 * int(((corners == 2) & (m[:-1, :-1] == m[1:, 1:])).sum())
-    points = np.unique(np.concatenate([starts, ends]), axis=0)
-    widest = max(float((((p - points) ** 2).sum(1)).max()) for p in points) ** 0.5
+    widest = widest_distance(np.concatenate([starts, ends]))
     large, small = axes(x, y)
     values = (
         surface, float(n), float(perimeter), float(perimeter / surface), float(2 * np.sqrt(np.pi * surface) / perimeter), float(widest),

@@ -73,12 +73,26 @@ def polygons_of(geometry: Column) -> Column:
     return F.filter(geometry, lambda g: (F.size(g) > 0) & (F.size(F.get(g, F.lit(0))) > 0))
 
 
+def _rings(column: pa.Array) -> list[list[np.ndarray]]:
+    """The rings of every row of a geometry column as arrays of (x, y); null rows have none."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    rings = column.flatten()
+    points = rings.flatten()
+    xy = np.stack([np.asarray(points.field(k).cast(pa.float64())) for k in (0, 1)], 1) if len(points) else np.zeros((0, 2))
+    ends = np.cumsum(np.asarray(rings.value_lengths().fill_null(0)))
+    made = np.split(xy, ends)[:-1] if len(ends) else []
+    counts = np.cumsum([0, *np.asarray(column.value_lengths().fill_null(0))])
+    return [made[a:b] for a, b in zip(counts[:-1], counts[1:], strict=True)]
+
+
 def _painted(batches: Iterator[pa.RecordBatch], label: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         *keys, geometries, h, w = batch.columns
         masks = []
-        for cells, rows, cols in zip(geometries.to_pylist(), h.to_pylist(), w.to_pylist(), strict=True):
-            masks.append(kernels.rasterised([c for c in cells or [] if c], rows or 0, cols or 0, label).reshape(-1))
+        cells = _rings(geometries.flatten())
+        counts = np.cumsum([0, *np.asarray(geometries.value_lengths().fill_null(0))])
+        for a, b, rows, cols in zip(counts[:-1], counts[1:], h.to_pylist(), w.to_pylist(), strict=True):
+            masks.append(kernels.rasterised([c for c in cells[a:b] if c], rows or 0, cols or 0, label).reshape(-1))
         yield pa.RecordBatch.from_arrays([*keys, pa.array(masks, pa.list_(pa.int32()))], [*batch.schema.names[: len(keys)], "mask"])
 
 
@@ -93,7 +107,7 @@ def _shaped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         *keys, geometry = batch.columns
         rows = []
-        for g in geometry.to_pylist():
+        for g in _rings(geometry):
             made = None
             if g:
                 try:
