@@ -10,6 +10,10 @@ Candidates. Similar sets share one of their first |x| - ceil(0.8 |x|) + 1 grams
 id of the set (a digest, so that equal sets are one), packed, to the task of the gram, which makes a list of the sets that
 share it. Equal lists are one list. Grams whose cell is very heavy are dealt over several tasks by set.
 
+Bitmaps. Each set has a parity bitmap: the bits in which two bitmaps differ are at most the grams in which the sets differ.
+Lists of up to a block are cut into the parts that sizes and bitmaps leave connected, so that sets which merely share a
+passage drop out before any set is read.
+
 Joining. Sets of a group are stored in a prefix tree, commonest gram first, so that similar sets share paths. A set
 traverses the tree; the overlap with a path counts for all sets below it, and subtrees are left where even all remaining
 grams could not reach the bound, or where all sets are connected to the probing set already. Out come the edges of a
@@ -49,6 +53,8 @@ BLOCK = 512
 HEAVY = 1 << 20
 BUFFER = 4 << 20
 BLOOM_BITS = 1 << 27
+#: Bits of the smallest parity bitmap; larger sets have the next power of two from their size on.
+PARITY = 1024
 _OCTAVE = 64  # ranks per doubling of a count
 
 
@@ -75,7 +81,19 @@ def digest(s: np.ndarray) -> tuple[int, int]:
     return int(a.astype(np.int64)), int(b.astype(np.int64))
 
 
-_FIRST = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("s", pa.int64()), ("check", pa.int64()), ("segment", pa.int32()), ("cells", pa.binary())])
+_FIRST = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("s", pa.int64()), ("check", pa.int64()), ("bits", pa.binary()), ("segment", pa.int32()), ("cells", pa.binary())])
+
+
+def parity(s: np.ndarray) -> bytes:
+    """Bit b tells whether an odd number of grams of the set falls on it."""
+    bits = max(PARITY, 1 << (len(s) - 1).bit_length())
+    odd = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def halved(bits: np.ndarray) -> np.ndarray:
+    """The parity bitmap of half the bits."""
+    return bits[: len(bits) // 2] ^ bits[len(bits) // 2 :]
 
 
 def _first_pass(batches: Iterator[pa.RecordBatch], cells: int) -> Iterator[pa.RecordBatch]:
@@ -92,7 +110,7 @@ def _first_pass(batches: Iterator[pa.RecordBatch], cells: int) -> Iterator[pa.Re
         size = 0
         for _, data, offsets in texts(batch.column(0)):
             for s in gram_sets(data, offsets):
-                rows.append((len(s), *digest(s)) if len(s) else (0, None, None))
+                rows.append((len(s), *digest(s), parity(s)) if len(s) else (0, None, None, None))
                 if len(s):
                     held.append(s)
                     size += len(s)
@@ -102,12 +120,12 @@ def _first_pass(batches: Iterator[pa.RecordBatch], cells: int) -> Iterator[pa.Re
         counted()
         n = len(rows)
         if n:
-            columns = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)]
+            columns = [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), list(_FIRST)[1:5], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(1), *columns, pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], schema=_FIRST)
     if count.any():
         packed = [zstandard.compress(part.astype(np.uint32).tobytes(), 1) for part in count.reshape(SEGMENTS, -1)]
         none = pa.nulls(SEGMENTS, pa.int64())
-        yield pa.RecordBatch.from_arrays([none] * 4 + [pa.array(range(SEGMENTS), pa.int32()), pa.array(packed, pa.binary())], schema=_FIRST)
+        yield pa.RecordBatch.from_arrays([*[none] * 4, pa.nulls(SEGMENTS, pa.binary()), pa.array(range(SEGMENTS), pa.int32()), pa.array(packed, pa.binary())], schema=_FIRST)
 
 
 def _folded(batches: Iterator[pa.RecordBatch], add) -> Iterator[pa.RecordBatch]:
@@ -212,13 +230,83 @@ def _listed(batches: Iterator[pa.RecordBatch], heavy: int) -> Iterator[pa.Record
 
 
 def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(list, s) of every set of every list (list, sets)."""
+    """(list, s, whole) of every set of every list (list, sets, part); whole is the length of a list that is all here, else null."""
     for batch in batches:
         packed = batch.column(1).to_pylist()
-        name = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), [len(x) // 8 for x in packed])
+        length = [len(x) // 8 for x in packed]
+        name = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), length)
+        whole = np.repeat([n if p == 0 else -1 for n, p in zip(length, batch.column(2).to_pylist(), strict=True)], length)
         sets = np.frombuffer(b"".join(packed), np.int64)
         for k in range(0, len(sets), 1 << 16):
-            yield pa.RecordBatch.from_arrays([pa.array(name[k : k + (1 << 16)], pa.int64()), pa.array(sets[k : k + (1 << 16)], pa.int64())], ["list", "s"])
+            part = slice(k, k + (1 << 16))
+            columns = [pa.array(name[part], pa.int64()), pa.array(sets[part], pa.int64()), pa.array(whole[part].astype(np.int64), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["list", "s", "whole"])
+
+
+def near(n: np.ndarray, bits: list[np.ndarray], percent: int) -> np.ndarray:
+    """For sizes and bitmaps (64-bit words) of one list, which pairs sizes and bitmaps do not rule out.
+
+    Similar sets differ in size by less than a doubling, so their bitmaps do by one at most: they meet at the smaller.
+    """
+    both = n[:, None] + n[None, :]
+    need = -(-percent * both // (100 + percent))
+    differ = np.full(both.shape, np.iinfo(np.int64).max)
+    width = np.array([len(b) for b in bits])
+    for w in np.unique(width):
+        here = np.flatnonzero((width == w) | (width == 2 * w))
+        words = np.stack([bits[k] if width[k] == w else halved(bits[k]) for k in here])
+        for row, k in enumerate(here):
+            meet = np.minimum(width[k], width[here]) == w
+            differ[k, here[meet]] = np.bitwise_count(words[row] ^ words[meet]).sum(1)
+    return (need <= np.minimum(n[:, None], n[None, :])) & (differ <= both - 2 * need)
+
+
+def parts_of(fits: np.ndarray) -> list[np.ndarray]:
+    """Connected parts of two and more of a symmetric relation."""
+    left, out = np.ones(len(fits), bool), []
+    while left.any():
+        part = np.zeros(len(fits), bool)
+        new = np.zeros(len(fits), bool)
+        new[left.argmax()] = True
+        while new.any():
+            part |= new
+            new = fits[new].any(0) & left & ~part
+        left &= ~part
+        if part.sum() > 1:
+            out.append(np.flatnonzero(part))
+    return out
+
+
+def _refined(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """(list, s) of the parts of lists that may hold similar sets; rows (list, s, n, bits) of a list stand together."""
+    group, rows, names, sets = None, [], [], []
+
+    def judged():
+        n = np.array([r[1] for r in rows])
+        for part in parts_of(near(n, [np.frombuffer(r[2], np.uint64) for r in rows], percent)):
+            name = mix(np.array([group]).view(np.uint64) + np.uint64(part[0])).view(np.int64)[0]
+            names.extend([int(name)] * len(part))
+            sets.extend(rows[k][0] for k in part)
+
+    def out():
+        made = pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sets, pa.int64())], ["list", "s"])
+        names.clear()
+        sets.clear()
+        return made
+
+    for batch in batches:
+        for g, s, n, bits in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+            if g != group:
+                if len(rows) > 1:
+                    judged()
+                group, rows = g, []
+            rows.append((s, n, bits))
+        if names:
+            yield out()
+    if len(rows) > 1:
+        judged()
+    if names:
+        yield out()
 
 
 def _bloomed(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
@@ -387,11 +475,22 @@ def join_block(grams: list[np.ndarray], percent: int, group: list[int] | None =
 
 
 def _joined(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Edges (a, b) between components or sets of groups that come one after the other: (group, s, component, grams)."""
+    """(a, b) for every component b that turns out to be connected to a smaller one a of its group; rows (group, s,
+    component, grams) of a group stand together. All components that meet in a group name the same smallest one."""
     group, rows = None, []
 
     def edges():
-        return [(rows[i][1], rows[j][1]) for i, j in join_block([np.frombuffer(r[2], np.uint64) for r in rows], percent, [r[1] for r in rows])]
+        names = [r[1] for r in rows]
+        forest = Forest(len(rows))
+        for i, j in join_block([np.frombuffer(r[2], np.uint64) for r in rows], percent, names):
+            forest.join(i, j)
+        first: dict[int, int] = {}
+        for k, c in enumerate(names):
+            forest.join(first.setdefault(c, k), k)
+        least: dict[int, int] = {}
+        for k, c in enumerate(names):
+            least[forest.find(k)] = min(c, least.get(forest.find(k), c))
+        return {(least[forest.find(k)], c) for c, k in first.items() if least[forest.find(k)] != c}
 
     def batch_of(found):
         return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
@@ -414,7 +513,7 @@ def _joined(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
 
 
 def joined_groups(groups: DataFrame, n: int, percent: int) -> DataFrame:
-    """Edges within groups (group, s, component, grams), each in one task and of bounded size."""
+    """Edges (a, b), a < b, between components of groups (group, s, component, grams), each in one task and of bounded size."""
     dealt = groups.select("group", "s", "component", "grams").repartition(n, "group").sortWithinPartitions("group")
     return dealt.mapInArrow(lambda it: _joined(it, percent), "a long, b long")
 
@@ -450,35 +549,39 @@ def link_components(docs: DataFrame, percent: int = 80, text: str = "text", bloc
     spark, sc = docs.sparkSession, docs.sparkSession.sparkContext
     source = docs.select(F.col(text).cast("binary").alias("text"), F.col("doc_id").cast("long").alias("doc_id"))
     n = reduce_partitions(source)
-    first = materialise(source.mapInArrow(lambda it: _first_pass(it, cells), "doc_id long, n long, s long, check long, segment int, cells binary"))
-    members = first.where("n IS NOT NULL").select("doc_id", "n", "s", "check")
+    first = materialise(source.mapInArrow(lambda it: _first_pass(it, cells), "doc_id long, n long, s long, check long, bits binary, segment int, cells binary"))
+    members = first.where("n IS NOT NULL").select("doc_id", "n", "s", "check", "bits")
     counts = folded(first.where("segment IS NOT NULL").select("segment", "cells"), cells)
     ranks = sc.broadcast(np.minimum(_OCTAVE * np.log2(np.maximum(counts, 1)), 65535).astype(np.uint16))
-    sets = members.where("s IS NOT NULL").groupBy("s").agg(F.min("doc_id").alias("first"), F.min("check").alias("low"), F.max("check").alias("high"))
-    sets = materialise(sets.select("s", F.when(F.col("low") == F.col("high"), F.col("first")).otherwise(F.raise_error(F.lit("two sets have one name")).cast("long")).alias("first")))
+    sets = members.where("s IS NOT NULL").groupBy("s").agg(F.min("doc_id").alias("first"), F.min("check").alias("low"), F.max("check").alias("high"), F.first("n").alias("n"), F.first("bits").alias("bits"))
+    one = F.when(F.col("low") == F.col("high"), F.col("first")).otherwise(F.raise_error(F.lit("two sets have one name")).cast("long"))
+    sets = materialise(sets.select("s", one.alias("first"), "n", "bits"))
 
     keys = dealing_keys(spark, n)
     posted = source.mapInArrow(lambda it: _posted(it, ranks, keys, percent, heavy), "part int, grams binary, sets binary")
     lists = posted.repartition(n, "part").mapInArrow(lambda it: _listed(it, heavy), "part long, sets binary").groupBy("part", "sets").agg(F.lit(1).alias("one"))
-    lists = materialise(lists.select(F.when(F.col("part") == 0, F.xxhash64("sets")).otherwise(F.col("part")).alias("list"), "sets"))
-    each = materialise(lists.mapInArrow(_unpacked, "list long, s long").distinct())
-    active = each.select("s").distinct().join(sets, "s")
+    lists = materialise(lists.select(F.when(F.col("part") == 0, F.xxhash64("sets")).otherwise(F.col("part")).alias("list"), "sets", "part"))
+    every = lists.mapInArrow(_unpacked, "list long, s long, whole long")
+    short = (F.col("whole") > 0) & (F.col("whole") <= block)
+    judged = every.where(short).select("list", "s").join(sets.select("s", "n", "bits"), "s").select("list", "s", "n", "bits")
+    refined = judged.repartition(n, "list").sortWithinPartitions("list").mapInArrow(lambda it: _refined(it, percent), "list long, s long")
+    each = materialise(refined.unionByName(every.where(~short).select("list", "s")))
+    active = each.select("s").distinct().join(sets.select("s", "first"), "s")
     bits = min(BLOOM_BITS, 1 << max(12, (16 * max(1, each.count())).bit_length()))
     bloom = sc.broadcast(folded(each.select("s").mapInArrow(lambda it: _bloomed(it, bits), "segment int, cells binary"), bits // 32, np.bitwise_or).astype(np.uint32))
     content = source.mapInArrow(lambda it: _content(it, ranks, bloom), "s long, doc_id long, key long, grams binary")
     same = F.col("c.doc_id").eqNullSafe(F.col("a.first")) & (F.col("c.s") == F.col("a.s"))
     content = materialise(content.alias("c").join(active.alias("a"), same).select("c.s", "key", "grams"))
 
-    # first round: equal min-hash, in blocks that share one set
+    # first round: equal min-hash, in blocks that share one set. It is the smallest of its min-hash, so all blocks give its
+    # component the same name, and as every set is in one block but for that one, the edges are the components themselves
     large = content.groupBy("key").agg(F.count("*").alias("n"), F.min("s").alias("anchor")).where(F.col("n") > block)
     large = materialise(large.select("key", "anchor", F.ceil(F.col("n") / block).cast("int").alias("cuts")))
     met = content.join(large, "key", "left")
-    group = lambda at: F.xxhash64("key", at).alias("group")
-    rows = met.select(group(F.coalesce(F.pmod(F.xxhash64("s"), "cuts"), F.lit(0)).cast("int")), "s", F.col("s").alias("component"), "grams")
-    anchors = content.join(large, (content["key"] == large["key"]) & (content["s"] == large["anchor"])).select(content["key"], "s", "grams", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("at"))
-    rows = rows.unionByName(anchors.select(group(F.col("at")), "s", F.col("s").alias("component"), "grams"))
-    links = materialise(joined_groups(rows, n, percent))
-    where = connected_components(links)
+    at = F.coalesce(F.pmod(F.xxhash64("s"), "cuts"), F.lit(0)).cast("int")
+    places = F.when(F.col("s") == F.col("anchor"), F.sequence(F.lit(0), F.col("cuts") - 1)).otherwise(F.array(at))
+    rows = met.select("key", "s", "grams", F.explode(places).alias("at")).select(F.xxhash64("key", "at").alias("group"), "s", F.col("s").alias("component"), "grams")
+    where = materialise(joined_groups(rows, n, percent).select(F.col("b").alias("id"), F.col("a").alias("component")).distinct())
 
     # second round: lists that are not within one component yet, as one where they are over the same components
     known = each.join(where, each["s"] == where["id"], "left").select("list", "s", F.coalesce("component", "s").alias("component"))
