@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import partitions
+from .common import materialise, partitions
 
 #: Columns of a record before those that come along.
 CONTENT, ID, COUNT = "gd_content", "gd_id", "gd_count"
@@ -161,12 +161,10 @@ def distinct_texts(docs: DataFrame, carry: list[str] | None = None, id: str = "d
 
 def dedup(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents that stay, with the columns of docs: of equal texts the row with the largest id."""
-    others = [c for c in docs.columns if c not in (id, text)]
-    null = "gd_null"
-    marked = docs.withColumn(null, F.col(text).isNull())
-    kept = distinct_texts(marked, [*others, null], id, text)
-    back = {id: F.col(ID), text: F.when(~F.col(null), F.col(CONTENT).cast("string"))}
-    return kept.select(*(back[c].alias(c) if c in back else F.col(c) for c in docs.columns))
+    others = F.struct(F.col(text).isNull().alias("gd_null"), F.struct(*(c for c in docs.columns if c != text)).alias("rest"))
+    kept = distinct_texts(docs.select(id, text, others.alias("gd_row")), ["gd_row"], id, text)
+    own = F.when(~F.col("gd_row.gd_null"), F.col(CONTENT).cast("string")).alias(text)
+    return kept.select(*(own if c == text else F.col("gd_row.rest").getField(c).alias(c) for c in docs.columns))
 
 
 def groups(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -175,8 +173,9 @@ def groups(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame
     members = docs.select(F.col(id).alias("doc_id"), F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256).alias("text_sha256"))
     members = members.groupBy("doc_id", "text_sha256").agg(F.count("*").alias("gd_rows"))
     once = Window.partitionBy("text_sha256")
-    texts = texts.withColumn("gd_same", F.count("*").over(once))
+    same = F.when(F.count("*").over(once) > 1, F.raise_error(F.lit("two texts have one SHA-256")).cast("long")).otherwise(F.col("keep_id"))
+    texts = materialise(texts.withColumn("keep_id", same))
     met = members.join(texts, "text_sha256")
     met = met.withColumn("gd_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("gd_rows"))))
-    safe = F.when(F.col("gd_same") == 1, F.col("keep_id")).otherwise(F.raise_error(F.lit("two texts have one SHA-256")).cast("long"))
-    return met.select("doc_id", safe.alias("keep_id"), "group_size", (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("gd_row") == 1)).alias("kept"), "text_sha256")
+    kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("gd_row") == 1)
+    return met.select("doc_id", "keep_id", "group_size", kept.alias("kept"), "text_sha256")
