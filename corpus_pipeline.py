@@ -19,9 +19,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     measured = materialise(quality_rules.measure(docs, ["doc_id", "lang"]))
     rules = quality_rules.fit(measured, table(spark, sf_dir, "labels"), "lang")
-    names = docs.columns
-    again = quality_rules.measure(docs, names)  # a second look at each text is cheaper than a shuffle of all texts
-    return rules.judge(again, "lang").where("kept").select(*names)
+    whole = docs.select("text", "lang", F.struct("*").alias("qr_row"))
+    again = quality_rules.measure(whole, ["lang", "qr_row"])  # a second look at each text is cheaper than a shuffle of all texts
+    return rules.judge(again, "lang").where("kept").select("qr_row.*")
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -85,6 +85,6 @@ def mix(docs: DataFrame, text: str = "text", carry: list[str] | None = None, see
 
 def mixed(docs: DataFrame, text: str = "text", **options) -> DataFrame:
     """The documents of the mix, each as often as it was drawn, with the columns of docs."""
-    names = docs.columns
-    drawn = mix(docs, text, carry=names, **options).where("mix_copies > 0")
-    return drawn.withColumn("mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("mix_copies")))).select(*names)
+    whole = docs.select("doc_id", "source", text, F.struct("*").alias("mix_row"))
+    drawn = mix(whole, text, carry=["mix_row"], **options).where("mix_copies > 0")
+    return drawn.select("mix_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("mix_copies")))).select("mix_row.*")
