@@ -203,6 +203,8 @@ def _listed(batches: Iterator[pa.RecordBatch], heavy: int) -> Iterator[pa.Record
             g.append(np.frombuffer(x, np.uint64))
             s.append(np.frombuffer(y, np.int64))
     g, s = np.concatenate(g), np.concatenate(s)
+    if not len(g):
+        return
     order = np.argsort(g)
     same = g[order][1:] == g[order][:-1]
     order = order[np.concatenate([same, [False]]) | np.concatenate([[False], same])]  # grams of one set are of no use
