@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import names
 from ..functions.columns import r6
 from ..operators import cells as cell_ops
-from ..operators import describe, genes, normalize, selection
+from ..operators import describe, genes, normalize, segmentation, selection
 from ..operators.geometry import area, bounding_box, crop, perimeter, rectangle
 from . import standin as s
 
@@ -136,6 +136,21 @@ def cell_summary_merge(spark: SparkSession, d: str) -> DataFrame:
     return cell_ops.with_summary(cells, summary).select("patch_idx", "barcode", *KEYS[1:], "n_cells", "coord_raw_json")
 
 
+@query(f"""WITH {_CELLS} SELECT patch_idx, coalesce(barcode, 'BC-none') AS barcode, row_number() OVER (PARTITION BY patch_idx ORDER BY {s.ORDER_SQL}) AS cell_id_in_patch,
+ CASE WHEN l_linenumber = 2 THEN -1 ELSE class_id END::BIGINT AS class_id, coalesce(raw_class, 'unknown') AS class_name FROM cells""")
+def segmented_cell_rows(spark: SparkSession, d: str) -> DataFrame:
+    found = s.cells(spark, d).withColumns({"class_id": F.when(F.col("l_linenumber") != 2, F.col("class_id")), "barcode": F.coalesce("barcode", F.lit("BC-none")), "geometry": F.lit(None)})
+    return segmentation.cell_rows(found, list(s.ORDER)).drop("geometry")
+
+
+@query("""SELECT o_custkey AS sample_id, count(*) AS num_patches, coalesce(any_value(n), 0) AS num_polygons FROM orders
+LEFT JOIN (SELECT o_custkey, count(*) AS n FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1) USING (o_custkey) GROUP BY o_custkey""")
+def segmentation_summary(spark: SparkSession, d: str) -> DataFrame:
+    patches = s.load(spark, d, "orders").select(F.col("o_custkey").alias("sample_id"), F.col("o_orderkey").alias("patch_idx"))
+    cells = s.load(spark, d, "lineitem").select(F.col("l_orderkey").alias("patch_idx")).join(patches, "patch_idx")
+    return segmentation.sample_summary(patches, cells)
+
+
 @query(f"WITH {_CELLS} SELECT patch_idx, barcode, count(*) AS n_cells FROM cells GROUP BY ALL")
 def patch_cell_counts(spark: SparkSession, d: str) -> DataFrame:
     return cell_ops.patch_counts(s.cells(spark, d))

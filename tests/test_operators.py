@@ -164,3 +164,51 @@ def test_drivers_and_sinks(spark, tmp_path):
     assert readers.cells_normalised(spark, str(tmp_path / "cells")).first().class_name == "dead" and readers.cells_normalised(spark, None) is None
     with pytest.raises(KeyError):
         readers.cells(spark, f"{path}/table")
+
+
+def test_status_lattice(spark):
+    from spatialfeat.functions import status
+
+    df = spark.createDataFrame([(None, None), (None, "b"), ("a", "b")], "x string, y string")
+    got = df.select(status.first_failure(("morph", F.col("x")), ("dist", F.col("y"))).alias("s"), status.latest(F.lit("ok"), F.col("y"), F.col("x")).alias("t")).collect()
+    assert [tuple(r) for r in got] == [("ok", "ok"), ("dist: b", "b"), ("morph: a", "b")]
+    assert df.select(status.error_row(F.lit("s"), F.lit(1), F.col("x")).alias("e")).first().e.status == "error"
+
+
+def test_paths_and_settings(tmp_path):
+    from spatialfeat.sources import paths
+
+    assert paths.sample("r/", "IDC", "patches", "S1") == "r/IDC/patches/sample_id=S1" and set(paths.of_sample("r", "IDC", "S1")) == set(paths.STAGES)
+    with pytest.raises(ValueError):
+        paths.stage("r", "IDC", "other")
+    yaml = pytest.importorskip("yaml")
+    assert yaml
+    for text, want in (("", {}), ("a: 1", {"a": 1})):
+        (tmp_path / "c.yml").write_text(text)
+        assert paths.config_file(str(tmp_path / "c.yml")) == want
+    (tmp_path / "c.yml").write_text("- 1")
+    with pytest.raises(ValueError):
+        paths.config_file(str(tmp_path / "c.yml"))
+
+
+def test_drivers_over_a_dataset(spark, tmp_path):
+    from spatialfeat.plans import drivers
+    from spatialfeat.sources import paths
+
+    root = str(tmp_path / "data")
+    patches = spark.createDataFrame([(s, i, f"B{i}", 1.0, 2.0, 8, 8, [(17 * i + 3 * k) % 256 for k in range(64)]) for s in ("s1", "s2") for i in range(3)], schema.PATCHES)
+    patches.write.parquet(paths.stage(root, "IDC", "patches"))
+    expr = spark.createDataFrame([(s, f"{s}-{o}", f"G{g}", float(g + o)) for s in ("s1", "s2") for o in range(4) for g in range(5)], "sample_id string, obs_id string, gene string, value double")
+    expr.write.parquet(paths.stage(root, "IDC", "st"))
+    config = schema.Config(root=root, oncotrees=("IDC",), sample_ids=("s1", "none"), genes_k=(2,))
+    found = spark.createDataFrame([("s1", 0, "B0", [[(0.0, 0.0), (6.0, 0.0), (6.0, 6.0)]])], "sample_id string, patch_idx long, barcode string, geometry array<array<struct<x:double,y:double>>>")
+    assert drivers.segment_all(spark, config, {"IDC": found}) == {"IDC": True} and drivers.segment_all(spark, config, {"IDC": found}) == {"IDC": False}
+    cell = spark.read.parquet(paths.stage(root, "IDC", "segment")).first()
+    assert (cell.class_id, cell.class_name, cell.n_cells, cell.coord_raw_json) == (-1, "unknown", 1, "[1.0,2.0]")
+    assert drivers.extract_all(spark, config) == {"IDC": True} and drivers.extract_all(spark, config) == {"IDC": False}
+    assert drivers.extract_all(spark, schema.Config(root=root, oncotrees=("IDC",), mask_source="bad", overwrite=True)) == {"IDC": False}
+    drivers.statistics_all(spark, config)
+    assert spark.read.parquet(f"{paths.stage(root, 'IDC', 'radiomics_statistics')}/describe/parquet").count() > 90
+    made = drivers.gene_sets_all(spark, config)
+    assert [(m["criteria"], m["num_genes"]) for m in made] == [("var", 2), ("mean", 2)]
+    assert spark.read.json(f"{paths.stage(root, 'IDC', 'genes')}/mean_2genes.json").first().genes == ["G4", "G3"]
