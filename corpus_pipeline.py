@@ -19,9 +19,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     measured = materialise(quality_rules.measure(docs, ["doc_id", "lang"]))
     rules = quality_rules.fit(measured, table(spark, sf_dir, "labels"), "lang")
-    whole = docs.select("text", "lang", F.struct("*").alias("qr_row"))
-    again = quality_rules.measure(whole, ["lang", "qr_row"])  # a second look at each text is cheaper than a shuffle of all texts
-    return rules.judge(again, "lang").where("kept").select("qr_row.*")
+    rest = F.struct("lang", *(c for c in docs.columns if c not in ("lang", "text")))
+    # a second look at each text is cheaper than a shuffle of all texts
+    again = quality_rules.measure(docs.select("text", "lang", rest.alias("qr_rest")), ["lang", "qr_rest"], keep_text=True)
+    own = F.col("qr_text").cast("string").alias("text")
+    kept = rules.judge(again, "lang").where("kept")
+    return kept.select(*(own if c == "text" else F.col("qr_rest").getField(c).alias(c) for c in docs.columns))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
