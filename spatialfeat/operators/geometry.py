@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import kernels
+from .spread import spread
 
 
 def rectangle(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
@@ -100,7 +101,7 @@ def rasterise(patches: DataFrame, keys: list[str], geometries: str = "geometries
     """keys and mask (row-major) of patches with an array of cell geometries, painted in their order, holes erased."""
     source = patches.select(*keys, geometries, F.col(h).cast("int").alias("rows_"), F.col(w).cast("int").alias("cols_"))
     schema = T.StructType([*source.schema.fields[: len(keys)], T.StructField("mask", T.ArrayType(T.IntegerType()))])
-    return source.mapInArrow(lambda it: _painted(it, label), schema)
+    return spread(source).mapInArrow(lambda it: _painted(it, label), schema)
 
 
 def _shaped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,7 +124,7 @@ def shape2d(cells: DataFrame, keys: list[str], geometry: str = "geometry") -> Da
     """keys and nine shape features of each cell from its own raster; null where it has under three pixels or no outline."""
     source = cells.select(*keys, geometry)
     schema = T.StructType([*source.schema.fields[: len(keys)], *(T.StructField(f, T.DoubleType()) for f in kernels.SHAPE2D)])
-    return source.mapInArrow(_shaped, schema)
+    return spread(source).mapInArrow(_shaped, schema)
 
 
 def _instances(batches: Iterator[pa.RecordBatch], what: str) -> Iterator[pa.RecordBatch]:
@@ -146,7 +147,7 @@ def instance_labels(patches: DataFrame, keys: list[str], mask: str = "mask", h:
     """keys and labels: 8-connected parts of a mask numbered from 1 by their first pixel, 0 outside."""
     source = patches.select(*keys, mask, F.col(h).cast("int"), F.col(w).cast("int"))
     schema = T.StructType([*source.schema.fields[: len(keys)], T.StructField("labels", T.ArrayType(T.IntegerType()))])
-    return source.mapInArrow(lambda it: _instances(it, "labels"), schema)
+    return spread(source).mapInArrow(lambda it: _instances(it, "labels"), schema)
 
 
 def mask_polygons(patches: DataFrame, keys: list[str], mask: str = "mask", h: str = "h", w: str = "w") -> DataFrame:
@@ -154,4 +155,4 @@ def mask_polygons(patches: DataFrame, keys: list[str], mask: str = "mask", h: st
     source = patches.select(*keys, mask, F.col(h).cast("int"), F.col(w).cast("int"))
     point = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])
     schema = T.StructType([*source.schema.fields[: len(keys)], T.StructField("polygons", T.ArrayType(T.ArrayType(T.ArrayType(point))))])
-    return source.mapInArrow(lambda it: _instances(it, "polygons"), schema)
+    return spread(source).mapInArrow(lambda it: _instances(it, "polygons"), schema)

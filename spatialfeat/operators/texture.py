@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from ..functions import kernels
 from ..schema import SMALLEST_MASK
+from .spread import spread
 
 CLASSES = {
     "firstorder": kernels.FIRSTORDER, "glcm": kernels.GLCM, "glrlm": kernels.GLRLM, "glszm": kernels.GLSZM, "gldm": kernels.GLDM, "ngtdm": kernels.NGTDM,
@@ -66,5 +67,5 @@ def texture_features(patches: DataFrame, keys: list[str], px: str = "px", mask:
     names = [f"{c}_{f}" for c in classes for f in CLASSES[c]]
     source = patches.select(*keys, F.col(px).cast("array<int>"), F.col(mask).cast("array<int>"), F.col(h).cast("int"), F.col(w).cast("int"))
     schema = T.StructType([*source.schema.fields[: len(keys)], *(T.StructField(f, T.DoubleType()) for f in names)])
-    made = source.mapInArrow(lambda it: _featured(it, names, classes, width, offsets, smallest), schema)
+    made = spread(source).mapInArrow(lambda it: _featured(it, names, classes, width, offsets, smallest), schema)
     return made.select(*keys, *(F.col(f).alias(f"{prefix}{f}") for f in names)) if prefix else made

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,8 +34,7 @@ def extract_all(spark: SparkSession, config: Config, measurements: list[str] = (
                     out[tree] = False
                     continue
             cells = readers.cells_normalised(spark, paths.stage(config.root, tree, "segment")) if config.mask_source == "cellseg" else None
-            table, stats = pipeline.extract(patches, cells, config, measurements, order)
-            out[tree] = sinks.processed(table, stats, at, overwrite=True)
+            out[tree] = pipeline.extract_to(patches, cells, replace(config, overwrite=True), at, measurements, order)
         except (ValueError, KeyError, FileNotFoundError) as e:
             print(f"{tree}: {e}")
             out[tree] = False

@@ -253,7 +253,7 @@ t AS (SELECT *, CASE WHEN area < {SMALLEST_MASK} THEN '{SKIPPED_SMALL_MASK}' ELS
 SELECT sample_id, vec_id AS patch_idx, status, area AS patch_mask_area, {_scaled('mean')} AS patch_original_firstorder_Mean FROM u""")
 def pipeline_threshold(spark: SparkSession, d: str) -> DataFrame:
     patches = s.images(spark, d, 600).withColumnRenamed("vec_id", "patch_idx")
-    table, _ = pipeline.extract(patches, None, Config(mask_source="threshold"))
+    table = pipeline.extract(patches, None, Config(mask_source="threshold"))
     return rounded(table.select("sample_id", "patch_idx", "status", "patch_mask_area", "patch_original_firstorder_Mean"))
 
 
@@ -275,5 +275,5 @@ def pipeline_cellseg(spark: SparkSession, d: str) -> DataFrame:
     cells = s.cells(spark, d).withColumn("geometry", box).withColumnRenamed("l_quantity", "quantity")
     cells = cells.join(patches.select("patch_idx", "sample_id"), "patch_idx")
     order = [c for c in s.ORDER if c != "l_quantity"]
-    table, _ = pipeline.extract(patches, cells, Config(mask_source="cellseg"), ["quantity"], order)
+    table = pipeline.extract(patches, cells, Config(mask_source="cellseg"), ["quantity"], order)
     return rounded(table.select("sample_id", "patch_idx", "status", "n_cells_total", "cellseg_mask_area", "dist_count_neoplastic", "dist_ratio_neoplastic", "cellseg_all_original_firstorder_Mean", "morph_quantity_mean"))

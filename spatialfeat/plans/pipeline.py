@@ -47,24 +47,31 @@ def cell_features(patches: DataFrame, cells: DataFrame, measurements: list[str],
     return made.join(stats, KEYS, "left").join(shares, KEYS, "left")
 
 
-def extract(patches: DataFrame, cells: DataFrame | None, config: Config, measurements: list[str] = (), order: list[str] = ()) -> tuple[DataFrame, DataFrame]:
-    """The processed feature table of all samples and its statistics."""
+def raw_features(patches: DataFrame, cells: DataFrame | None, config: Config, measurements: list[str] = (), order: list[str] = ()) -> DataFrame:
+    """Features before normalisation, by the mask source of the settings."""
     if config.mask_source == "threshold":
-        raw = threshold_features(patches)
-    elif config.mask_source == "cellseg":
+        return threshold_features(patches)
+    if config.mask_source == "cellseg":
         if cells is None:
             raise ValueError("mask source cellseg needs cells")
-        raw = cell_features(patches, cells, list(measurements), list(order))
-    else:
-        raise ValueError(f"mask source must be threshold or cellseg, is {config.mask_source!r}")
-    options = {"lower": config.lower_q, "upper": config.upper_q}
-    return normalize(raw, **options), normalization_stats(raw, **options)
+        return cell_features(patches, cells, list(measurements), list(order))
+    raise ValueError(f"mask source must be threshold or cellseg, is {config.mask_source!r}")
+
+
+def extract(patches: DataFrame, cells: DataFrame | None, config: Config, measurements: list[str] = (), order: list[str] = ()) -> DataFrame:
+    """The processed feature table of all samples, as one plan."""
+    return normalize(raw_features(patches, cells, config, measurements, order), lower=config.lower_q, upper=config.upper_q)
 
 
 def extract_to(patches: DataFrame, cells: DataFrame | None, config: Config, path: str, measurements: list[str] = (), order: list[str] = ()) -> bool:
-    """Extracts and writes all outputs unless they are there."""
-    table, stats = extract(patches, cells, config, measurements, order)
-    return sinks.processed(table, stats, path, config.overwrite)
+    """Extracts and writes all outputs unless they are there; raw features are written once and read for all of them."""
+    spark = patches.sparkSession
+    if not config.overwrite and sinks.is_processed(spark, path):
+        return False
+    raw_features(patches, cells, config, measurements, order).write.mode("overwrite").parquet(f"{path}/raw")
+    raw = spark.read.parquet(f"{path}/raw")
+    options = {"lower": config.lower_q, "upper": config.upper_q}
+    return sinks.processed(normalize(raw, **options), normalization_stats(raw, **options), path, overwrite=True)
 
 
 def statistics(features: DataFrame, config: Config, order: list[str], carry: list[str]) -> dict[str, DataFrame]:

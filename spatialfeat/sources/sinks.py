@@ -27,17 +27,29 @@ def write_once(df: DataFrame, path: str, overwrite: bool = False, partition_by:
     return True
 
 
+PROCESSED = ("table", "X", "obs", "var", "stats", "feature_list")
+
+
+def is_processed(spark, path: str) -> bool:
+    """Whether all outputs of an extraction are there."""
+    return all(exists(spark, f"{path}/{p}") for p in PROCESSED)
+
+
 def processed(df: DataFrame, stats: DataFrame, path: str, overwrite: bool = False) -> bool:
-    """The processed table, its feature list, and the matrix with its row and column tables; done when all are there."""
+    """The processed table, its feature list, and the matrix with its row and column tables; done when all are there.
+
+    The table is worked out once; the matrix and its rows are read from it.
+    """
     spark = df.sparkSession
-    if not overwrite and all(exists(spark, f"{path}/{p}") for p in ("table", "X", "obs", "var", "stats", "feature_list")):
+    if not overwrite and is_processed(spark, path):
         return False
+    df.write.mode("overwrite").parquet(f"{path}/table")
+    df = spark.read.parquet(f"{path}/table")
     features = [c for c in described_columns(df) if c not in ("patch_idx",)]
     rest = [c for c in df.columns if c not in features]
-    df.write.mode("overwrite").parquet(f"{path}/table")
-    names = spark.createDataFrame([(f,) for f in features], "feature string")
-    names.coalesce(1).write.mode("overwrite").text(f"{path}/feature_list")
-    names.withColumn("place", F.monotonically_increasing_id()).write.mode("overwrite").parquet(f"{path}/var")
+    names = spark.createDataFrame([(f, k) for k, f in enumerate(features)], "feature string, place long").coalesce(1)
+    names.select("feature").write.mode("overwrite").text(f"{path}/feature_list")
+    names.write.mode("overwrite").parquet(f"{path}/var")
     row = [F.col(c) for c in ("sample_id", "patch_idx") if c in df.columns]
     df.select(*row, F.array(*(number(F.col(f)).cast("float") for f in features)).alias("X")).write.mode("overwrite").parquet(f"{path}/X")
     text = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}

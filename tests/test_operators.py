@@ -142,7 +142,7 @@ def test_drivers_and_sinks(spark, tmp_path):
     seg = spark.createDataFrame([("s", 0, 0, 4.0, box(0.0, 7.0)), ("s", 1, 1, 2.0, box(2.0, 3.0)), ("s", 1, 2, None, box(5.0, 6.0))], "sample_id string, patch_idx long, ord long, size double, geometry array<array<struct<x:double,y:double>>>")
     seg = seg.withColumn("class_name", F.lit("Dead"))
     config = schema.Config(mask_source="cellseg")
-    table, stats = pipeline.extract(patches, seg, config, ["size"], ["ord"])
+    table = pipeline.extract(patches, seg, config, ["size"], ["ord"])
     got = {r.patch_idx: r for r in table.collect()}
     assert got[0].cellseg_mask_area == 64 and got[1].cellseg_mask_area == 8 and got[1].cellseg_all_original_glcm_Id is not None or got[1].status == "ok"
     assert got[3].status == schema.SKIPPED_NO_CELLS and got[3].dist_cell_count_total == 0 and got[3].morph_size_mean is None
