@@ -236,7 +236,10 @@ def shape2d_axes(spark: SparkSession, d: str) -> DataFrame:
     return rounded(shapes.select(*KEYS, "MajorAxisLength", "MinorAxisLength", "Elongation", "PixelSurface"))
 
 
-@query()
+@query(f"""WITH b AS (SELECT {', '.join(KEYS)}, {_BOX} FROM lineitem), v AS (SELECT *, (x1 - x0 + 1)::DOUBLE AS w, (y1 - y0 + 1)::DOUBLE AS h FROM b),
+m AS (SELECT *, w * h - 0.5 AS surface, 2 * (w + h - 2) + 4 * sqrt(0.5) AS p FROM v)
+SELECT {', '.join(KEYS)}, {R('surface')} AS MeshSurface, {R('p')} AS Perimeter, {R('p / surface')} AS PerimeterSurfaceRatio, {R('2 * sqrt(pi() * surface) / p')} AS Sphericity,
+ {R('sqrt(greatest(w ** 2 + (h - 1) ** 2, (w - 1) ** 2 + h ** 2))')} AS MaximumDiameter FROM m""")
 def shape2d_mesh(spark: SparkSession, d: str) -> DataFrame:
     return rounded(geometry.shape2d(_boxes(spark, d), list(KEYS)).select(*KEYS, "MeshSurface", "Perimeter", "PerimeterSurfaceRatio", "Sphericity", "MaximumDiameter"))
 
