@@ -66,7 +66,7 @@ def with_summary(cells: DataFrame, summary: DataFrame | None) -> DataFrame:
 
 def tallies(cells: DataFrame, patches: DataFrame) -> DataFrame:
     """Numbers of patches and polygons of a sample, as one row."""
-    return patches.agg(F.count("*").alias("num_patches")).crossJoin(cells.agg(F.count("*").alias("num_polygons")))
+    return patches.agg(F.count("*").alias("num_patches")).withColumn("num_polygons", cells.agg(F.count("*")).scalar())
 
 
 #: Names of the statistics of a cell measurement over a patch.

@@ -26,17 +26,17 @@ def detected(expr: DataFrame, share: float = 0.1) -> DataFrame:
 
 
 def common_genes(expr: DataFrame, share: float = 0.1) -> DataFrame:
-    """(gene) detected in every sample, blanks and controls left out. The number of samples is one row."""
+    """(gene) detected in every sample, blanks and controls left out. The number of samples is a scalar subquery."""
     samples = expr.select("sample_id").distinct().agg(F.count("*").alias("samples"))
     kept = named_genes(detected(expr, share)).groupBy("gene").agg(F.count("*").alias("n"))
-    return kept.crossJoin(F.broadcast(samples)).where("n = samples").select("gene")
+    return kept.where(F.col("n") == samples.scalar()).select("gene")
 
 
 def _moments(expr: DataFrame, genes: DataFrame) -> DataFrame:
     """Per common gene the number of all observations and sums over them; absent values add nothing."""
     n = expr.select("sample_id", "obs_id").distinct().agg(F.count("*").alias("n_obs"))
     sums = expr.join(genes, "gene").groupBy("gene").agg(F.sum("value").alias("s1"), F.sum(F.col("value") * F.col("value")).alias("s2"))
-    return genes.join(sums, "gene", "left").na.fill(0.0, ["s1", "s2"]).crossJoin(F.broadcast(n))
+    return genes.join(sums, "gene", "left").na.fill(0.0, ["s1", "s2"]).withColumn("n_obs", n.scalar())
 
 
 def top_by_mean(expr: DataFrame, genes: DataFrame, k: int) -> DataFrame:
@@ -74,7 +74,7 @@ def highly_variable(expr: DataFrame, genes: DataFrame, k: int, digits: int = 6)
     d = dispersions(expr, genes).select("gene", F.round(F.coalesce("norm", F.lit(0.0)) + 1e-9, digits).alias("norm"))
     ranked = d.orderBy(F.desc("norm"), "gene").limit(k)
     cut = ranked.agg(F.min("norm").alias("cut"))
-    return d.crossJoin(F.broadcast(cut)).where("norm >= cut").select("gene", "norm").orderBy("gene").limit(k)
+    return d.where(F.col("norm") >= cut.scalar()).select("gene", "norm").orderBy("gene").limit(k)
 
 
 def gene_sets(expr: DataFrame, criteria=CRITERIA, ks=(50, 100, 250), share: float = 0.1) -> dict[tuple[str, int], DataFrame]:
