@@ -36,14 +36,33 @@ def shared_dir(spark: SparkSession) -> str:
     return place.rstrip("/")
 
 
+_written: dict[str, list[str]] = {}
+
+
+def new_path(spark: SparkSession) -> str:
+    """A path in the shared folder that nothing else has; sweep() removes what is there."""
+    path = f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Writes df as Parquet into the shared folder and reads it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}"
+    path = new_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sweep(spark: SparkSession) -> int:
+    """Removes the tables that this application has put into the shared folder, once results are written; tells how many."""
+    paths = _written.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    return len(paths)
+
+
 def word_count(col):
     """Number of words of a text column; 0 for null."""
     return F.coalesce(F.regexp_count(col, F.lit(WORD)), F.lit(0)).cast("long")

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import exact_dedup, language_id, line_dedup, mixing, ngram_join, packing, quality_rules, suffix_dedup, url_filters, warc
-from .common import materialise, shared_dir, table
+from .common import materialise, new_path, table
 
 
 def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,13 +53,13 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}"
+    path = new_path(spark)
     warc.write_archive(table(spark, sf_dir, "pages"), path)
     return warc.described(warc.read_archive(spark, path))
 
 
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.link_components(table(spark, sf_dir, "documents"))
+    return ngram_join.link_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 _QUERIES = (
