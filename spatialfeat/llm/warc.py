@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import materialise
+
 END = "\r\n"
 #: RFC 4648 base32 letters, and the digits that conv() writes in base 32.
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -40,7 +42,8 @@ def records(pages: DataFrame, least: int = 0) -> DataFrame:
         F.max("page_id").alias("owner"), F.count("*").alias("copies"),
         F.max(F.struct("bytes", "sha1")).alias("high"), F.min(F.struct("bytes", "sha1")).alias("low"),
     ).withColumn("owner", F.when(F.col("high") == F.col("low"), F.col("owner")).otherwise(F.raise_error(F.lit("two payloads have one SHA-256"))))
-    met = seen.join(owners.select("digest", "owner"), "digest")
+    owners = materialise(owners.select("digest", "owner"))  # a plain table: the hot side of the join can be split
+    met = seen.join(owners, "digest")
     again = (F.col("bytes") >= least) & ~F.col("page_id").eqNullSafe(F.col("owner"))
     name = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("null")), F.lit(">"))
     target = F.concat(F.lit("WARC-Target-URI: "), F.regexp_replace(F.regexp_replace("url", "\r", "%0D"), "\n", "%0A"))
