@@ -81,7 +81,7 @@ def digest(s: np.ndarray) -> tuple[int, int]:
     return int(a.astype(np.int64)), int(b.astype(np.int64))
 
 
-_FIRST = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("s", pa.int64()), ("check", pa.int64()), ("bits", pa.binary()), ("segment", pa.int32()), ("cells", pa.binary())])
+_FIRST = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("n", pa.int64()), ("s", pa.int64()), ("check", pa.int64()), ("bits", pa.binary()), ("segment", pa.int32()), ("cells", pa.binary())])
 
 
 def parity(s: np.ndarray) -> bytes:
@@ -120,12 +120,12 @@ def _first_pass(batches: Iterator[pa.RecordBatch], cells: int) -> Iterator[pa.Re
         counted()
         n = len(rows)
         if n:
-            columns = [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), list(_FIRST)[1:5], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(1), *columns, pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], schema=_FIRST)
+            columns = [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), list(_FIRST)[2:6], strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), *columns, pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], schema=_FIRST)
     if count.any():
         packed = [zstandard.compress(part.astype(np.uint32).tobytes(), 1) for part in count.reshape(SEGMENTS, -1)]
         none = pa.nulls(SEGMENTS, pa.int64())
-        yield pa.RecordBatch.from_arrays([*[none] * 4, pa.nulls(SEGMENTS, pa.binary()), pa.array(range(SEGMENTS), pa.int32()), pa.array(packed, pa.binary())], schema=_FIRST)
+        yield pa.RecordBatch.from_arrays([*[none] * 5, pa.nulls(SEGMENTS, pa.binary()), pa.array(range(SEGMENTS), pa.int32()), pa.array(packed, pa.binary())], schema=_FIRST)
 
 
 def _folded(batches: Iterator[pa.RecordBatch], add) -> Iterator[pa.RecordBatch]:
@@ -520,6 +520,13 @@ def joined_groups(groups: DataFrame, n: int, percent: int) -> DataFrame:
     return dealt.mapInArrow(lambda it: _joined(it, percent), "a long, b long")
 
 
+def salted(many: DataFrame, few: DataFrame, keys: list[str], salts: int = 16) -> DataFrame:
+    """Inner join on keys where many rows may have one key: few, with one row a key, is repeated for each of the salts."""
+    left = many.withColumn("salt", F.pmod(F.xxhash64("s"), F.lit(salts)).cast("int"))
+    right = few.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return left.join(right, [*keys, "salt"]).drop("salt")
+
+
 def _blocks(sets: DataFrame, block: int) -> DataFrame:
     """Groups (group, s, component) of at most about two blocks for lists (list, s, component).
 
@@ -528,14 +535,15 @@ def _blocks(sets: DataFrame, block: int) -> DataFrame:
     component, is a group.
     """
     sizes = sets.groupBy("list").agg(F.count("*").alias("n"))
-    small = sets.join(sizes.where(F.col("n") <= block), "list").select(F.xxhash64("list").alias("group"), "s", "component")
-    large = sets.join(sizes.where(F.col("n") > block), "list")
+    sized = salted(sets, sizes, ["list"])
+    small = sized.where(F.col("n") <= block).select(F.xxhash64("list").alias("group"), "s", "component")
+    large = sized.where(F.col("n") > block)
     parts = large.groupBy("list", "component").agg(F.count("*").alias("m"), F.first("n").alias("total"))
     pure = F.col("m") > block
     parts = parts.select(
         "list", "component", pure.alias("pure"), F.when(pure, F.ceil(F.col("m") / block)).otherwise(F.ceil(F.col("total") / block)).cast("int").alias("cuts"),
     )
-    large = large.drop("n").join(parts, ["list", "component"])
+    large = salted(large.drop("n"), parts, ["list", "component"])
     place = F.when(F.col("pure"), F.pmod(F.xxhash64("s"), "cuts")).otherwise(F.pmod(F.xxhash64("component"), "cuts"))
     large = large.select("list", "s", "component", F.when(F.col("pure"), F.col("component")).alias("own"), place.alias("place"))
     large = large.withColumn("piece", F.xxhash64("own", F.col("own").isNull(), "place"))
@@ -547,12 +555,12 @@ def _blocks(sets: DataFrame, block: int) -> DataFrame:
 
 
 def link_components(docs: DataFrame, percent: int = 80, text: str = "text", block: int = BLOCK, cells: int = CELLS, heavy: int = HEAVY) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row of docs (doc_id, text)."""
+    """doc_id, text_key (xxhash64 of the text), n_shingles and component_id of every row of docs (doc_id, text)."""
     spark, sc = docs.sparkSession, docs.sparkSession.sparkContext
-    source = docs.select(F.col(text).cast("binary").alias("text"), F.col("doc_id").cast("long").alias("doc_id"))
+    source = docs.select(F.col(text).cast("binary").alias("text"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"))
     n = reduce_partitions(source)
-    first = materialise(source.mapInArrow(lambda it: _first_pass(it, cells), "doc_id long, n long, s long, check long, bits binary, segment int, cells binary"))
-    members = first.where("n IS NOT NULL").select("doc_id", "n", "s", "check", "bits")
+    first = materialise(source.mapInArrow(lambda it: _first_pass(it, cells), "doc_id long, text_key long, n long, s long, check long, bits binary, segment int, cells binary"))
+    members = first.where("n IS NOT NULL").select("doc_id", "text_key", "n", "s", "check", "bits")
     counts = folded(first.where("segment IS NOT NULL").select("segment", "cells"), cells)
     ranks = sc.broadcast(np.minimum(_OCTAVE * np.log2(np.maximum(counts, 1)), 65535).astype(np.uint16))
     sets = members.where("s IS NOT NULL").groupBy("s").agg(F.min("doc_id").alias("first"), F.min("check").alias("low"), F.max("check").alias("high"), F.first("n").alias("n"), F.first("bits").alias("bits"))
@@ -590,7 +598,7 @@ def link_components(docs: DataFrame, percent: int = 80, text: str = "text", bloc
     over = known.groupBy("list", "component").agg(F.lit(1).alias("one"))
     over = over.groupBy("list").agg(F.count("*").alias("n"), F.sum(F.pmod(F.xxhash64("component"), F.lit(1 << 40))).alias("x"), F.bit_xor(F.xxhash64("component", F.lit(1))).alias("y"))
     over = over.where("n > 1").select("list", F.xxhash64("n", "x", "y").alias("over"))
-    mixed = materialise(known.join(over, "list").select(F.col("over").alias("list"), "s", "component").distinct())
+    mixed = materialise(salted(known, over, ["list"]).select(F.col("over").alias("list"), "s", "component").distinct())
     groups = _blocks(mixed, block).join(content.select("s", "grams"), "s")
     more = joined_groups(groups, n, percent)
     merged = connected_components(more)
@@ -602,4 +610,4 @@ def link_components(docs: DataFrame, percent: int = 80, text: str = "text", bloc
     names = materialise(of_set.groupBy("c").agg(F.min("first").alias("component_id")))
     named = materialise(of_set.join(names, "c").select("s", "component_id"))
     met = members.join(named, "s", "left")
-    return met.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("s").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    return met.select("doc_id", "text_key", F.col("n").alias("n_shingles"), F.when(F.col("s").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
