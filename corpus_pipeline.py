@@ -34,11 +34,15 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that are connected by links of 5-gram similarity 0.8 and more, the one with the smallest doc_id stays."""
+    """Of documents that are connected by links of 5-gram similarity 0.8 and more, the one with the smallest doc_id stays.
+
+    Documents without an id stay. Where several rows have one id, each is judged by its own text.
+    """
     ship(spark)
     linked = ngram_join.link_components(docs)
-    leave = linked.where(F.col("component_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(leave, "doc_id", "left_anti").select(*docs.columns)
+    leave = linked.where(F.col("component_id").isNotNull() & (F.col("doc_id") != F.col("component_id"))).select("doc_id", "text_key").distinct()
+    same = (F.col("d.doc_id") == F.col("l.doc_id")) & (F.xxhash64("d.text") == F.col("l.text_key"))
+    return docs.alias("d").join(leave.alias("l"), same, "left_anti").select(*(F.col(f"d.{c}") for c in docs.columns))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
