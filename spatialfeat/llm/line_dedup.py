@@ -6,7 +6,7 @@ they stand. Only DataFrame functions.
 
 The lines above a ratio r are few: their shares of pages sum to at most the mean number of distinct lines of a page, so a
 host has at most mean / r of them. They are gathered as one array per host, and pages meet the array of their host through
-a salted join, so that a host with a third of all pages is spread over many tasks. Lines are counted by a strong digest
+a salted join, so that a host with a third of all pages is spread over many tasks. Lines are counted by 128 bits of hashes
 with partial sums on the scanning side.
 
 Defined cases: a null url or one without :// has host ''; null html is a page without lines; blank lines are dropped and
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 #: Where lines end: newlines and the ends of HTML block elements.
 BREAK = r"\r?\n|</?(?:p|br|li|ul|div|h[1-6]|tr|table|section|article|nav|footer|header|title|style|script|head|body|html)(?: [^>]*)?/?>"
-TRIM = r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$"
+BLANKS = "\x20\x09\x0a\x0b\x0c\x0d"
 
 
 def host_of(url: Column) -> Column:
@@ -32,17 +32,22 @@ def host_of(url: Column) -> Column:
 
 def lines_of(html: Column) -> Column:
     """The trimmed, non-blank lines of a page in order."""
-    cut = F.transform(F.split(F.coalesce(html, F.lit("")), BREAK), lambda x: F.regexp_replace(x, TRIM, ""))
+    cut = F.transform(F.split(F.coalesce(html, F.lit("")), BREAK), lambda x: F.btrim(x, F.lit(BLANKS)))
     return F.filter(cut, lambda x: x != "")
 
 
+def line_id(line: Column) -> Column:
+    """128 bits that stand for a line: two 64-bit hashes with different seeds."""
+    return F.struct(F.xxhash64(line).alias("a"), F.xxhash64(F.lit(7), line).alias("b"))
+
+
 def boilerplate(pages: DataFrame, ratio: float, least: int) -> DataFrame:
-    """host, pages (of the host), lines: the digests of its lines on more than `ratio` of its pages, `least` at least.
+    """host, pages (of the host), boiler: the ids of its lines on more than `ratio` of its pages, `least` at least.
 
-    pages has host and line_ids, the digests of each page's lines. Every page counts itself under a null digest, so one
+    pages has host and line_ids, the ids of each page's lines. Every page counts itself under a null id, so one
     aggregation gives both counts.
     """
-    each = pages.select("host", F.explode(F.concat(F.array(F.lit(None).cast("string")), F.array_distinct("line_ids"))).alias("id"))
+    each = pages.select("host", F.explode(F.concat(F.array(F.lit(None).cast("struct<a: bigint, b: bigint>")), F.array_distinct("line_ids"))).alias("id"))
     counts = each.groupBy("host", "id").agg(F.count("*").alias("n"))
     totals = counts.where("id IS NULL").select("host", F.col("n").alias("pages"))
     often = counts.where((F.col("id").isNotNull()) & (F.col("n") >= least)).join(totals, "host").where(F.col("n") > ratio * F.col("pages"))
@@ -52,9 +57,9 @@ def boilerplate(pages: DataFrame, ratio: float, least: int) -> DataFrame:
 def drop_site_boilerplate(pages: DataFrame, ratio: float = 0.3, least: int = 3, salts: int = 32, url: str = "url", html: str = "html") -> DataFrame:
     """Adds host, lines (those kept, in order) and n_lines (before) to every page; page_id comes along."""
     cut = pages.select("page_id", host_of(F.col(url)).alias("host"), lines_of(F.col(html)).alias("all_lines"))
-    known = cut.select("host", F.transform("all_lines", lambda x: F.sha2(x, 256)).alias("line_ids"))
+    known = cut.select("host", F.transform("all_lines", line_id).alias("line_ids"))
     boiler = boilerplate(known, ratio, least).select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
     salted = cut.withColumn("salt", F.pmod(F.xxhash64("page_id", "all_lines"), F.lit(salts)).cast("int"))
     met = salted.join(boiler, ["host", "salt"], "left")
-    kept = F.filter("all_lines", lambda x: ~F.coalesce(F.array_contains("boiler", F.sha2(x, 256)), F.lit(False)))
+    kept = F.filter("all_lines", lambda x: ~F.coalesce(F.array_contains("boiler", line_id(x)), F.lit(False)))
     return met.select("page_id", "host", F.size("all_lines").cast("long").alias("n_lines"), kept.alias("lines"))

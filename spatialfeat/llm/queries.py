@@ -76,7 +76,7 @@ _SQL = {
     "op3_line_dedup": rf"""
 WITH p AS (SELECT row_number() OVER () AS row_id, page_id,
     translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-    list_filter(list_transform(regexp_split_to_array(coalesce(html, ''), '{line_dedup.BREAK}'), lambda x: regexp_replace(x, '{line_dedup.TRIM}', '', 'g')), lambda x: x <> '') AS lines FROM pages),
+    list_filter(list_transform(regexp_split_to_array(coalesce(html, ''), '{line_dedup.BREAK}'), lambda x: regexp_replace(x, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g')), lambda x: x <> '') AS lines FROM pages),
 totals AS (SELECT host, count(*) AS pages FROM p GROUP BY host),
 counts AS (SELECT host, line, count(*) AS n FROM (SELECT host, unnest(list_distinct(lines)) AS line FROM p) GROUP BY host, line),
 boiler AS (SELECT host, list(line) AS boiler FROM counts JOIN totals USING (host) WHERE n >= 3 AND n > 0.3 * pages GROUP BY host),
