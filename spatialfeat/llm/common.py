@@ -18,19 +18,28 @@ WORD = r"[^\x20\x09-\x0D]+"
 BATCH_ROWS = 1000
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of the input; from here on, batches handed to Python are small unless the session says otherwise."""
+def small_batches(spark: SparkSession) -> None:
+    """Hands few rows at once to Python from here on, unless the session has a setting of its own. Queries call it."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if spark.conf.get(key) == "10000":
         spark.conf.set(key, str(BATCH_ROWS))
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the input."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from spark.checkpoint.dir; a temporary one only where that is unset."""
+    """The folder that driver and executors share, from spark.checkpoint.dir.
+
+    Where that is unset, a temporary one, but only if driver and executors are one machine; on a cluster it is an error.
+    """
     sc = spark.sparkContext
     place = sc.getConf().get("spark.checkpoint.dir", None) or sc._jsc.sc().getCheckpointDir().getOrElse(None)
     if not place:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         place = tempfile.mkdtemp(prefix="spatialfeat-")
         sc.setCheckpointDir(place)
     return place.rstrip("/")
@@ -39,10 +48,15 @@ def shared_dir(spark: SparkSession) -> str:
 _written: dict[str, list[str]] = {}
 
 
+def written(spark: SparkSession) -> list[str]:
+    """Paths of the tables that this application has put into the shared folder and not removed, in order."""
+    return _written.setdefault(spark.sparkContext.applicationId, [])
+
+
 def new_path(spark: SparkSession) -> str:
     """A path in the shared folder that nothing else has; sweep() removes what is there."""
     path = f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}"
-    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    written(spark).append(path)
     return path
 
 
@@ -54,15 +68,29 @@ def materialise(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def sweep(spark: SparkSession) -> int:
-    """Removes the tables that this application has put into the shared folder, once results are written; tells how many."""
-    paths = _written.pop(spark.sparkContext.applicationId, [])
+def sweep(spark: SparkSession, paths: list[str] | None = None) -> int:
+    """Removes these tables, or all that this application has put into the shared folder, once results are written; tells how many."""
+    known = written(spark)
+    paths = list(known) if paths is None else paths
     for path in paths:
         p = spark._jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        if path in known:
+            known.remove(path)
     return len(paths)
 
 
+def whole_row(df: DataFrame, without: tuple[str, ...] = ()):
+    """A text that stands for all columns of a row but some, to break ties by: rows that agree in it are interchangeable."""
+    columns = [F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(df.columns) if c not in without]
+    return F.to_json(F.struct(*columns)) if columns else F.lit("")
+
+
+def carried(columns: list[str], own: tuple[str, ...]) -> list[str]:
+    """The columns that come along: one that is named like an output gives way to it."""
+    return [c for c in dict.fromkeys(columns) if c not in own]
+
+
 def word_count(col):
     """Number of words of a text column; 0 for null."""
     return F.coalesce(F.regexp_count(col, F.lit(WORD)), F.lit(0)).cast("long")
