@@ -10,11 +10,16 @@ Under frozen statistics the cost of a byte depends on it and the K bytes before
 trees are laid out once in an open-addressing table, and a text is scored by looking up all of its grams at once; grams in
 no tree are priced by walking down the orders, for all of them together.
 
-The sample: of each language, up to `rows` documents of at most `longest` bytes, those with the smallest hash of their id.
-It bounds the model, which is what the driver holds and sends out. Every byte of every text is scored.
-
-Defined cases: null texts and texts without a letter are `und` with score 0; null ids count as '' in the split; ties go to
-the first language in code point order; without labelled documents every text is `und`; no rows give no rows.
+The sample: of each language, the `rows` documents with the smallest hash of id and text, of longer ones a window of
+`longest` bytes at a place that the hash gives. `total` bounds the bytes of all languages together: each takes its share, one
+document at least. At most `most_langs` languages are learned, those with the most labelled documents. This bounds the trees,
+which the driver holds and sends out; the table of costs holds the most frequent grams only, and the rest are priced by the
+trees, so it is bounded too and changes no result. Every byte of every text is scored.
+
+Defined cases: null texts and texts without a letter are `und` with score 0; null ids count as '' in the split; rows that
+repeat an id are samples of their own, and equal rows are one; very long texts are scored whole; ties go to the first language
+in code point order; without labelled documents every text is `und`; carried columns named lang_pred or score give way; no
+rows give no rows.
 """
 
 from __future__ import annotations
@@ -29,11 +34,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import texts
+from .common import carried, texts
 
 ORDER = 3
 SAMPLE_ROWS = 400
 SAMPLE_BYTES = 1 << 15
+#: Bytes of the samples of all languages together, and the largest number of languages.
+SAMPLE_TOTAL = 16 << 20
+MOST_LANGS = 1000
+#: Costs (grams times languages) in the table.
+TABLE_COSTS = 1 << 25
 _LETTER = re.compile(r"[^\W\d_]")
 _ASCII_LETTER = np.zeros(256, bool)
 _ASCII_LETTER[[*range(65, 91), *range(97, 123)]] = True
@@ -120,14 +130,16 @@ class Model:
     costs: np.ndarray
 
     @classmethod
-    def trained(cls, samples: dict[str, list[bytes]], order: int = ORDER) -> Model:
+    def trained(cls, samples: dict[str, list[bytes]], order: int = ORDER, most: int = TABLE_COSTS) -> Model:
         langs = sorted(x for x, t in samples.items() if any(t))
         seen = []
         for lang in langs:
             sizes = [0, *map(len, samples[lang])]
             seen.append(grams(np.frombuffer(b"".join(samples[lang]), np.uint8), np.cumsum(sizes), order))
         trees = [Tree(s, order) for s in seen]
-        every = np.unique(np.concatenate(seen)) if seen else np.zeros(0, np.uint64)
+        every, times = np.unique(np.concatenate(seen), return_counts=True) if seen else (np.zeros(0, np.uint64),) * 2
+        if len(every) * len(langs) > most:
+            every = np.sort(every[np.argsort(-times, kind="stable")[: most // len(langs)]])
         costs = np.stack([t.bits(every) for t in trees], 1).astype(np.float32) if trees else np.zeros((0, 0), np.float32)
         size = 1 << max(10, int(4 * max(1, len(every)) - 1).bit_length())
         keys, rows = np.full(size, _EMPTY), np.zeros(size, np.int32)
@@ -189,18 +201,29 @@ def remainder(id: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(id.cast("string"), F.lit("")).cast("binary")), F.lit(4))
 
 
-def learn(docs: DataFrame, rows: int = SAMPLE_ROWS, longest: int = SAMPLE_BYTES, order: int = ORDER) -> Model:
+def learn(docs: DataFrame, rows: int = SAMPLE_ROWS, longest: int = SAMPLE_BYTES, order: int = ORDER, total: int = SAMPLE_TOTAL, most_langs: int = MOST_LANGS) -> Model:
     """Learns from documents that are not held out; docs has doc_id, text and lang."""
-    fit = docs.where((remainder(F.col("doc_id")) != 2) & F.col("lang").isNotNull() & (F.octet_length("text") <= longest))
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
-    most = F.lit(0)
-    for lang, n in fit.groupBy("lang").count().collect():  # one row per language
-        most = F.when(F.col("lang") == lang, min(1 << 20, (2 * rows + 50) * (1 << 20) // n + 1)).otherwise(most)
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("li_place", "doc_id", "text"))
-    chosen = fit.select("doc_id", "lang", "text", place.alias("li_place")).where(F.col("li_place") < most).withColumn("li_rank", rank).where(F.col("li_rank") <= rows)
+    spark = docs.sparkSession
+    fit = docs.where((remainder(F.col("doc_id")) != 2) & F.col("lang").isNotNull() & (F.length("text") > 0))
+    fit = fit.select("lang", "text", F.xxhash64("doc_id", "text").alias("li_place"))
+    # the hash that bounds the sample of each language, from rows without their texts
+    ranked = fit.select("lang", "li_place").distinct().withColumn("li_rank", F.row_number().over(Window.partitionBy("lang").orderBy("li_place")))
+    up_to = ranked.where(F.col("li_rank") <= rows).groupBy("lang").agg(F.max("li_place").alias("li_most"))
+    sizes = fit.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(most_langs)
+    known = {r.lang: r.li_most for r in sizes.join(up_to, "lang").collect()}  # at most most_langs rows
+    if not known:
+        return Model.trained({}, order)
+    bounds = F.broadcast(spark.createDataFrame(list(known.items()), "lang string, li_most long"))
+    whole = F.col("text").cast("binary")
+    at = F.pmod(F.col("li_place"), F.greatest(F.octet_length("text") - longest, F.lit(1))) + 1
+    window = F.when(F.octet_length("text") <= longest, whole).otherwise(F.substring(whole, at.cast("int"), F.lit(longest)))
+    chosen = fit.join(bounds, "lang").where(F.col("li_place") <= F.col("li_most")).select("lang", "li_place", window.alias("text")).distinct()
+    share = max(1, total // len(known))
+    before = Window.partitionBy("lang").orderBy("li_place", "text").rowsBetween(Window.unboundedPreceding, -1)
+    chosen = chosen.withColumn("li_before", F.coalesce(F.sum(F.octet_length("text")).over(before), F.lit(0))).where(F.col("li_before") < share)
     samples: dict[str, list[bytes]] = {}
-    for r in chosen.select("lang", "text").orderBy("lang", "li_rank").collect():  # at most rows x longest bytes a language
-        samples.setdefault(r.lang, []).append(r.text.encode())
+    for r in chosen.select("lang", "text").orderBy("lang", "li_place").collect():  # at most total, and one document a language more
+        samples.setdefault(r.lang, []).append(bytes(r.text))
     return Model.trained(samples, order)
 
 
@@ -217,6 +240,7 @@ def _predicted(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBa
 
 def predict(docs: DataFrame, model: Model, carry: list[str], text: str = "text") -> DataFrame:
     """The columns `carry`, lang_pred and score of every row."""
+    carry = carried(carry, ("lang_pred", "score"))
     source = docs.select(F.col(text).cast("binary").alias("li_text"), *carry)
     schema = T.StructType([*source.schema.fields[1:], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     shared = docs.sparkSession.sparkContext.broadcast(model)
