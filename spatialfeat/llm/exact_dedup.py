@@ -9,9 +9,10 @@ Spill files live only while a task runs, in its own temporary folder: a lost exe
 of single documents never meet in one task: they find the row of their text by SHA-256 in a join whose hot side adaptive
 execution splits; two contents under one SHA-256 make the job fail.
 
-Defined cases: null text counts as empty, and empty texts are equal; null ids are smaller than any other; rows with equal
-id and text are copies of which one stays; columns other than id and text come along from the row that stays; no rows
-give no rows.
+Defined cases: null text counts as empty, and empty texts are equal; a very long text is one content like others; null ids are
+smaller than any other; rows with equal id and text are copies of which one stays, that with the largest hash of its other
+columns, whatever the order of rows; columns other than id and text come along from the row that stays, whatever their names;
+no rows give no rows.
 """
 
 from __future__ import annotations
@@ -25,15 +26,18 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, partitions
+from .common import materialise, partitions, whole_row
 
-#: Columns of a record before those that come along.
-CONTENT, ID, COUNT = "gd_content", "gd_id", "gd_count"
+#: Columns of a record before those that come along; of rows with one id, the larger tie stays.
+CONTENT, ID, COUNT, TIE = "gd_content", "gd_id", "gd_count", "gd_tie"
 #: Bytes of distinct contents in a table, on either side of the shuffle.
 FITS = 48 << 20
 FAN_OUT = 16
 SEED = 0x5EED
-_LEAST = -(1 << 63)
+
+
+def _place(row: list) -> tuple:
+    return row[1] is not None, row[1] or 0, row[3]
 
 
 class Table:
@@ -42,7 +46,7 @@ class Table:
     def __init__(self) -> None:
         self.slots = [-1] * 1024
         self.hashes: list[int] = []
-        self.rows: list[list] = []  # content, id, count, what comes along
+        self.rows: list[list] = []  # content, id, count, tie, what comes along
         self.bytes = 0
 
     def add(self, h: int, row: list) -> None:
@@ -51,7 +55,7 @@ class Table:
         while (k := slots[at]) >= 0:
             if self.hashes[k] == h and (own := self.rows[k])[0] == row[0]:
                 count = own[2] + row[2]
-                if (_LEAST if own[1] is None else own[1]) < (_LEAST if row[1] is None else row[1]):
+                if _place(own) < _place(row):
                     self.rows[k] = own = row
                 own[2] = count
                 return
@@ -150,9 +154,10 @@ def _part(table: Table, schema: pa.Schema, fan_out: int, level: int, folder: str
 
 
 def distinct_texts(docs: DataFrame, carry: list[str] | None = None, id: str = "doc_id", text: str = "text", fits: int = FITS) -> DataFrame:
-    """gd_content, gd_id (the largest) and gd_count of every distinct text, with columns of the row that stays."""
+    """gd_content, gd_id (the largest), gd_count and gd_tie of every distinct text, with columns of the row that stays."""
+    tie = F.xxhash64(whole_row(docs, (id, text))) if carry else F.lit(0).cast("long")
     records = docs.select(
-        F.coalesce(F.col(text), F.lit("")).cast("binary").alias(CONTENT), F.col(id).cast("long").alias(ID), F.lit(1).cast("long").alias(COUNT), *(carry or [])
+        F.coalesce(F.col(text), F.lit("")).cast("binary").alias(CONTENT), F.col(id).cast("long").alias(ID), F.lit(1).cast("long").alias(COUNT), tie.alias(TIE), *(carry or [])
     )
     local = records.mapInArrow(lambda it: merged_while_scanning(it, fits), records.schema)
     dealt = local.repartition(partitions(docs), F.xxhash64(CONTENT))
