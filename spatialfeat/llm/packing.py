@@ -13,16 +13,19 @@ of all rows is spread over all shards; the number of shards grows with the rows,
 shard pieces come in falling order of size, then by id. Only ids, sizes, sources and clusters are shuffled, no text.
 
 Defined cases: null or blank text has size 0 and is packed as a piece of size 0; null sources conflict with nothing as a
-source; documents with size 0 have no cluster; null ids come first among equal sizes; repeated rows are packed separately and
-conflict as duplicates; no rows give no rows.
+source; documents with size 0 have no cluster; a very long text is cut as above, its size is all that is held of it; null ids
+come first among equal sizes, and ids stay exact beside them; ties in size and id go by source, then cluster; repeated rows are
+packed separately and conflict as duplicates; columns of docs but those named do not come along, so none can clash; no rows
+give no rows.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left, insort
 from collections import Counter
+from collections.abc import Iterable
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +36,9 @@ SOURCE_MOST = 3
 #: Rows of a shard on average.
 SHARD_ROWS = 4096
 SCHEMA = "doc_id long, piece long, n_words long, source string, cluster string, bin_id string, bin_offset long"
+_PACKED = pa.schema([
+    ("doc_id", pa.int64()), ("piece", pa.int64()), ("n_words", pa.int64()), ("source", pa.string()), ("cluster", pa.string()), ("bin_id", pa.string()), ("bin_offset", pa.int64()),
+])
 
 
 class Shelf:
@@ -68,13 +74,10 @@ class Shelf:
         return k, self.capacity - residual
 
 
-def pack_shard(rows: pd.DataFrame, capacity: int, source_most: int) -> pd.DataFrame:
-    """Packs doc_id, n_words, source, cluster, shard of one shard into rows of SCHEMA."""
-    shard, out, full = rows["shard"].iloc[0], [], 0
-    rests = []
-    for id, size, source, cluster in zip(rows["doc_id"], rows["n_words"], rows["source"], rows["cluster"], strict=True):
-        id, size = None if pd.isna(id) else int(id), int(size)
-        source, cluster = None if pd.isna(source) else source, None if pd.isna(cluster) else cluster
+def pack_rows(shard: int, rows: Iterable[tuple], capacity: int, source_most: int) -> list[tuple]:
+    """Packs (doc_id, n_words, source, cluster) of one shard into rows of SCHEMA."""
+    out, full, rests = [], 0, []
+    for id, size, source, cluster in rows:
         pieces = max(0, size - 1) // capacity
         for k in range(pieces):
             out.append((id, k, capacity, source, cluster, f"{shard}-full-{full}", 0))
@@ -88,9 +91,14 @@ def pack_shard(rows: pd.DataFrame, capacity: int, source_most: int) -> pd.DataFr
         c = bit_of_cluster.setdefault(cluster, 1 << len(bit_of_cluster)) if cluster in many else 0
         k, fill = shelf.place(-minus, s, c)
         out.append((id if has else None, piece, -minus, source, cluster, f"{shard}-{k}", fill))
-    made = pd.DataFrame(out, columns=["doc_id", "piece", "n_words", "source", "cluster", "bin_id", "bin_offset"])
-    made["doc_id"] = pd.array([x[0] for x in out], dtype="Int64")
-    return made
+    return out
+
+
+def _packed(rows: pa.Table, capacity: int, source_most: int) -> pa.Table:
+    """A shard in Arrow, whose whole numbers stay whole numbers beside nulls."""
+    columns = (rows.column(c).to_pylist() for c in ("doc_id", "n_words", "source", "cluster"))
+    out = pack_rows(rows.column("shard")[0].as_py(), zip(*columns, strict=True), capacity, source_most)
+    return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), _PACKED, strict=True)], schema=_PACKED)
 
 
 def pack(docs: DataFrame, capacity: int = CAPACITY, source_most: int = SOURCE_MOST, text: str = "text", cluster: str | None = None, shard_rows: int = SHARD_ROWS) -> DataFrame:
@@ -103,4 +111,4 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, source_most: int = SOURCE_MO
     counted = small.groupBy(*small.columns).agg(F.count("*").alias("rows"))
     each = counted.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
     dealt = each.select(*small.columns, F.pmod(F.xxhash64("doc_id", "n_words", "cluster", "copy"), F.lit(shards)).alias("shard"))
-    return dealt.groupBy("shard").applyInPandas(lambda rows: pack_shard(rows, capacity, source_most), SCHEMA)
+    return dealt.groupBy("shard").applyInArrow(lambda rows: _packed(rows, capacity, source_most), SCHEMA)
