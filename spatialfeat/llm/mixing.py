@@ -2,15 +2,19 @@
 
 Within a source, every document is due target / source_size copies. Their prefix sum along a fixed order of the source
 plus one random offset per source is cut at the integers: a document comes out once per integer it crosses. The order is by
-size, so that copies spread evenly over short and long texts and the words taken come close to the target.
+the root of the size, then by an MD5 of id and text, so that copies spread evenly over short and long texts and the words
+taken come close to the target. It does not depend on how many rows there are or how they are dealt.
 
-The prefix sum never needs a source in one task: documents fall into blocks (root of their size, slice of their id), the
-counts of blocks are summed up over a small table, and only rows of one block are ranked together. The number of slices
-grows with the number of rows.
+The prefix sum never needs a source in one task: documents fall into blocks (root of their size, first three digits of the
+MD5, so 4,096 slices of each size), the counts of blocks are summed up over a small table, and only rows of one block are
+ranked together. Rows that agree are counted first and take a run of ranks, so that copies of one row are one. Texts are read
+once: sizes and MD5s are written before sums need them. Rows of `mixed` are grouped whole, with partial sums while scanning.
 
 Defined cases: null or blank text has size 0, is due copies like any other, and takes nothing; a null source is a source of
-its own, last in order; null ids rank first in slice 0; repeated rows are separate documents; no rows give no rows. The
-columns this module adds start with `mix_`.
+its own, last in order; null ids count as '' in the MD5; repeated rows are separate documents, and rows with equal id and
+text rank by their other columns, so that a rerun draws the same texts; very long texts are single documents like others; no
+rows give no rows. The columns this module adds start with `mix_`; `mixed` gives back the columns of its input, whatever their
+names.
 """
 
 from __future__ import annotations
@@ -18,20 +22,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import word_count
+from .common import materialise, word_count
 
 #: Weights of the sources in code point order, repeating.
 WEIGHTS = (5, 2, 1)
 #: No target is above so many times its source's size, so no document comes out more often.
 MOST = 3
-ROWS_A_SLICE = 1 << 20
 
 
 def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
     """Shares the sum of mix_size among sources (source, mix_size) by weight, no target above `most` times the size.
 
     Water filling in closed form: sources sorted by cap over weight fill up first; the level is that of the first one
-    that stays under its cap. One row per source, so the windows without partitions hold one row per source.
+    that stays under its cap. One narrow row per source, so the windows without partitions hold one row per source.
     """
     w = F.element_at(F.array(*map(F.lit, weights)), ((F.col("mix_rn") - 1) % len(weights) + 1).cast("int"))
     s = sources.withColumn("mix_rn", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())))
@@ -44,8 +47,8 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
     s = s.withColumn("mix_level", rest.cast("double") / (F.sum("mix_w").over(every) - zero(F.sum("mix_w").over(before))))
     level = F.min(F.when(F.col("mix_level") <= F.col("mix_full"), F.struct("mix_full", "mix_rn", "mix_level"))).over(every)
     return s.select(
-        "source", F.col("mix_size").alias("source_size"),
-        F.least(F.col("mix_cap").cast("double"), level["mix_level"] * F.col("mix_w")).alias("target"),
+        "source", F.col("mix_size").alias("mix_source_size"),
+        F.least(F.col("mix_cap").cast("double"), level["mix_level"] * F.col("mix_w")).alias("mix_target"),
     )
 
 
@@ -55,36 +58,53 @@ def offset(source: Column, seed: str) -> Column:
     return (F.conv(digits, 16, 10).cast("double") + 0.5) / F.lit(float(1 << 32))
 
 
-def mix(docs: DataFrame, text: str = "text", carry: list[str] | None = None, seed: str = "mix", weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
-    """Adds mix_size, source_size, target and mix_copies to every document.
+def place_key(id: Column, text: Column) -> Column:
+    """What documents of about one size are ordered by."""
+    return F.md5(F.concat(F.coalesce(id.cast("string"), F.lit("")), F.lit(":"), F.coalesce(text.cast("string"), F.lit(""))).cast("binary"))
 
-    docs needs doc_id, source and the text column; `carry` names the columns that come along (only these are shuffled).
+
+def _ranked(counted: DataFrame, order: list[str], seed: str, weights: tuple[int, ...], most: int) -> DataFrame:
+    """Adds mix_source_size, mix_target, mix_due, mix_u and mix_before (rows of the source before these) to counted rows.
+
+    counted has source, mix_size, mix_key, mix_n (how many rows a row stands for), and is read twice.
     """
-    carry = ["doc_id", "source"] if carry is None else carry
-    small = docs.select("source", F.coalesce(F.col("doc_id"), F.lit(0)).alias("mix_id"), word_count(F.col(text)).alias("mix_size"))
-    slices = max(16, docs.count() // ROWS_A_SLICE)
-    root = F.floor(F.sqrt("mix_size")).alias("mix_root")
-    part = F.pmod(F.col("mix_id"), F.lit(slices)).alias("mix_slice")
-    blocks = small.groupBy("source", root, part).agg(F.count("*").alias("mix_n"), F.sum("mix_size").alias("mix_size"))
-    blocks = blocks.groupBy("source", "mix_root", "mix_slice").agg(F.sum("mix_n").alias("mix_n"), F.sum("mix_size").alias("mix_size"))
+    block = F.concat_ws(":", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")), F.floor(F.sqrt("mix_size")).cast("string"), F.substring("mix_key", 1, 3))
+    sliced = counted.withColumns({"mix_block": block, "mix_root": F.floor(F.sqrt("mix_size")), "mix_slice": F.substring("mix_key", 1, 3)})
+    blocks = sliced.groupBy("source", "mix_root", "mix_slice", "mix_block").agg(F.sum("mix_n").alias("mix_rows"), F.sum(F.col("mix_size") * F.col("mix_n")).alias("mix_size"))
+    blocks = materialise(blocks)
     share = targets(blocks.groupBy("source").agg(F.sum("mix_size").alias("mix_size")), weights, most)
     up_to = Window.partitionBy("source").orderBy("mix_root", "mix_slice").rowsBetween(Window.unboundedPreceding, -1)
-    first = blocks.select("source", "mix_root", "mix_slice", F.coalesce(F.sum("mix_n").over(up_to), F.lit(0)).alias("mix_first"))
-    first = first.alias("a").join(share.alias("b"), F.col("a.source").eqNullSafe(F.col("b.source"))).select("a.*", "source_size", "target")
-    rows = docs.select(*dict.fromkeys([*carry, "doc_id", "source"]), word_count(F.col(text)).alias("mix_size"), F.coalesce(F.col("doc_id"), F.lit(0)).alias("mix_id"))
-    rows = rows.select("*", root, part)
-    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) if c == "source" else F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("source", "mix_root", "mix_slice")]
-    joined = rows.alias("a").join(first.alias("b"), same).select("a.*", "mix_first", "source_size", "target")
-    rank = F.row_number().over(Window.partitionBy("source", "mix_root", "mix_slice").orderBy("mix_size", F.col("doc_id").asc_nulls_first()))
-    due = F.coalesce(F.try_divide(F.col("target"), F.col("source_size")), F.lit(0.0))
-    upto = lambda r: F.floor(F.col("mix_u") + F.col("mix_due") * r)
-    ranked = joined.withColumns({"mix_rank": F.col("mix_first") + rank, "mix_due": due, "mix_u": offset(F.col("source"), seed)})
-    copies = (upto(F.col("mix_rank").cast("double")) - upto((F.col("mix_rank") - 1).cast("double"))).alias("mix_copies")
-    return ranked.select(*dict.fromkeys([*carry, "doc_id", "source"]), "mix_size", "source_size", "target", copies)
-
-
-def mixed(docs: DataFrame, text: str = "text", **options) -> DataFrame:
+    first = blocks.select("source", "mix_block", F.coalesce(F.sum("mix_rows").over(up_to), F.lit(0)).alias("mix_first"))
+    first = first.alias("a").join(share.alias("b"), F.col("a.source").eqNullSafe(F.col("b.source"))).select("mix_block", "mix_first", "mix_source_size", "mix_target")
+    before = Window.partitionBy("mix_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    due = F.coalesce(F.try_divide(F.col("mix_target"), F.col("mix_source_size")), F.lit(0.0))
+    met = sliced.join(first, "mix_block")
+    return met.withColumns({"mix_before": F.col("mix_first") + F.coalesce(F.sum("mix_n").over(before), F.lit(0)), "mix_due": due, "mix_u": offset(F.col("source"), seed)})
+
+
+def _crossed(up_to: Column) -> Column:
+    """Integers up to the prefix sum over so many rows."""
+    return F.floor(F.col("mix_u") + F.col("mix_due") * up_to.cast("double"))
+
+
+def mix(docs: DataFrame, text: str = "text", seed: str = "mix", weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
+    """doc_id, source, mix_size, mix_source_size, mix_target and mix_copies of every document of docs (doc_id, source, text)."""
+    rows = docs.select("doc_id", "source", word_count(F.col(text)).alias("mix_size"), place_key(F.col("doc_id"), F.col(text)).alias("mix_key"))
+    counted = materialise(rows.groupBy("doc_id", "source", "mix_size", "mix_key").agg(F.count("*").alias("mix_n")))
+    ranked = _ranked(counted, ["mix_key"], seed, weights, most)
+    each = ranked.withColumn("mix_at", F.explode(F.sequence(F.col("mix_before") + 1, F.col("mix_before") + F.col("mix_n"))))
+    copies = (_crossed(F.col("mix_at")) - _crossed(F.col("mix_at") - 1)).alias("mix_copies")
+    return each.select("doc_id", "source", "mix_size", "mix_source_size", "mix_target", copies)
+
+
+def mixed(docs: DataFrame, text: str = "text", seed: str = "mix", weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
     """The documents of the mix, each as often as it was drawn, with the columns of docs."""
-    whole = docs.select("doc_id", "source", text, F.struct("*").alias("mix_row"))
-    drawn = mix(whole, text, carry=["mix_row"], **options).where("mix_copies > 0")
+    same = docs.groupBy(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("mix_row")).agg(F.count("*").alias("mix_n"))
+    own = lambda c: F.col("mix_row").getField(c)
+    rows = same.select("*", own("source").alias("source"), word_count(own(text)).alias("mix_size"), place_key(own("doc_id"), own(text)).alias("mix_key"))
+    counted = materialise(rows)
+    tie = F.to_json(F.struct(*(own(c).alias(f"c{k}") for k, c in enumerate(docs.columns) if c != text)))
+    ranked = _ranked(counted.withColumn("mix_tie", tie), ["mix_key", "mix_tie"], seed, weights, most)
+    copies = _crossed(F.col("mix_before") + F.col("mix_n")) - _crossed(F.col("mix_before"))
+    drawn = ranked.select("mix_row", copies.alias("mix_copies")).where("mix_copies > 0")
     return drawn.select("mix_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("mix_copies")))).select("mix_row.*")
