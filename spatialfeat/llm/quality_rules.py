@@ -8,18 +8,21 @@ a stratum, Bonferroni's corrects over strata: with probability 1 - delta no stra
 documents to the cutoff. Among the certified cutoffs, the one with the least error on the fitting half is taken. A stratum
 with too few labels for any certificate keeps everything the base rules keep.
 
-The counts behind the tests cover all labelled documents; only strata times grid counts reach the driver.
-
-Defined cases: null text has no words and fails the base rules; null strata are a stratum; null ids have no label; labels
-given twice count as the worse; without labels of both kinds nothing but the base rules rejects; no rows give no rows.
-Words and windows are compared by 64-bit hashes.
+The counts behind the tests cover all labelled documents. They are summed up per stratum and cutoff, and every stratum is
+certified by itself in a task, so nothing that grows with the strata reaches the driver.
+
+Defined cases: null text has no words and fails the base rules; very long texts are measured whole; null strata are a stratum;
+null ids have no label; labels given twice count as the worse; rows that repeat an id are judged by their own text, and in the
+fitting sample rows with equal id and measures count once, so that no id can fill it; without labels of both kinds nothing but
+the base rules rejects; ties of scores fall on one side of a cutoff; carried columns named like an output give way; no rows give
+no rows. Words and windows are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -27,11 +30,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Words, mix, shingle_hashes, texts
+from .common import Words, carried, materialise, mix, shingle_hashes, texts
 
 WINDOW = 8
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_shouts", "n_digits")
-#: So many labelled documents are fitted on at most (on average over hashes of ids, by which they are chosen).
+#: So many labelled documents are fitted on, chosen by hashes of their ids and measures; twice as many are never exceeded.
 FIT_ROWS = 20_000
 GRID = 1024
 #: Cutoffs are evenly spaced over the scores of the fitting half within this many logits.
@@ -111,7 +114,7 @@ def _measured(batches: Iterator[pa.RecordBatch], keep_text: bool) -> Iterator[pa
 
 def measure(docs: DataFrame, carry: list[str], text: str = "text", keep_text: bool = False) -> DataFrame:
     """The columns `carry` and MEASURES of every row; with keep_text also the bytes of the text as qr_text."""
-    source = docs.select(F.col(text).cast("binary").alias("qr_text"), *carry)
+    source = docs.select(F.col(text).cast("binary").alias("qr_text"), *carried(carry, MEASURES))
     schema = T.StructType(source.schema.fields[0 if keep_text else 1 :] + [T.StructField(m, T.LongType()) for m in MEASURES])
     return source.mapInArrow(lambda it: _measured(it, keep_text), schema)
 
@@ -130,14 +133,15 @@ RATES = (
 
 @dataclass
 class Rules:
-    """A fitted score and one cutoff per stratum; infinite where none is certified."""
+    """A fitted score and a table (qr_stratum, cutoff, good, certified) with a row per stratum of the holdouts.
+
+    cutoff is null where none is certified; good is the number of good holdouts, certified that of certified cutoffs.
+    """
 
     weights: list[float]
     bias: float
-    alpha: float
-    delta: float
-    cutoffs: dict = field(default_factory=dict)
-    tests: dict = field(default_factory=dict)  # stratum: (good holdouts, cutoffs certified)
+    cutoffs: DataFrame | None = None
+    few: bool = True  # whether the table is small enough to be broadcast
 
     def score(self) -> Column:
         total = F.lit(self.bias)
@@ -147,10 +151,13 @@ class Rules:
 
     def judge(self, measured: DataFrame, stratum: str) -> DataFrame:
         """Adds base_failed, score, cutoff and kept."""
-        rows = [(k, v) for k, v in self.cutoffs.items() if math.isfinite(v)]
-        table = measured.sparkSession.createDataFrame(rows, T.StructType([T.StructField("qr_stratum", T.StringType()), T.StructField("cutoff", T.DoubleType())]))
-        table = F.broadcast(table) if len(rows) <= FEW_STRATA else table
-        met = measured.alias("m").join(table, F.col(f"m.{stratum}").cast("string").eqNullSafe(F.col("qr_stratum")), "left").drop("qr_stratum")
+        rest = [F.col(f"m.`{c}`") for c in carried(measured.columns, ("base_failed", "score", "cutoff", "kept"))]
+        if self.cutoffs is None:
+            met = measured.alias("m").select(*rest, F.lit(None).cast("double").alias("cutoff"))
+        else:
+            table = self.cutoffs.select("qr_stratum", F.col("cutoff").alias("qr_cutoff"))
+            same = F.col(f"m.`{stratum}`").cast("string").eqNullSafe(F.col("qr_stratum"))
+            met = measured.alias("m").join(F.broadcast(table) if self.few else table, same, "left").select(*rest, F.col("qr_cutoff").alias("cutoff"))
         met = met.withColumns({"base_failed": base_failed(), "score": self.score()})
         return met.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(F.col("score") > F.col("cutoff"), F.lit(False)))
 
@@ -185,16 +192,38 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 10.0) -> tuple[np.nda
     return weights, float(w[-1] - weights @ mean)
 
 
+def _certified(batches: Iterator[pa.RecordBatch], cuts: np.ndarray, error: np.ndarray, alpha: float, level: float) -> Iterator[pa.RecordBatch]:
+    """For every stratum (qr_stratum, counts by place on the grid) its cutoff, good holdouts and certified cutoffs."""
+    for batch in batches:
+        rows = []
+        for s, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            by = np.zeros(len(cuts) + 1, np.int64)
+            for c in counts:
+                by[c["b"]] += c["n"]
+            # a document with score above b of the cutoffs is above the b smallest, the last b of the falling grid
+            total, certified = int(by.sum()), 0
+            dropped = np.cumsum(by[::-1])
+            while certified < len(cuts) and at_most(int(dropped[certified]), total, alpha) <= level:
+                certified += 1
+            rows.append((s, float(cuts[int(np.argmin(error[:certified]))]) if certified else None, total, certified))
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), _CUTOFFS.values(), strict=True)], list(_CUTOFFS))
+
+
+_CUTOFFS = {"qr_stratum": pa.string(), "cutoff": pa.float64(), "good": pa.int64(), "certified": pa.int64()}
+
+
 def fit(measured: DataFrame, labels: DataFrame, stratum: str, alpha: float = 0.05, delta: float = 0.05, grid: int = GRID, fit_rows: int = FIT_ROWS) -> Rules:
     """Fits score and cutoffs. measured has doc_id, the stratum and MEASURES; labels has doc_id and quality (1: good)."""
     known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("qr_good"))
-    rows = measured.where(~base_failed()).join(known, "doc_id").select(stratum, *MEASURES, "qr_good", "doc_id")
-    half = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(2))
-    fitted = rows.where(half == 0)
+    rows = measured.where(~base_failed()).join(known, "doc_id").select(F.col(stratum).cast("string").alias("qr_stratum"), *MEASURES, "qr_good", "doc_id")
+    rows = materialise(rows.withColumn("qr_half", F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(2))))
+    fitted = rows.where("qr_half = 0").select(*MEASURES, "qr_good", "doc_id").distinct()
     share = min(1.0, fit_rows / max(1, fitted.count()))
-    chosen = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))
-    sample = fitted.where(chosen).drop("doc_id", stratum).toPandas()
-    rules = Rules([0.0] * len(RATES), 0.0, alpha, delta)
+    place = F.shiftrightunsigned(F.xxhash64("doc_id", *MEASURES), 34)
+    sample = fitted.where(place < int(share * (1 << 30))).limit(2 * fit_rows).toPandas()
+    rules = Rules([0.0] * len(RATES), 0.0)
+    sample = sample.sort_values(["doc_id", *MEASURES])
     y = 1.0 - sample["qr_good"].to_numpy(float)
     if not 0 < y.sum() < len(y):
         return rules
@@ -204,21 +233,14 @@ def fit(measured: DataFrame, labels: DataFrame, stratum: str, alpha: float = 0.0
     scores = x @ weights + rules.bias
     low, high = np.clip([scores.min(), scores.max()], -LOGIT, LOGIT)
     step = float(max(high - low, 1e-6) / grid)
-    cuts = (float(low) + step * np.arange(grid))[::-1]
-    error = [GOOD * (scores[y == 0] > c).mean() + (scores[y == 1] <= c).mean() for c in cuts]
+    cuts = (float(low) + step * np.arange(grid))[::-1].copy()
+    error = np.array([GOOD * (scores[y == 0] > c).mean() + (scores[y == 1] <= c).mean() for c in cuts])
     above = F.greatest(F.least(F.ceil((F.col("qr_score") - float(low)) / step), F.lit(grid)), F.lit(0))
-    held = rows.where((half == 1) & (F.col("qr_good") == 1)).select(F.col(stratum).cast("string").alias("s"), rules.score().alias("qr_score"))
-    counts: dict = {}
-    for s, b, n in held.select("s", above.alias("b")).groupBy("s", "b").count().collect():
-        counts.setdefault(s, np.zeros(len(cuts) + 1, np.int64))[b] += n
-    for s, by in counts.items():
-        # a document with score above b of the cutoffs is above the b smallest, the last b of the falling grid
-        total, certified = int(by.sum()), 0
-        for j in range(len(cuts)):
-            dropped = int(by[len(cuts) - j :].sum())
-            if at_most(dropped, total, alpha) > delta / len(counts):
-                break
-            certified = j + 1
-        rules.tests[s] = total, certified
-        rules.cutoffs[s] = float(cuts[int(np.argmin(error[:certified]))]) if certified else math.inf
+    held = rows.where("qr_half = 1 AND qr_good = 1").select("qr_stratum", rules.score().alias("qr_score"))
+    counts = held.select("qr_stratum", above.cast("int").alias("b")).groupBy("qr_stratum", "b").agg(F.count("*").alias("n"))
+    # grid + 1 counts a stratum at most
+    by = materialise(counts.groupBy("qr_stratum").agg(F.collect_list(F.struct("b", "n")).alias("counts")))
+    strata = by.count()
+    made = by.mapInArrow(lambda it: _certified(it, cuts, error, alpha, delta / max(1, strata)), "qr_stratum string, cutoff double, good long, certified long")
+    rules.cutoffs, rules.few = materialise(made), strata <= FEW_STRATA
     return rules
