@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import exact_dedup, language_id, line_dedup, mixing, ngram_join, packing, quality_rules, suffix_dedup, url_filters, warc
-from .common import materialise, new_path, table
+from .common import materialise, new_path, small_batches, table
 
 
 def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,7 +22,7 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = line_dedup.drop_site_boilerplate(table(spark, sf_dir, "pages"))
+    out = line_dedup.drop_site_boilerplate(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     kept = F.size("lines").cast("long")
     return out.select("page_id", "host", "n_lines", kept.alias("n_kept"), (F.col("n_lines") - kept).alias("n_dropped"), F.sha2(F.array_join("lines", "\n"), 256).alias("kept_sha256"))
 
@@ -43,7 +43,7 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix(table(spark, sf_dir, "documents"))
-    return out.select("doc_id", F.col("mix_size").alias("size"), "source_size", "target", (F.col("mix_copies") * F.col("mix_size")).alias("taken"), "source", F.col("mix_copies").alias("copies"))
+    return out.select("doc_id", F.col("mix_size").alias("size"), F.col("mix_source_size").alias("source_size"), F.col("mix_target").alias("target"), (F.col("mix_copies") * F.col("mix_size")).alias("taken"), "source", F.col("mix_copies").alias("copies"))
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,7 +55,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark)
     warc.write_archive(table(spark, sf_dir, "pages"), path)
-    return warc.described(warc.read_archive(spark, path))
+    return warc.described(warc.rebuild(warc.read_archive(spark, path)))
 
 
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,8 +68,16 @@ _QUERIES = (
 )
 
 
+def _batched(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in _QUERIES}
+    return {f.__name__: _batched(f) for f in _QUERIES}
 
 
 _SQL = {
@@ -95,7 +103,7 @@ WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 g AS (SELECT *, max(doc_id) OVER (PARTITION BY text) AS keep_id, count(*) OVER (PARTITION BY text) AS group_size, row_number() OVER (PARTITION BY text, doc_id) AS rn FROM d)
 SELECT doc_id, keep_id, group_size::BIGINT AS group_size, (doc_id IS NOT DISTINCT FROM keep_id AND rn = 1) AS kept, sha256(text) AS text_sha256 FROM g""",
     "op7_source_mixing": r"""
-WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
+WITH d AS (SELECT doc_id, source, md5(coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')) AS key, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
 s0 AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source ASC NULLS LAST) AS rn FROM d GROUP BY source),
 s1 AS (SELECT *, CASE (rn - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS w, 3 * source_size AS cap FROM s0),
 s2 AS (SELECT *, cap::DOUBLE / w AS full_at FROM s1),
@@ -105,17 +113,17 @@ l AS (SELECT level FROM s3 WHERE level <= full_at ORDER BY full_at, rn LIMIT 1),
 s4 AS (SELECT source, source_size, least(cap::DOUBLE, (SELECT level FROM l) * w) AS target,
     (('0x' || substr(md5('mix:' || coalesce(source, '')), 1, 8))::BIGINT::DOUBLE + 0.5) / 4294967296.0 AS u FROM s3),
 r AS (SELECT d.*, source_size, target, u, CASE WHEN source_size = 0 THEN 0.0 ELSE target / source_size END AS due,
-    row_number() OVER (PARTITION BY d.source ORDER BY floor(sqrt(size)), ((coalesce(doc_id, 0) % 16) + 16) % 16, size, doc_id NULLS FIRST) AS k
+    row_number() OVER (PARTITION BY d.source ORDER BY floor(sqrt(size)), key) AS k
     FROM d JOIN s4 ON d.source IS NOT DISTINCT FROM s4.source),
 c AS (SELECT *, (floor(u + due * k::DOUBLE) - floor(u + due * (k - 1)::DOUBLE))::BIGINT AS copies FROM r)
 SELECT doc_id, size, source_size, target, copies * size AS taken, source, copies FROM c""",
     "op9_warc_archive": """
-WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
-h AS (SELECT *, strlen(html)::BIGINT AS payload_bytes, sha1(html) AS hexed, max(page_id) OVER (PARTITION BY html) AS owner FROM p)
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, url FROM pages),
+h AS (SELECT *, strlen(html)::BIGINT AS payload_bytes, sha1(html) AS hexed, max(page_id) OVER (PARTITION BY html) AS owner,
+    row_number() OVER (PARTITION BY html ORDER BY page_id DESC NULLS LAST, url DESC NULLS LAST) AS rn FROM p)
 SELECT page_id, payload_bytes,
     list_aggregate(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(hexed, (1 + 10 * (k // 8))::INT, 10))::BIGINT >> (35 - 5 * (k % 8))::INT) & 31)::INT + 1, 1)), 'string_agg', '') AS payload_digest,
-    CASE WHEN page_id IS NOT DISTINCT FROM owner THEN 'response' ELSE 'revisit' END AS record_type,
-    CASE WHEN page_id IS DISTINCT FROM owner THEN owner END AS refers_to FROM h""",
+    CASE WHEN rn = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN rn > 1 THEN owner END AS refers_to FROM h""",
 }
 
 

@@ -5,13 +5,17 @@ of every record with that digest. The original record is the header block, the p
 Equal digests are verified: length and SHA-1 of all payloads under one SHA-256 must agree, and reading checks the stored
 bytes against their digest.
 
-A page whose payload another page with a larger page_id has too becomes a revisit that refers to the largest one; payloads
-under `least` bytes are stored as responses of their own. Digests are summed up before they are shuffled; the table of
-payloads is filled by page_id, which no group of copies makes uneven; the joins on digests are plain shuffle joins, whose hot
-side adaptive execution splits.
+A record has the four mandatory fields. Its id is a URI of the page_id, a part of a digest over the record's content and the
+number of the copy, so that no two records share one. `WARC-Date` is a parameter, since pages carry no date and reruns must
+agree. Of records with equal payloads, that of the largest page_id (among equal ones, of the largest url; of equal rows, the
+first copy) is the response, the others are revisits that refer to it; payloads under `least` bytes are stored as responses
+of their own. Rows are summed up by page_id, url and digest before they are shuffled; the table of payloads is filled by
+page_id, which no group of copies makes uneven; the joins on digests are plain shuffle joins, whose hot side adaptive
+execution splits.
 
 Defined cases: null html is an empty payload; a null url leaves out the target header; line ends in a url are escaped;
-null page_ids are smaller than any other; rows with equal page_id and payload have equal records; no rows give empty tables.
+null page_ids are smaller than any other; very long payloads are single values; columns but page_id, url and html do not come
+along, so none can clash; no rows give empty tables.
 """
 
 from __future__ import annotations
@@ -22,6 +26,7 @@ from pyspark.sql import functions as F
 from .common import materialise
 
 END = "\r\n"
+DATE = "1970-01-01T00:00:00Z"
 #: RFC 4648 base32 letters, and the digits that conv() writes in base 32.
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
@@ -34,34 +39,40 @@ def base32_sha1(payload: Column) -> Column:
     return F.translate(F.concat(*parts), DIGITS, BASE32)
 
 
-def records(pages: DataFrame, least: int = 0) -> DataFrame:
-    """page_id, digest, owner and the header block of every page."""
+def record_id(page_id: Column, url: Column, digest: Column, copy: Column) -> Column:
+    """<urn:page:ID:content:copy>; ID is null for a null page_id."""
+    content = F.substring(F.sha2(F.concat(digest, F.coalesce(F.concat(F.lit("u"), url), F.lit("n"))), 256), 1, 16)
+    return F.concat(F.lit("<urn:page:"), F.coalesce(page_id.cast("string"), F.lit("null")), F.lit(":"), content, F.lit(":"), copy.cast("string"), F.lit(">"))
+
+
+def records(pages: DataFrame, least: int = 0, date: str = DATE) -> DataFrame:
+    """page_id, digest, owner (page_id of the payload's response) and the header block of every page."""
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     seen = pages.select("page_id", "url", F.sha2(payload, 256).alias("digest"), F.octet_length(payload).cast("long").alias("bytes"), base32_sha1(payload).alias("sha1"))
+    seen = seen.groupBy(*seen.columns).agg(F.count("*").alias("copies"))
     owners = seen.groupBy("digest").agg(
-        F.max("page_id").alias("owner"), F.count("*").alias("copies"),
-        F.max(F.struct("bytes", "sha1")).alias("high"), F.min(F.struct("bytes", "sha1")).alias("low"),
-    ).withColumn("owner", F.when(F.col("high") == F.col("low"), F.col("owner")).otherwise(F.raise_error(F.lit("two payloads have one SHA-256"))))
-    owners = materialise(owners.select("digest", "owner"))  # a plain table: the hot side of the join can be split
-    met = seen.join(owners, "digest")
-    again = (F.col("bytes") >= least) & ~F.col("page_id").eqNullSafe(F.col("owner"))
-    name = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("null")), F.lit(">"))
+        F.max(F.struct("page_id", "url")).alias("top"), F.max(F.struct("bytes", "sha1")).alias("high"), F.min(F.struct("bytes", "sha1")).alias("low"),
+    ).withColumn("top", F.when(F.col("high") == F.col("low"), F.col("top")).otherwise(F.raise_error(F.lit("two payloads have one SHA-256"))))
+    owners = materialise(owners.select("digest", F.col("top.page_id").alias("owner"), F.col("top.url").alias("owner_url")))  # a plain table: the hot side of the join can be split
+    met = seen.join(owners, "digest").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    first = F.col("page_id").eqNullSafe(F.col("owner")) & F.col("url").eqNullSafe(F.col("owner_url")) & (F.col("copy") == 1)
+    again = (F.col("bytes") >= least) & ~first
     target = F.concat(F.lit("WARC-Target-URI: "), F.regexp_replace(F.regexp_replace("url", "\r", "%0D"), "\n", "%0A"))
     head = F.concat_ws(
         END, F.lit("WARC/1.1"), F.concat(F.lit("WARC-Type: "), F.when(again, "revisit").otherwise("response")),
-        F.concat(F.lit("WARC-Record-ID: "), name(F.col("page_id"))), target,
+        F.concat(F.lit("WARC-Record-ID: "), record_id(F.col("page_id"), F.col("url"), F.col("digest"), F.col("copy"))), F.lit(f"WARC-Date: {date}"), target,
         F.concat(F.lit("WARC-Payload-Digest: sha1:"), F.col("sha1")),
-        F.when(again, F.concat(F.lit("WARC-Refers-To: "), name(F.col("owner")))),
+        F.when(again, F.concat(F.lit("WARC-Refers-To: "), record_id(F.col("owner"), F.col("owner_url"), F.col("digest"), F.lit(1)))),
         F.when(again, F.lit("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")),
         F.lit("Content-Type: text/html; charset=utf-8"), F.concat(F.lit("Content-Length: "), F.when(again, F.lit(0)).otherwise(F.col("bytes")).cast("string")), F.lit(END),
     )
-    return met.select("page_id", "digest", "owner", "bytes", head.alias("header"))
+    return met.select("page_id", "digest", "owner", head.alias("header"))
 
 
-def write_archive(pages: DataFrame, path: str, least: int = 0) -> None:
+def write_archive(pages: DataFrame, path: str, least: int = 0, date: str = DATE) -> None:
     """Writes headers and payloads of pages (page_id, url, html) below path."""
     spark = pages.sparkSession
-    records(pages, least).write.parquet(f"{path}/headers")
+    records(pages, least, date).write.parquet(f"{path}/headers")
     owned = spark.read.parquet(f"{path}/headers").groupBy("digest").agg(F.max("owner").alias("page_id"))
     bytes_ = pages.select("page_id", F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload")).withColumn("digest", F.sha2("payload", 256))
     same = F.col("a.page_id").eqNullSafe(F.col("b.page_id")) & (F.col("a.digest") == F.col("b.digest"))
@@ -83,16 +94,30 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 
 
 def rebuild(archive: DataFrame) -> DataFrame:
-    """The bytes of the original records: header block, payload unless it is a revisit, two line ends."""
+    """record, the bytes of the original records (header block, payload unless it is a revisit, two line ends), and payload."""
     own = F.when(F.col("header").contains(f"{END}WARC-Type: revisit{END}"), F.lit(b"")).otherwise(F.col("payload"))
-    return archive.select(F.concat(F.col("header").cast("binary"), own, F.lit(END * 2).cast("binary")).alias("record"))
-
-
-def described(archive: DataFrame) -> DataFrame:
-    """What records say of themselves, read from the header blocks, and length and digest of the payloads found."""
-    number = lambda key: F.regexp_extract("header", rf"\r\n{key}: <urn:page:(-?[0-9]+)>", 1)
-    return archive.select(
-        number("WARC-Record-ID").try_cast("bigint").alias("page_id"),
-        F.octet_length("payload").cast("long").alias("payload_bytes"), base32_sha1(F.col("payload")).alias("payload_digest"),
-        F.regexp_extract("header", r"\r\nWARC-Type: ([a-z]+)", 1).alias("record_type"), number("WARC-Refers-To").try_cast("bigint").alias("refers_to"),
+    return archive.select(F.concat(F.col("header").cast("binary"), own, F.lit(END * 2).cast("binary")).alias("record"), "payload")
+
+
+def described(rebuilt: DataFrame) -> DataFrame:
+    """What records say of themselves, parsed from their bytes, and length and digest of the payloads.
+
+    The header block ends at the first empty line; the block of a response, as long as its Content-Length, is its payload, and
+    a record whose length or digest is not what its header says is an error. The payload of a revisit is that of the response
+    it refers to, which the join on digests has found.
+    """
+    text = F.col("record").cast("string")
+    parsed = rebuilt.withColumn("header", F.concat(F.substring_index(text, END * 2, 1), F.lit(END)))
+    field = lambda key, what: F.regexp_extract("header", rf"\r\n{key}: {what}\r\n", 1)
+    page = lambda key: field(key, r"<urn:page:(-?[0-9]+|null):[0-9a-f]{16}:[0-9]+>").try_cast("bigint")
+    length = field("Content-Length", "([0-9]+)").cast("int")
+    start = F.octet_length("header") + len(END) + 1
+    block = F.substring(F.col("record"), start, length)
+    payload = F.when(F.col("type") == "response", block).otherwise(F.col("payload"))
+    parsed = parsed.withColumn("type", field("WARC-Type", "([a-z]+)")).withColumn("whole", payload).withColumn("sha1", base32_sha1(F.col("whole")))
+    sound = (F.col("sha1") == field("WARC-Payload-Digest", "sha1:([A-Z2-7]+)")) & (F.octet_length("record") == start - 1 + length + 2 * len(END))
+    return parsed.select(
+        page("WARC-Record-ID").alias("page_id"), F.octet_length("whole").cast("long").alias("payload_bytes"),
+        F.when(sound, F.col("sha1")).otherwise(F.raise_error(F.lit("a record is not what its header says"))).alias("payload_digest"),
+        F.col("type").alias("record_type"), page("WARC-Refers-To").alias("refers_to"),
     )
