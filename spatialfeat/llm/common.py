@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -118,6 +120,32 @@ def reduce_partitions(df: DataFrame) -> int:
     return max(partitions(df), df.rdd.getNumPartitions())
 
 
+# ---------------------------------------------------------------- arrays of a fixed size that all tasks add to
+
+SEGMENTS = 16
+
+
+def _folded(batches: Iterator[pa.RecordBatch], add) -> Iterator[pa.RecordBatch]:
+    """Adds up the packed segments of a partition."""
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for k, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            part = np.frombuffer(zstandard.decompress(part), np.uint32).astype(np.int64)
+            sums[k] = add(sums[k], part) if k in sums else part
+    if sums:
+        packed = [zstandard.compress(np.minimum(s, 0xFFFFFFFF).astype(np.uint32).tobytes(), 1) for s in sums.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(sums, pa.int32()), pa.array(packed, pa.binary())], ["segment", "cells"])
+
+
+def folded(segments: DataFrame, size: int, add=np.add) -> np.ndarray:
+    """The whole array whose segments (segment, cells) are added up; its size is fixed, whatever the input."""
+    summed = segments.repartition(SEGMENTS, "segment").mapInArrow(lambda it: _folded(it, add), "segment int, cells binary")
+    out = np.zeros((SEGMENTS, size // SEGMENTS), np.int64)
+    for k, part in summed.collect():
+        out[k] = np.frombuffer(zstandard.decompress(part), np.uint32)
+    return out.reshape(-1)
+
+
 # ---------------------------------------------------------------- vectorised words
 
 _BLANK = np.zeros(256, bool)

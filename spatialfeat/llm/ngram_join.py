@@ -40,13 +40,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, dealing_keys, materialise, mix, reduce_partitions, shingle_hashes, texts
+from .common import SEGMENTS, Words, dealing_keys, folded, materialise, mix, reduce_partitions, shingle_hashes, texts
 from .components import connected_components
 
 GRAM = 5
 #: Cells of the sketch; its size is fixed, 4 bytes each.
 CELLS = 1 << 20
-SEGMENTS = 16
 #: Sets of a block.
 BLOCK = 512
 #: Postings of a cell from which its grams are dealt over several tasks.
@@ -128,27 +127,6 @@ def _first_pass(batches: Iterator[pa.RecordBatch], cells: int) -> Iterator[pa.Re
         yield pa.RecordBatch.from_arrays([*[none] * 5, pa.nulls(SEGMENTS, pa.binary()), pa.array(range(SEGMENTS), pa.int32()), pa.array(packed, pa.binary())], schema=_FIRST)
 
 
-def _folded(batches: Iterator[pa.RecordBatch], add) -> Iterator[pa.RecordBatch]:
-    """Adds up the packed segments of a partition."""
-    sums: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for k, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            part = np.frombuffer(zstandard.decompress(part), np.uint32).astype(np.int64)
-            sums[k] = add(sums[k], part) if k in sums else part
-    if sums:
-        packed = [zstandard.compress(np.minimum(s, 0xFFFFFFFF).astype(np.uint32).tobytes(), 1) for s in sums.values()]
-        yield pa.RecordBatch.from_arrays([pa.array(sums, pa.int32()), pa.array(packed, pa.binary())], ["segment", "cells"])
-
-
-def folded(segments: DataFrame, size: int, add=np.add) -> np.ndarray:
-    """The whole array whose segments (segment, cells) are added up; its size is fixed, whatever the input."""
-    summed = segments.repartition(SEGMENTS, "segment").mapInArrow(lambda it: _folded(it, add), "segment int, cells binary")
-    out = np.zeros((SEGMENTS, size // SEGMENTS), np.int64)
-    for k, part in summed.collect():
-        out[k] = np.frombuffer(zstandard.decompress(part), np.uint32)
-    return out.reshape(-1)
-
-
 def ordered(s: np.ndarray, ranks: np.ndarray) -> np.ndarray:
     """A set in the global order: rank of the cell in the upper 16 bits, hash below."""
     out = (ranks[(s & np.uint64(len(ranks) - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(48)) | (s >> np.uint64(16))

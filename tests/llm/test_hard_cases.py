@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from spatialfeat.llm import exact_dedup, language_id, line_dedup, mixing, packing, quality_rules, url_filters
+from spatialfeat.llm import exact_dedup, language_id, line_dedup, mixing, packing, quality_rules, suffix_dedup, url_filters
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 DATA = "/root/testdata/sf0.001"
@@ -235,6 +235,36 @@ def test_an_id_cannot_fill_the_fitting_sample(spark):
     assert quality_rules.fit(measured, labels, "lang", fit_rows=10).judge(measured, "lang").count() == len(rows)
 
 
+# ------------------------------------------------------------ suffix arrays
+
+
+@pytest.mark.parametrize("hot_least", [0, 3, 1000])
+def test_hot_grams_in_other_surroundings(spark, hot_least):
+    """A passage that many documents share, shorter and longer than the least, each time in other surroundings."""
+    rnd = random.Random(12)
+    fresh = lambda n: [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+    short, long = fresh(9), fresh(20)
+    rows = []
+    for i in range(120):
+        w = fresh(15) + (short if i % 3 else long) + fresh(15)
+        rows.append((i // 2 if i < 6 else None if i == 7 else i, " ".join(w + (rows[i - 1][1].split()[:18] if i % 10 == 9 else [])), None, None, 0))
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    least, gram = 12, 4
+    where, want = defaultdict(set), defaultdict(set)
+    for r in docs.collect():
+        w = r.text.split()
+        for k in range(len(w) - least + 1):
+            where[tuple(w[k : k + least])].add(r.doc_id)
+    for r in docs.collect():
+        w = r.text.split()
+        for k in range(len(w) - least + 1):
+            if len(where[tuple(w[k : k + least])]) > 1:
+                want[r.doc_id].update(range(k, k + least))
+    out = suffix_dedup.repeated_spans(docs, least, gram, cells=1 << 8, hot_least=hot_least).collect()
+    assert {r.doc_id: {i for s in r.spans for i in range(s.start, s.end)} for r in out} == {k: v for k, v in want.items() if v}
+    assert all(a.end < b.start for r in out for a, b in zip(r.spans[:-1], r.spans[1:], strict=True))
+
+
 # ------------------------------------------------------------ line dedup
 
 
