@@ -7,8 +7,9 @@ Order. A sketch counts 5-grams of all documents in a fixed number of cells; 5-gr
 then by hash. Any order is right; this one puts common passages last. The sketch is the only thing sent to all tasks.
 
 Candidates. Similar sets share one of their first |x| - ceil(0.8 |x|) + 1 grams in this order. Those are posted under the
-id of the set (a digest, so that equal sets are one), packed, to the task of the gram, which makes a list of the sets that
-share it. Equal lists are one list. Grams whose cell is very heavy are dealt over several tasks by set.
+id of the set (a digest, so that equal sets are one) with their place in it, packed, to the task of the gram, which makes a
+list of the sets that share it. Equal short lists are one list. Grams of a heavy cell (with more grams than a quarter of a task's
+share, and than 16 cells have on average) are dealt over several tasks by set.
 
 Bitmaps. Each set has a parity bitmap: the bits in which two bitmaps differ are at most the grams in which the sets differ.
 Lists of up to a block are cut into the parts that sizes and bitmaps leave connected, so that sets which merely share a
@@ -22,12 +23,17 @@ spanning forest, never all pairs.
 First round: groups of equal min-hash, in blocks of bounded size with one common member each. It connects most near copies,
 so that a third of all rows being near copies of one text collapse to a component early. Second round: of all lists, those
 whose sets lie in different components by now; lists over the same components are joined as one. A list that is too large
-for a block is cut into blocks, and each pair of blocks that is not within one component is joined. So every pair of sets
-that shares a posted gram is compared or connected.
-
-Defined cases: null texts and texts without words have an empty set and link with nothing; null ids take the component of
-their set and are never its name unless all are null; repeated rows are equal sets; no rows give no rows. Grams are hashed
-to 64 bits, compared by 48 bits and their rank, sets named by 64 bits and checked by 64 more.
+for a block is cut into blocks of sets of about one size. Two blocks are joined unless they are of one component or places
+and sizes rule it out: if the gram of the list is the first that two sets share, their overlap is at most what is left of
+either set from that gram on, and if it is not, they meet in another list. So every pair of sets that can be similar is
+compared or connected, and sets that merely share a common passage are not compared block by block. A block holds
+at most 512 sets and about a million grams.
+
+Defined cases: null texts and texts without words have an empty set and link with nothing; very long texts are whole sets;
+null ids take the component of their set and are never its name unless all are null; repeated rows are equal sets; columns but
+doc_id and the text do not come along, so none can clash; no rows give no rows. Grams are hashed to 64 bits, compared by 48
+bits and their rank. Sets are told apart by 128 bits: they are named by 64 of them, and where two sets would have one name, both
+are named by the other 64.
 """
 
 from __future__ import annotations
@@ -37,7 +43,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import SEGMENTS, Words, dealing_keys, folded, materialise, mix, reduce_partitions, shingle_hashes, texts
@@ -46,14 +52,18 @@ from .components import connected_components
 GRAM = 5
 #: Cells of the sketch; its size is fixed, 4 bytes each.
 CELLS = 1 << 20
-#: Sets of a block.
+#: Sets of a block; a set counts as several by its grams, so that a block holds about BLOCK * GRAMS_A_SET of them at most.
 BLOCK = 512
-#: Postings of a cell from which its grams are dealt over several tasks.
-HEAVY = 1 << 20
+GRAMS_A_SET = 2048
+#: Grams of a cell from which it may be heavy, whatever the share of a task.
+HEAVY = 1 << 18
 BUFFER = 4 << 20
 BLOOM_BITS = 1 << 27
-#: Bits of the smallest parity bitmap; larger sets have the next power of two from their size on.
+#: Bits of the smallest parity bitmap; larger sets have the next power of two from their size on, up to the largest.
 PARITY = 1024
+PARITY_MOST = 1 << 14
+#: So many sets at most may need another name. Among n sets about n * n / 2**65 do.
+CLASHES = 10_000
 _OCTAVE = 64  # ranks per doubling of a count
 
 
@@ -72,12 +82,18 @@ def gram_sets(data: np.ndarray, offsets: np.ndarray, gram: int = GRAM) -> Iterat
             yield h
 
 
-def digest(s: np.ndarray) -> tuple[int, int]:
-    """Two 64-bit digests of a set."""
+def digest(s: np.ndarray, bits: int = 64) -> tuple[int, int]:
+    """Two 64-bit digests of a set; of the first one, so many bits count."""
     with np.errstate(over="ignore"):
         a = mix(np.array([mix(s).sum() + np.uint64(len(s))], np.uint64))[0]
         b = mix(np.array([mix(s ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum()], np.uint64))[0]
-    return int(a.astype(np.int64)), int(b.astype(np.int64))
+    return int((a >> np.uint64(64 - bits)).astype(np.int64)), int(b.astype(np.int64))
+
+
+def name_of(s: np.ndarray, clashes: frozenset[int], bits: int) -> int:
+    """The digest that names a set: the first unless another set has it too."""
+    a, b = digest(s, bits)
+    return b if a in clashes else a
 
 
 _FIRST = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("n", pa.int64()), ("s", pa.int64()), ("check", pa.int64()), ("bits", pa.binary()), ("segment", pa.int32()), ("cells", pa.binary())])
@@ -85,7 +101,7 @@ _FIRST = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("n", pa.i
 
 def parity(s: np.ndarray) -> bytes:
     """Bit b tells whether an odd number of grams of the set falls on it."""
-    bits = max(PARITY, 1 << (len(s) - 1).bit_length())
+    bits = min(PARITY_MOST, max(PARITY, 1 << (len(s) - 1).bit_length()))
     odd = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
@@ -95,7 +111,7 @@ def halved(bits: np.ndarray) -> np.ndarray:
     return bits[: len(bits) // 2] ^ bits[len(bits) // 2 :]
 
 
-def _first_pass(batches: Iterator[pa.RecordBatch], cells: int) -> Iterator[pa.RecordBatch]:
+def _first_pass(batches: Iterator[pa.RecordBatch], cells: int, bits: int) -> Iterator[pa.RecordBatch]:
     """Size and digests of every document's set, and at the end the task's share of the sketch."""
     count = np.zeros(cells, np.int64)
     for batch in batches:
@@ -109,7 +125,7 @@ def _first_pass(batches: Iterator[pa.RecordBatch], cells: int) -> Iterator[pa.Re
         size = 0
         for _, data, offsets in texts(batch.column(0)):
             for s in gram_sets(data, offsets):
-                rows.append((len(s), *digest(s), parity(s)) if len(s) else (0, None, None, None))
+                rows.append((len(s), *digest(s, bits), parity(s)) if len(s) else (0, None, None, None))
                 if len(s):
                     held.append(s)
                     size += len(s)
@@ -138,20 +154,22 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-def _posted(batches: Iterator[pa.RecordBatch], shared, keys: np.ndarray, percent: int, heavy: int) -> Iterator[pa.RecordBatch]:
-    """Packed postings (gram, set) for each partition; a set once per task."""
+def _posted(batches: Iterator[pa.RecordBatch], shared, keys: np.ndarray, percent: int, heavy: int, clashes: frozenset[int], bits: int) -> Iterator[pa.RecordBatch]:
+    """Packed postings (gram, set, place of the gram in the set) for each partition; a set once per task."""
     ranks, known, grams, sets, held = shared.value, set(), [], [], 0
-    schema = pa.schema([("part", pa.int32()), ("grams", pa.binary()), ("sets", pa.binary())])
+    schema = pa.schema([("part", pa.int32()), ("grams", pa.binary()), ("sets", pa.binary()), ("places", pa.binary())])
 
     def flush():
         g = np.concatenate(grams)
         s = np.repeat(np.array([x for x, _ in sets], np.int64), [n for _, n in sets])
+        at = np.concatenate([np.arange(n, dtype=np.uint32) for _, n in sets])
         count = np.exp2((g >> np.uint64(48)).astype(float) / _OCTAVE)
         salt = np.where(count > heavy, mix(s.astype(np.uint64)) % np.maximum(1, count // heavy).astype(np.uint64), 0)
         to = (mix(g + salt * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(len(keys))).astype(np.int64)
         order = np.argsort(to, kind="stable")
-        g, s, edges = g[order], s[order], np.searchsorted(to[order], np.arange(len(keys) + 1))
-        rows = [(int(keys[k]), g[a:b].tobytes(), s[a:b].tobytes()) for k, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if b > a]
+        edges = np.searchsorted(to[order], np.arange(len(keys) + 1))
+        g, s, at = g[order], s[order], at[order]
+        rows = [(int(keys[k]), *(x[edges[k] : edges[k + 1]].tobytes() for x in (g, s, at))) for k in np.flatnonzero(np.diff(edges))]
         grams.clear()
         sets.clear()
         for k in range(0, len(rows), 64):
@@ -160,7 +178,7 @@ def _posted(batches: Iterator[pa.RecordBatch], shared, keys: np.ndarray, percent
     for batch in batches:
         for _, data, offsets in texts(batch.column(0)):
             for s in gram_sets(data, offsets):
-                if len(s) and (name := digest(s)[0]) not in known:
+                if len(s) and (name := name_of(s, clashes, bits)) not in known:
                     known.add(name)
                     first = ordered(s, ranks)[: prefix_length(len(s), percent)]
                     grams.append(first)
@@ -173,14 +191,15 @@ def _posted(batches: Iterator[pa.RecordBatch], shared, keys: np.ndarray, percent
         yield from flush()
 
 
-def _listed(batches: Iterator[pa.RecordBatch], heavy: int) -> Iterator[pa.RecordBatch]:
-    """Distinct lists of two and more sets that share a gram; part is the gram if others hold parts of the list."""
-    g, s = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+def _listed(batches: Iterator[pa.RecordBatch], heavy: int, block: int) -> Iterator[pa.RecordBatch]:
+    """Distinct lists of two and more sets that share a gram. Lists that are longer than a block, or of which other tasks hold
+    parts, have the gram as `part` and the places of the gram."""
+    parts: list[list[np.ndarray]] = [[np.zeros(0, t)] for t in (np.uint64, np.int64, np.uint32)]
     for batch in batches:
-        for x, y in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            g.append(np.frombuffer(x, np.uint64))
-            s.append(np.frombuffer(y, np.int64))
-    g, s = np.concatenate(g), np.concatenate(s)
+        for k, (own, kind) in enumerate(zip(parts, (np.uint64, np.int64, np.uint32), strict=True)):
+            own += [np.frombuffer(x, kind) for x in batch.column(k + 1).to_pylist()]
+    g, s, at = map(np.concatenate, parts)
+    parts.clear()
     if not len(g):
         return
     order = np.argsort(g)
@@ -189,38 +208,42 @@ def _listed(batches: Iterator[pa.RecordBatch], heavy: int) -> Iterator[pa.Record
     cut = np.exp2((g >> np.uint64(48)).astype(float) / _OCTAVE) > heavy
     order = np.concatenate([order, np.flatnonzero(cut)])
     order = order[np.lexsort((s[order], g[order]))]
-    g, s = g[order], s[order]
+    g, s, at = g[order], s[order], at[order]
     if not len(g):
         return
     new = np.concatenate([[True], (g[1:] != g[:-1]) | (s[1:] != s[:-1])])
-    g, s = g[new], s[new]
+    g, s, at = g[new], s[new], at[new]
     start = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
     size = np.diff(np.append(start, len(g)))
-    found: dict[tuple[int, bytes], None] = {}
+    found: dict[bytes, None] = {}
     two = start[(size == 2)]
     pairs = np.unique(np.stack([s[two], s[two + 1]], 1), axis=0) if len(two) else np.zeros((0, 2), np.int64)
+    rows: list[tuple] = []
     for a, n in zip(start, size, strict=True):
-        part = int(g[a]) >> 1 if np.exp2(int(g[a] >> np.uint64(48)) / _OCTAVE) > heavy else 0
-        if n > 2 or part:
-            found[part, s[a : a + n].tobytes()] = None
-    rows = [*((0, p.tobytes()) for p in pairs), *found]
-    for k in range(0, len(rows), 4096):
-        part, sets = zip(*rows[k : k + 4096], strict=True)
-        yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(sets, pa.binary())], ["part", "sets"])
+        if n > block or np.exp2(int(g[a] >> np.uint64(48)) / _OCTAVE) > heavy:
+            part = (int(g[a]) >> 1) + 1
+            for b in range(a, a + n, 1 << 16):
+                end = min(b + (1 << 16), a + n)
+                rows.append((part, s[b:end].tobytes(), at[b:end].tobytes()))
+        elif n > 2:
+            found[s[a : a + n].tobytes()] = None
+    rows += ((0, p.tobytes(), None) for p in pairs)
+    rows += ((0, x, None) for x in found)
+    for k in range(0, len(rows), 1024):
+        part, sets, places = zip(*rows[k : k + 1024], strict=True)
+        yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(sets, pa.binary()), pa.array(places, pa.binary())], ["part", "sets", "places"])
 
 
 def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(list, s, whole) of every set of every list (list, sets, part); whole is the length of a list that is all here, else null."""
+    """(list, s, place) of every set of every list (list, sets, places); place is null in short lists."""
     for batch in batches:
-        packed = batch.column(1).to_pylist()
-        length = [len(x) // 8 for x in packed]
-        name = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), length)
-        whole = np.repeat([n if p == 0 else -1 for n, p in zip(length, batch.column(2).to_pylist(), strict=True)], length)
-        sets = np.frombuffer(b"".join(packed), np.int64)
-        for k in range(0, len(sets), 1 << 16):
-            part = slice(k, k + (1 << 16))
-            columns = [pa.array(name[part], pa.int64()), pa.array(sets[part], pa.int64()), pa.array(whole[part].astype(np.int64), pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, ["list", "s", "whole"])
+        for name, packed, places in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            sets = np.frombuffer(packed, np.int64)
+            at = None if places is None else np.frombuffer(places, np.uint32).astype(np.int64)
+            for k in range(0, len(sets), 1 << 16):
+                own = sets[k : k + (1 << 16)]
+                place = pa.nulls(len(own), pa.int64()) if at is None else pa.array(at[k : k + (1 << 16)], pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), name), pa.int64()), pa.array(own, pa.int64()), place], ["list", "s", "place"])
 
 
 def near(n: np.ndarray, bits: list[np.ndarray], percent: int) -> np.ndarray:
@@ -304,7 +327,7 @@ def _bloom_places(s: np.ndarray, bits: int) -> list[np.ndarray]:
     return [(h & np.uint64(bits - 1)).astype(np.int64), ((h >> np.uint64(32)) & np.uint64(bits - 1)).astype(np.int64)]
 
 
-def _content(batches: Iterator[pa.RecordBatch], shared, bloom) -> Iterator[pa.RecordBatch]:
+def _content(batches: Iterator[pa.RecordBatch], shared, bloom, clashes: frozenset[int], name_bits: int) -> Iterator[pa.RecordBatch]:
     """(s, doc_id, key, grams) of documents whose set may be in a list: min-hash and the set in the global order."""
     ranks, bits = shared.value, bloom.value
     known = set()
@@ -314,7 +337,7 @@ def _content(batches: Iterator[pa.RecordBatch], shared, bloom) -> Iterator[pa.Re
             for k, s in enumerate(gram_sets(data, offsets)):
                 if not len(s):
                     continue
-                name = digest(s)[0]
+                name = name_of(s, clashes, name_bits)
                 if (name, ids[row + k]) in known or not all(bits[at >> 5] >> (at & 31) & 1 for (at,) in _bloom_places(np.array([name]), 32 * len(bits))):
                     continue
                 known.add((name, ids[row + k]))
@@ -505,66 +528,96 @@ def salted(many: DataFrame, few: DataFrame, keys: list[str], salts: int = 16) ->
     return left.join(right, [*keys, "salt"]).drop("salt")
 
 
-def _blocks(sets: DataFrame, block: int) -> DataFrame:
-    """Groups (group, s, component) of at most about two blocks for lists (list, s, component).
+def weight(n: Column) -> Column:
+    """What a set of n grams counts in a block."""
+    return F.greatest(F.lit(1.0), n / F.lit(float(GRAMS_A_SET)))
+
 
-    Lists of up to `block` sets are a group. Of larger ones, components larger than a block are cut into blocks of their
-    own, the others are dealt over mixed blocks; every mixed block, and every pair of blocks that is not within one
-    component, is a group.
+def _blocks(sets: DataFrame, block: int, percent: int) -> DataFrame:
+    """Groups (group, s, component) of at most about two blocks for lists (list, s, component, n, place).
+
+    Lists of up to a block are a group. Of larger ones, components larger than a block and the rest are cut, in order of
+    size, into blocks; a block, and every pair of blocks, is a group unless it is within one component or sizes and places
+    rule out that two of its sets are similar and share the list's gram before any other.
     """
-    sizes = sets.groupBy("list").agg(F.count("*").alias("n"))
-    sized = salted(sets, sizes, ["list"])
-    small = sized.where(F.col("n") <= block).select(F.xxhash64("list").alias("group"), "s", "component")
-    large = sized.where(F.col("n") > block)
-    parts = large.groupBy("list", "component").agg(F.count("*").alias("m"), F.first("n").alias("total"))
-    pure = F.col("m") > block
-    parts = parts.select(
-        "list", "component", pure.alias("pure"), F.when(pure, F.ceil(F.col("m") / block)).otherwise(F.ceil(F.col("total") / block)).cast("int").alias("cuts"),
+    weighed = sets.withColumn("w", weight(F.col("n")))
+    sized = salted(weighed, weighed.groupBy("list").agg(F.sum("w").alias("total")), ["list"])
+    small = sized.where(F.col("total") <= block).select(F.xxhash64("list").alias("group"), "s", "component")
+    large = sized.where(F.col("total") > block).drop("total")
+    own = large.groupBy("list", "component").agg((F.sum("w") > block).alias("pure"))
+    large = salted(large, own, ["list", "component"]).withColumn("own", F.when(F.col("pure"), F.col("component")))
+    # bands of neighbouring sizes; a size with more sets than a block is a band of several blocks
+    of_size = large.groupBy("list", "own", "n").agg(F.sum("w").alias("c"))
+    before = Window.partitionBy("list", "own").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
+    alone = F.col("c") > block
+    band = F.when(alone, -F.col("n")).otherwise(F.floor(F.coalesce(F.sum("c").over(before), F.lit(0.0)) / block))
+    bands = of_size.select(
+        "list", F.xxhash64("own", F.col("own").isNull()).alias("of"), "n", band.alias("band"), F.when(alone, F.ceil(F.col("c") / block)).otherwise(1).cast("int").alias("cuts"),
     )
-    large = salted(large.drop("n"), parts, ["list", "component"])
-    place = F.when(F.col("pure"), F.pmod(F.xxhash64("s"), "cuts")).otherwise(F.pmod(F.xxhash64("component"), "cuts"))
-    large = large.select("list", "s", "component", F.when(F.col("pure"), F.col("component")).alias("own"), place.alias("place"))
-    large = large.withColumn("piece", F.xxhash64("own", F.col("own").isNull(), "place"))
-    pieces = large.groupBy("list", "piece").agg(F.first("own").alias("own"))
-    a, b = pieces.select("list", F.col("piece").alias("p"), F.col("own").alias("o")), pieces.select("list", F.col("piece").alias("q"), F.col("own").alias("r"))
-    pairs = a.join(b, "list").where("(p < q AND NOT (o IS NOT NULL AND o <=> r)) OR (p = q AND o IS NULL)")
-    pairs = pairs.select("list", F.xxhash64("list", "p", "q").alias("group"), F.explode(F.array_distinct(F.array("p", "q"))).alias("piece"))
+    large = salted(large.withColumn("of", F.xxhash64("own", F.col("own").isNull())), bands, ["list", "of", "n"])
+    place = F.pmod(F.when(F.col("pure"), F.xxhash64("s")).otherwise(F.xxhash64("component")), "cuts")
+    # the largest set that can be similar to this one and share the list's gram first
+    reach = F.floor(((100 + percent) * (F.col("n") - F.coalesce("place", F.lit(0))) - percent * F.col("n")) / percent)
+    large = large.select("list", "s", "component", "own", "n", reach.alias("reach"), F.xxhash64("of", "band", place).alias("piece"))
+    pieces = large.groupBy("list", "piece").agg(F.first("own").alias("own"), F.min("n").alias("low"), F.max("n").alias("high"), F.max("reach").alias("reach"))
+    a, b = (pieces.select("list", *(F.col(c).alias(f"{c}_{k}") for c in ("piece", "own", "low", "high", "reach"))) for k in "ab")
+    fits = f"low_a <= reach_b AND low_b <= reach_a AND {percent} * low_a <= 100 * high_b AND {percent} * low_b <= 100 * high_a"
+    pairs = a.join(b, "list").where(f"{fits} AND ((piece_a < piece_b AND NOT (own_a IS NOT NULL AND own_a <=> own_b)) OR (piece_a = piece_b AND own_a IS NULL))")
+    pairs = pairs.select("list", F.xxhash64("list", "piece_a", "piece_b").alias("group"), F.explode(F.array_distinct(F.array("piece_a", "piece_b"))).alias("piece"))
     return small.unionByName(large.join(pairs, ["list", "piece"]).select("group", "s", "component"))
 
 
-def link_components(docs: DataFrame, percent: int = 80, text: str = "text", block: int = BLOCK, cells: int = CELLS, heavy: int = HEAVY) -> DataFrame:
-    """doc_id, text_key (xxhash64 of the text), n_shingles and component_id of every row of docs (doc_id, text)."""
+def link_components(docs: DataFrame, percent: int = 80, text: str = "text", block: int = BLOCK, cells: int = CELLS, heavy: int = HEAVY, name_bits: int = 64) -> DataFrame:
+    """doc_id, text_key (xxhash64 of the text), n_shingles, component_id and component of every row of docs (doc_id, text).
+
+    component is a number that the documents of a component share, null for empty sets; component_id is their smallest doc_id.
+    """
     spark, sc = docs.sparkSession, docs.sparkSession.sparkContext
     source = docs.select(F.col(text).cast("binary").alias("text"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"))
     n = reduce_partitions(source)
-    first = materialise(source.mapInArrow(lambda it: _first_pass(it, cells), "doc_id long, text_key long, n long, s long, check long, bits binary, segment int, cells binary"))
+    first = materialise(source.mapInArrow(lambda it: _first_pass(it, cells, name_bits), "doc_id long, text_key long, n long, s long, check long, bits binary, segment int, cells binary"))
     members = first.where("n IS NOT NULL").select("doc_id", "text_key", "n", "s", "check", "bits")
     counts = folded(first.where("segment IS NOT NULL").select("segment", "cells"), cells)
+    heavy = max(heavy, int(counts.sum()) // (4 * n), 16 * int(counts.sum()) // cells)
     ranks = sc.broadcast(np.minimum(_OCTAVE * np.log2(np.maximum(counts, 1)), 65535).astype(np.uint16))
-    sets = members.where("s IS NOT NULL").groupBy("s").agg(F.min("doc_id").alias("first"), F.min("check").alias("low"), F.max("check").alias("high"), F.first("n").alias("n"), F.first("bits").alias("bits"))
-    one = F.when(F.col("low") == F.col("high"), F.col("first")).otherwise(F.raise_error(F.lit("two sets have one name")).cast("long"))
-    sets = materialise(sets.select("s", one.alias("first"), "n", "bits"))
+
+    def sets_of(members: DataFrame) -> DataFrame:
+        same = members.where("s IS NOT NULL").groupBy("s")
+        return materialise(same.agg(F.min("doc_id").alias("first"), F.min("check").alias("low"), F.max("check").alias("high"), F.first("n").alias("n"), F.first("bits").alias("bits")))
+
+    sets = sets_of(members)
+    clashes = frozenset(r.s for r in sets.where("low <> high").select("s").limit(CLASHES + 1).collect())
+    if len(clashes) > CLASHES:
+        raise ValueError(f"more than {CLASHES} pairs of sets have one name")
+    if clashes:  # both digests of these sets change places
+        again = F.col("s").isin(*clashes)
+        members = members.withColumns({"s": F.when(again, F.col("check")).otherwise(F.col("s")), "check": F.when(again, F.col("s")).otherwise(F.col("check"))})
+        sets = sets_of(members)
+        one = F.when(F.col("low") == F.col("high"), F.col("first")).otherwise(F.raise_error(F.lit("two sets have one name")).cast("long"))
+        sets = materialise(sets.withColumn("first", one))
+    sets = sets.select("s", "first", "n", "bits")
 
     keys = dealing_keys(spark, n)
-    posted = source.mapInArrow(lambda it: _posted(it, ranks, keys, percent, heavy), "part int, grams binary, sets binary")
-    lists = posted.repartition(n, "part").mapInArrow(lambda it: _listed(it, heavy), "part long, sets binary").groupBy("part", "sets").agg(F.lit(1).alias("one"))
-    lists = materialise(lists.select(F.when(F.col("part") == 0, F.xxhash64("sets")).otherwise(F.col("part")).alias("list"), "sets", "part"))
-    every = lists.mapInArrow(_unpacked, "list long, s long, whole long")
-    short = (F.col("whole") > 0) & (F.col("whole") <= block)
-    judged = every.where(short).select("list", "s").join(sets.select("s", "n", "bits"), "s").select("list", "s", "n", "bits")
+    posted = source.mapInArrow(lambda it: _posted(it, ranks, keys, percent, heavy, clashes, name_bits), "part int, grams binary, sets binary, places binary")
+    lists = posted.repartition(n, "part").mapInArrow(lambda it: _listed(it, heavy, block), "part long, sets binary, places binary")
+    lists = materialise(lists.groupBy("part", "sets", "places").agg(F.lit(1).alias("one")))
+    short, long = lists.where("part = 0"), lists.where("part <> 0")
+    every = short.select(F.xxhash64("sets").alias("list"), "sets", F.lit(None).cast("binary").alias("places")).mapInArrow(_unpacked, "list long, s long, place long")
+    judged = every.select("list", "s").join(sets.select("s", "n", "bits"), "s").select("list", "s", "n", "bits")
     refined = judged.repartition(n, "list").sortWithinPartitions("list").mapInArrow(lambda it: _refined(it, percent), "list long, s long")
-    each = materialise(refined.unionByName(every.where(~short).select("list", "s")))
+    whole = long.select(F.col("part").alias("list"), "sets", "places").mapInArrow(_unpacked, "list long, s long, place long")
+    each = materialise(refined.withColumn("place", F.lit(None).cast("long")).unionByName(whole))
     active = each.select("s").distinct().join(sets.select("s", "first"), "s")
     bits = min(BLOOM_BITS, 1 << max(12, (16 * max(1, each.count())).bit_length()))
     bloom = sc.broadcast(folded(each.select("s").mapInArrow(lambda it: _bloomed(it, bits), "segment int, cells binary"), bits // 32, np.bitwise_or).astype(np.uint32))
-    content = source.mapInArrow(lambda it: _content(it, ranks, bloom), "s long, doc_id long, key long, grams binary")
+    content = source.mapInArrow(lambda it: _content(it, ranks, bloom, clashes, name_bits), "s long, doc_id long, key long, grams binary")
     same = F.col("c.doc_id").eqNullSafe(F.col("a.first")) & (F.col("c.s") == F.col("a.s"))
     content = materialise(content.alias("c").join(active.alias("a"), same).select("c.s", "key", "grams"))
 
     # first round: equal min-hash, in blocks that share one set. It is the smallest of its min-hash, so all blocks give its
     # component the same name, and as every set is in one block but for that one, the edges are the components themselves
-    large = content.groupBy("key").agg(F.count("*").alias("n"), F.min("s").alias("anchor")).where(F.col("n") > block)
-    large = materialise(large.select("key", "anchor", F.ceil(F.col("n") / block).cast("int").alias("cuts")))
+    large = content.groupBy("key").agg(F.sum(weight(F.octet_length("grams") / 8)).alias("w"), F.min("s").alias("anchor")).where(F.col("w") > block)
+    large = materialise(large.select("key", "anchor", F.ceil(F.col("w") / block).cast("int").alias("cuts")))
     met = content.join(large, "key", "left")
     at = F.coalesce(F.pmod(F.xxhash64("s"), "cuts"), F.lit(0)).cast("int")
     places = F.when(F.col("s") == F.col("anchor"), F.sequence(F.lit(0), F.col("cuts") - 1)).otherwise(F.array(at))
@@ -572,12 +625,14 @@ def link_components(docs: DataFrame, percent: int = 80, text: str = "text", bloc
     where = materialise(joined_groups(rows, n, percent).select(F.col("b").alias("id"), F.col("a").alias("component")).distinct())
 
     # second round: lists that are not within one component yet, as one where they are over the same components
-    known = each.join(where, each["s"] == where["id"], "left").select("list", "s", F.coalesce("component", "s").alias("component"))
+    known = each.join(where, each["s"] == where["id"], "left").select("list", "s", "place", F.coalesce("component", "s").alias("component"))
     over = known.groupBy("list", "component").agg(F.lit(1).alias("one"))
     over = over.groupBy("list").agg(F.count("*").alias("n"), F.sum(F.pmod(F.xxhash64("component"), F.lit(1 << 40))).alias("x"), F.bit_xor(F.xxhash64("component", F.lit(1))).alias("y"))
     over = over.where("n > 1").select("list", F.xxhash64("n", "x", "y").alias("over"))
-    mixed = materialise(salted(known, over, ["list"]).select(F.col("over").alias("list"), "s", "component").distinct())
-    groups = _blocks(mixed, block).join(content.select("s", "grams"), "s")
+    # a set's place is the least in the lists that are one
+    mixed = salted(known, over, ["list"]).groupBy(F.col("over").alias("list"), "s", "component").agg(F.min(F.coalesce("place", F.lit(0))).alias("place"))
+    mixed = materialise(mixed.join(sets.select("s", "n"), "s"))
+    groups = _blocks(mixed, block, percent).join(content.select("s", "grams"), "s")
     more = joined_groups(groups, n, percent)
     merged = connected_components(more)
 
@@ -586,6 +641,7 @@ def link_components(docs: DataFrame, percent: int = 80, text: str = "text", bloc
     of_set = of_set.join(merged.select(F.col("id").alias("c"), F.col("component").alias("d")), "c", "left").select("s", "first", F.coalesce("d", "c").alias("c"))
     of_set = materialise(of_set)
     names = materialise(of_set.groupBy("c").agg(F.min("first").alias("component_id")))
-    named = materialise(of_set.join(names, "c").select("s", "component_id"))
+    named = materialise(of_set.join(names, "c").select("s", "component_id", F.col("c").alias("component")))
     met = members.join(named, "s", "left")
-    return met.select("doc_id", "text_key", F.col("n").alias("n_shingles"), F.when(F.col("s").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    own = F.when(F.col("s").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return met.select("doc_id", "text_key", F.col("n").alias("n_shingles"), own.alias("component_id"), "component")

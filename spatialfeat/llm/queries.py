@@ -117,6 +117,18 @@ r AS (SELECT d.*, source_size, target, u, CASE WHEN source_size = 0 THEN 0.0 ELS
     FROM d JOIN s4 ON d.source IS NOT DISTINCT FROM s4.source),
 c AS (SELECT *, (floor(u + due * k::DOUBLE) - floor(u + due * (k - 1)::DOUBLE))::BIGINT AS copies FROM r)
 SELECT doc_id, size, source_size, target, copies * size AS taken, source, copies FROM c""",
+    "op10_ngram_jaccard": r"""
+WITH RECURSIVE w AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+d AS (SELECT rid, doc_id, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM w),
+g AS (SELECT rid, len(s) AS n, unnest(s) AS gram FROM d),
+r AS (SELECT rid, gram, n, row_number() OVER (PARTITION BY rid ORDER BY df, gram) AS pos FROM g JOIN (SELECT gram, count(*) AS df FROM g GROUP BY gram) USING (gram)),
+p AS (SELECT rid, gram, n FROM r WHERE pos <= n - (80 * n + 99) // 100 + 1),
+c AS (SELECT DISTINCT a.rid AS x, b.rid AS y FROM p a JOIN p b ON a.gram = b.gram AND a.rid < b.rid AND 80 * a.n <= 100 * b.n AND 80 * b.n <= 100 * a.n),
+i AS (SELECT x, y, len(a.s) + len(b.s) AS total, len(list_intersect(a.s, b.s)) AS common FROM c JOIN d a ON a.rid = x JOIN d b ON b.rid = y),
+e AS (SELECT x, y FROM i WHERE 100 * common >= 80 * (total - common) UNION ALL SELECT y, x FROM i WHERE 100 * common >= 80 * (total - common)),
+t AS (SELECT rid, rid AS top FROM d UNION SELECT e.y, t.top FROM t JOIN e ON e.x = t.rid),
+k AS (SELECT t.rid, min(o.doc_id) AS component_id FROM t JOIN d o ON o.rid = t.top GROUP BY t.rid)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id FROM d JOIN k USING (rid)""",
     "op9_warc_archive": """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html, url FROM pages),
 h AS (SELECT *, strlen(html)::BIGINT AS payload_bytes, sha1(html) AS hexed, max(page_id) OVER (PARTITION BY html) AS owner,

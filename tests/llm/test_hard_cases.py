@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from spatialfeat.llm import exact_dedup, language_id, line_dedup, mixing, packing, quality_rules, suffix_dedup, url_filters
+from spatialfeat.llm import exact_dedup, language_id, line_dedup, mixing, ngram_join, packing, quality_rules, suffix_dedup, url_filters
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 DATA = "/root/testdata/sf0.001"
@@ -265,6 +265,40 @@ def test_hot_grams_in_other_surroundings(spark, hot_least):
     assert all(a.end < b.start for r in out for a, b in zip(r.spans[:-1], r.spans[1:], strict=True))
 
 
+# ------------------------------------------------------------ n-gram join
+
+
+@pytest.mark.parametrize("options", [{"block": 4, "heavy": 5, "cells": 1 << 12}, {"block": 8}])
+def test_pages_of_one_template_and_their_near_copies(spark, options):
+    """Many texts share most of their words, some are similar, some are not, and sizes vary."""
+    rnd = random.Random(21)
+    fresh = lambda n: [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+    template, rows = fresh(40), []
+    for i in range(140):
+        w = fresh(rnd.choice([1, 2, 3, 12, 25])) + template[: rnd.choice([40, 40, 36, 20])] + fresh(rnd.choice([0, 1, 4]))
+        rows.append((i, " ".join(w), None, None, 0))
+        if i % 6 == 0:
+            w[rnd.randrange(len(w))] = "other"
+            rows.append((1000 + i, " ".join(w), None, None, 0))
+    rows.append((5000, " ".join(fresh(30_000)), None, None, 0))
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.link_components(docs, **options).collect())
+    sets = {r.doc_id: {tuple(r.text.split()[k : k + 5]) for k in range(len(r.text.split()) - 4)} for r in docs.collect()}
+    up = {i: i for i in sets}
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a in sets:
+        for b in sets:
+            if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                x, y = sorted((find(a), find(b)))
+                up[y] = x
+    assert got == sorted((i, len(s), find(i)) for i, s in sets.items()) and len({find(i) for i in sets}) < len(sets) - 10
+
+
 # ------------------------------------------------------------ line dedup
 
 
