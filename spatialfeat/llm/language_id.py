@@ -206,21 +206,21 @@ def learn(docs: DataFrame, rows: int = SAMPLE_ROWS, longest: int = SAMPLE_BYTES,
     spark = docs.sparkSession
     fit = docs.where((remainder(F.col("doc_id")) != 2) & F.col("lang").isNotNull() & (F.length("text") > 0))
     fit = fit.select("lang", "text", F.xxhash64("doc_id", "text").alias("li_place"))
-    # the hash that bounds the sample of each language, from rows without their texts
-    ranked = fit.select("lang", "li_place").distinct().withColumn("li_rank", F.row_number().over(Window.partitionBy("lang").orderBy("li_place")))
-    up_to = ranked.where(F.col("li_rank") <= rows).groupBy("lang").agg(F.max("li_place").alias("li_most"))
-    sizes = fit.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(most_langs)
-    known = {r.lang: r.li_most for r in sizes.join(up_to, "lang").collect()}  # at most most_langs rows
+    # about 2 rows + 50 of each language have a place below its bound, all where it has no more; never fewer than rows else
+    place = F.shiftrightunsigned("li_place", 34)
+    sizes = fit.select("lang", "li_place").distinct().groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(most_langs)
+    known = [(r.lang, min(1 << 30, (2 * rows + 50) * (1 << 30) // r.n + 1)) for r in sizes.collect()]  # at most most_langs rows
     if not known:
         return Model.trained({}, order)
-    bounds = F.broadcast(spark.createDataFrame(list(known.items()), "lang string, li_most long"))
+    bounds = F.broadcast(spark.createDataFrame(known, "lang string, li_most long"))
     whole = F.col("text").cast("binary")
     at = F.pmod(F.col("li_place"), F.greatest(F.octet_length("text") - longest, F.lit(1))) + 1
     window = F.when(F.octet_length("text") <= longest, whole).otherwise(F.substring(whole, at.cast("int"), F.lit(longest)))
-    chosen = fit.join(bounds, "lang").where(F.col("li_place") <= F.col("li_most")).select("lang", "li_place", window.alias("text")).distinct()
+    chosen = fit.join(bounds, "lang").where(place < F.col("li_most")).select("lang", "li_place", window.alias("text")).distinct()
     share = max(1, total // len(known))
-    before = Window.partitionBy("lang").orderBy("li_place", "text").rowsBetween(Window.unboundedPreceding, -1)
-    chosen = chosen.withColumn("li_before", F.coalesce(F.sum(F.octet_length("text")).over(before), F.lit(0))).where(F.col("li_before") < share)
+    own = Window.partitionBy("lang").orderBy("li_place", "text")
+    before = F.coalesce(F.sum(F.octet_length("text")).over(own.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    chosen = chosen.withColumns({"li_rank": F.row_number().over(own), "li_before": before}).where((F.col("li_rank") <= rows) & (F.col("li_before") < share))
     samples: dict[str, list[bytes]] = {}
     for r in chosen.select("lang", "text").orderBy("lang", "li_place").collect():  # at most total, and one document a language more
         samples.setdefault(r.lang, []).append(bytes(r.text))
