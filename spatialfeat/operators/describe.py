@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import number, quantiles
 from ..functions.names import feature_class
 from ..schema import STATUS_OK, described_columns
+from .quantiles import PLACE, VALUES, gathered, long, met, with_quantiles, with_values
 
 _AT = (0.01, 0.05, 0.10, 0.25, 0.50, 0.75, 0.90, 0.95, 0.99)
 _NAMES = ("q01", "q05", "q10", "q25", "median", "q75", "q90", "q95", "q99")
@@ -19,73 +19,62 @@ def ok_rows(df: DataFrame, status_filter: str | None = STATUS_OK) -> DataFrame:
     return df if status_filter is None or "status" not in df.columns else df.where(F.col("status") == status_filter)
 
 
-def describe(df: DataFrame, features: list[str] | None = None, keys=()) -> DataFrame:
-    """22 statistics per key and feature. One aggregate over the wide table; only its result is made long."""
-    features = described_columns(df) if features is None else features
-    one = []
-    for f in features:
-        x = number(F.col(f))
-        one += [
-            F.count(x).alias(f"{f}__n"), F.count("*").alias(f"{f}__all"), F.avg(x).alias(f"{f}__m"), F.stddev_samp(x).alias(f"{f}__s"), F.min(x).alias(f"{f}__lo"),
-            F.max(x).alias(f"{f}__hi"), quantiles(x, *_AT).alias(f"{f}__q"), F.count_if(x == 0).alias(f"{f}__z"), F.count_if(x > 0).alias(f"{f}__p"), F.count_if(x < 0).alias(f"{f}__g"),
-        ]
-    agg = df.groupBy(*keys).agg(*one)
-
-    def row(f: str) -> Column:
-        c = lambda k: F.col(f"{f}__{k}")
-        q = {name: F.get(c("q"), F.lit(i)) for i, name in enumerate(_NAMES)}
-        missing = c("all") - c("n")
-        values = {"feature_name": F.lit(f), "feature_class": feature_class(F.lit(f)), "count": c("n"), "nan_count": missing, "nan_ratio": F.try_divide(missing.cast("double"), c("all"))}
-        values |= {"mean": c("m"), "std": c("s"), "min": c("lo")} | q | {"max": c("hi"), "iqr": q["q75"] - q["q25"]}
-        values |= {"zero_count": c("z"), "positive_count": c("p"), "negative_count": c("g")}
-        return F.struct(*(v.alias(k) for k, v in values.items()))
+def _named(features: list[str]):
+    return F.get(F.array(*map(F.lit, features)), F.col(PLACE))
 
-    return agg.select(*keys, F.inline(F.array(*map(row, features))))
 
-
-def _with_quantiles(df: DataFrame, features, keys, at) -> DataFrame:
-    q = df.groupBy(*keys).agg(*(quantiles(number(F.col(f)), *at).alias(f"{f}__q") for f in features))
-    return df.alias("a").join(q.alias("b"), [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]).select("a.*", *(F.col(f"b.{f}__q") for f in features))
+def describe(df: DataFrame, features: list[str] | None = None, keys=()) -> DataFrame:
+    """22 statistics per key and feature, as one aggregate of long values."""
+    features = described_columns(df) if features is None else features
+    keys = list(keys)
+    x = F.col("x")
+    agg = long(with_values(df, features), VALUES, keys).groupBy(*keys, PLACE).agg(
+        F.count(x).alias("count"), F.count("*").alias("all_"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"),
+        F.percentile(x, F.array(*map(F.lit, _AT))).alias("q_"), F.count_if(x == 0).alias("zero_count"), F.count_if(x > 0).alias("positive_count"), F.count_if(x < 0).alias("negative_count"),
+    )
+    name, missing = _named(features), F.col("all_") - F.col("count")
+    q = {n: F.get("q_", F.lit(i)) for i, n in enumerate(_NAMES)}
+    return agg.select(
+        *keys, name.alias("feature_name"), feature_class(name).alias("feature_class"), "count", missing.alias("nan_count"), F.try_divide(missing.cast("double"), F.col("all_")).alias("nan_ratio"),
+        "mean", "std", "min", *(v.alias(n) for n, v in q.items()), "max", (q["q75"] - q["q25"]).alias("iqr"), "zero_count", "positive_count", "negative_count",
+    )
 
 
 def box_stats(df: DataFrame, features: list[str], keys=("sample_id",), reach: float = 1.5) -> DataFrame:
     """Quartiles, and whiskers at the last values within `reach` times the box, at the box where none is."""
-    met, one = _with_quantiles(df, features, keys, (0.25, 0.5, 0.75)), []
-    for f in features:
-        x, q1, q3 = number(F.col(f)), F.get(f"{f}__q", F.lit(0)), F.get(f"{f}__q", F.lit(2))
-        iqr = q3 - q1
-        one += [
-            F.first(f"{f}__q").alias(f"{f}__q"), F.min(F.when(x >= q1 - reach * iqr, x)).alias(f"{f}__lo"), F.max(F.when(x <= q3 + reach * iqr, x)).alias(f"{f}__hi"),
-        ]
-
-    def row(f: str) -> Column:
-        q = [F.get(f"{f}__q", F.lit(i)) for i in range(3)]
-        low, high = F.least(F.col(f"{f}__lo"), q[0]), F.greatest(F.col(f"{f}__hi"), q[2])
-        return F.struct(F.lit(f).alias("feature_name"), q[0].alias("q1"), q[1].alias("med"), q[2].alias("q3"), low.alias("whislo"), high.alias("whishi"))
-
-    return met.groupBy(*keys).agg(*one).select(*keys, F.inline(F.array(*map(row, features))))
+    found = with_quantiles(with_values(df, features), list(keys), [0.25, 0.5, 0.75])
+    rows = long(found, F.arrays_zip(VALUES, "q_"), list(keys), "r")
+    x, q = F.col(f"r.{VALUES}"), [F.get("r.q_", F.lit(i)) for i in range(3)]
+    iqr = q[2] - q[0]
+    agg = rows.groupBy(*keys, PLACE).agg(
+        *(F.max(v).alias(n) for n, v in zip(("q1", "med", "q3"), q, strict=True)), F.min(F.when(x >= q[0] - reach * iqr, x)).alias("low"), F.max(F.when(x <= q[2] + reach * iqr, x)).alias("high")
+    )
+    return agg.select(*keys, _named(features).alias("feature_name"), "q1", "med", "q3", F.least("low", "q1").alias("whislo"), F.greatest("high", "q3").alias("whishi"))
 
 
 def representatives(df: DataFrame, features: list[str], order: list[str], carry: list[str], keys=("sample_id",), stats=tuple(TARGETS), digits: int = 6) -> DataFrame:
     """Per key, feature and statistic the row nearest to the statistic; ties by `order`, the file order.
 
-    Differences that agree to `digits` digits are ties. Each row is found by a minimum over structs, so nothing is sorted
-    and rows are not multiplied. Statistics with other names are ignored; features without values have no row.
+    Differences that agree to `digits` digits are ties. The smallest difference is found first, and only rows that have it are
+    then made long and compared by order, so rows are not multiplied or sorted. Statistics with other names are ignored;
+    features without values have no row.
     """
     stats = [s for s in stats if s in TARGETS]
-    met, one = _with_quantiles(df, features, keys, [TARGETS[s] for s in stats]), []
-    for f in features:
-        x = number(F.col(f))
-        for i, s in enumerate(stats):
-            target = F.get(f"{f}__q", F.lit(i))
-            exact = F.abs(x - target)
-            best = F.struct(F.round(exact + 1e-9, digits).alias("near"), *order, x.alias("selected_value"), target.alias("target_value"), exact.alias("abs_diff"), *(F.col(c).alias(f"c_{c}") for c in carry))
-            one.append(F.min(F.when(x.isNotNull(), best)).alias(f"{f}__{s}"))
-
-    def row(f: str, s: str) -> Column:
-        c = F.col(f"{f}__{s}")
-        named = [F.lit(f).alias("feature_name"), feature_class(F.lit(f)).alias("feature_class"), F.lit(s).alias("stat_name")]
-        return F.struct(*named, *(c[v].alias(v) for v in ("target_value", "selected_value", "abs_diff")), *(c[f"c_{v}"].alias(v) for v in carry))
-
-    rows = F.inline(F.array(*(row(f, s) for f in features for s in stats)))
-    return met.groupBy(*keys).agg(*one).select(*keys, rows).where("selected_value IS NOT NULL")
+    keys = list(keys)
+    near = lambda x, q: F.transform(q, lambda t: F.round(F.abs(x - t) + 1e-9, digits))
+    found = with_quantiles(with_values(df, features), keys, [TARGETS[s] for s in stats]).withColumn("near_", F.zip_with(VALUES, "q_", near))
+    least = long(found, "near_", keys).groupBy(*keys, PLACE).agg(*(F.min(F.get("x", F.lit(i))).alias(f"m{i}") for i in range(len(stats))))
+    found = met(found, gathered(least, keys, F.array(*(f"m{i}" for i in range(len(stats)))), "best_"), keys)
+    rows = F.arrays_zip(F.sequence(F.lit(0), F.lit(len(features) - 1)).alias("place"), F.col(VALUES).alias("x"), F.col("q_").alias("q"), F.col("near_").alias("near"), F.col("best_").alias("best"))
+    hits = F.filter(rows, lambda r: F.exists(F.zip_with(r["near"], r["best"], lambda a, b: a == b), lambda e: F.coalesce(e, F.lit(False))))
+    # order and carry get names of their own, as a column may be in both
+    some = [F.col(f"`{c}`").alias(f"o{i}_") for i, c in enumerate(order)] + [F.col(f"`{c}`").alias(f"c{i}_") for i, c in enumerate(carry)]
+    each = found.select(*keys, *some, F.explode(hits).alias("r"))
+    each = each.select(*keys, *(f"o{i}_" for i in range(len(order))), *(f"c{i}_" for i in range(len(carry))), F.col("r.place").alias(PLACE), F.col("r.x").alias("x"), F.posexplode(F.arrays_zip("r.q", "r.near", "r.best")).alias("stat_", "s"))
+    each = each.where(F.col("s.near") == F.col("s.best"))
+    best = F.min(F.struct(*(f"o{i}_" for i in range(len(order))), "x", F.col("s.q").alias("t"), *(f"c{i}_" for i in range(len(carry))))).alias("b")
+    name = _named(features)
+    return each.groupBy(*keys, PLACE, "stat_").agg(best).select(
+        *keys, name.alias("feature_name"), feature_class(name).alias("feature_class"), F.get(F.array(*map(F.lit, stats)), F.col("stat_")).alias("stat_name"), F.col("b.t").alias("target_value"),
+        F.col("b.x").alias("selected_value"), F.abs(F.col("b.x") - F.col("b.t")).alias("abs_diff"), *(F.col(f"b.c{i}_").alias(c) for i, c in enumerate(carry)),
+    )

@@ -1,8 +1,8 @@
 """Column-wise robust normalisation per sample: quantile clip, z-score, min-max, as one aggregate and one join.
 
 Clipping at quantiles leaves the lower quantile as minimum and the upper one as maximum, and a z-score in between does not
-change a min-max scaling, so the scaled value needs the two quantiles only. Quantiles of all features come from one
-aggregate per sample; rows meet them in an equi-join on the sample, whose other side is already dealt by sample.
+change a min-max scaling, so the scaled value needs the two quantiles only. They come from an aggregate per sample and
+feature; rows meet them in an equi-join on the sample.
 """
 
 from __future__ import annotations
@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import clip, number, quantiles
+from ..functions.columns import clip
 from ..schema import STATUS_OK, normalised_columns
+from .quantiles import PLACE, VALUES, long, with_quantiles, with_values
 
 
 def _features(df: DataFrame, features: list[str] | None) -> list[str]:
@@ -21,21 +22,9 @@ def _features(df: DataFrame, features: list[str] | None) -> list[str]:
     return features
 
 
-def _gated(f: str, status: str | None) -> Column:
-    x = number(F.col(f))
-    return x if status is None else F.when(F.col(status) == STATUS_OK, x)
-
-
-def bounds(df: DataFrame, features: list[str] | None = None, keys=("sample_id",), status: str | None = "status", lower: float = 0.01, upper: float = 0.99) -> DataFrame:
-    """keys and, per feature f, f__q: its lower and upper quantile over rows that are ok."""
-    features = _features(df, features)
-    return df.groupBy(*keys).agg(*(quantiles(_gated(f, status), lower, upper).alias(f"{f}__q") for f in features))
-
-
-def _with_bounds(df: DataFrame, features, keys, status, lower, upper) -> DataFrame:
-    b = bounds(df, features, keys, status, lower, upper)
-    same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
-    return df.alias("a").join(b.alias("b"), same).select("a.*", *(F.col(f"b.{f}__q") for f in features))
+def _bounded(df: DataFrame, features: list[str], keys: list[str], status: str | None, lower: float, upper: float) -> DataFrame:
+    """df with VALUES on rows that are ok, and q_: lower and upper quantile of every feature."""
+    return with_quantiles(with_values(df, features, None if status is None else F.col(status) == STATUS_OK), keys, [lower, upper])
 
 
 def normalize(df: DataFrame, features: list[str] | None = None, keys=("sample_id",), status: str | None = "status", lower: float = 0.01, upper: float = 0.99) -> DataFrame:
@@ -44,36 +33,30 @@ def normalize(df: DataFrame, features: list[str] | None = None, keys=("sample_id
     A feature that is constant or all null in a sample is 0 on every row that is ok, null ones included.
     """
     features = _features(df, features)
+    place = {f: i for i, f in enumerate(features)}
 
-    def scaled(f: str) -> Column:
-        low, high = F.get(f"{f}__q", F.lit(0)), F.get(f"{f}__q", F.lit(1))
-        value = F.when(low.isNull() | (low == high), F.lit(0.0)).otherwise((clip(number(F.col(f)), low, high) - low) / (high - low))
-        return value if status is None else F.when(F.col(status) == STATUS_OK, value)
+    def scaled(x: Column, q: Column) -> Column:
+        low, high = q[0], q[1]
+        return F.when(low.isNull() | (low == high), F.lit(0.0)).otherwise((clip(x, low, high) - low) / (high - low))
 
-    met = _with_bounds(df, features, keys, status, lower, upper)
-    return met.select(*(scaled(c).alias(c) if c in features else F.col(c) for c in df.columns))
+    every = F.zip_with(VALUES, "q_", scaled)
+    found = _bounded(df, features, list(keys), status, lower, upper).withColumn("scaled_", every if status is None else F.when(F.col(status) == STATUS_OK, every))
+    return found.select(*(F.get("scaled_", F.lit(place[c])).alias(c) if c in place else F.col(f"`{c}`") for c in df.columns))
 
 
 def normalization_stats(df: DataFrame, features: list[str] | None = None, keys=("sample_id",), status: str | None = "status", lower: float = 0.01, upper: float = 0.99) -> DataFrame:
     """One row per key and feature: quantiles, moments after the clip, and what z-score and scaling come to."""
     features = _features(df, features)
-    met = _with_bounds(df, features, keys, status, lower, upper)
-    clipped = lambda f: clip(_gated(f, status), F.get(f"{f}__q", F.lit(0)), F.get(f"{f}__q", F.lit(1)))
-    one = []
-    for f in features:
-        x = clipped(f)
-        one += [F.first(f"{f}__q").alias(f"{f}__q"), F.avg(x).alias(f"{f}__m"), F.stddev_pop(x).alias(f"{f}__s"), F.min(x).alias(f"{f}__lo"), F.max(x).alias(f"{f}__hi")]
-    agg = met.groupBy(*keys).agg(*one)
-
-    def row(f: str) -> Column:
-        low, high = F.col(f"{f}__lo"), F.col(f"{f}__hi")
-        spread = F.coalesce(low < high, F.lit(False))
-        q = lambda i: F.get(f"{f}__q", F.lit(i))
-        values = {
-            "feature": F.lit(f), "lower_q": F.lit(lower), "upper_q": F.lit(upper), "lower_bound": q(0), "upper_bound": q(1),
-            "mean": F.col(f"{f}__m"), "std": F.when(low.isNotNull() & ~spread, 0.0).otherwise(F.col(f"{f}__s")), "min_after_clip": low, "max_after_clip": high,
-            "z_mean": F.lit(0.0), "z_std": F.when(spread, 1.0).otherwise(0.0), "scaled_min": F.lit(0.0), "scaled_max": F.when(spread, 1.0).otherwise(0.0),
-        }
-        return F.struct(*(v.alias(k) for k, v in values.items()))
-
-    return agg.select(*keys, F.inline(F.array(*map(row, features))))
+    found = _bounded(df, features, list(keys), status, lower, upper)
+    clipped = F.zip_with(VALUES, "q_", lambda x, q: F.struct(clip(x, q[0], q[1]).alias("v"), q[0].alias("lo"), q[1].alias("hi")))
+    rows = long(found, clipped, list(keys)).select(*keys, PLACE, "x.*")
+    agg = rows.groupBy(*keys, PLACE).agg(
+        F.max("lo").alias("lower_bound"), F.max("hi").alias("upper_bound"), F.avg("v").alias("mean"), F.stddev_pop("v").alias("s"), F.min("v").alias("min_after_clip"), F.max("v").alias("max_after_clip"),
+    )
+    low, spread = F.col("min_after_clip"), F.coalesce(F.col("min_after_clip") < F.col("max_after_clip"), F.lit(False))
+    one = F.when(spread, 1.0).otherwise(0.0)
+    return agg.select(
+        *keys, F.get(F.array(*map(F.lit, features)), F.col(PLACE)).alias("feature"), F.lit(lower).alias("lower_q"), F.lit(upper).alias("upper_q"), "lower_bound", "upper_bound", "mean",
+        F.when(low.isNotNull() & ~spread, 0.0).otherwise(F.col("s")).alias("std"), "min_after_clip", "max_after_clip", F.lit(0.0).alias("z_mean"), one.alias("z_std"),
+        F.lit(0.0).alias("scaled_min"), one.alias("scaled_max"),
+    )
