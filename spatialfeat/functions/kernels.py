@@ -49,8 +49,29 @@ def ratio(a, b, other=0.0):
 
 def levels(gray: np.ndarray, mask: np.ndarray, width: int = 25) -> np.ndarray:
     """1-based bins of fixed width from the smallest value of the region; 0 outside."""
-    low = np.where(mask, gray, np.iinfo(np.int64).max).reshape(len(gray), -1).min(1)
-    return np.where(mask, gray // width - (low // width)[:, None, None] + 1, 0)
+    low = np.where(mask, gray, np.inf).reshape(len(gray), -1).min(1)
+    return np.where(mask, gray // width - (low // width)[:, None, None] + 1, 0).astype(np.int64)
+
+
+def luma(rgb: np.ndarray) -> np.ndarray:
+    """Gray values of 8-bit RGB in the last axis, in 16-bit fixed point, rounded."""
+    return (rgb.astype(np.int64) @ np.array([19595, 38470, 7471]) + 32768) >> 16
+
+
+#: Point-wise image types besides the original, of an image and its largest absolute value.
+FILTERS = {
+    "square": lambda x, top: (x / np.sqrt(top)) ** 2,
+    "squareroot": lambda x, top: np.sign(x) * np.sqrt(top * np.abs(x)),
+    "logarithm": lambda x, top: np.sign(x) * top / np.log(top + 1) * np.log(np.abs(x) + 1),
+    "exponential": lambda x, top: np.exp(np.log(top) / top * x),
+}
+
+
+def filtered(gray: np.ndarray, kind: str) -> np.ndarray:
+    """A stack of images under a point-wise filter, scaled to the range of each image."""
+    top = np.abs(gray).reshape(len(gray), -1).max(1).astype(float)[:, None, None]
+    with np.errstate(all="ignore"):
+        return FILTERS[kind](gray.astype(float), top)
 
 
 def firstorder(gray: np.ndarray, mask: np.ndarray, width: int = 25) -> dict[str, np.ndarray]:
@@ -280,18 +301,6 @@ def texture(gray: np.ndarray, mask: np.ndarray, width: int = 25, offsets=PLANE,
 # ---------------------------------------------------------------- raster and shape
 
 
-def flattened(geometry) -> list:
-    """Polygons (lists of rings, the first is the exterior) of nested collections; empty ones go."""
-    if geometry is None or not len(geometry):
-        return []
-    depth, g = 0, geometry
-    while isinstance(g, (list, tuple, np.ndarray)) and len(g):
-        depth, g = depth + 1, g[0]
-    if depth <= (2 if isinstance(g, dict) else 3):  # rings of points, which are mappings or pairs
-        return [geometry]
-    return [p for part in geometry for p in flattened(part)]
-
-
 def points_of(ring) -> np.ndarray:
     """A ring as an array of (x, y), without the point that closes it."""
     out = ring if isinstance(ring, np.ndarray) else np.array([(p["x"], p["y"]) if isinstance(p, dict) else (p[0], p[1]) for p in ring], float).reshape(-1, 2)
@@ -407,6 +416,45 @@ def axes(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float((a + c) / 2 + root), float(max(0.0, (a + c) / 2 - root))
 
 
+STATISTICS = (
+    "mean", "median", "minimum", "maximum", "range", "variance", "standarddeviation", "p10", "p25", "p75", "p90", "iqr",
+    "meanabsolutedeviation", "skewness", "kurtosis", "entropy", "energy", "rootmeansquared",
+)
+
+
+def statistics(x: np.ndarray) -> np.ndarray | None:
+    """STATISTICS of the finite ones of some values; None without any. Kurtosis is the excess; both are 0 for a constant."""
+    x = x[np.isfinite(x)]
+    if not len(x):
+        return None
+    low, high, mean, var = x.min(), x.max(), x.mean(), x.var()
+    q = np.percentile(x, [10, 25, 50, 75, 90])
+    flat = low == high or var == 0
+    z = np.zeros(1) if flat else (x - mean) / np.sqrt(var)
+    entropy = 0.0
+    if low < high:
+        count = np.histogram(x, min(16, max(2, len(x))))[0]
+        p = count[count > 0] / len(x)
+        entropy = -(p * np.log2(p)).sum()
+    return np.array([
+        mean, q[2], low, high, high - low, var, np.sqrt(var), q[0], q[1], q[3], q[4], q[3] - q[1], np.abs(x - mean).mean(),
+        (z**3).mean(), 0.0 if flat else (z**4).mean() - 3, entropy, (x * x).sum(), np.sqrt((x * x).mean()),
+    ])
+
+
+def cell_shape(geometry: list, h: int, w: int) -> dict[str, float] | None:
+    """Shape of what of a cell lies in an image; None where that is under three pixels or there is no polygon.
+
+    Ten decimals are kept, so that the order of sums does not make equal cells differ.
+    """
+    try:
+        mask, (x0, y0, _, _) = local_mask(geometry)
+    except ValueError:
+        return None
+    made = shape2d(mask[max(0, -y0) : max(0, h - y0), max(0, -x0) : max(0, w - x0)])
+    return None if made is None else {f: round(v, 10) for f, v in made.items()}
+
+
 def outlines(mask: np.ndarray) -> list[list[tuple[float, float]]]:
     """Closed outer outlines (x, y) along pixel edges of the 8-connected parts of a mask, with positive area."""
     label = zones((mask > 0).astype(int)[None])[0]

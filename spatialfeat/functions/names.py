@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -66,35 +64,27 @@ def feature_class(name: Column) -> Column:
     return out
 
 
-def decoded(col: Column, missing: str | None = None) -> Column:
-    """Barcode as text: bytes are read as UTF-8, arrays give their first element."""
-    text = col.cast("string")
+def decoded(col: Column, missing: str | None = None, array: bool = False) -> Column:
+    """Barcode as text: bytes are read as UTF-8, and with `array` the first element of an array."""
+    text = (F.get(col, F.lit(0)) if array else col).cast("string")
     return text if missing is None else F.coalesce(text, F.lit(missing))
 
 
-def as_bool(value: object) -> bool:
-    """Truth of a configuration value."""
-    if isinstance(value, bool):
+# Texts of truth values, and what means nothing.
+TRUE, FALSE = ("true", "1", "yes", "y"), ("false", "0", "no", "n")
+NOTHING = ("None", "none", "", [], None)
+
+
+def as_bool(value: object) -> bool | None:
+    """Truth of a setting; None stays None, other texts are an error."""
+    if value is None or isinstance(value, bool):
         return value
-    text = str(value).strip().lower()
-    if text in {"1", "true", "t", "yes", "y", "on"}:
-        return True
-    if text in {"0", "false", "f", "no", "n", "off"}:
-        return False
-    raise ValueError(f"not a truth value: {value!r}")
+    found = [truth for truth, texts in ((True, TRUE), (False, FALSE)) if str(value).strip().lower() in texts]
+    if not found:
+        raise ValueError(f"not a truth value: {value!r}")
+    return found[0]
 
 
 def none_like(value: object) -> object:
-    """None for texts that mean it."""
-    return None if isinstance(value, str) and re.fullmatch(r"\s*(none|null|)\s*", value, re.I) else value
-
-
-def merged(base: dict, over: dict | None) -> dict:
-    """base with the values of over, nested mappings merged; None does not replace."""
-    out = dict(base)
-    for key, value in (over or {}).items():
-        if isinstance(value, dict) and isinstance(out.get(key), dict):
-            out[key] = merged(out[key], value)
-        elif value is not None:
-            out[key] = value
-    return out
+    """None for what means nothing."""
+    return None if value in NOTHING else value

@@ -1,31 +1,15 @@
-"""Status of a row: the first failure in a fixed order of extractors wins; ok can change once."""
+"""Status of a row: the first failure wins, and a patch that failed as a whole keeps nothing but its keys and a message."""
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..schema import STATUS_ERROR, STATUS_OK
+from ..schema import STATUS_ERROR
 
 
-def first_failure(*failures: tuple[str, Column]) -> Column:
-    """ok, or `code: message` of the first extractor whose message is not null."""
-    codes = [F.when(message.isNotNull(), F.concat(F.lit(f"{code}: "), message)) for code, message in failures]
-    return F.coalesce(*codes, F.lit(STATUS_OK))
-
-
-def update_once(status: Column, new: Column) -> Column:
-    """The new status where the old one is ok and there is a new one."""
-    return F.when((status == STATUS_OK) & new.isNotNull(), new).otherwise(status)
-
-
-def error_row(sample_id: Column, patch_idx: Column, message: Column) -> Column:
-    """What is left of a patch that failed as a whole."""
-    return F.struct(sample_id.alias("sample_id"), patch_idx.alias("patch_idx"), F.lit(STATUS_ERROR).alias("status"), message.alias("error"))
-
-
-def latest(*steps: Column) -> Column:
-    """Statuses of successive steps folded by update_once, the first is the starting one."""
-    return reduce(update_once, steps)
+def blank_on_error(status: Column) -> Callable[[Column], Column]:
+    """Makes values null on rows that failed as a whole."""
+    return lambda value: F.when(status != STATUS_ERROR, value)

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import kernels
 from ..functions.columns import bin_of, bins_for, finite, quantiles
 from ..functions.names import class_name
-from ..schema import CLASS_NAMES, KNOWN_CELL_CLASSES, SKIPPED_NO_CELLS, STATUS_OK
+from ..schema import CLASS_NAMES, KNOWN_CELL_CLASSES, keys_of
 
 
 def normalised_cells(cells: DataFrame) -> DataFrame:
@@ -17,27 +18,37 @@ def normalised_cells(cells: DataFrame) -> DataFrame:
     return out.where(F.col("geometry").isNotNull()) if "geometry" in cells.columns else out
 
 
+def class_counts(classes=KNOWN_CELL_CLASSES) -> list[Column]:
+    """Aggregates over cells: dist_n and dist_n_CLASS."""
+    c = class_name(F.col("class_name"))
+    return [F.count("*").alias("dist_n"), *(F.count_if(c == k).alias(f"dist_n_{k}") for k in classes)]
+
+
+def class_shares(classes=KNOWN_CELL_CLASSES) -> dict[str, Column]:
+    """Total, counts and shares by name from class_counts; zeros where there are none."""
+    count = lambda k: F.coalesce(F.col(k), F.lit(0)).cast("double")
+    total = count("dist_n")
+    out = {"dist_cell_count_total": total}
+    for k in classes:
+        out |= {f"dist_count_{k}": count(f"dist_n_{k}"), f"dist_ratio_{k}": F.when(total > 0, count(f"dist_n_{k}") / total).otherwise(0.0)}
+    return out
+
+
 def composition(patches: DataFrame, cells: DataFrame, keys=("patch_idx",), classes=KNOWN_CELL_CLASSES) -> DataFrame:
     """Counts and shares of known classes for every patch, zeros for patches without cells; unknown cells count in the total.
 
     Cells are summed up before they meet the patches, so the join carries one row per patch.
     """
-    c = class_name(F.col("class_name"))
-    per = cells.groupBy(*keys).agg(F.count("*").alias("dist_n"), *(F.count_if(c == k).alias(f"dist_n_{k}") for k in classes))
-    met = patches.select(*keys).join(per, list(keys), "left")
-    count = lambda k: F.coalesce(F.col(k), F.lit(0)).cast("double")
-    total = count("dist_n")
-    out = [total.alias("dist_cell_count_total")]
-    for k in classes:
-        out += [count(f"dist_n_{k}").alias(f"dist_count_{k}"), F.when(total > 0, count(f"dist_n_{k}") / total).otherwise(0.0).alias(f"dist_ratio_{k}")]
-    return met.select(*keys, *out)
+    per = cells.groupBy(*keys).agg(*class_counts(classes))
+    return patches.select(*keys).join(per, list(keys), "left").select(*keys, *(v.alias(k) for k, v in class_shares(classes).items()))
 
 
-def patch_counts(cells: DataFrame) -> DataFrame:
-    """Cells per patch and barcode; a count that the cells carry is taken from the first of a patch."""
+def patch_counts(cells: DataFrame, order: list[str] = ("cell_id_in_patch",)) -> DataFrame:
+    """Cells per patch and barcode (and sample, if there is one); a count that the cells carry is taken from the first of a patch."""
+    keys = keys_of(cells)
     if "n_cells" in cells.columns:
-        return cells.groupBy("patch_idx").agg(F.min(F.struct("ord", "barcode", "n_cells")).alias("x")).select("patch_idx", "x.barcode", "x.n_cells")
-    return cells.groupBy("patch_idx", "barcode").agg(F.count("*").alias("n_cells"))
+        return cells.groupBy(*keys).agg(F.min(F.struct(*order, "barcode", "n_cells")).alias("x")).select(*keys, "x.barcode", "x.n_cells")
+    return cells.groupBy(*keys, "barcode").agg(F.count("*").alias("n_cells"))
 
 
 def numbered(cells: DataFrame, order: list[str], keys=("patch_idx",)) -> DataFrame:
@@ -56,10 +67,11 @@ def majority_class(pixels: DataFrame, keys: list[str], class_id: str = "class_id
 
 
 def with_summary(cells: DataFrame, summary: DataFrame | None) -> DataFrame:
-    """Cells with n_cells, coord_raw and its JSON twin of their patch and barcode (null meets null); patches without cells have no row."""
+    """Cells with n_cells, coord_raw and its JSON twin of their sample (if both have it), patch and barcode (null meets null);
+    patches without cells have no row."""
     if summary is None:
         return cells.withColumns({"coord_raw": F.lit(None).cast("array<double>"), "coord_raw_json": F.lit(None).cast("string"), "n_cells": F.lit(0).cast("long")})
-    same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in ("patch_idx", "barcode")]
+    same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys_of(cells, summary, keys=("patch_idx", "barcode"))]
     met = cells.alias("a").join(summary.alias("b"), same, "left")
     return met.select("a.*", "b.coord_raw", F.to_json("b.coord_raw").alias("coord_raw_json"), F.coalesce("b.n_cells", F.lit(0)).alias("n_cells"))
 
@@ -69,11 +81,8 @@ def tallies(cells: DataFrame, patches: DataFrame) -> DataFrame:
     return patches.agg(F.count("*").alias("num_patches")).withColumn("num_polygons", cells.agg(F.count("*")).scalar())
 
 
-#: Names of the statistics of a cell measurement over a patch.
-MORPH_STATS = (
-    "mean", "median", "minimum", "maximum", "range", "variance", "standarddeviation", "p10", "p25", "p75", "p90", "iqr",
-    "meanabsolutedeviation", "skewness", "kurtosis", "entropy", "energy", "rootmeansquared",
-)
+#: Names of the statistics of a cell measurement over a patch.
+MORPH_STATS = kernels.STATISTICS
 
 
 def entropy_of(values: Column, n: Column, low: Column, high: Column) -> Column:
@@ -115,7 +124,3 @@ def measurement_stats(cells: DataFrame, features: list[str], keys=("patch_idx",)
         return [F.when(n > 0, values[k]).alias(f"{prefix}{f}_{k}") for k in MORPH_STATS]
 
     return agg.select(*keys, *(c for f in features for c in stats(f)))
-
-
-def cell_status(n_cells: Column) -> Column:
-    return F.when(n_cells > 0, STATUS_OK).otherwise(SKIPPED_NO_CELLS)

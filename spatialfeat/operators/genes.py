@@ -32,20 +32,20 @@ def common_genes(expr: DataFrame, share: float = 0.1) -> DataFrame:
     return kept.where(F.col("n") == samples.scalar()).select("gene")
 
 
-def _moments(expr: DataFrame, genes: DataFrame) -> DataFrame:
+def moments(expr: DataFrame, genes: DataFrame) -> DataFrame:
     """Per common gene the number of all observations and sums over them; absent values add nothing."""
     n = expr.select("sample_id", "obs_id").distinct().agg(F.count("*").alias("n_obs"))
     sums = expr.join(genes, "gene").groupBy("gene").agg(F.sum("value").alias("s1"), F.sum(F.col("value") * F.col("value")).alias("s2"))
     return genes.join(sums, "gene", "left").na.fill(0.0, ["s1", "s2"]).withColumn("n_obs", n.scalar())
 
 
-def top_by_mean(expr: DataFrame, genes: DataFrame, k: int) -> DataFrame:
-    """(gene, mean) of the k largest means over all observations; ties in gene order."""
-    return _moments(expr, genes).select("gene", (F.col("s1") / F.col("n_obs")).alias("mean")).orderBy(F.desc("mean"), "gene").limit(k)
+def top_by_mean(sums: DataFrame, k: int) -> DataFrame:
+    """(gene, mean) of the k largest means over all observations, from moments; ties in gene order."""
+    return sums.select("gene", (F.col("s1") / F.col("n_obs")).alias("mean")).orderBy(F.desc("mean"), "gene").limit(k)
 
 
-def dispersions(expr: DataFrame, genes: DataFrame, bins: int = 20) -> DataFrame:
-    """(gene, norm): dispersion of each gene normalised within genes of similar mean.
+def dispersions(sums: DataFrame, bins: int = 20) -> DataFrame:
+    """(gene, norm): dispersion of each gene normalised within genes of similar mean, from moments.
 
     Log dispersion of counts, centred and scaled in equal-width bins of log mean; a gene alone in its bin is at 1. Windows
     are over one row per gene.
@@ -53,7 +53,7 @@ def dispersions(expr: DataFrame, genes: DataFrame, bins: int = 20) -> DataFrame:
     n, s1, s2 = F.col("n_obs"), F.col("s1"), F.col("s2")
     mean = s1 / n
     var = (s2 - n * mean * mean) / (n - 1)
-    m = _moments(expr, genes).select("gene", F.when(mean == 0, 1e-12).otherwise(mean).alias("mu"), var.alias("var"))
+    m = sums.select("gene", F.when(mean == 0, 1e-12).otherwise(mean).alias("mu"), var.alias("var"))
     d = F.col("var") / F.col("mu")
     m = m.select("gene", F.log(F.when(d > 0, d)).alias("disp"), F.log1p("mu").alias("m"))
     every = Window.partitionBy(F.lit(0))
@@ -66,23 +66,22 @@ def dispersions(expr: DataFrame, genes: DataFrame, bins: int = 20) -> DataFrame:
     return m.select("gene", F.when(F.col("disp").isNotNull() & alone, 1.0).otherwise((F.col("disp") - mean) / F.nullif(std, F.lit(0.0))).alias("norm"))
 
 
-def highly_variable(expr: DataFrame, genes: DataFrame, k: int, digits: int = 6) -> DataFrame:
-    """(gene, norm): genes at or above the k-th largest dispersion, in gene order, cut to k.
+def highly_variable(sums: DataFrame, k: int, digits: int = 6) -> DataFrame:
+    """(gene, norm): genes at or above the k-th largest dispersion, in gene order, cut to k; from moments.
 
     Dispersions are compared to `digits` digits, so that the last bit does not decide.
     """
-    d = dispersions(expr, genes).select("gene", F.round(F.coalesce("norm", F.lit(0.0)) + 1e-9, digits).alias("norm"))
+    d = dispersions(sums).select("gene", F.round(F.coalesce("norm", F.lit(0.0)) + 1e-9, digits).alias("norm"))
     ranked = d.orderBy(F.desc("norm"), "gene").limit(k)
     cut = ranked.agg(F.min("norm").alias("cut"))
     return d.where(F.col("norm") >= cut.scalar()).select("gene", "norm").orderBy("gene").limit(k)
 
 
-def gene_sets(expr: DataFrame, criteria=CRITERIA, ks=(50, 100, 250), share: float = 0.1) -> dict[tuple[str, int], DataFrame]:
-    """A gene list per criterion and k; the common genes are worked out once."""
+def gene_sets(sums: DataFrame, criteria=CRITERIA, ks=(50, 100, 250)) -> dict[tuple[str, int], DataFrame]:
+    """A gene list per criterion and k, from the moments of the common genes, which are best written before."""
     for c in criteria:
         check_criteria(c)
-    genes = common_genes(expr, share).persist()
-    if genes.isEmpty():
+    if sums.isEmpty():
         raise ValueError("no gene is common to all samples")
     pick = {"mean": top_by_mean, "var": highly_variable}
-    return {(c, k): pick[c](expr, genes, k) for c in criteria for k in ks}
+    return {(c, k): pick[c](sums, k) for c in criteria for k in ks}

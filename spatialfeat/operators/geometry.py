@@ -86,7 +86,13 @@ def _rings(column: pa.Array) -> list[list[np.ndarray]]:
     return [made[a:b] for a, b in zip(counts[:-1], counts[1:], strict=True)]
 
 
-def _painted(batches: Iterator[pa.RecordBatch], label: int) -> Iterator[pa.RecordBatch]:
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    """One list of whole numbers a row, from flat arrays and without a Python object per number."""
+    ends = np.cumsum([0, *map(len, arrays)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int32), *arrays]).astype(np.int32)))
+
+
+def _painted(batches: Iterator[pa.RecordBatch], label: int, area: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         *keys, geometries, h, w = batch.columns
         masks = []
@@ -94,14 +100,24 @@ def _painted(batches: Iterator[pa.RecordBatch], label: int) -> Iterator[pa.Recor
         counts = np.cumsum([0, *np.asarray(geometries.value_lengths().fill_null(0))])
         for a, b, rows, cols in zip(counts[:-1], counts[1:], h.to_pylist(), w.to_pylist(), strict=True):
             masks.append(kernels.rasterised([c for c in cells[a:b] if c], rows or 0, cols or 0, label).reshape(-1))
-        yield pa.RecordBatch.from_arrays([*keys, pa.array(masks, pa.list_(pa.int32()))], [*batch.schema.names[: len(keys)], "mask"])
+        made = pa.array([np.count_nonzero(m) for m in masks], pa.int64()) if area else _lists(masks)
+        yield pa.RecordBatch.from_arrays([*keys, made], [*batch.schema.names[: len(keys)], "area" if area else "mask"])
+
+
+def _raster(patches: DataFrame, keys: list[str], geometries: str, h: str, w: str, label: int, area: bool) -> DataFrame:
+    source = patches.select(*keys, geometries, F.col(h).cast("int").alias("rows_"), F.col(w).cast("int").alias("cols_"))
+    made = T.StructField("area", T.LongType()) if area else T.StructField("mask", T.ArrayType(T.IntegerType()))
+    return spread(source).mapInArrow(lambda it: _painted(it, label, area), T.StructType([*source.schema.fields[: len(keys)], made]))
 
 
 def rasterise(patches: DataFrame, keys: list[str], geometries: str = "geometries", h: str = "h", w: str = "w", label: int = 255) -> DataFrame:
     """keys and mask (row-major) of patches with an array of cell geometries, painted in their order, holes erased."""
-    source = patches.select(*keys, geometries, F.col(h).cast("int").alias("rows_"), F.col(w).cast("int").alias("cols_"))
-    schema = T.StructType([*source.schema.fields[: len(keys)], T.StructField("mask", T.ArrayType(T.IntegerType()))])
-    return spread(source).mapInArrow(lambda it: _painted(it, label), schema)
+    return _raster(patches, keys, geometries, h, w, label, False)
+
+
+def raster_area(patches: DataFrame, keys: list[str], geometries: str = "geometries", h: str = "h", w: str = "w") -> DataFrame:
+    """keys and area: the pixels of that mask, counted where it is painted."""
+    return _raster(patches, keys, geometries, h, w, 1, True)
 
 
 def _shaped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,16 +147,15 @@ def _instances(batches: Iterator[pa.RecordBatch], what: str) -> Iterator[pa.Reco
     for batch in batches:
         *keys, mask, h, w = batch.columns
         out = []
-        for m, rows, cols in zip(mask.to_pylist(), h.to_pylist(), w.to_pylist(), strict=True):
-            m = (np.array(m or [], int).reshape(rows, cols) > 0).astype(int) if m else np.zeros((0, 0), int)
+        for m, rows, cols in zip(mask, h.to_pylist(), w.to_pylist(), strict=True):
+            m = (m.values.to_numpy(zero_copy_only=False).reshape(rows, cols) > 0).astype(int) if m.is_valid and len(m) else np.zeros((0, 0), int)
             if what == "labels":
                 label = kernels.zones(m[None])[0].reshape(-1) if m.size else np.zeros(0, int)
-                order = {z: k + 1 for k, z in enumerate(np.unique(label[label >= 0]).tolist())}
-                out.append([order.get(z, 0) for z in label.tolist()])
+                out.append(np.where(label >= 0, np.searchsorted(np.unique(label[label >= 0]), label) + 1, 0))
             else:
                 out.append([[[{"x": x, "y": y} for x, y in ring]] for ring in kernels.outlines(m)] if m.size else [])
-        kind = pa.list_(pa.int32()) if what == "labels" else pa.list_(pa.list_(pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())]))))
-        yield pa.RecordBatch.from_arrays([*keys, pa.array(out, kind)], [*batch.schema.names[: len(keys)], what])
+        made = _lists(out) if what == "labels" else pa.array(out, pa.list_(pa.list_(pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())])))))
+        yield pa.RecordBatch.from_arrays([*keys, made], [*batch.schema.names[: len(keys)], what])
 
 
 def instance_labels(patches: DataFrame, keys: list[str], mask: str = "mask", h: str = "h", w: str = "w") -> DataFrame:

@@ -7,8 +7,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.names import decoded
+from ..schema import keys_of
 from .cells import majority_class
 from .geometry import instance_labels, mask_polygons
 
@@ -21,17 +23,20 @@ def cell_rows(found: DataFrame, order: list[str] | None = None) -> DataFrame:
     if "cell_id_in_patch" in has:
         number = F.col("cell_id_in_patch").cast("long")
     else:
-        number = F.row_number().over(Window.partitionBy("patch_idx", "barcode").orderBy(*(order or ["geometry"]))).cast("long")
+        own = Window.partitionBy(*keys_of(found, keys=("patch_idx", "barcode")))
+        number = F.row_number().over(own.orderBy(*(order or ["geometry"]))).cast("long")
     keys = [c for c in ("sample_id",) if c in has]
-    columns = [F.col("patch_idx").cast("long").alias("patch_idx"), decoded(F.col("barcode")).alias("barcode"), number.alias("cell_id_in_patch")]
+    array = isinstance(found.schema["barcode"].dataType, T.ArrayType)
+    columns = [F.col("patch_idx").cast("long").alias("patch_idx"), decoded(F.col("barcode"), array=array).alias("barcode"), number.alias("cell_id_in_patch")]
     return found.select(*keys, *columns, class_id.alias("class_id"), class_name.alias("class_name"), "geometry")
 
 
 def patch_summary(patches: DataFrame, cells: DataFrame) -> DataFrame:
-    """(patch_idx, barcode, coord_raw, n_cells) of every patch; n_cells counts polygons, several may be of one instance."""
-    per = cells.groupBy("patch_idx").agg(F.count("*").alias("n_cells"))
-    met = patches.join(per, "patch_idx", "left")
-    return met.select("patch_idx", "barcode", F.array("x", "y").alias("coord_raw"), F.coalesce("n_cells", F.lit(0)).alias("n_cells"))
+    """Sample (if both have it), patch_idx, barcode, coord_raw and n_cells of every patch; n_cells counts polygons, several may be
+    of one instance."""
+    keys = keys_of(patches, cells)
+    met = patches.join(cells.groupBy(*keys).agg(F.count("*").alias("n_cells")), keys, "left")
+    return met.select(*keys, "barcode", F.array("x", "y").alias("coord_raw"), F.coalesce("n_cells", F.lit(0)).alias("n_cells"))
 
 
 def sample_summary(patches: DataFrame, cells: DataFrame) -> DataFrame:
@@ -52,6 +57,7 @@ def cells_from_masks(patches: DataFrame, keys: list[str], mask: str = "mask", ty
 
 def overlay_rows(patches: DataFrame, cells: DataFrame) -> DataFrame:
     """Patches with their cells as arrays of (class_name, geometry), empty where there is none: what an overlay draws."""
-    per = cells.groupBy("patch_idx").agg(F.array_sort(F.collect_list(F.struct("cell_id_in_patch", "class_name", "geometry"))).alias("cells"))
+    keys = keys_of(patches, cells)
+    per = cells.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("cell_id_in_patch", "class_name", "geometry"))).alias("cells"))
     none = F.array().cast(per.schema["cells"].dataType)
-    return patches.join(per, "patch_idx", "left").withColumn("cells", F.coalesce("cells", none))
+    return patches.join(per, keys, "left").withColumn("cells", F.coalesce("cells", none))

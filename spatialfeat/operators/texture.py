@@ -1,6 +1,7 @@
-"""First-order and texture features of patches in one Arrow pass, without a shuffle.
+"""Features of patches in one Arrow pass: gray, mask, first-order and texture features, shapes of cells.
 
-Pixels stay in the row: each task stacks the patches of a batch that have one shape and runs the kernels over the stack.
+Pixels stay in the row and never leave Python again: each task stacks the patches of a batch that have one shape and runs the
+kernels over the stack. The pass needs no shuffle, but for inputs that are small as a whole, which are dealt over all cores.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import kernels
-from ..schema import SMALLEST_MASK
+from ..schema import ERROR_CELLSEG, ERROR_MORPHOLOGY, ERROR_PATCH, MASK_HIGH, MASK_LABEL, MASK_LOW, SKIPPED_NO_CELLS, SKIPPED_SMALL_MASK, SMALLEST_MASK, STATUS_ERROR, STATUS_OK
 from .spread import spread
 
 CLASSES = {
@@ -69,3 +70,146 @@ def texture_features(patches: DataFrame, keys: list[str], px: str = "px", mask:
     schema = T.StructType([*source.schema.fields[: len(keys)], *(T.StructField(f, T.DoubleType()) for f in names)])
     made = spread(source).mapInArrow(lambda it: _featured(it, names, classes, width, offsets, smallest), schema)
     return made.select(*keys, *(F.col(f).alias(f"{prefix}{f}") for f in names)) if prefix else made
+
+
+# ---------------------------------------------------------------- patches as a whole
+
+#: Features that cells of a patch give, shape by shape.
+MORPHOLOGY = tuple(f"{shape.lower()}_{stat}" for shape in kernels.SHAPE2D for stat in kernels.STATISTICS)
+#: Extractors in their order, and the classes of each.
+EXTRACTORS = (("firstorder",), ("glcm", "glrlm", "glszm", "gldm", "ngtdm"))
+
+
+def feature_names(filters=()) -> list[str]:
+    """imagetype_class_Feature of all classes, the original first."""
+    return [f"{kind}_{c}_{f}" for kind in ("original", *filters) for classes in EXTRACTORS for c in classes for f in CLASSES[c]]
+
+
+def _images(batch: pa.RecordBatch) -> tuple[dict[int, np.ndarray], dict[int, str]]:
+    """Gray images by row, and what is wrong with the others. Columns px, layout, h, w come first."""
+    px, layout, h, w = batch.columns[:4]
+    images, errors = {}, {}
+    for k, (one, order, rows, cols) in enumerate(zip(px, layout.to_pylist(), h.to_pylist(), w.to_pylist(), strict=True)):
+        if not one.is_valid or rows is None or cols is None:
+            errors[k] = "a patch without pixels or without a size"
+            continue
+        if isinstance(one, pa.BinaryScalar):
+            values = np.frombuffer(one.as_buffer(), np.uint8)
+        elif one.values.null_count:
+            errors[k] = f"{one.values.null_count} pixels are missing"
+            continue
+        else:
+            values = one.values.to_numpy(zero_copy_only=False)
+        if rows * cols > 0 and len(values) == rows * cols:
+            images[k] = values.reshape(rows, cols).astype(np.int64)
+        elif rows * cols > 0 and len(values) == 3 * rows * cols:
+            images[k] = kernels.luma(values.reshape(3, rows, cols).transpose(1, 2, 0) if order == "chw" else values.reshape(rows, cols, 3))
+        else:
+            errors[k] = f"a patch of {rows} x {cols} has {len(values)} values"
+    return images, errors
+
+
+def _guarded(make, rows: list[int]) -> tuple[dict[int, dict], dict[int, str]]:
+    """make(rows) as features by row; where it fails, row by row, with what went wrong."""
+    try:
+        return make(rows), {}
+    except Exception as e:  # noqa: BLE001 (a patch that fails must not take others along)
+        if len(rows) == 1:
+            return {}, {rows[0]: repr(e)}
+    done, failed = {}, {}
+    for k in rows:
+        some, wrong = _guarded(make, [k])
+        done |= some
+        failed |= wrong
+    return done, failed
+
+
+def _featured_patches(batches: Iterator[pa.RecordBatch], names: list[str], filters, width: int, offsets, smallest: int, label: int, with_cells: bool, most_pixels: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+    skip = 5 if with_cells else 4
+    shapes = MORPHOLOGY if with_cells else ()
+    for batch in batches:
+        images, errors = _images(batch)
+        n = batch.num_rows
+        status: list[str] = [STATUS_ERROR if k in errors else STATUS_OK for k in range(n)]
+        area: list[int | None] = [None] * n
+        out = {f: np.full(n, np.nan) for f in names}
+        morphology = {f: np.full(n, np.nan) for f in shapes}
+        masks: dict[int, np.ndarray] = {}
+        cells = batch.column(4).to_pylist() if with_cells else None
+        for k, image in images.items():
+            if cells is None:
+                masks[k] = (image > MASK_LOW) & (image < MASK_HIGH)
+            elif cells[k]:
+                masks[k] = kernels.rasterised([rings for geometry in cells[k] for rings in geometry], *image.shape, label) > 0
+            else:
+                status[k] = SKIPPED_NO_CELLS
+                continue
+            area[k] = int(masks[k].sum())
+            if cells is None and area[k] < smallest:
+                status[k] = SKIPPED_SMALL_MASK
+        large = [k for k in masks if area[k] >= smallest]
+        for shape in sorted({images[k].shape for k in large}):
+            rows = [k for k in large if images[k].shape == shape]
+            step = max(1, most_pixels // (shape[0] * shape[1]))
+            for some in (rows[i : i + step] for i in range(0, len(rows), step)):
+                for classes in EXTRACTORS:
+
+                    def make(own: list[int], classes=classes) -> dict[int, dict]:
+                        gray, mask = np.stack([images[k] for k in own]), np.stack([masks[k] for k in own])
+                        made = {}
+                        for kind in ("original", *filters):
+                            image = gray if kind == "original" else kernels.filtered(gray, kind)
+                            if not np.isfinite(image).all():
+                                raise ValueError(f"no {kind} image")
+                            made |= {f"{kind}_{f}": v for f, v in _stack_features(image, mask, classes, width, offsets).items()}
+                        return {k: {f: v[i] for f, v in made.items()} for i, k in enumerate(own)}
+
+                    done, failed = _guarded(make, some)
+                    for k, values in done.items():
+                        for f, v in values.items():
+                            out[f][k] = v
+                    for k, wrong in failed.items():
+                        status[k] = f"{ERROR_CELLSEG if with_cells else ERROR_PATCH}: {wrong}" if status[k] == STATUS_OK else status[k]
+        for k in masks if with_cells else ():
+
+            def measure(own: list[int]) -> dict[int, dict]:
+                found = [list(s.values()) for g in cells[own[0]] if (s := kernels.cell_shape(g, *images[own[0]].shape)) is not None]
+                stats = [kernels.statistics(np.array(x)) for x in zip(*found, strict=True)]
+                return {own[0]: dict(zip(shapes, np.concatenate(stats), strict=True)) if stats else {}}
+
+            done, failed = _guarded(measure, [k])
+            for f, v in done.get(k, {}).items():
+                morphology[f][k] = v
+            if failed and status[k] == STATUS_OK:
+                status[k] = f"{ERROR_MORPHOLOGY}: {failed[k]}"
+        columns = [pa.array(area, pa.int64()), pa.array(status, pa.string()), pa.array([errors.get(k) for k in range(n)], pa.string())]
+        columns += [pa.array(v, pa.float64(), mask=np.isnan(v)) for v in (*out.values(), *morphology.values())]
+        yield pa.RecordBatch.from_arrays([*batch.columns[skip:], *columns], [*batch.schema.names[skip:], "mask_area", "status", "error", *names, *shapes])
+
+
+def patch_features(patches: DataFrame, carry: list[str], cells: str | None = None, filters=(), width: int = 25, offsets=kernels.PLANE, smallest: int = SMALLEST_MASK, label: int = MASK_LABEL) -> DataFrame:
+    """`carry`, mask_area, status, error, imagetype_class_Feature, and with cells shape_statistic (MORPHOLOGY) of every patch.
+
+    patches has px (whole numbers, row by row, or bytes), h, w and maybe layout: h x w values are gray, 3 x h x w are RGB, in the
+    last axis or, where layout is `chw`, in the first. Without cells the mask is the threshold's, else what the cells of the
+    column (an array of cells, each an array of polygons) cover, painted in their order.
+
+    A patch that is no image has status `error` and a message. A small threshold mask and a patch without cells are
+    skipped. An extractor that fails leaves its features null and its code and message as status, the first one that fails.
+    """
+    filters = tuple(f.lower() for f in filters if f.lower() != "original")
+    if unknown := set(filters) - set(kernels.FILTERS):
+        raise ValueError(f"no such image types: {sorted(unknown)}, there are {sorted(kernels.FILTERS)}")
+    names = feature_names(filters)
+    px = F.col("px") if isinstance(patches.schema["px"].dataType, T.BinaryType) else F.col("px").cast("array<int>").alias("px")
+    layout = F.col("layout") if "layout" in patches.columns else F.lit(None)
+    source = patches.select(
+        px, layout.cast("string").alias("layout"), F.col("h").cast("int").alias("h"), F.col("w").cast("int").alias("w"),
+        *([F.col(cells).alias("cells")] if cells else []), *(F.col(c).alias(f"k{i}") for i, c in enumerate(carry)),
+    )
+    skip = 5 if cells else 4
+    doubles = [T.StructField(f, T.DoubleType()) for f in (*names, *(MORPHOLOGY if cells else ()))]
+    meta = [T.StructField("mask_area", T.LongType()), T.StructField("status", T.StringType()), T.StructField("error", T.StringType())]
+    schema = T.StructType([*source.schema.fields[skip:], *meta, *doubles])
+    made = spread(source).mapInArrow(lambda it: _featured_patches(it, names, filters, width, offsets, smallest, label, cells is not None), schema)
+    return made.select(*(F.col(f"k{i}").alias(c) for i, c in enumerate(carry)), *(f.name for f in (*meta, *doubles)))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,13 +26,17 @@ FEATURE_CLASS_PREFIXES = {
     "morph": ("morph_",),
     "dist": ("dist_",),
 }
+# Names that a role may have, the first that is there counts, per reader.
 ALIASES = {
-    "img": ("img", "imgs", "image", "images", "patch", "patches"),
-    "coords": ("coords", "coord", "coordinates", "spatial"),
-    "barcode": ("barcode", "barcodes", "spot_id", "spot_ids"),
+    "extract": {"img": ("img", "imgs", "images", "patches"), "coords": ("coords", "coord", "coordinates", "spatial"), "barcode": ("barcodes", "barcode", "spot_id", "spot_ids")},
+    "patch": {"img": ("img", "imgs", "images"), "coords": ("coords",), "barcode": ("barcodes", "barcode")},
+    "segment": {"img": ("img", "imgs", "images"), "coords": ("coords",), "barcode": ("barcode", "barcodes")},
 }
+#: Roles that a reader cannot do without.
+REQUIRED = {"extract": ("img", "coords", "barcode"), "patch": ("img",), "segment": ("img", "barcode")}
 STATUS_OK, STATUS_ERROR = "ok", "error"
 SKIPPED_SMALL_MASK, SKIPPED_NO_CELLS = "skipped_small_mask", "skipped_no_cellseg_mask"
+ERROR_PATCH, ERROR_CELLSEG, ERROR_MORPHOLOGY = "error_patch_radiomics", "error_cellseg_radiomics", "error_morphology"
 SMALLEST_MASK = 50
 MASK_LOW, MASK_HIGH, MASK_LABEL = 30, 220, 255
 
@@ -48,31 +54,50 @@ PATCHES = T.StructType([
 
 @dataclass(frozen=True)
 class Config:
-    """Settings of the drivers."""
+    """Settings of the drivers.
+
+    directions: `plane` (four directions, eight neighbours) or `axis` (one direction, two neighbours) of texture features.
+    filters: image types besides the original: square, squareroot, logarithm, exponential.
+    """
 
     root: str = "data"
     oncotrees: tuple[str, ...] = ("IDC",)
     sample_ids: tuple[str, ...] | None = None
     mask_source: str = "threshold"
+    output_dirname: str = "radiomics"
     lower_q: float = 0.01
     upper_q: float = 0.99
     bin_width: int = 25
+    directions: str = "plane"
+    filters: tuple[str, ...] = ()
+    label: int = MASK_LABEL
     representative_stats: tuple[str, ...] = ("min", "q25", "q50", "q75", "max")
+    save_boxplot: bool = True
+    save_representative: bool = True
     genes_k: tuple[int, ...] = (50, 100, 250)
     genes_criteria: tuple[str, ...] = ("var", "mean")
     gene_share: float = 0.1
+    vis_ratio: float = 0.02
     overwrite: bool = False
-    extra: dict = field(default_factory=dict)
+
+    def __post_init__(self):
+        if self.directions not in ("plane", "axis"):
+            raise ValueError(f"directions must be plane or axis, is {self.directions!r}")
+
+
+def resolve(df: DataFrame, role: str, reader: str = "extract") -> str | None:
+    """The column that plays a role for a reader: the first of its names that is there, None if it may be missing."""
+    for name in ALIASES[reader][role]:
+        if name in df.columns:
+            return name
+    if role in REQUIRED[reader]:
+        raise KeyError(f"no column for {role}: one of {ALIASES[reader][role]} is needed, there are {df.columns}")
+    return None
 
 
-def resolve(df: DataFrame, role: str, required: bool = True) -> Column | None:
-    """The column that plays a role under one of its aliases; several that are there are coalesced in order."""
-    found = [F.col(c) for c in ALIASES[role] if c in df.columns]
-    if not found:
-        if required:
-            raise KeyError(f"no column for {role}: one of {ALIASES[role]} is needed, there are {df.columns}")
-        return None
-    return F.coalesce(*found) if len(found) > 1 else found[0]
+def keys_of(*tables: DataFrame, keys: tuple[str, ...] = ("patch_idx",)) -> list[str]:
+    """Keys of patches, with the sample where all tables have it: patch numbers and barcodes repeat across samples."""
+    return [*(("sample_id",) if all("sample_id" in t.columns for t in tables) else ()), *keys]
 
 
 def is_normalised(name: str) -> bool:
@@ -96,6 +121,7 @@ def described_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, kinds) and f.name not in META_COLUMNS and not f.name.startswith("diagnostics_")]
 
 
-def radiomics_key(name: str) -> bool:
+def radiomics_key(name: Column) -> Column:
     """Whether a raw result is a feature of some image type (diagnostics are not)."""
-    return name.lower().startswith(IMAGE_TYPES)
+    low = F.lower(name)
+    return reduce(or_, (low.startswith(t) for t in IMAGE_TYPES))
