@@ -2,59 +2,86 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.pixels import mask_area, threshold_mask
-from ..operators.cells import composition, measurement_stats, normalised_cells
+from ..functions import kernels
+from ..functions.names import feature_prefix
+from ..functions.status import blank_on_error
+from ..operators.cells import class_counts, class_shares, measurement_stats, normalised_cells
 from ..operators.describe import box_stats, describe, ok_rows, representatives
-from ..operators.geometry import rasterise
+from ..operators.geometry import polygons_of
 from ..operators.normalize import normalization_stats, normalize
-from ..operators.texture import texture_features
-from ..schema import SKIPPED_NO_CELLS, SKIPPED_SMALL_MASK, SMALLEST_MASK, STATUS_OK, Config, described_columns
+from ..operators.texture import MORPHOLOGY, feature_names, patch_features
+from ..schema import SMALLEST_MASK, Config, described_columns
 from ..sources import sinks
 
 KEYS = ["sample_id", "patch_idx"]
+PLACES = ("barcode", "x", "y")
 
 
-def threshold_features(patches: DataFrame, smallest: int = SMALLEST_MASK) -> DataFrame:
-    """Raw features of gray patches under the threshold mask, prefix patch_; patches with a small mask are skipped."""
-    masked = patches.withColumn("mask", threshold_mask(F.col("px"))).withColumn("patch_mask_area", mask_area(F.col("mask")))
-    status = F.when(F.col("patch_mask_area") < smallest, SKIPPED_SMALL_MASK).otherwise(STATUS_OK)
-    meta = [c for c in ("barcode", "x", "y") if c in patches.columns]
-    masked = masked.withColumn("status", status)
-    return texture_features(masked, [*KEYS, *meta, "status", "patch_mask_area"], prefix="patch_original_", smallest=smallest)
+def _options(config: Config, smallest: int) -> dict:
+    offsets = {"plane": kernels.PLANE, "axis": kernels.AXIS}[config.directions]
+    return {"filters": config.filters, "width": config.bin_width, "offsets": offsets, "smallest": smallest, "label": config.label}
 
 
-def cell_features(patches: DataFrame, cells: DataFrame, measurements: list[str], order: list[str], smallest: int = SMALLEST_MASK) -> DataFrame:
+def _rows(made: DataFrame, places: list[str], areas: dict[str, Column], config: Config, prefix: str, rest: list[Column]) -> DataFrame:
+    """The columns of a raw feature table in order; of a patch that is no image, nothing but keys, status and message stays."""
+    keep = blank_on_error(F.col("status"))
+    filters = [f.lower() for f in config.filters if f.lower() != "original"]
+    return made.select(
+        *KEYS, *(keep(F.col(c)).alias(c) for c in places), keep(F.lit("")).alias("mask_path"), "status", "error", *(keep(v).alias(k) for k, v in areas.items()),
+        *(F.col(f).alias(f"{prefix}{f}") for f in feature_names(filters)), *rest,
+    )
+
+
+def threshold_features(patches: DataFrame, config: Config | None = None, smallest: int = SMALLEST_MASK) -> DataFrame:
+    """Raw features of gray or RGB patches under the threshold mask, prefix patch_, in one pass without a shuffle.
+
+    A patch with a small mask is skipped, one that is no image has status `error` and a message.
+    """
+    config = config or Config()
+    places = [c for c in PLACES if c in patches.columns]
+    made = patch_features(patches, [*KEYS, *places], **_options(config, smallest))
+    return _rows(made, places, {"patch_mask_area": F.col("mask_area")}, config, feature_prefix("patch"), [])
+
+
+def cell_features(patches: DataFrame, cells: DataFrame, config: Config | None = None, measurements: list[str] = (), order: list[str] = (), smallest: int = SMALLEST_MASK) -> DataFrame:
     """Raw features under the union of the cells, prefix cellseg_all_, with composition and morphology of the cells.
 
-    Cells are summed up per patch in one shuffle; their shapes are painted in `order`. Patches without cells are skipped
-    with a composition of zeros; unions under `smallest` pixels have no texture but are ok. A measurement that fails for a
-    cell is null and left out of the statistics of its patch.
+    Cells are summed up per patch and meet it in one join (none of the sides is shuffled if both tables are bucketed by
+    sample_id and patch_idx); raster, texture and the shapes of all cells with their 18 statistics are then one pass. Shapes are
+    painted in `order`, by default by cell_id_in_patch, the file order. Patches without cells are skipped with a composition of
+    zeros; unions under `smallest` pixels have no texture but are ok. A cell without a shape is left out of the statistics, and
+    so are null values of further `measurements`, columns of cells.
     """
+    config = config or Config()
     cells = normalised_cells(cells)
-    per = cells.groupBy(*KEYS).agg(F.count("*").alias("n"), F.array_sort(F.collect_list(F.struct(*order, "geometry"))).alias("drawn"))
-    shares = composition(patches, cells, KEYS)
-    stats = measurement_stats(cells, measurements, KEYS)
-    met = patches.join(per, KEYS, "left").withColumn("n_cells_total", F.coalesce("n", F.lit(0)))
-    meta = [c for c in ("barcode", "x", "y") if c in patches.columns]
-    painted = met.withColumn("geometries", F.coalesce(F.transform("drawn", lambda c: c["geometry"]), F.array().cast("array<array<array<struct<x:double,y:double>>>>")))
-    masked = rasterise(painted, [*KEYS, *meta, "px", "h", "w", "n_cells_total"], h="h", w="w")
-    masked = masked.withColumn("cellseg_mask_area", F.when(F.col("n_cells_total") > 0, mask_area(F.col("mask"))))
-    masked = masked.withColumn("status", F.when(F.col("n_cells_total") > 0, STATUS_OK).otherwise(SKIPPED_NO_CELLS))
-    made = texture_features(masked, [*KEYS, *meta, "status", "n_cells_total", "cellseg_mask_area"], prefix="cellseg_all_original_", smallest=smallest)
-    return made.join(stats, KEYS, "left").join(shares, KEYS, "left")
+    order = list(order) or [c for c in ("cell_id_in_patch",) if c in cells.columns]
+    one = F.col("geometry")
+    parts = one if isinstance(cells.schema["geometry"].dataType.elementType.elementType, T.ArrayType) else F.array(one)
+    drawn = F.array_sort(F.collect_list(F.struct(*(F.col(c).alias(f"o{i}") for i, c in enumerate(order)), polygons_of(parts).alias("geometry"))))
+    per = cells.groupBy(*KEYS).agg(*class_counts(), F.transform(drawn, lambda c: c["geometry"]).alias("cells"))
+    places = [c for c in PLACES if c in patches.columns]
+    met = patches.join(per, KEYS, "left")
+    counts = [c for c in per.columns if c.startswith("dist_")]
+    made = patch_features(met, [*KEYS, *places, *counts], cells="cells", **_options(config, smallest))
+    keep = blank_on_error(F.col("status"))
+    rest = [F.col(m).alias(f"morph_{m}") for m in MORPHOLOGY] + [keep(v).alias(k) for k, v in class_shares().items()]
+    areas = {"n_cells_total": F.coalesce("dist_n", F.lit(0)), "cellseg_mask_area": F.col("mask_area")}
+    out = _rows(made, places, areas, config, feature_prefix("cellseg", "all"), rest)
+    return out.join(measurement_stats(cells, list(measurements), KEYS), KEYS, "left") if measurements else out
 
 
 def raw_features(patches: DataFrame, cells: DataFrame | None, config: Config, measurements: list[str] = (), order: list[str] = ()) -> DataFrame:
     """Features before normalisation, by the mask source of the settings."""
     if config.mask_source == "threshold":
-        return threshold_features(patches)
+        return threshold_features(patches, config)
     if config.mask_source == "cellseg":
         if cells is None:
             raise ValueError("mask source cellseg needs cells")
-        return cell_features(patches, cells, list(measurements), list(order))
+        return cell_features(patches, cells, config, list(measurements), list(order))
     raise ValueError(f"mask source must be threshold or cellseg, is {config.mask_source!r}")
 
 
@@ -63,22 +90,26 @@ def extract(patches: DataFrame, cells: DataFrame | None, config: Config, measure
     return normalize(raw_features(patches, cells, config, measurements, order), lower=config.lower_q, upper=config.upper_q)
 
 
-def extract_to(patches: DataFrame, cells: DataFrame | None, config: Config, path: str, measurements: list[str] = (), order: list[str] = ()) -> bool:
-    """Extracts and writes all outputs unless they are there; raw features are written once and read for all of them."""
+def extract_to(patches: DataFrame, cells: DataFrame | None, config: Config, path: str, measurements: list[str] = (), order: list[str] = ()) -> None:
+    """Extracts and writes all outputs of the samples of patches, and leaves those of other samples alone.
+
+    Raw features are written once and read for all of the outputs.
+    """
     spark = patches.sparkSession
-    if not config.overwrite and sinks.is_processed(spark, path):
-        return False
-    raw_features(patches, cells, config, measurements, order).write.mode("overwrite").parquet(f"{path}/raw")
-    raw = spark.read.parquet(f"{path}/raw")
+    some = [r[0] for r in patches.select("sample_id").distinct().collect()]  # names of the samples of one run
+    sinks.samples(raw_features(patches, cells, config, measurements, order), f"{path}/raw")
+    raw = sinks.read_samples(spark, f"{path}/raw").where(F.col("sample_id").isin(some))
     options = {"lower": config.lower_q, "upper": config.upper_q}
-    return sinks.processed(normalize(raw, **options), normalization_stats(raw, **options), path, overwrite=True)
+    sinks.processed(normalize(raw, **options), normalization_stats(raw, **options), path, some)
 
 
 def statistics(features: DataFrame, config: Config, order: list[str], carry: list[str]) -> dict[str, DataFrame]:
-    """Descriptive statistics, box statistics and representatives of processed features per sample."""
+    """Descriptive statistics, and as the settings ask box statistics and representatives, of processed features per sample."""
     ok = ok_rows(features)
     names = [c for c in described_columns(ok) if c not in order]
-    return {
-        "describe": describe(ok, names, ["sample_id"]).orderBy("sample_id", "feature_class", "feature_name"),
-        "box": box_stats(ok, names), "representatives": representatives(ok, names, order, carry, stats=config.representative_stats),
-    }
+    out = {"describe": describe(ok, names, ["sample_id"]).orderBy("sample_id", "feature_class", "feature_name")}
+    if config.save_boxplot:
+        out["box"] = box_stats(ok, names)
+    if config.save_representative:
+        out["representatives"] = representatives(ok, names, order, carry, stats=config.representative_stats)
+    return out

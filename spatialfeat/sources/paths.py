@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from dataclasses import fields, replace
 from pathlib import Path
 
+from ..functions.names import as_bool, none_like
+from ..schema import Config
+
 #: Stage folders.
 STAGES = ("patches", "segment", "segment_vis", "radiomics", "radiomics_statistics", "st", "genes", "patches_vis", "metadata")
 
@@ -35,3 +39,23 @@ def config_file(path: str) -> dict:
     if not isinstance(found, dict):
         raise ValueError(f"{path} does not hold a mapping")
     return found
+
+
+def settings(found: dict, **over) -> Config:
+    """Settings from a mapping, with what is given besides in its place; what means nothing leaves the default.
+
+    Truth values may be text, and one value stands for a list of one. Unknown names are an error.
+    """
+    known = {f.name: f.default for f in fields(Config)}
+    given = {k: v for k, v in {**found, **{k: v for k, v in over.items() if v is not None}}.items() if none_like(v) is not None}
+    if unknown := sorted(set(given) - set(known)):
+        raise KeyError(f"no such settings: {unknown}")
+    lists = ("oncotrees", "sample_ids", "filters", "representative_stats", "genes_k", "genes_criteria")
+    for k, v in given.items():
+        if isinstance(known[k], bool):
+            given[k] = as_bool(v)
+        elif k in lists:
+            given[k] = tuple(v) if isinstance(v, (list, tuple)) else (v,)
+        elif known[k] is not None:
+            given[k] = type(known[k])(v)
+    return replace(Config(), **given)

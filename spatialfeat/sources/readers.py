@@ -1,17 +1,20 @@
-"""Readers. A dataset is one partitioned table instead of a file per sample; discovery is partition pruning."""
+"""Readers. A dataset is one partitioned table instead of a file per sample; discovery lists its partitions."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.names import class_name, decoded
-from ..functions.pixels import gray
+from ..functions.pixels import as_uint8, interleaved, repeated, without_alpha
 from ..operators.describe import ok_rows
 from ..operators.selection import of_samples, wanted_datasets
 from ..schema import resolve
+from .sinks import read_samples, samples_at
 
-METADATA_SCHEMA = "id string, species string, oncotree_code string, st_technology string"
+#: Columns that a table of segmented cells must have.
+CELL_COLUMNS = ("patch_idx", "barcode", "cell_id_in_patch", "class_id", "class_name", "geometry_wkt")
 
 
 def metadata(spark: SparkSession, path: str) -> DataFrame:
@@ -24,30 +27,86 @@ def wanted(spark: SparkSession, path: str, oncotrees: list[str], technologies: l
     return wanted_datasets(metadata(spark, path), oncotrees, technologies)
 
 
-def patches(df: DataFrame, barcode_required: bool = True, coords_required: bool = True) -> DataFrame:
-    """Patches under the names of the engine: px, barcode as text, x and y, from whatever alias the source has."""
-    out = df.withColumn("px", resolve(df, "img"))
-    code, at = resolve(df, "barcode", barcode_required), resolve(df, "coords", coords_required)
-    out = out.withColumn("barcode", decoded(code) if code is not None else F.lit(None).cast("string"))
-    if at is not None:
-        out = out.withColumns({"x": F.get(at, F.lit(0)).cast("double"), "y": F.get(at, F.lit(1)).cast("double")})
-    return out
-
-
-def with_gray(df: DataFrame) -> DataFrame:
-    """px of RGB patches replaced by gray; patches with another number of values than 3 per pixel are an error."""
-    bad = F.raise_error(F.concat(F.lit("a patch does not have three channels: "), F.size("px").cast("string"), F.lit(" values"))).cast("array<int>")
-    return df.withColumn("px", F.when(F.size("px") == 3 * F.col("h") * F.col("w"), gray(F.col("px"))).otherwise(bad))
+def _nested(df: DataFrame, name: str) -> int:
+    """How many arrays deep a column is."""
+    kind, depth = df.schema[name].dataType, 0
+    while isinstance(kind, T.ArrayType):
+        kind, depth = kind.elementType, depth + 1
+    return depth
+
+
+def image_columns(df: DataFrame, name: str) -> dict[str, Column]:
+    """px, h, w and layout of an image column.
+
+    An image is an array of rows of pixels of channels (channels last if their number fits there, else first), of rows of
+    gray values, or already flat (values or bytes) beside h, w and maybe layout.
+    """
+    image, depth = F.col(name), _nested(df, name)
+    if depth < 2:
+        return {"px": image, "h": F.col("h"), "w": F.col("w"), "layout": F.col("layout") if "layout" in df.columns else F.lit(None).cast("string")}
+    first = F.get(image, F.lit(0))
+    if depth == 2:
+        return {"px": F.flatten(image), "h": F.size(image), "w": F.size(first), "layout": F.lit("gray")}
+    second = F.get(first, F.lit(0))
+    last = F.size(second).isin(1, 3, 4)
+    return {
+        "px": F.flatten(F.flatten(image)), "h": F.when(last, F.size(image)).otherwise(F.size(first)), "w": F.when(last, F.size(first)).otherwise(F.size(second)),
+        "layout": F.when(last, "hwc").otherwise("chw"),
+    }
+
+
+def patches(df: DataFrame, reader: str = "extract") -> DataFrame:
+    """Patches under the names of the engine: px, h, w, layout, barcode as text, x and y, from the names that a reader takes.
+
+    The readers are `extract`, `patch` and `segment`; they differ in names and in what may be missing. Pixels stay as they are:
+    the feature pass reads gray and RGB in either order, and gives what is no image an error status.
+    """
+    code, at = resolve(df, "barcode", reader), resolve(df, "coords", reader)
+    out = df.withColumns(image_columns(df, resolve(df, "img", reader)))
+    text = F.lit(None).cast("string") if code is None else decoded(F.col(code), array=_nested(df, code) > 0)
+    place = (lambda k: F.lit(None).cast("double")) if at is None else (lambda k: F.get(at, F.lit(k)).cast("double"))
+    return out.withColumns({"barcode": text, "x": place(0), "y": place(1)})
+
+
+def as_rgb8(df: DataFrame) -> DataFrame:
+    """px as interleaved 8-bit RGB whatever the layout: gray is repeated, a fourth channel goes, floats are scaled."""
+    n = F.col("h") * F.col("w")
+    whole = df.schema["px"].dataType.elementType
+    px = F.col("px") if isinstance(whole, T.IntegralType) else as_uint8(F.col("px"))
+    channels = F.size("px") / F.greatest(n, F.lit(1))
+    px = F.when((F.col("layout") == "chw") & (channels > 1), interleaved(px, F.col("h"), F.col("w"), channels.cast("int"))).otherwise(px)
+    px = F.when(channels == 1, repeated(px)).when(channels == 4, without_alpha(px)).when(channels == 3, px)
+    bad = F.raise_error(F.concat(F.lit("a patch has "), F.size("px").cast("string"), F.lit(" values"))).cast("array<int>")
+    return df.withColumns({"px": F.coalesce(px, bad), "layout": F.lit("hwc")})
 
 
 def cells(spark: SparkSession, path: str) -> DataFrame:
     """Segmented cells; a table without geometry is an error."""
-    df = spark.read.parquet(path)
+    df = read_samples(spark, path)
     if "geometry" not in df.columns:
-        raise KeyError(f"cells need a geometry column, there are {df.columns}")
+        if "geometry_wkt" not in df.columns:
+            raise KeyError(f"cells need a geometry column, there are {df.columns}")
+        if missing := [c for c in CELL_COLUMNS if c not in df.columns]:
+            raise KeyError(f"cells with WKT need {missing}, there are {df.columns}")
+        df = df.withColumn("geometry", wkt_polygons(F.col("geometry_wkt"))).drop("geometry_wkt")
     return df
 
 
+def wkt_polygons(text: Column) -> Column:
+    """Polygons (arrays of rings of points) of a WKT POLYGON or MULTIPOLYGON; empty ones and other kinds give none."""
+    numbers = r"[-+0-9.eE]+"
+    ring = lambda t: F.transform(F.regexp_extract_all(t, F.lit(rf"({numbers}\s+{numbers})")), _point)
+    rings = lambda t: F.transform(F.regexp_extract_all(t, F.lit(r"(\([^()]*\))")), ring)
+    polygons = F.regexp_extract_all(text, F.lit(r"(\((?:\s*\([^()]*\)\s*,?)+\))"))
+    kind = F.upper(F.regexp_extract(text, r"^\s*([A-Za-z]+)", 1))
+    return F.when(kind.isin("POLYGON", "MULTIPOLYGON"), F.transform(polygons, rings))
+
+
+def _point(text: Column) -> Column:
+    xy = F.split(text, r"\s+")
+    return F.struct(F.get(xy, F.lit(0)).cast("double").alias("x"), F.get(xy, F.lit(1)).cast("double").alias("y"))
+
+
 def cells_normalised(spark: SparkSession, path: str | None) -> DataFrame | None:
     """Cells with a normalised class; no path, no cells."""
     if path is None:
@@ -61,7 +120,7 @@ def cells_normalised(spark: SparkSession, path: str | None) -> DataFrame | None:
 
 def expression(spark: SparkSession, path: str, samples: DataFrame | None = None) -> DataFrame:
     """Long expression table (sample_id, obs_id, gene, value) of the wanted samples; none is an error."""
-    df = of_samples(spark.read.parquet(path), samples)
+    df = of_samples(read_samples(spark, path), samples)
     if df.isEmpty():
         raise FileNotFoundError(f"no sample to read in {path}")
     return df
@@ -69,10 +128,10 @@ def expression(spark: SparkSession, path: str, samples: DataFrame | None = None)
 
 def features(spark: SparkSession, path: str, status_filter: str | None = "ok") -> DataFrame:
     """A feature table, of rows with the status if it has one."""
-    return ok_rows(spark.read.parquet(path), status_filter)
+    return ok_rows(read_samples(spark, path), status_filter)
 
 
 def sample_ids(spark: SparkSession, path: str, wanted_ids: list[str] | None = None) -> list[str]:
-    """Samples of a partitioned table in order, of the wanted ones if given; unknown ids are left out."""
-    there = sorted(r[0] for r in spark.read.parquet(path).select("sample_id").distinct().collect())
-    return there if wanted_ids is None else [s for s in there if s in set(wanted_ids)]
+    """Samples of a partitioned table in order, or the wanted ones in the order asked for; unknown ids are left out."""
+    there = samples_at(spark, path)
+    return there if wanted_ids is None else [s for s in dict.fromkeys(wanted_ids) if s in set(there)]

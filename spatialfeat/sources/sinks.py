@@ -1,23 +1,52 @@
-"""Writers."""
+"""Writers. Tables of samples are partitioned by sample, and writing some samples leaves the others alone."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import number
 from ..operators.cells import with_summary
-from ..schema import described_columns
+from ..schema import normalised_columns
 
+#: Outputs of an extraction; a sample is done when its table and its matrix are there.
+PROCESSED = ("table", "X", "obs", "stats")
 
-def exists(spark, path: str) -> bool:
-    """Whether there is a finished table at a path, in whatever file system it is in."""
+
+def _file_system(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a finished table at a path, in whatever file system it is in."""
+    fs, _ = _file_system(spark, path)
     return fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS"))
 
 
+def samples_at(spark: SparkSession, path: str) -> list[str]:
+    """Samples of a partitioned table in order, from its folders; none if there is no table."""
+    fs, p = _file_system(spark, path)
+    if not fs.exists(p):
+        return []
+    unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    names = [f.getPath().getName() for f in fs.listStatus(p) if f.isDirectory()]
+    return sorted(unescape(n.partition("=")[2]) for n in names if n.startswith("sample_id="))
+
+
+def read_samples(spark: SparkSession, path: str) -> DataFrame:
+    """A table partitioned by sample, whose ids are text even where they look like numbers."""
+    found = spark.read.parquet(path).schema
+    fields = [T.StructField(f.name, T.StringType()) if f.name == "sample_id" else f for f in found.fields]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
+
+
+def samples(df: DataFrame, path: str) -> None:
+    """Writes the samples of df over what there is of them, each in its own partition."""
+    df.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("sample_id").parquet(path)
+
+
 def write_once(df: DataFrame, path: str, overwrite: bool = False, partition_by: list[str] | None = None) -> bool:
     """Writes a table unless it is finished already; tells whether it wrote."""
     if not overwrite and exists(df.sparkSession, path):
@@ -27,39 +56,43 @@ def write_once(df: DataFrame, path: str, overwrite: bool = False, partition_by:
     return True
 
 
-PROCESSED = ("table", "X", "obs", "var", "stats", "feature_list")
+def processed_samples(spark: SparkSession, path: str) -> list[str]:
+    """Samples whose extraction is done: table and matrix are there."""
+    return sorted(set(samples_at(spark, f"{path}/table")) & set(samples_at(spark, f"{path}/X")))
 
 
-def is_processed(spark, path: str) -> bool:
-    """Whether all outputs of an extraction are there."""
-    return all(exists(spark, f"{path}/{p}") for p in PROCESSED)
+def matrix(df: DataFrame) -> dict[str, DataFrame]:
+    """X (sample_id, patch_idx and the features as floats), obs (all other columns, null texts empty), var and feature_list."""
+    features = normalised_columns(df)
+    rest = [c for c in df.columns if c not in features]
+    keys = [c for c in ("sample_id", "patch_idx") if c in df.columns]
+    text = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name not in keys}
+    names = df.sparkSession.createDataFrame([(f, k) for k, f in enumerate(features)], "feature string, place long").coalesce(1)
+    return {
+        "X": df.select(*keys, F.array(*(number(F.col(f)).cast("float") for f in features)).alias("X")),
+        "obs": df.select(*(F.coalesce(F.col(c), F.lit("")).alias(c) if c in text else F.col(c) for c in rest)),
+        "var": names, "feature_list": names.select("feature"),
+    }
 
 
-def processed(df: DataFrame, stats: DataFrame, path: str, overwrite: bool = False) -> bool:
-    """The processed table, its feature list, and the matrix with its row and column tables; done when all are there.
+def processed(df: DataFrame, stats: DataFrame, path: str, some: list[str]) -> None:
+    """The processed table, its statistics, its feature list, and the matrix with its row and column tables, of some samples.
 
-    The table is worked out once; the matrix and its rows are read from it.
+    The table is worked out once; the matrix, written last, and its rows are read from it.
     """
     spark = df.sparkSession
-    if not overwrite and is_processed(spark, path):
-        return False
-    df.write.mode("overwrite").parquet(f"{path}/table")
-    df = spark.read.parquet(f"{path}/table")
-    features = [c for c in described_columns(df) if c not in ("patch_idx",)]
-    rest = [c for c in df.columns if c not in features]
-    names = spark.createDataFrame([(f, k) for k, f in enumerate(features)], "feature string, place long").coalesce(1)
-    names.select("feature").write.mode("overwrite").text(f"{path}/feature_list")
-    names.write.mode("overwrite").parquet(f"{path}/var")
-    row = [F.col(c) for c in ("sample_id", "patch_idx") if c in df.columns]
-    df.select(*row, F.array(*(number(F.col(f)).cast("float") for f in features)).alias("X")).write.mode("overwrite").parquet(f"{path}/X")
-    text = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
-    df.select(*(F.coalesce(F.col(c), F.lit("")).alias(c) if c in text else F.col(c) for c in rest)).write.mode("overwrite").parquet(f"{path}/obs")
-    stats.write.mode("overwrite").parquet(f"{path}/stats")
-    return True
-
-
-def cells(df: DataFrame, summary: DataFrame | None, path: str, overwrite: bool = False) -> bool:
-    return write_once(with_summary(df, summary), path, overwrite)
+    samples(df, f"{path}/table")
+    samples(stats, f"{path}/stats")
+    made = matrix(read_samples(spark, f"{path}/table").where(F.col("sample_id").isin(some)))
+    made["feature_list"].write.mode("overwrite").text(f"{path}/feature_list")
+    made["var"].write.mode("overwrite").parquet(f"{path}/var")
+    samples(made["obs"], f"{path}/obs")
+    samples(made["X"], f"{path}/X")
+
+
+def cells(df: DataFrame, summary: DataFrame | None, path: str) -> None:
+    """Cells with the summary of their patch, of the samples of df."""
+    samples(with_summary(df, summary), path)
 
 
 def csv_and_parquet(df: DataFrame, path: str) -> None:
