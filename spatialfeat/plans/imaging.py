@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import kernels, pixels
 from ..operators import geometry, segmentation, texture
 from ..schema import SKIPPED_SMALL_MASK, SMALLEST_MASK, Config
+from ..sources import readers, sinks
 from . import pipeline
 from . import standin as s
 from .relational import KEYS, QUERIES, SQL, R, _boxes, query, rounded
@@ -15,10 +16,9 @@ from .relational import KEYS, QUERIES, SQL, R, _boxes, query, rounded
 __all__ = ["QUERIES", "SQL"]
 
 
-@query(f"""WITH {s.images_sql()} SELECT vec_id, array_to_string(list_transform(range(0, 21), lambda k: (px[(3 * k + 1)::INT] * 19595 + px[(3 * k + 2)::INT] * 38470 + px[(3 * k + 3)::INT] * 7471 + 32768) >> 16), ',') AS gray FROM img""")
+@query(f"""WITH {s.images_sql()} SELECT vec_id, array_to_string(list_transform(range(0, 64), lambda k: (px[(k + 1)::INT] * 19595 + px[((k + 21) % 64 + 1)::INT] * 38470 + px[((k + 42) % 64 + 1)::INT] * 7471 + 32768) >> 16), ',') AS gray FROM img""")
 def rgb_to_gray(spark: SparkSession, d: str) -> DataFrame:
-    gray = pixels.gray(F.slice("px", 1, 63))
-    return s.images(spark, d).select("vec_id", F.array_join(gray.cast("array<string>"), ",").alias("gray"))
+    return s.colour_images(spark, d).select("vec_id", F.array_join(pixels.gray(F.col("px")).cast("array<string>"), ",").alias("gray"))
 
 
 @query("""SELECT vec_id, list_sum(list_transform(embedding, lambda e: floor(greatest(least(e::FLOAT * (CASE WHEN list_max(embedding) <= 1 THEN 255 ELSE 1 END)::FLOAT, 255::FLOAT), 0::FLOAT))))::BIGINT AS total FROM embeddings""")
@@ -38,6 +38,19 @@ def apply_mask(spark: SparkSession, d: str) -> DataFrame:
     return s.images(spark, d, 600).select("vec_id", F.array_join(masked.cast("array<string>"), ",").alias("masked"))
 
 
+@query(f"""WITH {s.images_sql(600)}, kind AS (SELECT vec_id, px, vec_id % 4 AS k FROM img),
+rgb AS (SELECT vec_id, CASE k WHEN 0 THEN flatten(list_transform(px, lambda g: [g, g, g])) ELSE flatten(list_transform(range(0, 16), lambda i: CASE WHEN k = 1 THEN [px[(i + 1)::INT], px[(i + 17)::INT], px[(i + 33)::INT]] WHEN k = 2 THEN [px[(4 * i + 1)::INT], px[(4 * i + 2)::INT], px[(4 * i + 3)::INT]] ELSE [px[(3 * i + 1)::INT], px[(3 * i + 2)::INT], px[(3 * i + 3)::INT]] END)) END AS v FROM kind)
+SELECT vec_id, array_to_string(v, ',') AS rgb, 255 * 64::BIGINT AS full_mask FROM rgb""")
+def layout_normalize(spark: SparkSession, d: str) -> DataFrame:
+    """Gray, channels first, four channels and channels last, all as interleaved RGB; and the mask of a whole patch."""
+    img = s.images(spark, d, 600)
+    k = F.col("vec_id") % 4
+    px = F.when(k == 0, F.col("px")).when(k == 2, F.col("px")).otherwise(F.slice("px", 1, 48))
+    size = F.when(k == 0, 8).otherwise(4)
+    patches = img.select("vec_id", px.alias("px"), size.alias("h"), size.alias("w"), F.when(k == 1, "chw").otherwise("hwc").alias("layout"), F.aggregate(pixels.full_mask(F.col("px")), F.lit(0).cast("long"), lambda a, b: a + b).alias("full_mask"))
+    return readers.as_rgb8(patches).select("vec_id", F.array_join(F.col("px").cast("array<string>"), ",").alias("rgb"), "full_mask")
+
+
 @query(f"WITH {s.images_sql(600)} SELECT vec_id, CASE WHEN len(list_filter(px, lambda g: g > 30 AND g < 220)) < {SMALLEST_MASK} THEN '{SKIPPED_SMALL_MASK}' ELSE 'ok' END AS status FROM img")
 def patch_status(spark: SparkSession, d: str) -> DataFrame:
     area = pixels.mask_area(pixels.threshold_mask(F.col("px")))
@@ -79,11 +92,20 @@ _FIRST = {
 }
 
 
-@query(f"""WITH {s.images_sql()}, a AS (SELECT vec_id, avg(g) AS m, quantile_cont(g::DOUBLE, 0.1) AS p10, quantile_cont(g::DOUBLE, 0.9) AS p90 FROM pix GROUP BY vec_id),
-r AS (SELECT vec_id, avg(g) AS rm FROM pix JOIN a USING (vec_id) WHERE g >= p10 AND g <= p90 GROUP BY vec_id),
-c AS (SELECT vec_id, b, count(*)::DOUBLE / sum(count(*)) OVER (PARTITION BY vec_id) AS p FROM pix GROUP BY vec_id, b),
-e AS (SELECT vec_id, -sum(p * log2(p + {EPS})) AS h, sum(p * p) AS u FROM c GROUP BY vec_id)
-SELECT vec_id, {_named('firstorder', _FIRST)} FROM (SELECT vec_id, g::DOUBLE AS g FROM pix) JOIN a USING (vec_id) JOIN r USING (vec_id) JOIN e USING (vec_id) GROUP BY vec_id""")
+def _first_ctes(pix: str) -> str:
+    """CTE fo: the first-order features of pixels (vec_id, g, b)."""
+    return f"""fa AS (SELECT vec_id, avg(g) AS m, quantile_cont(g::DOUBLE, 0.1) AS p10, quantile_cont(g::DOUBLE, 0.9) AS p90 FROM {pix} GROUP BY vec_id),
+fr AS (SELECT vec_id, avg(g) AS rm FROM {pix} JOIN fa USING (vec_id) WHERE g >= p10 AND g <= p90 GROUP BY vec_id),
+fc AS (SELECT vec_id, b, count(*)::DOUBLE / sum(count(*)) OVER (PARTITION BY vec_id) AS p FROM {pix} GROUP BY vec_id, b),
+fe AS (SELECT vec_id, -sum(p * log2(p + {EPS})) AS h, sum(p * p) AS u FROM fc GROUP BY vec_id),
+fo AS (SELECT vec_id, {', '.join(f'{v} AS "{k}"' for k, v in _FIRST.items())} FROM (SELECT vec_id, g::DOUBLE AS g FROM {pix}) JOIN fa USING (vec_id) JOIN fr USING (vec_id) JOIN fe USING (vec_id) GROUP BY vec_id)"""
+
+
+def _quoted(names) -> dict[str, str]:
+    return {k: f'"{k}"' for k in names}
+
+
+@query(f"WITH {s.images_sql()}, {_first_ctes('pix')} SELECT vec_id, {_named('firstorder', _quoted(_FIRST))} FROM fo")
 def firstorder_roi(spark: SparkSession, d: str) -> DataFrame:
     return _features(spark, d, "firstorder")
 
@@ -210,7 +232,14 @@ def instance_classes(spark: SparkSession, d: str) -> DataFrame:
     return segmentation.cells_from_masks(img, ["vec_id"]).select("vec_id", "cell_id_in_patch", "class_id", "class_name")
 
 
-@query()
+@query(f"""WITH RECURSIVE {s.images_sql(600)}, near AS (SELECT a.vec_id, a.y * 8 + a.x AS p, b.y * 8 + b.x AS q FROM roi a JOIN roi b ON a.vec_id = b.vec_id AND abs(a.y - b.y) <= 1 AND abs(a.x - b.x) <= 1),
+reach AS (SELECT vec_id, y * 8 + x AS p, y * 8 + x AS q FROM roi UNION SELECT r.vec_id, r.p, n.q FROM reach r JOIN near n ON r.vec_id = n.vec_id AND r.q = n.p),
+lab AS (SELECT vec_id, p, min(q) AS z FROM reach GROUP BY ALL),
+parts AS (SELECT vec_id, z, min(p // 8) AS y0, max(p // 8) AS y1, min(p % 8) AS x0, max(p % 8) AS x1, count(*) AS n FROM lab GROUP BY vec_id, z),
+bg AS (SELECT l.vec_id, l.z, k // 10 AS y, k % 10 AS x FROM parts l, range(0, 100) AS t(k) WHERE NOT EXISTS (SELECT 1 FROM lab b WHERE b.vec_id = l.vec_id AND b.z = l.z AND b.p // 8 = k // 10 - 1 AND b.p % 8 = k % 10 - 1 AND k // 10 BETWEEN 1 AND 8 AND k % 10 BETWEEN 1 AND 8)),
+flood AS (SELECT vec_id, z, y, x FROM bg WHERE y = 0 AND x = 0 UNION SELECT b.vec_id, b.z, b.y, b.x FROM flood f JOIN bg b ON f.vec_id = b.vec_id AND f.z = b.z AND abs(f.y - b.y) + abs(f.x - b.x) = 1),
+outer_ AS (SELECT vec_id, z, 100 - count(*) AS filled FROM flood GROUP BY ALL)
+SELECT vec_id, count(z)::BIGINT AS n_polygons, coalesce(sum(filled), 0)::DOUBLE AS outline_area FROM img LEFT JOIN outer_ USING (vec_id) GROUP BY vec_id""")
 def mask_polygons(spark: SparkSession, d: str) -> DataFrame:
     img = s.images(spark, d, 600).withColumn("mask", pixels.threshold_mask(F.col("px")))
     out = geometry.mask_polygons(img, ["vec_id"])
@@ -225,7 +254,16 @@ _BOX = "l_linenumber - 3 AS x0, floor(l_quantity / 10)::BIGINT - 2 AS y0, l_line
 SELECT {', '.join(KEYS)}, (greatest(0, least(x1, 31) - greatest(x0, 0) + 1) * greatest(0, least(y1, 7) - greatest(y0, 0) + 1))::BIGINT AS area FROM b""")
 def rect_raster_area(spark: SparkSession, d: str) -> DataFrame:
     boxes = _boxes(spark, d).select(*KEYS, F.array("geometry").alias("geometries"), F.lit(8).alias("h"), F.lit(32).alias("w"))
-    return geometry.rasterise(boxes, list(KEYS)).select(*KEYS, pixels.mask_area(F.col("mask")).alias("area"))
+    return geometry.raster_area(boxes, list(KEYS))
+
+
+@query(f"""WITH b AS (SELECT {', '.join(KEYS)}, {_BOX} FROM lineitem WHERE l_linenumber = 1), p AS (SELECT * FROM b, range(0, 256) AS t(k) WHERE k % 32 BETWEEN x0 AND x1 AND k // 32 BETWEEN y0 AND y1)
+SELECT {', '.join(f'b.{k}' for k in KEYS)}, coalesce(string_agg(k::VARCHAR, ',' ORDER BY k), '') AS inside FROM b LEFT JOIN p USING ({', '.join(KEYS)}) GROUP BY ALL""")
+def rect_raster_mask(spark: SparkSession, d: str) -> DataFrame:
+    """Which pixels of a mask are inside."""
+    boxes = _boxes(spark, d).where("l_linenumber = 1").select(*KEYS, F.array("geometry").alias("geometries"), F.lit(8).alias("h"), F.lit(32).alias("w"))
+    at = F.filter(F.sequence(F.lit(0), F.lit(255)), lambda k: F.get("mask", k) > 0)
+    return geometry.rasterise(boxes, list(KEYS)).select(*KEYS, F.array_join(at.cast("array<string>"), ",").alias("inside"))
 
 
 @query(f"""WITH b AS (SELECT {', '.join(KEYS)}, {_BOX} FROM lineitem), v AS (SELECT *, ((x1 - x0 + 1) ** 2 - 1) / 12 AS vx, ((y1 - y0 + 1) ** 2 - 1) / 12 AS vy FROM b)
@@ -244,39 +282,132 @@ def shape2d_mesh(spark: SparkSession, d: str) -> DataFrame:
     return rounded(geometry.shape2d(_boxes(spark, d), list(KEYS)).select(*KEYS, "MeshSurface", "Perimeter", "PerimeterSurfaceRatio", "Sphericity", "MaximumDiameter"))
 
 
-def _scaled(f: str) -> str:
-    return f"CASE WHEN status = 'ok' THEN CASE WHEN lo IS NULL OR lo = hi THEN 0.0 WHEN {f} IS NULL THEN NULL ELSE {R(f'(greatest(least({f}, hi), lo) - lo) / (hi - lo)')} END END"
+def _scaled(f: str, sample: str = "sample_id", final=R) -> str:
+    """A feature f of a table with status, clipped and scaled within its sample."""
+    q = lambda p: f"quantile_cont({f}, {p}) FILTER (status = 'ok') OVER (PARTITION BY {sample})"
+    low, high = q(0.01), q(0.99)
+    scaled = final(f"(greatest(least({f}, {high}), {low}) - {low}) / ({high} - {low})")
+    return f"CASE WHEN status = 'ok' THEN CASE WHEN {low} IS NULL OR {low} = {high} THEN 0.0 WHEN {f} IS NULL THEN NULL ELSE {scaled} END END"
 
 
-_QUANTILES = "quantile_cont(mean, 0.01) FILTER (status = 'ok') OVER (PARTITION BY sample_id) AS lo, quantile_cont(mean, 0.99) FILTER (status = 'ok') OVER (PARTITION BY sample_id) AS hi"
+def _scaled_first(prefix: str) -> str:
+    return ", ".join(f"""{_scaled(f'"{f}"')} AS "{prefix}_original_firstorder_{f}" """ for f in _FIRST)
 
 
-@query(f"""WITH {s.images_sql(600)}, a AS (SELECT vec_id, label::VARCHAR AS sample_id, len(list_filter(px, lambda g: g > 30 AND g < 220))::BIGINT AS area, list_avg(list_filter(px, lambda g: g > 30 AND g < 220)) AS mean FROM img),
-t AS (SELECT *, CASE WHEN area < {SMALLEST_MASK} THEN '{SKIPPED_SMALL_MASK}' ELSE 'ok' END AS status FROM a), u AS (SELECT *, {_QUANTILES} FROM t)
-SELECT sample_id, vec_id AS patch_idx, status, area AS patch_mask_area, {_scaled('mean')} AS patch_original_firstorder_Mean FROM u""")
+_THRESHOLD = f"""t AS (SELECT img.vec_id, label::VARCHAR AS sample_id, coalesce(area, 0)::BIGINT AS area, CASE WHEN coalesce(area, 0) < {SMALLEST_MASK} THEN '{SKIPPED_SMALL_MASK}' ELSE 'ok' END AS status FROM img LEFT JOIN (SELECT vec_id, count(*) AS area FROM pix GROUP BY vec_id) USING (vec_id))"""
+
+
+@query(f"""WITH {s.images_sql(600)}, {_first_ctes('pix')}, {_THRESHOLD}, u AS (SELECT t.*, fo.* EXCLUDE (vec_id) FROM t LEFT JOIN fo ON fo.vec_id = t.vec_id AND area >= {SMALLEST_MASK})
+SELECT sample_id, vec_id AS patch_idx, status, area AS patch_mask_area, {_scaled_first('patch')} FROM u""")
 def pipeline_threshold(spark: SparkSession, d: str) -> DataFrame:
     patches = s.images(spark, d, 600).withColumnRenamed("vec_id", "patch_idx")
     table = pipeline.extract(patches, None, Config(mask_source="threshold"))
-    return rounded(table.select("sample_id", "patch_idx", "status", "patch_mask_area", "patch_original_firstorder_Mean"))
+    return rounded(table.select("sample_id", "patch_idx", "status", "patch_mask_area", *(f"patch_original_firstorder_{f}" for f in kernels.FIRSTORDER)))
+
+
+@query(f"""WITH {s.images_sql(600)}, col AS (SELECT vec_id, k // 8 AS y, k % 8 AS x, (px[(k + 1)::INT] * 19595 + px[((k + 21) % 64 + 1)::INT] * 38470 + px[((k + 42) % 64 + 1)::INT] * 7471 + 32768) >> 16 AS g FROM img, range(0, 64) AS t(k) WHERE vec_id % 50 <> 7),
+gp AS (SELECT vec_id, y, x, g, g // 25 - min(g) OVER (PARTITION BY vec_id) // 25 + 1 AS b FROM col WHERE g > 30 AND g < 220), {_first_ctes('gp')},
+t AS (SELECT vec_id, label::VARCHAR AS sample_id, CASE WHEN vec_id % 50 <> 7 THEN coalesce(area, 0)::BIGINT END AS area, CASE WHEN vec_id % 50 = 7 THEN 'error' WHEN coalesce(area, 0) < {SMALLEST_MASK} THEN '{SKIPPED_SMALL_MASK}' ELSE 'ok' END AS status,
+ CASE WHEN vec_id % 50 = 7 THEN 'a patch of 8 x 8 has 191 values' END AS error FROM img LEFT JOIN (SELECT vec_id, count(*) AS area FROM gp GROUP BY vec_id) USING (vec_id)),
+u AS (SELECT t.*, fo.* EXCLUDE (vec_id) FROM t LEFT JOIN fo ON fo.vec_id = t.vec_id AND area >= {SMALLEST_MASK})
+SELECT sample_id, vec_id AS patch_idx, status, error, area AS patch_mask_area, CASE WHEN status <> 'error' THEN 'B' || vec_id END AS barcode, {_scaled_first('patch')} FROM u""")
+def pipeline_rgb(spark: SparkSession, d: str) -> DataFrame:
+    """RGB patches under the names of a source; some lack a value."""
+    patches = s.colour_images(spark, d, 600).withColumnRenamed("vec_id", "patch_idx")
+    broken = F.when(F.col("patch_idx") % 50 == 7, F.slice("px", 1, 191)).otherwise(F.col("px"))
+    source = patches.select("sample_id", "patch_idx", broken.alias("imgs"), "h", "w", F.array(F.lit(1.0), F.lit(2.0)).alias("coords"), F.concat(F.lit("B"), "patch_idx").cast("binary").alias("barcodes"))
+    table = pipeline.extract(readers.patches(source), None, Config(mask_source="threshold"))
+    return rounded(table.select("sample_id", "patch_idx", "status", "error", "patch_mask_area", "barcode", *(f"patch_original_firstorder_{f}" for f in kernels.FIRSTORDER)))
 
 
 _CELL_BOX = ("(l_linenumber - 1)", "(l_suppkey % 5)", "(l_linenumber + 4)", "(l_suppkey % 5 + 4)")
+_CELL_CTES = f"""c AS (SELECT l_orderkey AS vec_id, l_quantity, l_returnflag || l_linestatus AS cls, {_CELL_BOX[0]} AS x0, {_CELL_BOX[1]} AS y0, {_CELL_BOX[2]} AS x1, {_CELL_BOX[3]} AS y1 FROM lineitem)"""
 
 
-@query(f"""WITH {s.images_sql()}, c AS (SELECT l_orderkey AS vec_id, l_quantity, l_returnflag || l_linestatus AS cls, {_CELL_BOX[0]} AS x0, {_CELL_BOX[1]} AS y0, {_CELL_BOX[2]} AS x1, {_CELL_BOX[3]} AS y1 FROM lineitem),
-hit AS (SELECT DISTINCT r.vec_id, r.y, r.x, r.g FROM raw r JOIN c ON c.vec_id = r.vec_id AND r.x BETWEEN x0 AND x1 AND r.y BETWEEN y0 AND y1),
-ar AS (SELECT vec_id, count(*) AS area, avg(g) AS m FROM hit GROUP BY vec_id),
+@query(f"""WITH {s.images_sql()}, {_CELL_CTES},
+hit AS (SELECT vec_id, y, x, g, g // 25 - min(g) OVER (PARTITION BY vec_id) // 25 + 1 AS b FROM (SELECT DISTINCT r.vec_id, r.y, r.x, r.g FROM raw r JOIN c ON c.vec_id = r.vec_id AND r.x BETWEEN x0 AND x1 AND r.y BETWEEN y0 AND y1)),
+{_first_ctes('hit')},
+ar AS (SELECT vec_id, count(*) AS area FROM hit GROUP BY vec_id),
 cc AS (SELECT vec_id, count(*) AS n, count(*) FILTER (cls = 'AF') AS neo, avg(l_quantity) AS q FROM c GROUP BY vec_id),
-t AS (SELECT img.vec_id, label::VARCHAR AS sample_id, coalesce(n, 0) AS n, CASE WHEN n > 0 THEN coalesce(area, 0) END AS area, coalesce(neo, 0)::DOUBLE AS neo, q, CASE WHEN area >= {SMALLEST_MASK} THEN m END AS mean, CASE WHEN n > 0 THEN 'ok' ELSE 'skipped_no_cellseg_mask' END AS status
+t AS (SELECT img.vec_id, label::VARCHAR AS sample_id, coalesce(n, 0) AS n, CASE WHEN n > 0 THEN coalesce(area, 0) END AS area, coalesce(neo, 0)::DOUBLE AS neo, q, CASE WHEN n > 0 THEN 'ok' ELSE 'skipped_no_cellseg_mask' END AS status
  FROM img LEFT JOIN cc USING (vec_id) LEFT JOIN ar USING (vec_id)),
-u AS (SELECT *, {_QUANTILES}, quantile_cont(q, 0.01) FILTER (status = 'ok') OVER (PARTITION BY sample_id) AS qlo, quantile_cont(q, 0.99) FILTER (status = 'ok') OVER (PARTITION BY sample_id) AS qhi FROM t)
+u AS (SELECT t.*, fo.* EXCLUDE (vec_id) FROM t LEFT JOIN fo ON fo.vec_id = t.vec_id AND area >= {SMALLEST_MASK})
 SELECT sample_id, vec_id AS patch_idx, status, n AS n_cells_total, area AS cellseg_mask_area, neo AS dist_count_neoplastic, {R('CASE WHEN n > 0 THEN neo / n ELSE 0.0 END')} AS dist_ratio_neoplastic,
- {_scaled('mean')} AS cellseg_all_original_firstorder_Mean, {_scaled('q').replace('lo', 'qlo').replace('hi', 'qhi')} AS morph_quantity_mean FROM u""")
+ {_scaled_first('cellseg_all')}, {_scaled('q')} AS morph_quantity_mean FROM u""")
 def pipeline_cellseg(spark: SparkSession, d: str) -> DataFrame:
+    table = _cellseg(spark, d, ["quantity"])
+    counts = ("n_cells_total", "cellseg_mask_area", "dist_count_neoplastic", "dist_ratio_neoplastic")
+    return rounded(table.select("sample_id", "patch_idx", "status", *counts, *(f"cellseg_all_original_firstorder_{f}" for f in kernels.FIRSTORDER), "morph_quantity_mean"))
+
+
+def _cellseg(spark: SparkSession, d: str, measurements=()) -> DataFrame:
     patches = s.images(spark, d).withColumnRenamed("vec_id", "patch_idx")
     box = geometry.rectangle(*map(F.expr, _CELL_BOX))
     cells = s.cells(spark, d).withColumn("geometry", box).withColumnRenamed("l_quantity", "quantity")
     cells = cells.join(patches.select("patch_idx", "sample_id"), "patch_idx")
-    order = [c for c in s.ORDER if c != "l_quantity"]
-    table = pipeline.extract(patches, cells, Config(mask_source="cellseg"), ["quantity"], order)
-    return rounded(table.select("sample_id", "patch_idx", "status", "n_cells_total", "cellseg_mask_area", "dist_count_neoplastic", "dist_ratio_neoplastic", "cellseg_all_original_firstorder_Mean", "morph_quantity_mean"))
+    return pipeline.extract(patches, cells, Config(mask_source="cellseg"), list(measurements), [c for c in s.ORDER if c != "l_quantity"])
+
+
+_SHAPES = {
+    "meshsurface": "w * h - 0.5", "pixelsurface": "w * h", "perimeter": "2 * (w + h - 2) + 4 * sqrt(0.5)", "perimetersurfaceratio": "(2 * (w + h - 2) + 4 * sqrt(0.5)) / (w * h - 0.5)",
+    "sphericity": "2 * sqrt(pi() * (w * h - 0.5)) / (2 * (w + h - 2) + 4 * sqrt(0.5))", "maximumdiameter": "sqrt(greatest(w ** 2 + (h - 1) ** 2, (w - 1) ** 2 + h ** 2))",
+    "majoraxislength": "4 * sqrt((greatest(w, h) ** 2 - 1) / 12)", "minoraxislength": "4 * sqrt((least(w, h) ** 2 - 1) / 12)", "elongation": "sqrt((least(w, h) ** 2 - 1) / (greatest(w, h) ** 2 - 1))",
+}
+
+
+def _shapes_sql() -> str:
+    every = " UNION ALL ".join(f"SELECT vec_id, '{k}' AS shape, round({v}, 10) AS v FROM box" for k, v in _SHAPES.items())
+    z = "((v - m) / nullif(s, 0))"
+    stats = {
+        "mean": "avg(v)", "median": "quantile_cont(v, 0.5)", "minimum": "min(v)", "maximum": "max(v)", "range": "max(v) - min(v)", "variance": "var_pop(v)", "standarddeviation": "stddev_pop(v)",
+        "p10": "quantile_cont(v, 0.1)", "p25": "quantile_cont(v, 0.25)", "p75": "quantile_cont(v, 0.75)", "p90": "quantile_cont(v, 0.9)", "iqr": "quantile_cont(v, 0.75) - quantile_cont(v, 0.25)",
+        "meanabsolutedeviation": "avg(abs(v - m))", "skewness": f"CASE WHEN min(v) = max(v) THEN 0.0 ELSE avg(pow({z}, 3)) END", "kurtosis": f"CASE WHEN min(v) = max(v) THEN 0.0 ELSE avg(pow({z}, 4)) - 3 END",
+        "entropy": "any_value(en)", "energy": "sum(v * v)", "rootmeansquared": "sqrt(avg(v * v))",
+    }
+    long = " UNION ALL ".join(f"SELECT vec_id, 'morph_' || shape || '_{k}' AS feature, {k} AS v FROM st" for k in stats)
+    return f"""WITH {s.images_sql()}, {_CELL_CTES}, box AS (SELECT vec_id, (least(x1, 7) - x0 + 1)::DOUBLE AS w, (least(y1, 7) - y0 + 1)::DOUBLE AS h FROM c JOIN (SELECT vec_id FROM img) USING (vec_id)),
+sh AS ({every}), b1 AS (SELECT *, min(v) OVER g AS lo, max(v) OVER g AS hi, count(*) OVER g AS n, least(16, greatest(2, count(*) OVER g)) AS bins FROM sh WINDOW g AS (PARTITION BY vec_id, shape)),
+b2 AS (SELECT vec_id, shape, any_value(n) AS n, count(*) AS k, any_value(lo) AS lo, any_value(hi) AS hi FROM b1 GROUP BY vec_id, shape, CASE WHEN hi > lo THEN least(floor((v - lo) / ((hi - lo) / bins))::BIGINT, bins - 1) ELSE 0 END),
+b3 AS (SELECT vec_id, shape, CASE WHEN any_value(lo) = any_value(hi) THEN 0.0 ELSE -sum(k::DOUBLE / n * log2(k::DOUBLE / n)) END AS en FROM b2 GROUP BY vec_id, shape),
+mo AS (SELECT vec_id, shape, avg(v) AS m, stddev_pop(v) AS s FROM sh GROUP BY vec_id, shape),
+st AS (SELECT vec_id, shape, {', '.join(f'{v} AS {k}' for k, v in stats.items())} FROM sh JOIN b3 USING (vec_id, shape) JOIN mo USING (vec_id, shape) GROUP BY vec_id, shape),
+u AS (SELECT vec_id, label::VARCHAR AS sample_id, feature, v, 'ok' AS status FROM ({long}) JOIN (SELECT vec_id, label FROM img) USING (vec_id))
+SELECT sample_id, vec_id AS patch_idx, feature, {_scaled('v', 'sample_id, feature')} AS value FROM u"""
+
+
+@query(_shapes_sql())
+def pipeline_cellseg_shapes(spark: SparkSession, d: str) -> DataFrame:
+    """The 162 shape statistics of patches with cells, made long."""
+    table = _cellseg(spark, d).where("status = 'ok'")
+    names = [f"morph_{m}" for m in texture.MORPHOLOGY]
+    return rounded(table.select("sample_id", "patch_idx", F.inline(F.array(*(F.struct(F.lit(f).alias("feature"), F.col(f).alias("value")) for f in names)))))
+
+
+@query(_glcm_sql().replace(_PAIRS, _PAIRS.replace("(0, 0, 1), (1, 1, 0), (2, 1, 1), (3, 1, -1)", "(0, 0, 1)")))
+def glcm_features_axis(spark: SparkSession, d: str) -> DataFrame:
+    """Texture along one axis, the other preset of directions."""
+    img = s.images(spark, d).withColumnsRenamed({"vec_id": "patch_idx"})
+    made = pipeline.threshold_features(img, Config(directions="axis"), smallest=1)
+    names = [f"glcm_{f}" for f in kernels.GLCM if f != "MCC"]
+    return rounded(made.select(F.col("patch_idx").alias("vec_id"), *((F.col(f"patch_original_{f}") / _SCALE.get(f, 1.0)).alias(f) for f in names)))
+
+
+@query(f"""WITH {s.images_sql()}, sq AS (SELECT vec_id, g, (g / sqrt(max(g) OVER (PARTITION BY vec_id))) ** 2 AS v FROM raw)
+SELECT vec_id, {R('avg(v)')} AS "square_firstorder_Mean", {R('min(v)')} AS "square_firstorder_Minimum", {R('quantile_cont(v, 0.5)')} AS "square_firstorder_Median", {R('var_pop(v) / 1e4')} AS "square_firstorder_Variance" FROM sq WHERE g > 30 AND g < 220 GROUP BY vec_id""")
+def filtered_features(spark: SparkSession, d: str) -> DataFrame:
+    """Features of an image type besides the original."""
+    img = s.images(spark, d).withColumnRenamed("vec_id", "patch_idx")
+    made = pipeline.threshold_features(img, Config(filters=("Original", "Square")), smallest=1).where("patch_mask_area > 0")
+    names = [f"square_firstorder_{f}" for f in ("Mean", "Minimum", "Median", "Variance")]
+    return rounded(made.select(F.col("patch_idx").alias("vec_id"), *((F.col(f"patch_{f}") / (1e4 if f.endswith("Variance") else 1)).alias(f) for f in names)))
+
+
+@query(f"""WITH {s.images_sql(600)}, {_THRESHOLD}, f AS (SELECT vec_id, avg(g) AS m FROM pix GROUP BY vec_id), u AS (SELECT t.*, m FROM t LEFT JOIN f ON f.vec_id = t.vec_id AND area >= {SMALLEST_MASK})
+SELECT sample_id, vec_id AS patch_idx, 'patch_original_firstorder_Mean' AS feature, 5::BIGINT AS place, 93::BIGINT AS features, {_scaled('m', final='round(({})::FLOAT::DOUBLE, 6)'.format)} AS value FROM u""")
+def processed_matrix(spark: SparkSession, d: str) -> DataFrame:
+    """One column of the feature matrix with its name and place in var."""
+    table = pipeline.extract(s.images(spark, d, 600).withColumnRenamed("vec_id", "patch_idx"), None, Config())
+    made = sinks.matrix(table)
+    place = made["var"].where("feature = 'patch_original_firstorder_Mean'").agg(F.max("place")).scalar()
+    value = F.get("X", place.cast("int"))
+    return made["X"].select("sample_id", "patch_idx", F.lit("patch_original_firstorder_Mean").alias("feature"), place.alias("place"), F.size("X").cast("long").alias("features"), F.round(value.cast("double"), 6).alias("value"))

@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import names
-from ..functions.columns import r6
+from ..functions.columns import number, r6
 from ..operators import cells as cell_ops
 from ..operators import describe, genes, normalize, segmentation, selection
 from ..operators.geometry import area, bounding_box, crop, perimeter, rectangle
+from ..schema import radiomics_key
+from ..sources.sinks import parquet_safe
 from . import standin as s
 
 QUERIES: dict = {}
@@ -104,10 +106,10 @@ def _representative_sql(f: str) -> str:
  FROM ok JOIN ({t}) USING (sample_id) WHERE {f} IS NOT NULL QUALIFY row_number() OVER (PARTITION BY sample_id, stat_name ORDER BY {R(f'abs({f} - target_value)')}, {s.ORDER_SQL}) = 1"""
 
 
-@query(f"WITH {FT}, ok AS (SELECT * FROM ft WHERE status = 'ok'), u AS ({' UNION ALL '.join(map(_representative_sql, s.FEATURES[:2]))}) SELECT *, {_CLASS} AS feature_class FROM u")
+@query(f"WITH {FT}, ok AS (SELECT * FROM ft WHERE status = 'ok'), u AS ({' UNION ALL '.join(map(_representative_sql, s.FEATURES))}) SELECT *, {_CLASS} AS feature_class FROM u")
 def representatives(spark: SparkSession, d: str) -> DataFrame:
     ok = describe.ok_rows(s.feature_table(spark, d))
-    return rounded(describe.representatives(ok, list(s.FEATURES[:2]), list(s.ORDER), list(KEYS)))
+    return rounded(describe.representatives(ok, list(s.FEATURES), list(s.ORDER), list(KEYS)))
 
 
 _CELLS = f"""cells AS (SELECT *, l_orderkey AS patch_idx, {s.CLASS_SQL} AS raw_class, {s.CLASS_ID_SQL} AS class_id, CASE WHEN l_orderkey % 7 <> 0 THEN 'BC-' || l_orderkey END AS barcode FROM lineitem),
@@ -136,6 +138,34 @@ def cell_summary_merge(spark: SparkSession, d: str) -> DataFrame:
     return cell_ops.with_summary(cells, summary).select("patch_idx", "barcode", *KEYS[1:], "n_cells", "coord_raw_json")
 
 
+_TWO = "two AS (SELECT *, l_suppkey % 2 AS sample_id, l_orderkey // 3 AS idx, CASE WHEN l_orderkey % 7 <> 0 THEN 'BC-' || (l_orderkey // 3) END AS code FROM lineitem)"
+
+
+@query(f"""WITH {_TWO}, numbered AS (SELECT *, row_number() OVER (PARTITION BY sample_id, idx, code ORDER BY {s.ORDER_SQL}) AS cell_id_in_patch FROM two),
+n AS (SELECT sample_id, idx, count(*) AS n FROM two GROUP BY ALL), patch AS (SELECT sample_id, idx, code FROM two GROUP BY ALL)
+SELECT c.sample_id, c.idx AS patch_idx, c.code AS barcode, cell_id_in_patch, {', '.join(f'c.{k}' for k in KEYS)}, n AS n_cells, '[' || c.sample_id || '.0,' || c.idx || '.0]' AS coord_raw_json
+FROM numbered c JOIN patch p ON c.sample_id = p.sample_id AND c.idx = p.idx AND c.code IS NOT DISTINCT FROM p.code JOIN n ON n.sample_id = c.sample_id AND n.idx = c.idx""")
+def cell_summary_two_samples(spark: SparkSession, d: str) -> DataFrame:
+    """Cells of two samples that share patch numbers and barcodes."""
+    number = F.floor(F.col("l_orderkey") / 3)
+    code = F.when(F.col("l_orderkey") % 7 != 0, F.concat(F.lit("BC-"), number.cast("string")))
+    found = s.load(spark, d, "lineitem").withColumns({"sample_id": F.col("l_suppkey") % 2, "patch_idx": number, "barcode": code, "geometry": F.struct(*s.ORDER)})
+    rows = segmentation.cell_rows(found, list(s.ORDER))
+    patches = rows.select("sample_id", "patch_idx", "barcode").distinct().withColumns({"x": F.col("sample_id").cast("double"), "y": F.col("patch_idx").cast("double")})
+    out = cell_ops.with_summary(rows, segmentation.patch_summary(patches, rows))
+    return out.select("sample_id", "patch_idx", "barcode", "cell_id_in_patch", *(F.col("geometry").getField(k).alias(k) for k in KEYS), "n_cells", "coord_raw_json")
+
+
+@query(f"""WITH {_CELLS} SELECT o_orderkey AS patch_idx, count(c.patch_idx) AS n_cells, coalesce(string_agg(c.class_name || ':' || c.l_linenumber, ',' ORDER BY c.l_linenumber, c.class_name), '') AS classes
+FROM orders LEFT JOIN named c ON c.patch_idx = o_orderkey GROUP BY o_orderkey""")
+def overlay_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The cells that an overlay of each patch draws."""
+    found = s.cells(spark, d).select("patch_idx", F.col("l_linenumber").alias("cell_id_in_patch"), names.class_name(F.col("class_name")).alias("class_name"), F.lit(None).cast("string").alias("geometry"))
+    rows = segmentation.overlay_rows(s.load(spark, d, "orders").select(F.col("o_orderkey").alias("patch_idx")), found)
+    drawn = F.transform("cells", lambda c: F.concat(c["class_name"], F.lit(":"), c["cell_id_in_patch"].cast("string")))
+    return rows.select("patch_idx", F.size("cells").cast("long").alias("n_cells"), F.array_join(drawn, ",").alias("classes"))
+
+
 @query(f"""WITH {_CELLS} SELECT patch_idx, coalesce(barcode, 'BC-none') AS barcode, row_number() OVER (PARTITION BY patch_idx ORDER BY {s.ORDER_SQL}) AS cell_id_in_patch,
  CASE WHEN l_linenumber = 2 THEN -1 ELSE class_id END::BIGINT AS class_id, coalesce(raw_class, 'unknown') AS class_name FROM cells""")
 def segmented_cell_rows(spark: SparkSession, d: str) -> DataFrame:
@@ -207,6 +237,29 @@ def feature_class(spark: SparkSession, d: str) -> DataFrame:
     return df.groupBy("feature", names.feature_class(F.col("feature")).alias("feature_class")).agg(F.count("*").alias("n"))
 
 
+_RESULT = "CASE l_linenumber WHEN 1 THEN 'original_' WHEN 2 THEN 'diagnostics_' WHEN 3 THEN 'Wavelet-HH_' WHEN 4 THEN 'log-sigma-2-mm_' WHEN 5 THEN 'original_shape2D_' WHEN 6 THEN 'other' ELSE 'squareroot_' END || l_returnflag"
+
+
+@query(f"""WITH r AS (SELECT {', '.join(KEYS)}, {_RESULT} AS name, CASE WHEN l_linenumber = 1 THEN 'x' ELSE l_quantity::VARCHAR END AS result FROM lineitem)
+SELECT {', '.join(KEYS)}, replace(lower(name), 'original_shape2d_', '') AS name, TRY_CAST(result AS DOUBLE) AS value FROM r WHERE regexp_matches(lower(name), '^(original_|wavelet-|log-sigma-|square_|squareroot_|logarithm_|exponential_)')""")
+def radiomics_keys(spark: SparkSession, d: str) -> DataFrame:
+    """Raw results that are features, as numbers, without the prefix of shapes."""
+    rows = s.load(spark, d, "lineitem").select(*KEYS, F.expr(_RESULT).alias("name"), F.expr("CASE WHEN l_linenumber = 1 THEN 'x' ELSE CAST(l_quantity AS STRING) END").alias("result"))
+    return rows.where(radiomics_key(F.col("name"))).select(*KEYS, names.without_shape2d(F.col("name")).alias("name"), number(F.col("result")).alias("value"))
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN o_orderpriority WHEN o_orderkey % 3 = 1 THEN 'é' || o_orderkey ELSE '' END AS barcode, '[' || o_orderkey || ',' || o_custkey || ']' AS pair FROM orders""")
+def barcode_decode(spark: SparkSession, d: str) -> DataFrame:
+    """Barcodes from bytes and from the first of an array, null as nothing; arrays as JSON text."""
+    orders = s.load(spark, d, "orders")
+    one = orders.withColumns({
+        "bytes": F.when(F.col("o_orderkey") % 3 == 1, F.concat(F.lit("é"), F.col("o_orderkey").cast("string")).cast("binary")),
+        "several": F.when(F.col("o_orderkey") % 3 == 0, F.array("o_orderpriority", F.lit("other"))), "pair": F.array("o_orderkey", "o_custkey"),
+    })
+    text = F.coalesce(names.decoded(F.col("several"), array=True), names.decoded(F.col("bytes"), ""))
+    return parquet_safe(one.select("o_orderkey", text.alias("barcode"), "pair"))
+
+
 def _catalogue(spark: SparkSession, d: str) -> DataFrame:
     nation = s.load(spark, d, "nation")
     return s.load(spark, d, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
@@ -356,7 +409,7 @@ def common_genes(spark: SparkSession, d: str) -> DataFrame:
 @query(f"WITH {_GENES} SELECT gene, {R('s1 / n')} AS mean FROM mom ORDER BY s1 / n DESC, gene LIMIT 20")
 def topk_genes_mean(spark: SparkSession, d: str) -> DataFrame:
     expr = s.expression(spark, d)
-    return rounded(genes.top_by_mean(expr, genes.common_genes(expr), 20))
+    return rounded(genes.top_by_mean(genes.moments(expr, genes.common_genes(expr)), 20))
 
 
 @query(f"""WITH {_GENES}, a AS (SELECT gene, CASE WHEN s1 = 0 THEN 1e-12 ELSE s1 / n END AS mu, (s2 - n * (s1 / n) * (s1 / n)) / (n - 1) AS var FROM mom),
@@ -366,4 +419,14 @@ f AS (SELECT gene, round(coalesce(CASE WHEN disp IS NOT NULL AND count(disp) OVE
 cut AS (SELECT min(norm) AS cut FROM (SELECT norm FROM f ORDER BY norm DESC, gene LIMIT 20)) SELECT gene, norm FROM f, cut WHERE norm >= cut ORDER BY gene LIMIT 20""")
 def hvg_genes(spark: SparkSession, d: str) -> DataFrame:
     expr = s.expression(spark, d)
-    return genes.highly_variable(expr, genes.common_genes(expr), 20)
+    return genes.highly_variable(genes.moments(expr, genes.common_genes(expr)), 20)
+
+
+@query(f"""WITH {_GENES}, top AS (SELECT gene, row_number() OVER (ORDER BY s1 / n DESC, gene) AS rn FROM mom)
+SELECT 'mean' AS criterion, k::INT AS k, gene FROM top, (VALUES (5), (20)) v(k) WHERE rn <= k""")
+def gene_sets(spark: SparkSession, d: str) -> DataFrame:
+    """Gene lists of several sizes from one table of moments."""
+    expr = s.expression(spark, d)
+    sets = genes.gene_sets(genes.moments(expr, genes.common_genes(expr)), ("mean",), (5, 20))
+    parts = [chosen.select(F.lit(c).alias("criterion"), F.lit(k).alias("k"), "gene") for (c, k), chosen in sets.items()]
+    return selection.chunks_joined(*parts)

@@ -47,6 +47,13 @@ def images(spark: SparkSession, sf_dir: str, scale: int = 256) -> DataFrame:
     return load(spark, sf_dir, "embeddings").select("vec_id", F.col("label").cast("string").alias("sample_id"), gray.alias("px"), F.lit(8).alias("h"), F.lit(8).alias("w"))
 
 
+def colour_images(spark: SparkSession, sf_dir: str, scale: int = 256) -> DataFrame:
+    """The images as red, green and blue that are shifted against each other."""
+    at = lambda i: F.get("px", i % 64)
+    rgb = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(63)), lambda k: F.array(at(k), at(k + 21), at(k + 42))))
+    return images(spark, sf_dir, scale).withColumn("px", rgb)
+
+
 def images_sql(scale: int = 256) -> str:
     """CTEs img (vec_id, px) and pix (vec_id, y, x, g, b): pixels in the region with their bins."""
     return f"""img AS (SELECT vec_id, label, list_transform(embedding, lambda e: floor(greatest(least(128.0 + {float(scale)} * e::DOUBLE, 255.0), 0.0))::BIGINT) AS px FROM embeddings),

@@ -69,13 +69,15 @@ def test_genes(spark):
     df = spark.createDataFrame(rows, "sample_id string, obs_id string, gene string, value double")
     common = genes.common_genes(df)
     assert [r.gene for r in common.collect()] == ["G1"]
-    assert genes.top_by_mean(df, common, 5).first()["mean"] == 1.0
-    assert [r.norm for r in genes.highly_variable(df, common, 5).collect()] == [1.0]
-    assert set(genes.gene_sets(df, ks=(1,))) == {("mean", 1), ("var", 1)}
+    sums = genes.moments(df, common)
+    assert genes.top_by_mean(sums, 5).first()["mean"] == 1.0
+    assert [r.norm for r in genes.highly_variable(sums, 5).collect()] == [1.0]
+    assert set(genes.gene_sets(sums, ks=(1,))) == {("mean", 1), ("var", 1)}
     with pytest.raises(ValueError):
-        genes.gene_sets(df, criteria=("median",))
+        genes.gene_sets(sums, criteria=("median",))
+    other = df.where("gene = 'G2'").unionByName(df.where("sample_id = 'a'"))
     with pytest.raises(ValueError):
-        genes.gene_sets(df.where("gene = 'G2'").unionByName(df.where("sample_id = 'a'")))
+        genes.gene_sets(genes.moments(other, genes.common_genes(other)))
 
 
 @pytest.mark.parametrize("ratio", [0.01, 0.1, 0.33, 0.5, 0.99, 1.0])
@@ -97,10 +99,11 @@ def test_even_spacing_matches_numpy(spark, ratio):
 
 def test_names():
     assert names.feature_prefix("Cell Seg", None, "ALL ") == "cell_seg_all_" and names.class_name_scalar(None) == "none"
-    assert names.as_bool("Yes") and not names.as_bool("0") and names.none_like(" null ") is None
-    assert names.merged({"a": {"b": 1, "c": 2}}, {"a": {"b": None, "c": 3}, "d": 4}) == {"a": {"b": 1, "c": 3}, "d": 4}
-    with pytest.raises(ValueError):
-        names.as_bool("maybe")
+    assert names.as_bool("Yes") and not names.as_bool("0") and names.as_bool(None) is None and names.as_bool(True)
+    assert names.none_like("none") is None and names.none_like([]) is None and names.none_like("x") == "x"
+    for text in ("maybe", "on", "t"):
+        with pytest.raises(ValueError):
+            names.as_bool(text)
 
 
 def test_name_columns(spark):
@@ -113,12 +116,17 @@ def test_name_columns(spark):
 
 def test_column_roles(spark):
     assert [c for c in ("morph_a", "patch_idx", "patch_mask_area", "patch_original_x", "cellseg_mask_area", "CELLSEG_all_wavelet-HH_x", "dist_a") if schema.is_normalised(c)] == ["morph_a", "patch_original_x", "CELLSEG_all_wavelet-HH_x"]
-    assert schema.radiomics_key("log-sigma-1_x") and not schema.radiomics_key("diagnostics_x")
-    df = spark.createDataFrame([(None, b"b", [1.0, 2.0], [1] * 12)], "barcodes string, spot_id binary, spatial array<double>, imgs array<int>")
+    df = spark.createDataFrame([([b"a", b"x"], b"b", [1.0, 2.0], [1] * 12, 2, 2)], "barcodes array<binary>, barcode binary, spatial array<double>, imgs array<int>, h int, w int")
     r = readers.patches(df).first()
-    assert (r.barcode, r.x, r.y) == ("b", 1.0, 2.0)
+    assert (r.barcode, r.x, r.y) == ("a", 1.0, 2.0)
+    r = readers.patches(df, "segment").first()
+    assert (r.barcode, r.x) == ("b", None)
+    assert readers.patches(df.drop("barcode", "barcodes", "spatial"), "patch").first().barcode is None
+    for column, reader in (("imgs", "extract"), ("spatial", "extract")):
+        with pytest.raises(KeyError):
+            readers.patches(df.drop(column), reader)
     with pytest.raises(KeyError):
-        schema.resolve(df.drop("imgs"), "img")
+        readers.patches(df.drop("barcode", "barcodes"), "segment")
 
 
 def test_layouts(spark):
@@ -136,43 +144,237 @@ def test_polygon_with_hole(spark):
     assert got == [(15.0, 20.0), (0.0, 0.0)]
 
 
-def test_drivers_and_sinks(spark, tmp_path):
-    box = lambda a, b: [[(a, a), (b, a), (b, b), (a, b)]]
-    patches = spark.createDataFrame([("s", i, f"B{i}", 1.0, 2.0, 8, 8, [(17 * i + 3 * k) % 256 for k in range(64)]) for i in range(5)], schema.PATCHES)
-    seg = spark.createDataFrame([("s", 0, 0, 4.0, box(0.0, 7.0)), ("s", 1, 1, 2.0, box(2.0, 3.0)), ("s", 1, 2, None, box(5.0, 6.0))], "sample_id string, patch_idx long, ord long, size double, geometry array<array<struct<x:double,y:double>>>")
-    seg = seg.withColumn("class_name", F.lit("Dead"))
-    config = schema.Config(mask_source="cellseg")
-    table = pipeline.extract(patches, seg, config, ["size"], ["ord"])
+BOX = lambda a, b: [[(a, a), (b, a), (b, b), (a, b)]]
+CELLS = "sample_id string, patch_idx long, barcode string, cell_id_in_patch long, size double, geometry array<array<struct<x:double,y:double>>>"
+
+
+def some_patches(spark, sample="s", n=5):
+    return spark.createDataFrame([(sample, i, f"B{i}", 1.0, 2.0, 8, 8, [(17 * i + 3 * k) % 256 for k in range(64)]) for i in range(n)], schema.PATCHES)
+
+
+def some_cells(spark, sample="s"):
+    rows = [(sample, 0, "B0", 0, 4.0, BOX(0.0, 7.0)), (sample, 1, "B1", 1, 2.0, BOX(2.0, 3.0)), (sample, 1, "B1", 2, None, BOX(5.0, 6.0))]
+    return spark.createDataFrame(rows, CELLS).withColumn("class_name", F.lit("Dead"))
+
+
+def test_features_under_cells(spark):
+    table = pipeline.extract(some_patches(spark), some_cells(spark), schema.Config(mask_source="cellseg"), ["size"])
     got = {r.patch_idx: r for r in table.collect()}
-    assert got[0].cellseg_mask_area == 64 and got[1].cellseg_mask_area == 8 and got[1].cellseg_all_original_glcm_Id is not None or got[1].status == "ok"
-    assert got[3].status == schema.SKIPPED_NO_CELLS and got[3].dist_cell_count_total == 0 and got[3].morph_size_mean is None
-    assert got[0].barcode == "B0" and len([c for c in table.columns if c.startswith("cellseg_all_original_")]) == 93
-    path = str(tmp_path / "out")
-    assert pipeline.extract_to(patches, None, schema.Config(), path) and not pipeline.extract_to(patches, None, schema.Config(), path)
-    again = readers.features(spark, f"{path}/table")
-    assert again.count() == spark.read.parquet(f"{path}/table").where("status = 'ok'").count() and len(spark.read.parquet(f"{path}/X").first().X) == spark.read.text(f"{path}/feature_list").count()
-    made = pipeline.statistics(again, schema.Config(), ["patch_idx"], ["barcode"])
-    sinks.csv_and_parquet(made["describe"], str(tmp_path / "stats"))
-    sinks.manifest(made["representatives"].limit(0), str(tmp_path / "manifest"))
-    sinks.json_rows(sinks.parquet_safe(patches), str(tmp_path / "json"))
-    assert spark.read.parquet(str(tmp_path / "stats/parquet")).count() == made["describe"].count()
-    assert readers.sample_ids(spark, f"{path}/table", ["x", "s"]) == ["s"]
-    for bad in (schema.Config(mask_source="other"), config):
+    assert got[0].cellseg_mask_area == 64 and got[0].cellseg_all_original_glcm_Id is not None and got[0].status == "ok"
+    # a feature with one value in a sample is constant there, and 0 on all rows that are ok
+    assert got[1].cellseg_mask_area == 8 and got[1].cellseg_all_original_glcm_Id == 0.0 and got[1].status == "ok" and got[1].n_cells_total == 2
+    assert got[3].status == schema.SKIPPED_NO_CELLS and got[3].dist_cell_count_total == 0 and got[3].morph_size_mean is None and got[3].cellseg_mask_area is None
+    assert got[0].barcode == "B0" and got[0].mask_path == "" and got[1].dist_ratio_dead == 1.0
+    assert len([c for c in table.columns if c.startswith("cellseg_all_original_")]) == 93
+    assert len([c for c in table.columns if c.startswith("morph_") and not c.startswith("morph_size")]) == 162
+    raw = pipeline.cell_features(some_patches(spark), some_cells(spark)).where("patch_idx = 1").first()
+    assert raw.cellseg_all_original_glcm_Id is None and raw.morph_pixelsurface_mean == 4.0 and raw.morph_pixelsurface_variance == 0.0 and raw.morph_pixelsurface_entropy == 0.0
+    for bad in (schema.Config(mask_source="other"), schema.Config(mask_source="cellseg")):
         with pytest.raises(ValueError):
-            pipeline.extract(patches, None, bad)
-    sinks.cells(seg.withColumn("barcode", F.lit("b")), None, str(tmp_path / "cells"))
-    assert readers.cells_normalised(spark, str(tmp_path / "cells")).first().class_name == "dead" and readers.cells_normalised(spark, None) is None
-    with pytest.raises(KeyError):
-        readers.cells(spark, f"{path}/table")
+            pipeline.extract(some_patches(spark), None, bad)
+
+
+def test_file_order_of_cells_decides_what_holes_erase(spark):
+    whole, holed = BOX(0.0, 7.0), [*BOX(0.0, 7.0), [(2.0, 2.0), (5.0, 2.0), (5.0, 5.0), (2.0, 5.0)]]
+    for first, second, area in ((whole, holed, 48), (holed, whole, 64)):
+        cells = spark.createDataFrame([("s", 0, "B0", 1, 1.0, first), ("s", 0, "B0", 2, 1.0, second)], CELLS)
+        assert pipeline.cell_features(some_patches(spark, n=1), cells).first().cellseg_mask_area == area
+
+
+def test_cells_of_several_polygons_and_outside(spark):
+    rows = [("s", 0, 1, [BOX(0.0, 1.0), BOX(3.0, 4.0), []]), ("s", 0, 2, [BOX(-3.0, 1.0)]), ("s", 0, 3, [BOX(20.0, 30.0)]), ("s", 0, 4, [])]
+    cells = spark.createDataFrame(rows, "sample_id string, patch_idx long, cell_id_in_patch long, geometry array<array<array<struct<x:double,y:double>>>>")
+    r = pipeline.cell_features(some_patches(spark, n=1), cells).first()
+    assert r.n_cells_total == 4 and r.cellseg_mask_area == 8 and r.morph_pixelsurface_maximum == 8.0 and r.morph_pixelsurface_minimum == 4.0 and r.status == "ok"
+
+
+def test_images_of_all_layouts(spark):
+    rgb = [[[10 * y + x, 60 + y, 90 + x] for x in range(8)] for y in range(8)]
+    chw = [[[rgb[y][x][c] for x in range(8)] for y in range(8)] for c in range(3)]
+    flat = [v for row in rgb for p in row for v in p]
+    gray = [(p[0] * 19595 + p[1] * 38470 + p[2] * 7471 + 32768) >> 16 for row in rgb for p in row]
+    frames = [
+        spark.createDataFrame([("s", 0, rgb)], "sample_id string, patch_idx long, img array<array<array<int>>>"),
+        spark.createDataFrame([("s", 1, chw)], "sample_id string, patch_idx long, img array<array<array<int>>>"),
+        spark.createDataFrame([("s", 2, [gray[8 * k : 8 * k + 8] for k in range(8)])], "sample_id string, patch_idx long, img array<array<int>>"),
+        spark.createDataFrame([("s", 3, flat, 8, 8)], "sample_id string, patch_idx long, img array<int>, h int, w int"),
+        spark.createDataFrame([("s", 4, bytearray(flat), 8, 8)], "sample_id string, patch_idx long, img binary, h int, w int"),
+    ]
+    rows = [pipeline.threshold_features(readers.patches(f, "patch")).drop("patch_idx").first() for f in frames]
+    assert len({*rows}) == 1 and rows[0].status == "ok" and rows[0].patch_original_firstorder_Mean == pytest.approx(sum(g for g in gray if 30 < g < 220) / sum(30 < g < 220 for g in gray))
+    assert readers.as_rgb8(readers.patches(frames[1], "patch")).first().px == flat
+    assert readers.as_rgb8(readers.patches(frames[2], "patch")).first().px == [g for g in gray for _ in range(3)]
+
+
+def test_broken_patches_have_an_error_status(spark):
+    good = [(7 * k) % 256 for k in range(64)]
+    rows = [("s", 0, "a", 8, 8, good), ("s", 1, "b", 8, 8, good[:60]), ("s", 2, "c", 8, 8, [None, *good[1:]]), ("s", 3, "d", 8, 8, None), ("s", 4, "e", None, 8, good), ("s", 5, "f", 8, 8, [5] * 64)]
+    df = spark.createDataFrame(rows, "sample_id string, patch_idx long, barcode string, h int, w int, px array<int>")
+    got = {r.patch_idx: r for r in pipeline.threshold_features(df).collect()}
+    assert got[0].status == "ok" and got[0].error is None and got[5].status == schema.SKIPPED_SMALL_MASK and got[5].patch_mask_area == 0
+    for k in (1, 2, 3, 4):
+        assert got[k].status == "error" and got[k].error and got[k].barcode is None and got[k].patch_mask_area is None and got[k].patch_original_firstorder_Mean is None
+    assert "60 values" in got[1].error
+    table = {r.patch_idx: r for r in pipeline.extract(df, None, schema.Config()).collect()}
+    assert table[1].patch_original_firstorder_Mean is None and table[1].error == got[1].error
+
+
+def test_an_extractor_that_fails_leaves_its_code(monkeypatch):
+    import pyarrow as pa
+
+    from spatialfeat.functions import kernels
+
+    whole = kernels.glcm
+
+    def failing(level, offsets=kernels.PLANE, mcc=True):
+        if level.max() > 5:
+            raise ArithmeticError("too many levels")
+        return whole(level, offsets, mcc)
+
+    monkeypatch.setattr(kernels, "glcm", failing)
+    px = pa.array([[100 + k % 50 for k in range(64)], [31 + 3 * k % 189 for k in range(64)]], pa.list_(pa.int32()))
+    batch = pa.RecordBatch.from_arrays([px, pa.nulls(2, pa.string()), pa.array([8, 8], pa.int32()), pa.array([8, 8], pa.int32()), pa.array([1, 2])], ["px", "layout", "h", "w", "k0"])
+    names = texture.feature_names()
+    (out,) = texture._featured_patches(iter([batch]), names, (), 25, kernels.PLANE, 50, 255, False)
+    got = {c: out.column(c).to_pylist() for c in ("status", "original_firstorder_Mean", "original_glcm_Id", "original_ngtdm_Contrast")}
+    assert got["status"][0] == "ok" and got["status"][1].startswith("error_patch_radiomics: ArithmeticError")
+    assert got["original_firstorder_Mean"][1] is not None and got["original_glcm_Id"][1] is None and got["original_ngtdm_Contrast"][1] is None and got["original_glcm_Id"][0] is not None
+
+
+def test_settings_act(spark):
+    patches = some_patches(spark)
+    five, fifty = (pipeline.threshold_features(patches, schema.Config(bin_width=w)).orderBy("patch_idx").first() for w in (5, 50))
+    assert five.patch_original_firstorder_Entropy > fifty.patch_original_firstorder_Entropy and five.patch_original_firstorder_Mean == fifty.patch_original_firstorder_Mean
+    plane, axis = (pipeline.threshold_features(patches, schema.Config(directions=d)).orderBy("patch_idx").first() for d in ("plane", "axis"))
+    assert plane.patch_original_glcm_Contrast != axis.patch_original_glcm_Contrast
+    more = pipeline.threshold_features(patches, schema.Config(filters=("Square", "Original", "exponential")))
+    assert len([c for c in more.columns if c.startswith(("patch_original_", "patch_square_", "patch_exponential_"))]) == 3 * 93
+    for bad in ({"filters": ("Wavelet",)}, {"directions": "both"}):
+        with pytest.raises(ValueError):
+            pipeline.threshold_features(patches, schema.Config(**bad))
+
+
+def test_statistics_of_cells_match_the_column_form(spark):
+    import numpy as np
+
+    from spatialfeat.functions import kernels
+
+    rnd = np.random.default_rng(3)
+    values = {k: rnd.choice([1.0, 2.5, 7.0, math.inf, math.nan, 4.25], size=n) for k, n in enumerate((1, 2, 5, 40, 300))}
+    df = spark.createDataFrame([(k, float(v)) for k, x in values.items() for v in x], "patch_idx long, f double")
+    for r in cells.measurement_stats(df, ["f"]).collect():
+        got = kernels.statistics(values[r.patch_idx])
+        want = [r[f"morph_f_{s}"] for s in kernels.STATISTICS]
+        assert (got is None and want[0] is None) or got == pytest.approx(want, rel=1e-9, abs=1e-9)
+
+
+# ------------------------------------------------------------ drivers
+
+
+@pytest.fixture
+def dataset(spark, tmp_path):
+    root = str(tmp_path / "data")
+    for sample in ("s1", "s2", "007"):
+        some_patches(spark, sample).drop("sample_id").write.parquet(f"{root}/IDC/patches/sample_id={sample}")
+    return root
 
 
-def test_status_lattice(spark):
-    from spatialfeat.functions import status
+def with_image(spark, root):
+    """Patches as a source names them."""
+    from spatialfeat.sources.sinks import read_samples, samples
 
-    df = spark.createDataFrame([(None, None), (None, "b"), ("a", "b")], "x string, y string")
-    got = df.select(status.first_failure(("morph", F.col("x")), ("dist", F.col("y"))).alias("s"), status.latest(F.lit("ok"), F.col("y"), F.col("x")).alias("t")).collect()
-    assert [tuple(r) for r in got] == [("ok", "ok"), ("dist: b", "b"), ("morph: a", "b")]
-    assert df.select(status.error_row(F.lit("s"), F.lit(1), F.col("x")).alias("e")).first().e.status == "error"
+    named = read_samples(spark, f"{root}/IDC/patches").select("sample_id", "patch_idx", F.col("px").alias("img"), "h", "w", F.array("x", "y").alias("coords"), F.col("barcode").alias("barcodes"))
+    named = spark.createDataFrame(named.collect(), named.schema)
+    samples(named, f"{root}/IDC/patches")
+
+
+def test_samples_are_extracted_one_after_the_other(spark, dataset):
+    from spatialfeat.plans import drivers
+    from spatialfeat.sources.sinks import read_samples
+
+    with_image(spark, dataset)
+    config = lambda **k: schema.Config(root=dataset, oncotrees=("IDC", "NONE"), **k)
+    assert drivers.extract_all(spark, config(sample_ids=("s1",))) == {"IDC": {"s1": "written"}, "NONE": {}}
+    first = sorted(map(str, read_samples(spark, f"{dataset}/IDC/radiomics/table").collect()))
+    assert drivers.extract_all(spark, config(sample_ids=("s2", "s1", "unknown"))) == {"IDC": {"s2": "written", "s1": "skipped"}, "NONE": {}}
+    table = read_samples(spark, f"{dataset}/IDC/radiomics/table")
+    assert {r.sample_id for r in table.collect()} == {"s1", "s2"} and sorted(map(str, table.where("sample_id = 's1'").collect())) == first
+    assert drivers.extract_all(spark, config()) == {"IDC": {"007": "written", "s1": "skipped", "s2": "skipped"}, "NONE": {}}
+    for part in ("table", "X", "obs", "stats", "raw"):
+        assert {r.sample_id for r in read_samples(spark, f"{dataset}/IDC/radiomics/{part}").select("sample_id").distinct().collect()} == {"007", "s1", "s2"}
+    features = [r.value for r in spark.read.text(f"{dataset}/IDC/radiomics/feature_list").collect()]
+    assert len(features) == 93 and all(f.startswith("patch_original_") for f in features) and len(read_samples(spark, f"{dataset}/IDC/radiomics/X").first().X) == 93
+    assert {"patch_mask_area", "status", "barcode"} <= {*read_samples(spark, f"{dataset}/IDC/radiomics/obs").columns}
+    again = drivers.extract_all(spark, config(overwrite=True, sample_ids=("s1",)))
+    assert again["IDC"] == {"s1": "written"} and read_samples(spark, f"{dataset}/IDC/radiomics/table").count() == 15
+    assert drivers.statistics_all(spark, config()) == {"IDC": True, "NONE": False}
+    assert spark.read.parquet(f"{dataset}/IDC/radiomics_statistics/describe/parquet").count() == 3 * 94
+
+
+def test_a_sample_that_cannot_be_read_fails_alone(spark, dataset):
+    from pathlib import Path
+
+    from spatialfeat.plans import drivers
+
+    with_image(spark, dataset)
+    for file in Path(f"{dataset}/IDC/patches/sample_id=s2").iterdir():
+        file.write_bytes(b"PAR1 nothing")
+    out = drivers.extract_all(spark, schema.Config(root=dataset))
+    assert out["IDC"]["s1"] == out["IDC"]["007"] == "written" and out["IDC"]["s2"].startswith("failed")
+
+
+def test_two_samples_that_share_patches_and_barcodes(spark, dataset):
+    from spatialfeat.plans import drivers
+    from spatialfeat.sources.sinks import read_samples
+
+    with_image(spark, dataset)
+    found = some_cells(spark, "s1").unionByName(some_cells(spark, "s2")).drop("cell_id_in_patch")
+    config = schema.Config(root=dataset, mask_source="cellseg", sample_ids=("s1", "s2", "007"), vis_ratio=0.5)
+    out = drivers.run_all(spark, config, {"IDC": found}, visualise=True)
+    assert out["segment"]["IDC"] == {"s1": "written", "s2": "written", "007": "written"} and out["genes"] == []
+    rows = read_samples(spark, f"{dataset}/IDC/segment").collect()
+    assert len(rows) == 6 and sorted((r.sample_id, r.patch_idx, r.cell_id_in_patch, r.n_cells) for r in rows) == [(s, *x) for s in ("s1", "s2") for x in ((0, 1, 1), (1, 1, 2), (1, 2, 2))]
+    assert {r.sample_id: (r.num_patches, r.num_polygons) for r in read_samples(spark, f"{dataset}/IDC/segment_summary").collect()} == {"s1": (5, 3), "s2": (5, 3), "007": (5, 0)}
+    assert out["extract"]["IDC"]["s1"] == out["extract"]["IDC"]["s2"] == "written" and out["extract"]["IDC"]["007"].startswith("failed")
+    table = read_samples(spark, f"{dataset}/IDC/radiomics/table")
+    assert table.count() == 10 and sorted(r.n_cells_total for r in table.where("sample_id = 's2'").collect()) == [0, 0, 0, 1, 2]
+    assert read_samples(spark, f"{dataset}/IDC/patches_vis").groupBy("sample_id").count().collect()[0]["count"] == 3
+    assert drivers.segment_all(spark, config, {"IDC": found})["IDC"]["s1"] == "skipped"
+
+
+def test_gene_sets_of_a_folder(spark, tmp_path):
+    from spatialfeat.plans import drivers
+
+    rows = [(f"s{s}", f"o{o}", f"G{g}", float((g + 1) * (o % 3 + 1))) for s in range(2) for o in range(10) for g in range(12)]
+    spark.createDataFrame(rows, "sample_id string, obs_id string, gene string, value double").write.partitionBy("sample_id").parquet(str(tmp_path / "IDC/st"))
+    out = drivers.gene_sets_all(spark, schema.Config(root=str(tmp_path), oncotrees=("IDC", "NONE"), genes_k=(3,), genes_criteria=("mean",)))
+    assert [(x["oncotree_code"], x["criteria"], x["k"], x["num_genes"]) for x in out] == [("IDC", "mean", 3, 3)]
+    assert spark.read.json(str(tmp_path / "IDC/genes/mean_3genes.json")).first().genes == ["G11", "G10", "G9"]
+    assert spark.read.json(str(tmp_path / "gene_extraction_summary.json")).count() == 1
+
+
+def test_readers_and_sinks(spark, tmp_path):
+    (tmp_path / "m.csv").write_text("id,species,oncotree_code,st_technology,more\na,Homo sapiens,IDC,Visium,1\nb,Mus musculus,IDC,Visium,2\nc,Homo sapiens,LUAD,Visium,3\n")
+    assert [r.id for r in readers.wanted(spark, str(tmp_path / "m.csv"), ["IDC"], ["Visium"]).collect()] == ["a"]
+    wkt = ["POLYGON ((0 0, 4 0, 4 4, 0 4, 0 0), (1 1, 2 1, 2 2, 1 2, 1 1))", "MULTIPOLYGON (((0 0, 1 0, 1 1, 0 0)), ((5.5 5, 6 5, 6 6e0, 5.5 5)))", "POINT (1 1)", None, "POLYGON EMPTY"]
+    g = [r.g for r in spark.createDataFrame([(w,) for w in wkt], "w string").select(readers.wkt_polygons(F.col("w")).alias("g")).collect()]
+    assert [len(p) for p in g[0]] == [2] and tuple(g[0][0][1][2]) == (2.0, 2.0) and len(g[1]) == 2 and tuple(g[1][1][0][0]) == (5.5, 5.0) and g[2] is None and g[3] is None and g[4] == []
+    rows = [(0, "b", 1, 1, " Dead", wkt[0])]
+    spark.createDataFrame(rows, "patch_idx long, barcode string, cell_id_in_patch long, class_id long, class_name string, geometry_wkt string").write.parquet(str(tmp_path / "cells/sample_id=1"))
+    got = readers.cells_normalised(spark, str(tmp_path / "cells")).first()
+    assert got.class_name == "dead" and got.sample_id == "1" and len(got.geometry) == 1 and readers.cells_normalised(spark, None) is None
+    spark.createDataFrame([(0, wkt[0])], "patch_idx long, geometry_wkt string").write.parquet(str(tmp_path / "bad"))
+    with pytest.raises(KeyError):
+        readers.cells(spark, str(tmp_path / "bad"))
+    made = pipeline.statistics(pipeline.extract(some_patches(spark), None, schema.Config()), schema.Config(save_boxplot=False), ["patch_idx"], ["barcode"])
+    assert set(made) == {"describe", "representatives"}
+    sinks.csv_and_parquet(made["describe"], str(tmp_path / "stats"))
+    sinks.manifest(made["representatives"].limit(0), str(tmp_path / "manifest"))
+    sinks.json_rows(sinks.parquet_safe(some_patches(spark)), str(tmp_path / "json"))
+    assert spark.read.parquet(str(tmp_path / "stats/parquet")).count() == made["describe"].count()
+    assert readers.sample_ids(spark, str(tmp_path / "cells"), ["x", "1"]) == ["1"] and readers.sample_ids(spark, str(tmp_path / "none")) == []
+    with pytest.raises(FileNotFoundError):
+        readers.expression(spark, str(tmp_path / "cells"), spark.createDataFrame([("z",)], "sample_id string"))
 
 
 def test_paths_and_settings(tmp_path):
@@ -186,29 +388,10 @@ def test_paths_and_settings(tmp_path):
     for text, want in (("", {}), ("a: 1", {"a": 1})):
         (tmp_path / "c.yml").write_text(text)
         assert paths.config_file(str(tmp_path / "c.yml")) == want
+    found = paths.settings({"overwrite": "no", "bin_width": "10", "oncotrees": "LUAD", "genes_k": [5], "sample_ids": "none", "lower_q": None}, root="r")
+    assert (found.overwrite, found.bin_width, found.oncotrees, found.genes_k, found.sample_ids, found.lower_q, found.root) == (False, 10, ("LUAD",), (5,), None, 0.01, "r")
+    with pytest.raises(KeyError):
+        paths.settings({"colour": 1})
     (tmp_path / "c.yml").write_text("- 1")
     with pytest.raises(ValueError):
         paths.config_file(str(tmp_path / "c.yml"))
-
-
-def test_drivers_over_a_dataset(spark, tmp_path):
-    from spatialfeat.plans import drivers
-    from spatialfeat.sources import paths
-
-    root = str(tmp_path / "data")
-    patches = spark.createDataFrame([(s, i, f"B{i}", 1.0, 2.0, 8, 8, [(17 * i + 3 * k) % 256 for k in range(64)]) for s in ("s1", "s2") for i in range(3)], schema.PATCHES)
-    patches.write.parquet(paths.stage(root, "IDC", "patches"))
-    expr = spark.createDataFrame([(s, f"{s}-{o}", f"G{g}", float(g + o)) for s in ("s1", "s2") for o in range(4) for g in range(5)], "sample_id string, obs_id string, gene string, value double")
-    expr.write.parquet(paths.stage(root, "IDC", "st"))
-    config = schema.Config(root=root, oncotrees=("IDC",), sample_ids=("s1", "none"), genes_k=(2,))
-    found = spark.createDataFrame([("s1", 0, "B0", [[(0.0, 0.0), (6.0, 0.0), (6.0, 6.0)]])], "sample_id string, patch_idx long, barcode string, geometry array<array<struct<x:double,y:double>>>")
-    assert drivers.segment_all(spark, config, {"IDC": found}) == {"IDC": True} and drivers.segment_all(spark, config, {"IDC": found}) == {"IDC": False}
-    cell = spark.read.parquet(paths.stage(root, "IDC", "segment")).first()
-    assert (cell.class_id, cell.class_name, cell.n_cells, cell.coord_raw_json) == (-1, "unknown", 1, "[1.0,2.0]")
-    assert drivers.extract_all(spark, config) == {"IDC": True} and drivers.extract_all(spark, config) == {"IDC": False}
-    assert drivers.extract_all(spark, schema.Config(root=root, oncotrees=("IDC",), mask_source="bad", overwrite=True)) == {"IDC": False}
-    drivers.statistics_all(spark, config)
-    assert spark.read.parquet(f"{paths.stage(root, 'IDC', 'radiomics_statistics')}/describe/parquet").count() > 90
-    made = drivers.gene_sets_all(spark, config)
-    assert [(m["criteria"], m["num_genes"]) for m in made] == [("var", 2), ("mean", 2)]
-    assert spark.read.json(f"{paths.stage(root, 'IDC', 'genes')}/mean_2genes.json").first().genes == ["G4", "G3"]
