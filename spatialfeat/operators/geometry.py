@@ -86,6 +86,19 @@ def _rings(column: pa.Array) -> list[list[np.ndarray]]:
     return [made[a:b] for a, b in zip(counts[:-1], counts[1:], strict=True)]
 
 
+def _grouped(items: list, column: pa.Array) -> list[list]:
+    """Items of the flattened column by the row that they come from."""
+    ends = np.cumsum([0, *np.asarray(column.value_lengths().fill_null(0))])
+    return [items[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+
+def cells_of(column: pa.Array) -> list[list[list[list[np.ndarray]]]]:
+    """Cells (arrays of polygons, which are arrays of rings) of every row as arrays of (x, y); polygons without rings go."""
+    cells = column.flatten()
+    polygons = cells.flatten()
+    return _grouped([[rings for rings in some if rings] for some in _grouped(_rings(polygons), cells)], column)
+
+
 def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     """One list of whole numbers a row, from flat arrays and without a Python object per number."""
     ends = np.cumsum([0, *map(len, arrays)], dtype=np.int32)

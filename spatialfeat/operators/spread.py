@@ -13,3 +13,9 @@ def spread(df: DataFrame) -> DataFrame:
     sc = df.sparkSession.sparkContext
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return df.repartition(sc.defaultParallelism) if size < ENOUGH_BYTES * sc.defaultParallelism else df
+
+
+def enough_partitions(df: DataFrame) -> int:
+    """Partitions for a shuffle before expensive kernels: those of the session or of the scan, whichever are more. Rows that
+    are dealt into so many by number stay so, where adaptive execution would put small ones together."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from ..functions import kernels
 from ..schema import ERROR_CELLSEG, ERROR_MORPHOLOGY, ERROR_PATCH, MASK_HIGH, MASK_LABEL, MASK_LOW, SKIPPED_NO_CELLS, SKIPPED_SMALL_MASK, SMALLEST_MASK, STATUS_ERROR, STATUS_OK
+from .geometry import cells_of
 from .spread import spread
 
 CLASSES = {
@@ -135,12 +136,12 @@ def _featured_patches(batches: Iterator[pa.RecordBatch], names: list[str], filte
         out = {f: np.full(n, np.nan) for f in names}
         morphology = {f: np.full(n, np.nan) for f in shapes}
         masks: dict[int, np.ndarray] = {}
-        cells = batch.column(4).to_pylist() if with_cells else None
+        cells = cells_of(batch.column(4)) if with_cells else None
         for k, image in images.items():
             if cells is None:
                 masks[k] = (image > MASK_LOW) & (image < MASK_HIGH)
             elif cells[k]:
-                masks[k] = kernels.rasterised([rings for geometry in cells[k] for rings in geometry], *image.shape, label) > 0
+                masks[k] = kernels.rasterised([rings for polygons in cells[k] for rings in polygons], *image.shape, label) > 0
             else:
                 status[k] = SKIPPED_NO_CELLS
                 continue
@@ -211,5 +212,6 @@ def patch_features(patches: DataFrame, carry: list[str], cells: str | None = Non
     doubles = [T.StructField(f, T.DoubleType()) for f in (*names, *(MORPHOLOGY if cells else ()))]
     meta = [T.StructField("mask_area", T.LongType()), T.StructField("status", T.StringType()), T.StructField("error", T.StringType())]
     schema = T.StructType([*source.schema.fields[skip:], *meta, *doubles])
-    made = spread(source).mapInArrow(lambda it: _featured_patches(it, names, filters, width, offsets, smallest, label, cells is not None), schema)
+    dealt = source if cells else spread(source)  # patches with cells come from a join, which deals them
+    made = dealt.mapInArrow(lambda it: _featured_patches(it, names, filters, width, offsets, smallest, label, cells is not None), schema)
     return made.select(*(F.col(f"k{i}").alias(c) for i, c in enumerate(carry)), *(f.name for f in (*meta, *doubles)))

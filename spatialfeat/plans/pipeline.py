@@ -13,6 +13,7 @@ from ..operators.cells import class_counts, class_shares, measurement_stats, nor
 from ..operators.describe import box_stats, describe, ok_rows, representatives
 from ..operators.geometry import polygons_of
 from ..operators.normalize import normalization_stats, normalize
+from ..operators.spread import enough_partitions
 from ..operators.texture import MORPHOLOGY, feature_names, patch_features
 from ..schema import SMALLEST_MASK, Config, described_columns
 from ..sources import sinks
@@ -47,11 +48,11 @@ def threshold_features(patches: DataFrame, config: Config | None = None, smalles
     return _rows(made, places, {"patch_mask_area": F.col("mask_area")}, config, feature_prefix("patch"), [])
 
 
-def cell_features(patches: DataFrame, cells: DataFrame, config: Config | None = None, measurements: list[str] = (), order: list[str] = (), smallest: int = SMALLEST_MASK) -> DataFrame:
+def cell_features(patches: DataFrame, cells: DataFrame, config: Config | None = None, measurements: list[str] = (), order: list[str] = (), smallest: int = SMALLEST_MASK, bucketed: bool = False) -> DataFrame:
     """Raw features under the union of the cells, prefix cellseg_all_, with composition and morphology of the cells.
 
-    Cells are summed up per patch and meet it in one join (none of the sides is shuffled if both tables are bucketed by
-    sample_id and patch_idx); raster, texture and the shapes of all cells with their 18 statistics are then one pass. Shapes are
+    Cells are summed up per patch and meet it in one join. Both sides are dealt by patch for it, which also spreads the kernels,
+    unless both tables are `bucketed` by sample_id and patch_idx; raster, texture and the shapes of all cells with their 18 statistics are then one pass. Shapes are
     painted in `order`, by default by cell_id_in_patch, the file order. Patches without cells are skipped with a composition of
     zeros; unions under `smallest` pixels have no texture but are ok. A cell without a shape is left out of the statistics, and
     so are null values of further `measurements`, columns of cells.
@@ -62,9 +63,11 @@ def cell_features(patches: DataFrame, cells: DataFrame, config: Config | None =
     one = F.col("geometry")
     parts = one if isinstance(cells.schema["geometry"].dataType.elementType.elementType, T.ArrayType) else F.array(one)
     drawn = F.array_sort(F.collect_list(F.struct(*(F.col(c).alias(f"o{i}") for i, c in enumerate(order)), polygons_of(parts).alias("geometry"))))
-    per = cells.groupBy(*KEYS).agg(*class_counts(), F.transform(drawn, lambda c: c["geometry"]).alias("cells"))
+    n = None if bucketed else enough_partitions(patches)
+    dealt = lambda df: df if n is None else df.repartition(n, *KEYS)
+    per = dealt(cells).groupBy(*KEYS).agg(*class_counts(), F.transform(drawn, lambda c: c["geometry"]).alias("cells"))
     places = [c for c in PLACES if c in patches.columns]
-    met = patches.join(per, KEYS, "left")
+    met = dealt(patches).join(per, KEYS, "left")
     counts = [c for c in per.columns if c.startswith("dist_")]
     made = patch_features(met, [*KEYS, *places, *counts], cells="cells", **_options(config, smallest))
     keep = blank_on_error(F.col("status"))
