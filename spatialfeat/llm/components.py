@@ -1,4 +1,9 @@
-"""Connected components of a graph given by edges, by repeated contraction."""
+"""Connected components of a graph given by edges, by repeated contraction.
+
+Defined cases: edges with a null end and edges from a vertex to itself say nothing; repeated and turned edges are one; a vertex
+in no other edge has no row; further columns of the edges are left out; no edges give no rows. No group is gathered anywhere:
+a vertex with a third of all edges is summed up while scanning.
+"""
 
 from __future__ import annotations
 

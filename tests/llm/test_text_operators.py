@@ -166,6 +166,8 @@ def test_components_of_long_chains(spark):
     random.Random(0).shuffle(edges)
     got = dict(map(tuple, connected_components(spark.createDataFrame(edges, "a long, b long")).collect()))
     assert got == {**{i: 100 for i in range(100, 161)}, 5: 5, 200: 5, 7: 5}
+    odd = spark.createDataFrame([(1, None, "x"), (None, 2, "x"), (3, 3, "x"), (5, 4, "x"), (4, 5, "x"), (4, 5, "x")], "a long, b long, component string")
+    assert dict(map(tuple, connected_components(odd).collect())) == {4: 4, 5: 4} and connected_components(odd.limit(0)).count() == 0
 
 
 # ------------------------------------------------------------ suffix arrays
