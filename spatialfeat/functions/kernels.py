@@ -74,23 +74,46 @@ def filtered(gray: np.ndarray, kind: str) -> np.ndarray:
         return FILTERS[kind](gray.astype(float), top)
 
 
+def percentiles(gray: np.ndarray, mask: np.ndarray, at: tuple[int, ...]) -> np.ndarray:
+    """Linear percentiles of the values of a region, shape (percentiles, patches); whole numbers are counted, others sorted."""
+    n, many = len(gray), mask.reshape(len(gray), -1).sum(1)
+    place = np.array(at)[:, None] / 100 * (many - 1)
+    low = np.floor(place).astype(int)
+    high = np.minimum(low + 1, many - 1)
+    if np.issubdtype(gray.dtype, np.integer) and 0 <= gray.min() and gray.max() < 1 << 12:
+        top = int(gray.max()) + 1
+        count = np.bincount((np.nonzero(mask)[0] * top + gray[mask]), minlength=n * top).reshape(n, top)
+        up_to = np.cumsum(count, 1)
+        value = lambda k: np.stack([np.searchsorted(up_to[i], k[:, i], "right") for i in range(n)], 1).astype(float)
+    else:
+        ordered = np.sort(np.where(mask, gray, np.inf).reshape(n, -1).astype(float), 1)
+        value = lambda k: ordered[np.arange(n), k]
+    below, above = value(low), value(high)
+    return below + (place - low) * (above - below)
+
+
 def firstorder(gray: np.ndarray, mask: np.ndarray, width: int = 25) -> dict[str, np.ndarray]:
     """18 features of the raw values of a region; entropy and uniformity of its bins."""
     n = len(gray)
-    x = np.where(mask, gray, np.nan).reshape(n, -1).astype(float)
-    mean = np.nanmean(x, 1)
-    low, q1, mid, q3, high = np.nanpercentile(x, [10, 25, 50, 75, 90], axis=1)
-    d = x - mean[:, None]
-    m2, m3, m4 = (np.nanmean(d**k, 1) for k in (2, 3, 4))
-    energy = np.nansum(x * x, 1)
-    core = np.where((x >= low[:, None]) & (x <= high[:, None]), x, np.nan)
+    inside = mask.reshape(n, -1)
+    many = inside.sum(1)
+    flat = gray.reshape(n, -1).astype(float)
+    total = lambda v, where: np.where(where, v, 0.0).sum(1)
+    mean = total(flat, inside) / many
+    low, q1, mid, q3, high = percentiles(gray, mask, (10, 25, 50, 75, 90))
+    d = flat - mean[:, None]
+    m2, m3, m4 = (total(d**k, inside) / many for k in (2, 3, 4))
+    energy = total(flat * flat, inside)
+    core = inside & (flat >= low[:, None]) & (flat <= high[:, None])
+    robust = total(flat, core) / core.sum(1)
     binned = levels(gray, mask, width).reshape(n, -1)
-    count = np.stack([(binned == b).sum(1) for b in range(1, max(1, binned.max()) + 1)], 1)
-    p = count / count.sum(1, keepdims=True)
-    top, bottom = np.nanmax(x, 1), np.nanmin(x, 1)
+    top_bin = max(1, int(binned.max()))
+    count = np.bincount((np.arange(n)[:, None] * (top_bin + 1) + binned).reshape(-1), minlength=n * (top_bin + 1)).reshape(n, -1)[:, 1:]
+    p = count / many[:, None]
+    top, bottom = np.where(inside, flat, -np.inf).max(1), np.where(inside, flat, np.inf).min(1)
     values = (
-        energy, energy, bottom, top, top - bottom, mean, mid, low, high, q3 - q1, np.nanmean(np.abs(d), 1),
-        np.nanmean(np.abs(core - np.nanmean(core, 1)[:, None]), 1), np.sqrt(np.nanmean(x * x, 1)), ratio(m3, m2**1.5), ratio(m4, m2 * m2), m2,
+        energy, energy, bottom, top, top - bottom, mean, mid, low, high, q3 - q1, total(np.abs(d), inside) / many,
+        total(np.abs(flat - robust[:, None]), core) / core.sum(1), np.sqrt(energy / many), ratio(m3, m2**1.5), ratio(m4, m2 * m2), m2,
         -(p * np.log2(p + EPS)).sum(1), (p * p).sum(1),
     )
     return dict(zip(FIRSTORDER, values, strict=True))
@@ -218,22 +241,39 @@ def glrlm(level: np.ndarray, offsets=PLANE) -> dict[str, np.ndarray]:
 
 
 def zones(level: np.ndarray) -> np.ndarray:
-    """8-connected zones of equal level: every pixel has the smallest flat index of its zone, -1 outside."""
+    """8-connected zones of equal level: every pixel has the smallest flat index of its zone, -1 outside.
+
+    Runs of equal pixels along rows are joined where they touch in neighbouring rows: roots hook onto smaller ones and
+    paths are shortened until no two runs that touch have different roots, for all patches at once.
+    """
     n, h, w = level.shape
-    label = np.where(level > 0, np.arange(h * w).reshape(1, h, w), h * w)
+    if not level.size:
+        return np.full(level.shape, -1)
+    flat = level.reshape(-1)
+    new = np.concatenate([[True], flat[1:] != flat[:-1]])
+    new[::w] = True
+    run = np.cumsum(new) - 1
+    at, root = run.reshape(n, h, w), np.arange(run[-1] + 1)
+    pairs = []
+    for dx in (0, 1, -1):
+        above, below = (slice(None), slice(0, h - 1), slice(max(0, -dx), w - max(0, dx))), (slice(None), slice(1, h), slice(max(0, dx), w - max(0, -dx)))
+        same = (level[above] == level[below]) & (level[above] > 0)
+        u, v = at[above][same], at[below][same]
+        first = np.ones(len(u), bool)
+        first[1:] = (u[1:] != u[:-1]) | (v[1:] != v[:-1])
+        pairs.append((u[first], v[first]))
+    u, v = (np.concatenate(x) for x in zip(*pairs, strict=True))
     while True:
-        before = label.copy()
-        for dy, dx in PLANE:
-            a, b = _views(level, dy, dx)
-            la, lb = _views(label, dy, dx)
-            low = np.where((a == b) & (a > 0), np.minimum(la, lb), h * w + 1)
-            np.minimum(la, low, out=la)
-            np.minimum(lb, low, out=lb)
-        flat = label.reshape(n, -1)
-        jump = np.take_along_axis(np.concatenate([flat, np.full((n, 1), h * w)], 1), flat, 1)
-        label = np.minimum(label, jump.reshape(label.shape))
-        if np.array_equal(before, label):
-            return np.where(level > 0, label, -1)
+        a, b = root[u], root[v]
+        apart = a != b
+        if not apart.any():
+            break
+        u, v, a, b = u[apart], v[apart], a[apart], b[apart]
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while not np.array_equal(root, shorter := root[root]):
+            root = shorter
+    label = np.flatnonzero(new)[root[run]] % (h * w)
+    return np.where(level > 0, label.reshape(n, h, w), -1)
 
 
 def glszm(level: np.ndarray) -> dict[str, np.ndarray]:

@@ -93,6 +93,27 @@ def test_zones_match_a_flood_fill(stack):
         assert np.array_equal(seen, got[n])
 
 
+def test_zones_that_wind():
+    """A spiral and a comb are one zone each, whatever the order of their rows."""
+    spiral = np.array([[1, 1, 1, 1, 1], [2, 2, 2, 2, 1], [1, 1, 1, 2, 1], [1, 2, 2, 2, 1], [1, 1, 1, 1, 1]])
+    got = k.zones(spiral[None])[0]
+    assert set(got[spiral == 1].tolist()) == {0} and set(got[spiral == 2].tolist()) == {5}
+    comb = np.ones((6, 9), int)
+    comb[:5, 1::2] = 0
+    assert set(k.zones(comb[None])[0][comb == 1].tolist()) == {0} and (k.zones(comb[None, ::-1])[0][comb[::-1] == 1] == 0).all()
+
+
+def test_percentiles_match_numpy(stack):
+    gray, mask = stack
+    at = (0, 10, 25, 50, 75, 90, 99, 100)
+    for image in (gray, gray * 0.37 - 5.0, gray - 300):
+        want = [[np.percentile(image[i][mask[i]], p) for i in range(len(gray))] for p in at]
+        assert k.percentiles(image, mask, at) == pytest.approx(np.array(want))
+    one = np.zeros_like(mask)
+    one[:, 2, 3] = True
+    assert (k.percentiles(gray, one, (10, 90)) == gray[:, 2, 3]).all()
+
+
 def test_raster_of_rectangles_and_holes():
     square = [[(1, 1), (6, 1), (6, 6), (1, 6)], [(3, 3), (4, 3), (4, 4), (3, 4)]]
     mask = k.rasterised([square], 8, 8)
