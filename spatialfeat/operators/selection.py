@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -63,3 +63,14 @@ def evenly_spaced(position: Column, n: Column, ratio: float) -> Column:
         i = guess + shift
         hit = hit | ((i <= k - 1) & (at(i) == position))
     return F.when(k >= n, F.lit(True)).when(k == 1, position == 0).otherwise(F.coalesce(hit, F.lit(False)))
+
+
+def chosen(patches: DataFrame, ratio: float = 1.0, listed: list[int] | None = None, sample: str = "sample_id", patch: str = "patch_idx") -> DataFrame:
+    """(sample, patch) of the patches that are looked at: those listed, else the evenly spaced ones among the distinct patches
+    of every sample in order. Only keys of patches meet in the window of a sample."""
+    each = patches.select(sample, patch).distinct()
+    if listed is not None:
+        return each.where(F.col(patch).isin(list(listed)))
+    own = Window.partitionBy(sample)
+    placed = each.select("*", (F.row_number().over(own.orderBy(patch)) - 1).alias("place_"), F.count("*").over(own).alias("n_"))
+    return placed.where(evenly_spaced(F.col("place_"), F.col("n_"), ratio)).select(sample, patch)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import genes, segmentation
-from ..operators.selection import evenly_spaced, of_samples
+from ..operators.selection import chosen, of_samples
 from ..operators.texture import patch_features
 from ..schema import Config
 from ..sources import paths, readers, sinks
@@ -138,15 +138,8 @@ def gene_sets_all(spark: SparkSession, config: Config) -> list[dict]:
     return summary
 
 
-def chosen_patches(patches: DataFrame, ratio: float) -> DataFrame:
-    """The evenly spaced patches of every sample that are looked at, by their number."""
-    per = patches.groupBy("sample_id").agg(F.count("*").alias("of_sample"))
-    met = patches.join(per, "sample_id")  # patch numbers are positions from 0 on
-    return met.where(evenly_spaced(F.col("patch_idx"), F.col("of_sample"), ratio)).drop("of_sample")
-
-
-def visualise_all(spark: SparkSession, config: Config) -> dict[str, dict[str, str]]:
-    """What figures of chosen patches show: masks with their pixel counts, and patches with their cells."""
+def visualise_all(spark: SparkSession, config: Config, listed: list[int] | None = None) -> dict[str, dict[str, str]]:
+    """What figures of chosen patches show: masks with their pixel counts, and, of chosen ones among those with cells, their cells."""
     out = {}
     for tree in config.oncotrees:
         at = paths.stage(config.root, tree, "patches_vis")
@@ -155,12 +148,14 @@ def visualise_all(spark: SparkSession, config: Config) -> dict[str, dict[str, st
         done = [] if config.overwrite else sinks.samples_at(spark, at)
 
         def run(some: list[str], tree=tree, at=at, segmented=segmented) -> None:
-            chosen = chosen_patches(_patches(spark, config, tree, some), config.vis_ratio)
+            patches = _patches(spark, config, tree, some)
             keys = [*pipeline.KEYS, "barcode"]
-            sinks.samples(patch_features(chosen, keys, label=config.label).select(*keys, "mask_area", "status"), at)
+            seen = patches.join(chosen(patches, config.vis_ratio, listed), pipeline.KEYS, "left_semi")
+            sinks.samples(patch_features(seen, keys, label=config.label).select(*keys, "mask_area", "status"), at)
             if set(some) <= set(segmented):
                 cells = readers.cells_normalised(spark, paths.stage(config.root, tree, "segment")).where(F.col("sample_id").isin(some))
-                sinks.samples(segmentation.overlay_rows(chosen, cells).select(*keys, "px", "h", "w", "layout", "cells"), paths.stage(config.root, tree, "segment_vis"))
+                seen = patches.join(chosen(cells, config.vis_ratio, listed), pipeline.KEYS, "left_semi")
+                sinks.samples(segmentation.overlay_rows(seen, cells).select(*keys, "px", "h", "w", "layout", "cells"), paths.stage(config.root, tree, "segment_vis"))
 
         out[tree] = _each(wanted, done, run)
     return out

@@ -326,6 +326,17 @@ def even_sampling(spark: SparkSession, d: str) -> DataFrame:
     return e.where(selection.evenly_spaced(F.col("pos"), F.col("n"), 0.23)).select("vec_id", "label")
 
 
+@query("""WITH e AS (SELECT DISTINCT l_suppkey % 7 AS sample_id, l_orderkey AS patch_idx FROM lineitem WHERE l_linenumber > 3), p AS (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY patch_idx) - 1 AS pos, count(*) OVER (PARTITION BY sample_id) AS n FROM e),
+k AS (SELECT DISTINCT sample_id, n, greatest(1, ceil(n * 0.02))::BIGINT AS k FROM p), i AS (SELECT *, unnest(range(0, k)) AS i FROM k),
+w AS (SELECT sample_id, CASE WHEN k >= n THEN i WHEN i = k - 1 AND k > 1 THEN n - 1 ELSE floor(i * ((n - 1)::DOUBLE / nullif(k - 1, 0)))::BIGINT END AS pos FROM i)
+SELECT sample_id, patch_idx, 'spaced' AS how FROM p SEMI JOIN w ON p.sample_id = w.sample_id AND p.pos = coalesce(w.pos, 0) UNION ALL SELECT sample_id, patch_idx, 'listed' FROM e WHERE patch_idx IN (1, 7, 32, 99)""")
+def chosen_patches(spark: SparkSession, d: str) -> DataFrame:
+    """Patches with cells that are looked at, spaced and listed."""
+    cells = s.load(spark, d, "lineitem").where("l_linenumber > 3").select((F.col("l_suppkey") % 7).alias("sample_id"), F.col("l_orderkey").alias("patch_idx"))
+    spaced, listed = selection.chosen(cells, 0.02), selection.chosen(cells, listed=[1, 7, 32, 99])
+    return spaced.withColumn("how", F.lit("spaced")).unionByName(listed.withColumn("how", F.lit("listed")))
+
+
 def _morph_sql(f: str) -> str:
     m = f"avg({f})"
     v = {"mean": m, "median": f"quantile_cont({f}, 0.5)", "minimum": f"min({f})", "maximum": f"max({f})", "range": f"max({f}) - min({f})", "variance": f"var_pop({f})", "standarddeviation": f"stddev_pop({f})"}

@@ -53,6 +53,8 @@ def test_cells_without_class_or_geometry(spark):
     got = {r.patch_idx: r for r in cells.composition(spark.createDataFrame([(1,), (2,), (3,)], "patch_idx long"), df).collect()}
     assert got[1].dist_ratio_dead == 0.5 and got[2].dist_cell_count_total == 1 and got[3].dist_ratio_dead == 0
     assert cells.with_summary(df, None).first().n_cells == 0
+    counted = df.withColumns({"sample_id": F.lit("s"), "barcode": F.col("class_name"), "cell_id_in_patch": F.col("patch_idx"), "n_cells": F.lit(9)})
+    assert sorted(tuple(r) for r in cells.patch_counts(counted.where("class_name IS NOT NULL")).collect()) == [("s", 1, " Dead\t", 9), ("s", 2, "class_-1", 9)]
     assert cells.tallies(df, df.select("patch_idx").distinct()).first().num_polygons == 3
 
 
