@@ -359,10 +359,9 @@ def _fill(mask: np.ndarray, ring: np.ndarray, value: int) -> None:
         cross = (y <= rows) != (y2 <= rows)
         at = np.where(cross, x + (rows - y) * (x2 - x) / np.where(y2 == y, 1.0, y2 - y), np.inf)
         at.sort(axis=1)
-        at = at[:, : int(cross.sum(1).max(initial=0))]
-        odd = lambda c: (at[:, :, None] <= c).sum(1) & 1
-        inside = (odd(cols + 1e-9) | odd(cols - 1e-9)).astype(bool)
-        mask[top : bottom + 1, left : right + 1][inside] = value
+        for k in range(0, int(cross.sum(1).max(initial=0)), 2):  # crossings in pairs
+            inside = (cols >= at[:, k, None] - 1e-9) & (cols < at[:, k + 1, None] + 1e-9)
+            mask[top : bottom + 1, left : right + 1][inside] = value
     steps = np.maximum(np.maximum(np.abs(x2 - x), np.abs(y2 - y)), 1).astype(int)
     edge = np.repeat(np.arange(len(x)), steps + 1)
     t = (np.arange(len(edge)) - np.repeat(np.cumsum(steps + 1) - steps - 1, steps + 1)) / steps[edge]

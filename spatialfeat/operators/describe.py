@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -61,18 +64,20 @@ def representatives(df: DataFrame, features: list[str], order: list[str], carry:
     """
     stats = [s for s in stats if s in TARGETS]
     keys = list(keys)
-    near = lambda x, q: F.transform(q, lambda t: F.round(F.abs(x - t) + 1e-9, digits))
-    found = with_quantiles(with_values(df, features), keys, [TARGETS[s] for s in stats]).withColumn("near_", F.zip_with(VALUES, "q_", near))
-    least = long(found, "near_", keys).groupBy(*keys, PLACE).agg(*(F.min(F.get("x", F.lit(i))).alias(f"m{i}") for i in range(len(stats))))
-    found = met(found, gathered(least, keys, F.array(*(f"m{i}" for i in range(len(stats)))), "best_"), keys)
-    rows = F.arrays_zip(F.sequence(F.lit(0), F.lit(len(features) - 1)).alias("place"), F.col(VALUES).alias("x"), F.col("q_").alias("q"), F.col("near_").alias("near"), F.col("best_").alias("best"))
-    hits = F.filter(rows, lambda r: F.exists(F.zip_with(r["near"], r["best"], lambda a, b: a == b), lambda e: F.coalesce(e, F.lit(False))))
+    places = range(len(stats))
+    near = lambda i: F.round(F.abs(F.col(f"r.{VALUES}") - F.get("r.q_", F.lit(i))) + 1e-9, digits)
+    found = with_quantiles(with_values(df, features), keys, [TARGETS[s] for s in stats])
+    least = long(found, F.arrays_zip(VALUES, "q_"), keys, "r").groupBy(*keys, PLACE).agg(*(F.min(near(i)).alias(f"m{i}") for i in places))
+    found = met(found, gathered(least, keys, F.array(*(f"m{i}" for i in places)), "best_"), keys)
     # order and carry get names of their own, as a column may be in both
-    some = [F.col(f"`{c}`").alias(f"o{i}_") for i, c in enumerate(order)] + [F.col(f"`{c}`").alias(f"c{i}_") for i, c in enumerate(carry)]
-    each = found.select(*keys, *some, F.explode(hits).alias("r"))
-    each = each.select(*keys, *(f"o{i}_" for i in range(len(order))), *(f"c{i}_" for i in range(len(carry))), F.col("r.place").alias(PLACE), F.col("r.x").alias("x"), F.posexplode(F.arrays_zip("r.q", "r.near", "r.best")).alias("stat_", "s"))
-    each = each.where(F.col("s.near") == F.col("s.best"))
-    best = F.min(F.struct(*(f"o{i}_" for i in range(len(order))), "x", F.col("s.q").alias("t"), *(f"c{i}_" for i in range(len(carry))))).alias("b")
+    own = [f"o{i}_" for i in range(len(order))], [f"c{i}_" for i in range(len(carry))]
+    found = found.select(*keys, *(F.col(f"`{c}`").alias(n) for c, n in zip([*order, *carry], [*own[0], *own[1]], strict=True)), VALUES, "q_", "best_")
+    rows = long(found, F.arrays_zip(VALUES, "q_", "best_"), [*keys, *own[0], *own[1]], "r")
+    hit = [near(i) == F.get("r.best_", F.lit(i)) for i in places]
+    rows = rows.where(reduce(or_, hit)).withColumn("x", F.col(f"r.{VALUES}"))
+    matched = F.filter(F.array(*(F.when(h, F.struct(F.lit(i).alias("stat"), F.get("r.q_", F.lit(i)).alias("t"))) for i, h in zip(places, hit, strict=True))), lambda m: m.isNotNull())
+    each = rows.select(*keys, PLACE, *own[0], *own[1], "x", F.explode(matched).alias("s")).select("*", F.col("s.stat").alias("stat_"))
+    best = F.min(F.struct(*own[0], "x", F.col("s.t").alias("t"), *own[1])).alias("b")
     name = _named(features)
     return each.groupBy(*keys, PLACE, "stat_").agg(best).select(
         *keys, name.alias("feature_name"), feature_class(name).alias("feature_class"), F.get(F.array(*map(F.lit, stats)), F.col("stat_")).alias("stat_name"), F.col("b.t").alias("target_value"),
