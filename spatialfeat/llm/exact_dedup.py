@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, partitions, whole_row
+from .common import materialise, reduce_partitions, whole_row
 
 #: Columns of a record before those that come along; of rows with one id, the larger tie stays.
 CONTENT, ID, COUNT, TIE = "gd_content", "gd_id", "gd_count", "gd_tie"
@@ -160,7 +160,7 @@ def distinct_texts(docs: DataFrame, carry: list[str] | None = None, id: str = "d
         F.coalesce(F.col(text), F.lit("")).cast("binary").alias(CONTENT), F.col(id).cast("long").alias(ID), F.lit(1).cast("long").alias(COUNT), tie.alias(TIE), *(carry or [])
     )
     local = records.mapInArrow(lambda it: merged_while_scanning(it, fits), records.schema)
-    dealt = local.repartition(partitions(docs), F.xxhash64(CONTENT))
+    dealt = local.repartition(reduce_partitions(docs), F.xxhash64(CONTENT))
     return dealt.mapInArrow(lambda it: grace(it, fits), records.schema)
 
 
