@@ -6,8 +6,8 @@ the root of the size, then by an MD5 of id and text, so that copies spread evenl
 taken come close to the target. It does not depend on how many rows there are or how they are dealt.
 
 The prefix sum never needs a source in one task: documents fall into blocks (root of their size, first three digits of the
-MD5, so 4,096 slices of each size), their counts are summed up over the slices of a size and over the sizes of a source, and
-only rows of one block are ranked together. Rows that agree are counted first and take a run of ranks, so that copies of one row are one. Texts are read
+MD5, so 4,096 slices of each size), their counts are summed up over the 256 slices of each of 16 parts of a size, over these
+parts, and over the sizes of a source, and only rows of one block are ranked together. Rows that agree are counted first and take a run of ranks, so that copies of one row are one. Texts are read
 once: sizes and MD5s are written before sums need them. Rows of `mixed` are grouped whole, with partial sums while scanning.
 
 Defined cases: null or blank text has size 0, is due copies like any other, and takes nothing; a null source is a source of
@@ -69,17 +69,19 @@ def _ranked(counted: DataFrame, order: list[str], seed: str, weights: tuple[int,
     counted has source, mix_size, mix_key, mix_n (how many rows a row stands for), and is read twice.
     """
     root = F.concat_ws(":", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")), F.floor(F.sqrt("mix_size")).cast("string"))
-    sliced = counted.withColumn("mix_slice", F.substring("mix_key", 1, 3)).withColumn("mix_block", F.concat_ws(":", root, "mix_slice"))
-    blocks = sliced.groupBy("source", F.floor(F.sqrt("mix_size")).alias("mix_root"), root.alias("mix_of_root"), "mix_slice", "mix_block")
-    blocks = materialise(blocks.agg(F.sum("mix_n").alias("mix_rows"), F.sum(F.col("mix_size") * F.col("mix_n")).alias("mix_size")))
+    sliced = counted.withColumn("mix_block", F.concat_ws(":", root, F.substring("mix_key", 1, 3)))
+    blocks = sliced.groupBy("source", F.floor(F.sqrt("mix_size")).alias("mix_root"), root.alias("mix_of_root"), F.substring("mix_key", 1, 3).alias("mix_slice"), "mix_block")
+    blocks = materialise(blocks.agg(F.sum("mix_n").alias("mix_rows"), F.sum(F.col("mix_size") * F.col("mix_n")).alias("mix_size")).withColumn("mix_part", F.concat_ws(":", "mix_of_root", F.substring("mix_slice", 1, 1))))
     share = targets(blocks.groupBy("source").agg(F.sum("mix_size").alias("mix_size")), weights, most)
-    # a window holds the roots of a source, or the 4,096 slices of a root
-    earlier = lambda part, order: F.coalesce(F.sum("mix_rows").over(Window.partitionBy(part).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    roots = blocks.groupBy("source", "mix_root", "mix_of_root").agg(F.sum("mix_rows").alias("mix_rows"))
+    # a window holds the sizes of a source, the 16 parts of a size, or the 256 slices of a part
+    earlier = lambda of, order: F.coalesce(F.sum("mix_rows").over(Window.partitionBy(of).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = blocks.groupBy("source", "mix_root", "mix_of_root", "mix_part").agg(F.sum("mix_rows").alias("mix_rows"))
+    roots = parts.groupBy("source", "mix_root", "mix_of_root").agg(F.sum("mix_rows").alias("mix_rows"))
     roots = roots.select("source", "mix_of_root", earlier("source", "mix_root").alias("mix_first"))
     roots = roots.alias("a").join(share.alias("b"), F.col("a.source").eqNullSafe(F.col("b.source"))).select("mix_of_root", "mix_first", "mix_source_size", "mix_target")
-    first = blocks.select("mix_block", "mix_of_root", earlier("mix_of_root", "mix_slice").alias("mix_in_root")).join(roots, "mix_of_root")
-    first = first.select("mix_block", (F.col("mix_first") + F.col("mix_in_root")).alias("mix_first"), "mix_source_size", "mix_target")
+    total = lambda own: (F.col("mix_first") + own).alias("mix_first")
+    parts = parts.select("mix_part", "mix_of_root", earlier("mix_of_root", "mix_part").alias("mix_own")).join(roots, "mix_of_root").select("mix_part", total(F.col("mix_own")), "mix_source_size", "mix_target")
+    first = blocks.select("mix_block", "mix_part", earlier("mix_part", "mix_slice").alias("mix_own")).join(parts, "mix_part").select("mix_block", total(F.col("mix_own")), "mix_source_size", "mix_target")
     before = Window.partitionBy("mix_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     due = F.coalesce(F.try_divide(F.col("mix_target"), F.col("mix_source_size")), F.lit(0.0))
     met = sliced.join(first, "mix_block")
