@@ -13,6 +13,13 @@ def check_criteria(criteria: str) -> None:
         raise ValueError(f"criteria must be one of {CRITERIA}, is {criteria!r}")
 
 
+def unique_observations(expr: DataFrame) -> DataFrame:
+    """Observations whose name stands more than once for a gene of a sample get -1, -2 and so on from the second on, in order
+    of their values, so that each is one of its own."""
+    again = F.row_number().over(Window.partitionBy("sample_id", "obs_id", "gene").orderBy("value")) - 1
+    return expr.withColumn("again_", again).withColumn("obs_id", F.when(F.col("again_") > 0, F.concat_ws("-", "obs_id", "again_")).otherwise(F.col("obs_id"))).drop("again_")
+
+
 def named_genes(expr: DataFrame) -> DataFrame:
     """Without blanks and controls."""
     return expr.where(~F.col("gene").contains("BLANK") & ~F.col("gene").contains("Control"))

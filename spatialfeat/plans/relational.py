@@ -441,3 +441,12 @@ def gene_sets(spark: SparkSession, d: str) -> DataFrame:
     sets = genes.gene_sets(genes.moments(expr, genes.common_genes(expr)), ("mean",), (5, 20))
     parts = [chosen.select(F.lit(c).alias("criterion"), F.lit(k).alias("k"), "gene") for (c, k), chosen in sets.items()]
     return selection.chunks_joined(*parts)
+
+
+@query("""WITH e AS (SELECT event_type AS sample_id, user_id::VARCHAR AS obs_id, 'g' || (event_id % 3) AS gene, round(value, 6) AS value, row_number() OVER (PARTITION BY event_type, user_id, event_id % 3 ORDER BY round(value, 6)) - 1 AS k FROM events)
+SELECT sample_id, CASE WHEN k > 0 THEN obs_id || '-' || k ELSE obs_id END AS obs_id, gene, value FROM e""")
+def unique_observations(spark: SparkSession, d: str) -> DataFrame:
+    """Observations under one name, told apart."""
+    gene = F.concat(F.lit("g"), (F.col("event_id") % 3).cast("string"))
+    rows = s.load(spark, d, "events").select(F.col("event_type").alias("sample_id"), F.col("user_id").cast("string").alias("obs_id"), gene.alias("gene"), F.round("value", 6).alias("value"))
+    return genes.unique_observations(rows)
