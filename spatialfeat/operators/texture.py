@@ -197,6 +197,8 @@ def patch_features(patches: DataFrame, carry: list[str], cells: str | None = Non
 
     A patch that is no image has status `error` and a message. A small threshold mask and a patch without cells are
     skipped. An extractor that fails leaves its features null and its code and message as status, the first one that fails.
+
+    Python holds a batch of patches at a time, as many as the session says; spread.fitting_batches fits that to their size.
     """
     filters = tuple(f.lower() for f in filters if f.lower() != "original")
     if unknown := set(filters) - set(kernels.FILTERS):

@@ -13,7 +13,7 @@ from ..operators.cells import class_counts, class_shares, measurement_stats, nor
 from ..operators.describe import box_stats, describe, ok_rows, representatives
 from ..operators.geometry import polygons_of
 from ..operators.normalize import normalization_stats, normalize
-from ..operators.spread import enough_partitions
+from ..operators.spread import enough_partitions, fitting_batches
 from ..operators.texture import MORPHOLOGY, feature_names, patch_features
 from ..schema import SMALLEST_MASK, Config, described_columns
 from ..sources import sinks
@@ -99,6 +99,7 @@ def extract_to(patches: DataFrame, cells: DataFrame | None, config: Config, path
     Raw features are written once and read for all of the outputs.
     """
     spark = patches.sparkSession
+    fitting_batches(patches)
     some = [r[0] for r in patches.select("sample_id").distinct().collect()]  # names of the samples of one run
     sinks.samples(raw_features(patches, cells, config, measurements, order), f"{path}/raw")
     raw = sinks.read_samples(spark, f"{path}/raw").where(F.col("sample_id").isin(some))

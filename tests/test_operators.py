@@ -243,6 +243,23 @@ def test_an_extractor_that_fails_leaves_its_code(monkeypatch):
     assert got["original_firstorder_Mean"][1] is not None and got["original_glcm_Id"][1] is None and got["original_ngtdm_Contrast"][1] is None and got["original_glcm_Id"][0] is not None
 
 
+def test_batches_fit_the_size_of_patches(spark):
+    from spatialfeat.operators import spread
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "10000")
+        large = spark.range(3).select(F.col("id").alias("patch_idx"), F.lit("s").alias("sample_id"), F.array_repeat(F.lit(90), 512 * 512).alias("px"), F.lit(512).alias("h"), F.lit(512).alias("w"))
+        assert spread.fitting_batches(large) == 32 == int(spark.conf.get(key))
+        assert spread.fitting_batches(some_patches(spark)) == 10_000 and spread.fitting_batches(large.limit(0)) == 10_000
+        assert {r.status for r in pipeline.threshold_features(large).select("status").collect()} == {"ok"}
+        spark.conf.set(key, "77")
+        assert spread.fitting_batches(large) == 77
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_settings_act(spark):
     patches = some_patches(spark)
     five, fifty = (pipeline.threshold_features(patches, schema.Config(bin_width=w)).orderBy("patch_idx").first() for w in (5, 50))
