@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language_id, line_dedup, mixing, ngram_join, packing, quality_rules, suffix_dedup, url_filters, warc
+from . import exact_dedup, language_id, line_dedup, merkle, mixing, ngram_join, packing, quality_rules, secret_scan, suffix_dedup, url_filters, warc
 from .common import materialise, new_path, small_batches, table
 
 
@@ -62,9 +62,21 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents")).drop("lang")
+
+
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = secret_scan.scan(table(spark, sf_dir, "documents"), ["doc_id"])
+    of = lambda *kinds: F.filter("secrets", lambda s: s["kind"].isin(*kinds))
+    counts = (F.size(of(k)).cast("long").alias(f"n_{k}") for k in secret_scan.STRONG)
+    return out.select("doc_id", *counts, F.sha2(secret_scan.written(of(*secret_scan.STRONG)), 256).alias("base_sha256"), secret_scan.written(F.col("secrets")).alias("spans"))
+
+
 _QUERIES = (
     op1_url_filters, op2_language_id, op3_line_dedup, op4_suffix_array_dedup, op5_exact_dedup,
     op6_best_fit_packing, op7_source_mixing, op8_quality_rules, op9_warc_archive, op10_ngram_jaccard,
+    op11_merkle_manifest, op12_secret_scan,
 )
 
 
@@ -80,6 +92,69 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: _batched(f) for f in _QUERIES}
 
 
+def _field_sql(value: str) -> str:
+    return f"coalesce(strlen(({value})::VARCHAR) || ':' || ({value})::VARCHAR, '-')"
+
+
+def _leaf_sql(n_chars: str) -> str:
+    return "sha256(" + " || ".join(_field_sql(n_chars if c == "n_chars" else c) for c in merkle.FIELDS) + ")"
+
+
+def _tree_sql(name: str, first: str) -> str:
+    """A recursive CTE (k, lvl, pos, h, cnt) of the trees over leaves."""
+    return f"""{name}(k, lvl, pos, h, cnt) AS ({first} UNION ALL
+    SELECT k, lvl + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (cnt + 1) // 2 FROM {name} WHERE cnt > 1 GROUP BY k, lvl, cnt, pos // 2)"""
+
+
+def _steps_sql(tree: str, start: str, first: int) -> str:
+    """Steps (rid, turn, step) up a tree: L or R and the sibling there, or N for none."""
+    return f"""SELECT p.rid, {first} + a.lvl AS turn, CASE WHEN b.h IS NULL THEN 'N' WHEN b.pos < a.pos THEN 'L' || b.h ELSE 'R' || b.h END AS step FROM {start} p
+    JOIN {tree} a ON a.k = p.k AND a.cnt > 1 AND a.pos = p.pos >> a.lvl LEFT JOIN {tree} b ON b.k = a.k AND b.lvl = a.lvl AND b.pos = xor(a.pos, 1)"""
+
+
+_MERKLE_SQL = f"""
+WITH RECURSIVE bits AS (SELECT list(c ORDER BY i) AS tab FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, b: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(i))),
+d AS (SELECT row_number() OVER () AS rid, doc_id, n_chars, coalesce('=' || lang, '') AS k, {_leaf_sql('n_chars')} AS leaf, {_leaf_sql('n_chars + 1')} AS changed,
+    xor(list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) % 7 = 0 AS hit FROM documents, bits),
+o AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id NULLS FIRST, leaf, rid) - 1 AS pos, count(*) OVER (PARTITION BY k) AS cnt FROM d),
+{_tree_sql('n', 'SELECT k, 0, pos, leaf, cnt FROM o')},
+t AS (SELECT k, h, row_number() OVER (ORDER BY k) - 1 AS pos, count(*) OVER () AS cnt FROM n WHERE cnt = 1),
+{_tree_sql('m', "SELECT '', 0, pos, h, cnt FROM t")},
+u AS (SELECT o.rid, '' AS k, t.pos FROM o JOIN t USING (k)),
+s AS ({_steps_sql('n', 'o', 0)} UNION ALL {_steps_sql('m', 'u', 1000)}),
+p AS (SELECT rid, list(step ORDER BY turn) AS steps FROM s GROUP BY rid)
+SELECT doc_id, leaf, t.h AS subroot, r.h AS root, sha256(coalesce(array_to_string(list_transform(steps, lambda x: x[2:]), ''), '')) AS proof_sha256, f AS folded_root, f = r.h AS verified
+FROM (SELECT o.*, p.steps, list_reduce(list_prepend(CASE WHEN hit AND n_chars IS NOT NULL THEN changed ELSE leaf END, coalesce(steps, [])),
+    lambda a, x: CASE x[1] WHEN 'L' THEN sha256(x[2:] || a) WHEN 'R' THEN sha256(a || x[2:]) ELSE sha256(a) END) AS f
+    FROM o LEFT JOIN p USING (rid)) x JOIN t USING (k), (SELECT h FROM m WHERE cnt = 1) r"""
+
+
+def _secrets_sql() -> str:
+    quoted = {k: p.replace("'", "''") for k, (p, _, _) in secret_scan.KINDS.items()}
+    number = secret_scan.NAMES.index
+    found = " UNION ALL ".join(
+        f"SELECT rid, {number(k)} AS kind, regexp_extract_all(t, '{quoted[k]}') AS w, regexp_extract_all(t, '{quoted[k]}', {group}) AS v, regexp_split_to_array(t, '{quoted[k]}') AS p FROM d WHERE regexp_matches(t, '{quoted[k]}')"
+        for k, (_, group, _) in secret_scan.KINDS.items()
+    )
+    least = " ".join(f"WHEN {number(k)} THEN {n}" for k, (_, _, n) in secret_scan.KINDS.items())
+    mixed = " AND ".join(f"regexp_matches(w, '{m}')" for m in secret_scan.MIXED)
+    of = lambda kinds: f"kind IN ({', '.join(str(number(k)) for k in kinds)})"
+    strong, near = of(secret_scan.STRONG), f"a.rid = b.rid AND a.s <= b.e + {secret_scan.REACH} AND b.s <= a.e + {secret_scan.REACH} AND NOT (a.s < b.e AND b.s < a.e)"
+    names = "[" + ", ".join(f"'{k}'" for k in secret_scan.NAMES) + "]"
+    text = lambda where: f"coalesce(string_agg({names}[kind + 1] || ':' || s || ':' || e, ',' ORDER BY s, kind) FILTER ({where}), '')"
+    counts = ", ".join(f"count(*) FILTER (kind = {number(k)}) AS n_{k}" for k in secret_scan.STRONG)
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents), f AS ({found}),
+g AS (SELECT rid, kind, k, w[k] AS w, v[k] AS v, length(p[k]) AS gap FROM f, unnest(range(1, len(w) + 1)) AS r(k)),
+h AS (SELECT rid, kind, w, v, (sum(gap + length(w)) OVER (PARTITION BY rid, kind ORDER BY k))::BIGINT AS e FROM g),
+sp AS (SELECT rid, kind, e - length(w) AS s, e FROM h WHERE length(v) >= CASE kind {least} END AND (kind <> {number('blob')} OR ({mixed}))),
+parts AS (SELECT * FROM sp a WHERE {strong} OR NOT EXISTS (SELECT 1 FROM sp b WHERE b.rid = a.rid AND b.{strong} AND a.s < b.e AND b.s < a.e)),
+i AS (SELECT * FROM parts a WHERE {of(secret_scan.IDENTIFIERS)} AND EXISTS (SELECT 1 FROM parts b WHERE b.{of(secret_scan.SECRETS)} AND {near})),
+x AS (SELECT * FROM parts WHERE {strong} UNION ALL SELECT * FROM i WHERE NOT {strong}
+    UNION ALL SELECT * FROM parts a WHERE ({of(('key', 'blob', 'endpoint'))}) AND EXISTS (SELECT 1 FROM i b WHERE {near}))
+SELECT doc_id, {counts}, sha256({text(strong)}) AS base_sha256, {text('kind IS NOT NULL')} AS spans FROM d LEFT JOIN x USING (rid) GROUP BY rid, doc_id"""
+
+
 _SQL = {
     "op3_line_dedup": rf"""
 WITH p AS (SELECT row_number() OVER () AS row_id, page_id,
@@ -136,6 +211,8 @@ h AS (SELECT *, strlen(html)::BIGINT AS payload_bytes, sha1(html) AS hexed, max(
 SELECT page_id, payload_bytes,
     list_aggregate(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(hexed, (1 + 10 * (k // 8))::INT, 10))::BIGINT >> (35 - 5 * (k % 8))::INT) & 31)::INT + 1, 1)), 'string_agg', '') AS payload_digest,
     CASE WHEN rn = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN rn > 1 THEN owner END AS refers_to FROM h""",
+    "op11_merkle_manifest": _MERKLE_SQL,
+    "op12_secret_scan": _secrets_sql(),
 }
 
 
