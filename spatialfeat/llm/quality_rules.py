@@ -163,16 +163,36 @@ class Rules:
 
 
 def at_most(k: int, n: int, p: float) -> float:
-    """P(Bin(n, p) <= k), exact up to rounding."""
+    """P(Bin(n, p) <= k), exact up to rounding.
+
+    The tail that does not hold the mode is summed, from its largest term on: where that underflows, the tail is nothing.
+    """
+    if k < 0:
+        return 0.0
     if n == 0 or k >= n:
         return 1.0
-    term = math.exp(math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(p) + (n - k) * math.log1p(-p))
-    total, i = term, k
-    while i > 0 and term > 1e-18 * total:
-        term *= i / (n - i + 1) * (1 - p) / p
+    upper = k + 1 > (n + 1) * p
+    i, odds = (k + 1 if upper else k), p / (1 - p)
+    term = math.exp(math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log1p(-p))
+    total = term
+    while term > 1e-18 * total and (i < n if upper else i > 0):
+        if upper:
+            term *= (n - i) / (i + 1) * odds
+            i += 1
+        else:
+            term *= i / (n - i + 1) / odds
+            i -= 1
         total += term
-        i -= 1
-    return min(1.0, total)
+    return max(0.0, 1 - total) if upper else min(1.0, total)
+
+
+def allowed(n: int, alpha: float, level: float) -> int:
+    """The most of n good documents that a certified cutoff drops: the largest k with P(Bin(n, alpha) <= k) <= level, -1 for none."""
+    low, high = -1, n
+    while high - low > 1:
+        middle = (low + high) // 2
+        low, high = (middle, high) if at_most(middle, n, alpha) <= level else (low, middle)
+    return low
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 10.0) -> tuple[np.ndarray, float]:
@@ -201,10 +221,9 @@ def _certified(batches: Iterator[pa.RecordBatch], cuts: np.ndarray, error: np.nd
             for c in counts:
                 by[c["b"]] += c["n"]
             # a document with score above b of the cutoffs is above the b smallest, the last b of the falling grid
-            total, certified = int(by.sum()), 0
-            dropped = np.cumsum(by[::-1])
-            while certified < len(cuts) and at_most(int(dropped[certified]), total, alpha) <= level:
-                certified += 1
+            total = int(by.sum())
+            dropped = np.cumsum(by[::-1])[: len(cuts)]
+            certified = int(np.searchsorted(dropped, allowed(total, alpha, level), "right"))
             rows.append((s, float(cuts[int(np.argmin(error[:certified]))]) if certified else None, total, certified))
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), _CUTOFFS.values(), strict=True)], list(_CUTOFFS))

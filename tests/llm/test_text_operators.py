@@ -221,6 +221,48 @@ def test_binomial_bound_is_exact():
         assert quality_rules.at_most(k, n, p) == pytest.approx(want, rel=1e-9)
 
 
+def test_binomial_bound_above_the_mean_and_of_many():
+    from fractions import Fraction
+
+    assert quality_rules.at_most(500, 1000, 0.05) == quality_rules.at_most(1500, 6000, 0.05) == 1.0
+    for n in (7, 60, 400):
+        p, sums = Fraction(1, 20), Fraction(0)
+        for k in range(n + 1):
+            sums += math.comb(n, k) * p**k * (1 - p) ** (n - k)
+            assert quality_rules.at_most(k, n, 0.05) == pytest.approx(float(sums), rel=1e-9, abs=1e-300)
+    for n in (10**5, 10**7):
+        deviation = math.sqrt(n * 0.05 * 0.95)
+        for z in (-6, -3, -1, 0, 1, 3, 6, 60):
+            got = quality_rules.at_most(round(n * 0.05 + z * deviation), n, 0.05)
+            assert got == pytest.approx(0.5 * math.erfc(-z / math.sqrt(2)), rel=0.2 if z < -2 else 0.02)
+        assert quality_rules.at_most(n // 2, n, 0.05) == quality_rules.at_most(n - 1, n, 0.05) == 1.0
+
+
+def test_allowed_is_the_last_certified_count():
+    for n in (0, 10, 58, 59, 400, 3000):
+        most = quality_rules.allowed(n, 0.05, 0.05)
+        assert most < 0 or quality_rules.at_most(most, n, 0.05) <= 0.05
+        assert quality_rules.at_most(most + 1, n, 0.05) > 0.05
+
+
+def test_a_template_that_half_of_the_good_documents_share_stays(spark):
+    rnd = random.Random(8)
+    template = " ".join(["template", "of", "many##", "pages"] + [f"w{k}" for k in range(36)])
+    rows = []
+    for i in range(6000):
+        kind = i % 3
+        text = " ".join("".join(rnd.choices("etaoins", k=5)) + ("#" if kind == 2 or rnd.random() < 0.001 else "") for _ in range(40)) if kind else template
+        rows.append((i, text, "en", None, 0))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    labels = docs.select("doc_id", (F.col("doc_id") % 3 < 2).cast("int").alias("quality"))
+    measured = quality_rules.measure(docs, ["doc_id", "lang"])
+    rules = quality_rules.fit(measured, labels, "lang")
+    out = rules.judge(measured, "lang").toPandas()
+    good = out[out.doc_id % 3 < 2]
+    assert good.kept.mean() >= 0.95 and out[out.doc_id % 3 == 0].kept.all()
+    assert 0 < rules.cutoffs.first().certified < quality_rules.GRID
+
+
 def test_cutoffs_reject_junk_and_bound_false_rejection(spark):
     rnd = random.Random(5)
     clean = lambda: " ".join("".join(rnd.choice("etaoins") for _ in range(rnd.randint(2, 8))) for _ in range(60))
