@@ -19,6 +19,9 @@ rows, also without ids, are rows of their own; the columns named in `keep` come
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -46,6 +49,8 @@ KINDS = {
     "endpoint": (rf"((?:https?|wss?|s?ftp|ssh|s3|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqps?)://|{either('hostname|host|endpoint|server|base_?url')}{_IS})([A-Za-z0-9._~:/@%?&=+-]+)", 2, 4),
 }
 NAMES = tuple(KINDS)
+#: What stands in every match, in lower case: texts without any of these are not searched by pattern.
+CLUES = {"assign": ("passw", "secret", "token", "api"), "access": ("akia",), "ident": ("user", "login", "client", "account", "access")}
 STRONG = ("assign", "access", "hex")
 IDENTIFIERS = ("access", "ident")
 SECRETS = ("assign", "hex", "key", "blob")
@@ -69,7 +74,12 @@ def _matches(text: Column, kind: str) -> Column:
         return F.struct(number.alias("kind"), k.alias("k"), F.length(F.get(pieces, k)).alias("gap"), F.length(match).alias("size"), ok.alias("ok"))
 
     none = F.array().cast("array<struct<kind: int, k: int, gap: int, size: int, ok: boolean>>")
-    return F.when(text.rlike(pattern), F.transform(whole, one)).otherwise(none)
+    low = F.lower(text)
+    clues = CLUES.get(kind, ()) if kind in STRONG else CLUES["ident"]
+    there = reduce(or_, (low.contains(c) for c in clues), F.lit(not clues))
+    if kind not in (*STRONG, "ident"):  # of no use without an identifier
+        there = there | text.contains("AKIA")
+    return F.when(there & text.rlike(pattern), F.transform(whole, one)).otherwise(none)
 
 
 def _is(kinds: tuple[str, ...]) -> Column:
