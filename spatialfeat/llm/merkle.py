@@ -178,14 +178,20 @@ PATHS = "group string, place long, path binary, top binary"
 def suffixes(nodes: DataFrame, block: int = BLOCK, top: int = TOP) -> tuple[DataFrame, bool]:
     """group, place, path (siblings up to the top of the group) and top of every node, and whether the driver built them.
 
-    nodes: group, total, place, leaf.
+    nodes: group, total, place, leaf. Groups of one node are at their top, and no further round has them, so there is an end to rounds
+    also where there are more groups than `top`.
     """
     spark = nodes.sparkSession
     few = nodes.limit(top + 1).collect()
     if len(few) > top:
-        blocked = blocks(nodes, ["leaf"], block)
+        ready = nodes.where("total = 1").select("group", "place", F.lit(b"").alias("path"), F.col("leaf").alias("top"))
+        rest = nodes.where("total > 1")
+        if rest.isEmpty():
+            return ready, False
+        blocked = blocks(rest, ["leaf"], block)
         above, small = suffixes(reduced(blocked, block), block, top)
-        return blocked.join(_hinted(above, small).withColumnRenamed("place", "block"), ["group", "block"]).mapInArrow(lambda it: _suffixed(it, block), PATHS), False
+        met = blocked.join(_hinted(above, small).withColumnRenamed("place", "block"), ["group", "block"])
+        return ready.unionByName(met.mapInArrow(lambda it: _suffixed(it, block), PATHS)), False
     groups: dict[str, dict[int, bytes]] = {}
     for r in few:
         groups.setdefault(r.group, {})[r.place] = bytes(r.leaf)

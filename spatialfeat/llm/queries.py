@@ -166,13 +166,13 @@ boiler AS (SELECT host, list(line) AS boiler FROM counts JOIN totals USING (host
 kept AS (SELECT page_id, host, lines, list_filter(lines, lambda x: NOT coalesce(list_contains(boiler, x), false)) AS kept FROM p LEFT JOIN boiler USING (host))
 SELECT page_id, host, len(lines)::BIGINT AS n_lines, len(kept)::BIGINT AS n_kept, (len(lines) - len(kept))::BIGINT AS n_dropped, sha256(coalesce(array_to_string(kept, chr(10)), '')) AS kept_sha256 FROM kept""",
     "op4_suffix_array_dedup": r"""
-WITH d AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents WHERE text IS NOT NULL),
-r AS (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS pos FROM d),
-k AS (SELECT doc_id, pos, hash(array_to_string(w[pos:pos + 49], ' ')) AS h FROM r),
-m AS (SELECT doc_id, pos FROM k WHERE h IN (SELECT h FROM k GROUP BY h HAVING count(DISTINCT coalesce(doc_id, -1)) > 1)),
-e AS (SELECT DISTINCT doc_id, pos FROM m),
-g AS (SELECT doc_id, pos, pos - coalesce(lag(pos) OVER (PARTITION BY doc_id ORDER BY pos), -1000) AS gap FROM e)
-SELECT doc_id, count(*) FILTER (gap > 50)::BIGINT AS n_spans, sum(least(gap, 50))::BIGINT AS n_repeated_words FROM g GROUP BY doc_id""",
+WITH d AS (SELECT doc_id, coalesce('d' || doc_id, 'r' || row_number() OVER ()) AS own, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents WHERE text IS NOT NULL),
+r AS (SELECT own, doc_id, w, unnest(range(1, len(w) - 48)) AS pos FROM d),
+k AS (SELECT own, doc_id, pos, hash(array_to_string(w[pos:pos + 49], ' ')) AS h FROM r),
+m AS (SELECT own, doc_id, pos FROM k WHERE h IN (SELECT h FROM k GROUP BY h HAVING count(DISTINCT own) > 1)),
+e AS (SELECT DISTINCT own, doc_id, pos FROM m),
+g AS (SELECT own, doc_id, pos, pos - coalesce(lag(pos) OVER (PARTITION BY own ORDER BY pos), -1000) AS gap FROM e)
+SELECT doc_id, count(*) FILTER (gap > 50)::BIGINT AS n_spans, sum(least(gap, 50))::BIGINT AS n_repeated_words FROM g GROUP BY own, doc_id""",
     "op5_exact_dedup": """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 g AS (SELECT *, max(doc_id) OVER (PARTITION BY text) AS keep_id, count(*) OVER (PARTITION BY text) AS group_size, row_number() OVER (PARTITION BY text, doc_id) AS rn FROM d)

@@ -46,7 +46,7 @@ KINDS = {
     "ident": (rf"({either('user_?name|user_?id|user|login|client_?id|account_?id|access_?key_?id')}){_IS}([A-Za-z0-9+/_.@-]+)", 2, 3),
     "key": (rf"({either('passphrase|passcode|pass|pwd|auth|bearer|credentials?|private_?key|access_?key|signature')}){_IS}([A-Za-z0-9+/_.=-]+)", 2, 6),
     "blob": (r"[A-Za-z0-9+/]{32,}", 0, 32),
-    "endpoint": (rf"((?:https?|wss?|s?ftp|ssh|s3|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqps?)://|{either('hostname|host|endpoint|server|base_?url')}{_IS})([A-Za-z0-9._~:/@%?&=+-]+)", 2, 4),
+    "endpoint": (rf"((?:https?|wss?|s?ftp|ssh|s3|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqps?)://|(?:{either('hostname|host|endpoint|server|base_?url')}){_IS})([A-Za-z0-9._~:/@%?&=+-]+)", 2, 4),
 }
 NAMES = tuple(KINDS)
 #: What stands in every match, in lower case: texts without any of these are not searched by pattern.

@@ -21,8 +21,8 @@ depend on which grams are hot.
 
 Words are compared under A-Z lower-casing by hashes, 64 bits for the gram and 16 bits a word around it.
 
-Defined cases: null and short texts have no passage; null ids are one document; a passage repeated only within one document
-(rows with one doc_id are one document) is none; very long texts are read whole, in one piece; the order of equal rows says
+Defined cases: null and short texts have no passage; a row without an id is a document of its own, and its output has no id either; a
+passage repeated only within one document (rows with one doc_id are one document) is none; ids below -2**62 are an error; very long texts are read whole, in one piece; the order of equal rows says
 nothing; columns but doc_id and the text do not come along, so none can clash; no rows give no rows.
 """
 
@@ -46,7 +46,8 @@ CELLS = 1 << 20
 HOT_LEAST = 1000
 #: Records that a task gathers before it sends them.
 BUFFER = 120_000
-_NULL = -(1 << 63)
+#: Rows without an id get ids below this one.
+_NULL = -(1 << 62)
 _OUT = pa.schema([("part", pa.int32()), ("seeds", pa.binary()), ("docs", pa.binary()), ("at", pa.binary()), ("around", pa.binary())])
 _SPANS = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64())])
 
@@ -239,7 +240,7 @@ def _sent(batches: Iterator[pa.RecordBatch], keys: np.ndarray, least: int, gram:
 
     held = 0
     for batch in batches:
-        ids = batch.column(1).fill_null(_NULL).to_numpy(zero_copy_only=False).astype(np.int64)
+        ids = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
         for row, data, offsets in texts(batch.column(0)):
             r, more = records_of(data, offsets, ids[row:], least, gram, hot.value)
             if len(r):
@@ -365,11 +366,14 @@ def repeated_spans(docs: DataFrame, least: int = LEAST, gram: int = GRAM, text:
     """doc_id and spans, an array of (start, end) in words, of every document with a passage that another one has too."""
     n = reduce_partitions(docs)
     keys = dealing_keys(docs.sparkSession, n)
-    source = docs.select(F.col(text).cast("binary").alias("text"), F.col("doc_id").cast("long").alias("doc_id"))
+    id = F.col("doc_id").cast("long")
+    low = F.raise_error(F.lit("ids must not be below -2**62")).cast("long")
+    own = F.when(id.isNull(), F.lit(2 * _NULL) + F.monotonically_increasing_id()).when(id < _NULL, low).otherwise(id)
+    source = docs.select(F.col(text).cast("binary").alias("text"), own.alias("doc_id"))
     sketch = materialise(source.select("text").mapInArrow(lambda it: _counted(it, least, gram, cells), "segment int, cells binary"))
     counts = folded(sketch, cells)
     hot = docs.sparkSession.sparkContext.broadcast(counts > max(hot_least, int(counts.sum()) // (4 * n)))
     sent = source.mapInArrow(lambda it: _sent(it, keys, least, gram, hot), "part int, seeds binary, docs binary, at binary, around binary")
     spans = sent.repartition(n, "part").mapInArrow(lambda it: _met(it, least, gram), "doc_id long, start long, end long")
     one = spans.repartition(n, "doc_id").sortWithinPartitions("doc_id").mapInArrow(_of_document, "doc_id long, spans array<struct<start: bigint, end: bigint>>")
-    return one.select(F.when(F.col("doc_id") != _NULL, F.col("doc_id")).alias("doc_id"), "spans")
+    return one.select(F.when(F.col("doc_id") >= _NULL, F.col("doc_id")).alias("doc_id"), "spans")
