@@ -240,8 +240,8 @@ def glrlm(level: np.ndarray, offsets=PLANE) -> dict[str, np.ndarray]:
     return dict(zip(GLRLM, _matrix_features(p, (level > 0).reshape(n, -1).sum(1)), strict=True))
 
 
-def zones(level: np.ndarray) -> np.ndarray:
-    """8-connected zones of equal level: every pixel has the smallest flat index of its zone, -1 outside.
+def zones(level: np.ndarray, offsets=PLANE) -> np.ndarray:
+    """Zones of equal level, connected along `offsets` (8-connected in a plane): every pixel has the smallest flat index of its zone, -1 outside.
 
     Runs of equal pixels along rows are joined where they touch in neighbouring rows: roots hook onto smaller ones and
     paths are shortened until no two runs that touch have different roots, for all patches at once.
@@ -254,8 +254,8 @@ def zones(level: np.ndarray) -> np.ndarray:
     new[::w] = True
     run = np.cumsum(new) - 1
     at, root = run.reshape(n, h, w), np.arange(run[-1] + 1)
-    pairs = []
-    for dx in (0, 1, -1):
+    pairs = [(np.zeros(0, np.int64),) * 2]
+    for dx in (dx for dy, dx in offsets if dy):
         above, below = (slice(None), slice(0, h - 1), slice(max(0, -dx), w - max(0, dx))), (slice(None), slice(1, h), slice(max(0, dx), w - max(0, -dx)))
         same = (level[above] == level[below]) & (level[above] > 0)
         u, v = at[above][same], at[below][same]
@@ -276,9 +276,9 @@ def zones(level: np.ndarray) -> np.ndarray:
     return np.where(level > 0, label.reshape(n, h, w), -1)
 
 
-def glszm(level: np.ndarray) -> dict[str, np.ndarray]:
+def glszm(level: np.ndarray, offsets=PLANE) -> dict[str, np.ndarray]:
     n, h, w = level.shape
-    label = zones(level)
+    label = zones(level, offsets)
     at = label >= 0
     size = np.bincount(np.nonzero(at)[0] * h * w + label[at], minlength=n * h * w)
     zone = np.flatnonzero(size)
@@ -286,16 +286,16 @@ def glszm(level: np.ndarray) -> dict[str, np.ndarray]:
     return dict(zip(GLSZM, _matrix_features(p, at.reshape(n, -1).sum(1)), strict=True))
 
 
-def _neighbours(x: np.ndarray):
-    for dy, dx in (*PLANE, *((-a, -b) for a, b in PLANE)):
+def _neighbours(x: np.ndarray, offsets):
+    for dy, dx in (*offsets, *((-a, -b) for a, b in offsets)):
         shifted = np.zeros_like(x)
         _, h, w = x.shape
         shifted[:, max(0, -dy) : h - max(0, dy), max(0, -dx) : w - max(0, dx)] = x[:, max(0, dy) : h - max(0, -dy), max(0, dx) : w - max(0, -dx)]
         yield shifted
 
 
-def gldm(level: np.ndarray, alpha: int = 0) -> dict[str, np.ndarray]:
-    depends = 1 + sum(((b > 0) & (np.abs(b - level) <= alpha)).astype(int) for b in _neighbours(level))
+def gldm(level: np.ndarray, alpha: int = 0, offsets=PLANE) -> dict[str, np.ndarray]:
+    depends = 1 + sum(((b > 0) & (np.abs(b - level) <= alpha)).astype(int) for b in _neighbours(level, offsets))
     at = level > 0
     n = len(level)
     p = _counted(np.nonzero(at)[0], level[at], depends[at], n)
@@ -303,9 +303,9 @@ def gldm(level: np.ndarray, alpha: int = 0) -> dict[str, np.ndarray]:
     return dict(zip(GLDM, [sde, lde, gln, dn, dnn, glv, dv, de, *rest], strict=True))
 
 
-def ngtdm(level: np.ndarray) -> dict[str, np.ndarray]:
+def ngtdm(level: np.ndarray, offsets=PLANE) -> dict[str, np.ndarray]:
     total, count = np.zeros(level.shape), np.zeros(level.shape)
-    for b in _neighbours(level):
+    for b in _neighbours(level, offsets):
         total += b
         count += b > 0
     at = (level > 0) & (count > 0)
@@ -334,7 +334,7 @@ def ngtdm(level: np.ndarray) -> dict[str, np.ndarray]:
 def texture(gray: np.ndarray, mask: np.ndarray, width: int = 25, offsets=PLANE, mcc: bool = True) -> dict[str, np.ndarray]:
     """All features of a stack, named class_Feature."""
     level = levels(gray, mask, width)
-    made = {"firstorder": firstorder(gray, mask, width), "glcm": glcm(level, offsets, mcc), "glrlm": glrlm(level, offsets), "glszm": glszm(level), "gldm": gldm(level), "ngtdm": ngtdm(level)}
+    made = {"firstorder": firstorder(gray, mask, width), "glcm": glcm(level, offsets, mcc), "glrlm": glrlm(level, offsets), "glszm": glszm(level, offsets), "gldm": gldm(level, offsets=offsets), "ngtdm": ngtdm(level, offsets)}
     return {f"{cls}_{f}": v for cls, values in made.items() for f, v in values.items()}
 
 
@@ -347,51 +347,123 @@ def points_of(ring) -> np.ndarray:
     return out[:-1] if len(out) > 1 and (out[0] == out[-1]).all() else out
 
 
-def _fill(mask: np.ndarray, ring: np.ndarray, value: int) -> None:
-    """Paints a ring, edges included: pixels between crossings of their row, and the pixels that edges run through."""
-    h, w = mask.shape
-    x, y = ring[:, 0], ring[:, 1]
-    x2, y2 = np.roll(x, -1), np.roll(y, -1)
-    top, bottom = max(0, int(np.ceil(y.min()))), min(h - 1, int(np.floor(y.max())))
-    left, right = max(0, int(np.ceil(x.min()))), min(w - 1, int(np.floor(x.max())))
-    if top <= bottom and left <= right:
-        rows, cols = np.arange(top, bottom + 1)[:, None], np.arange(left, right + 1)
-        cross = (y <= rows) != (y2 <= rows)
-        at = np.where(cross, x + (rows - y) * (x2 - x) / np.where(y2 == y, 1.0, y2 - y), np.inf)
-        at.sort(axis=1)
-        for k in range(0, int(cross.sum(1).max(initial=0)), 2):  # crossings in pairs
-            inside = (cols >= at[:, k, None] - 1e-9) & (cols < at[:, k + 1, None] + 1e-9)
-            mask[top : bottom + 1, left : right + 1][inside] = value
-    steps = np.maximum(np.maximum(np.abs(x2 - x), np.abs(y2 - y)), 1).astype(int)
-    edge = np.repeat(np.arange(len(x)), steps + 1)
-    t = (np.arange(len(edge)) - np.repeat(np.cumsum(steps + 1) - steps - 1, steps + 1)) / steps[edge]
-    px = np.floor(x[edge] + t * (x2 - x)[edge] + 0.5).astype(int)
-    py = np.floor(y[edge] + t * (y2 - y)[edge] + 0.5).astype(int)
-    ok = (px >= 0) & (px < w) & (py >= 0) & (py < h)
-    mask[py[ok], px[ok]] = value
+def _rounded(x: np.ndarray, down: bool) -> np.ndarray:
+    """Whole numbers nearest to x: of halves, the one away from 0, or with `down` the one towards it."""
+    whole = np.ceil(np.abs(x) - np.float32(0.5)) if down else np.floor(np.abs(x) + np.float32(0.5))
+    return np.where(x < 0, -whole, whole).astype(np.int64)
+
+
+def ring_spans(rings: list[np.ndarray], heights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Scan conversion of many rings at once: ring, row, first and last column of every span, by ring.
+
+    Vertices are cut to whole pixels towards 0. All edges of all rings are one table; an edge crosses every row from its upper
+    to its lower end, both included, and its lower end counts once more unless the ring ends there, so that rows have crossings
+    in pairs where outlines turn. Crossings are 32-bit floats; a pair is filled from the first, halves up, to the second,
+    halves down. Horizontal edges are filled as they are. heights has the rows of the image of each ring.
+    """
+    none = np.zeros(0, np.int64)
+    sizes = np.array([len(r) for r in rings], np.int64)
+    if not sizes.sum():
+        return none, none, none, none
+    xy = np.trunc(np.clip(np.concatenate([r for r in rings if len(r)]), -(1 << 24), 1 << 24)).astype(np.int64)
+    ring, ends = np.repeat(np.arange(len(rings)), sizes), np.cumsum(sizes)
+    after = np.arange(1, len(xy) + 1)
+    after[ends[sizes > 0] - 1] = (ends - sizes)[sizes > 0]
+    (x0, y0), (x1, y1) = xy.T, xy[after].T
+    low, high, last = np.minimum(y0, y1), np.maximum(y0, y1), np.zeros(len(rings), np.int64)
+    last[sizes > 0] = np.maximum.reduceat(y0, (ends - sizes)[sizes > 0])
+    flat = (y0 == y1) & (y0 >= 0) & (y0 < heights[ring])
+    top = np.maximum(low, 0)
+    rows = np.where(y0 == y1, 0, np.maximum(0, np.minimum(high, heights[ring] - 1) - top + 1))
+    e = np.repeat(np.arange(len(xy)), rows)
+    row = top[e] + np.arange(len(e)) - np.repeat(np.cumsum(rows) - rows, rows)
+    slope = (x1 - x0).astype(np.float32) / np.where(y0 == y1, 1, y1 - y0).astype(np.float32)
+    at = (row - y0[e]).astype(np.float32) * slope[e] + x0[e].astype(np.float32)
+    again = (row == high[e]) & (row < last[ring[e]])
+    e, row, at = (np.concatenate([v, v[again]]) for v in (e, row, at))
+    order = np.lexsort((at, row, ring[e]))
+    own, row, at = ring[e][order], row[order], at[order]
+    new = np.ones(len(own), bool)
+    new[1:] = (own[1:] != own[:-1]) | (row[1:] != row[:-1])
+    number = np.arange(len(own)) - np.maximum.accumulate(np.where(new, np.arange(len(own)), 0))
+    pair = np.flatnonzero((number[:-1] % 2 == 0) & ~new[1:]) if len(own) else none
+    made = [
+        np.concatenate([ring[flat], own[pair]]), np.concatenate([y0[flat], row[pair]]), np.concatenate([np.minimum(x0, x1)[flat], _rounded(at[pair], False)]),
+        np.concatenate([np.maximum(x0, x1)[flat], _rounded(at[pair + 1], True)]),
+    ]
+    by_ring = np.argsort(made[0], kind="stable")
+    return tuple(m[by_ring] for m in made)
+
+
+def painted(rings: list[np.ndarray], values: np.ndarray, image: np.ndarray, shapes: np.ndarray) -> list[np.ndarray]:
+    """Masks of many images at once. rings are painted in order, each with its value into its image; shapes are (rows, columns)."""
+    shapes = np.asarray(shapes, np.int64).reshape(-1, 2)
+    start = np.concatenate([[0], np.cumsum(shapes[:, 0] * shapes[:, 1])])
+    out = np.zeros(int(start[-1]), np.uint8)
+    image = np.asarray(image, np.int64)
+    if len(rings):
+        ring, row, left, right = ring_spans(rings, shapes[image, 0])
+        own = image[ring]
+        left, right = np.maximum(left, 0), np.minimum(right, shapes[own, 1] - 1)
+        size = np.maximum(0, right - left + 1)
+        first = start[own] + row * shapes[own, 1] + left
+        place = np.repeat(first - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+        out[place] = np.repeat(np.asarray(values, np.uint8)[ring], size)  # of a pixel painted twice, the later value stays
+    return [out[a:b].reshape(h, w) for a, b, (h, w) in zip(start[:-1], start[1:], shapes, strict=True)]
+
+
+def _laid(polygons: list, label: int) -> tuple[list[np.ndarray], list[int]]:
+    """Rings of polygons in the order of painting, and their values: exteriors the label, holes 0. Rings need three finite points."""
+    rings, values = [], []
+    for own in polygons:
+        for k, ring in enumerate(own):
+            points = points_of(ring)
+            if len(points) >= 3 and np.isfinite(points).all():
+                rings.append(points)
+                values.append(0 if k else label)
+    return rings, values
+
+
+def rasterised_all(images: list[list], shapes: list[tuple[int, int]], label: int = 255) -> list[np.ndarray]:
+    """One mask for the polygons of each image, as one pass over the edges of all."""
+    laid = [_laid(polygons, label) for polygons in images]
+    owner = np.repeat(np.arange(len(images)), [len(rings) for rings, _ in laid])
+    return painted([r for rings, _ in laid for r in rings], np.array([v for _, values in laid for v in values]), owner, np.array(shapes))
 
 
 def rasterised(polygons: list, h: int, w: int, label: int = 255) -> np.ndarray:
     """Polygons painted one after the other: the exterior with the label, then its holes with 0. Rings need three points."""
-    mask = np.zeros((h, w), np.uint8)
-    for rings in polygons:
-        for k, ring in enumerate(rings):
-            points = points_of(ring)
-            if len(points) >= 3:
-                _fill(mask, points, 0 if k else label)
-    return mask
+    return rasterised_all([polygons], [(h, w)], label)[0]
+
+
+def local_masks(cells: list[list], label: int = 255, margin: int = 1) -> list[tuple[np.ndarray, tuple[int, int, int, int]] | None]:
+    """For each cell (its polygons) the mask in the frame of its bounding box with a margin, and that box (x, y of both corners).
+
+    None for a cell without a polygon.
+    """
+    cells = [[[points_of(ring) for ring in rings] for rings in polygons] for polygons in cells]
+    boxes: list = []
+    for polygons in cells:
+        outer = [rings[0] for rings in polygons if rings and len(rings[0])]
+        points = np.concatenate(outer) if outer else np.zeros((0, 2))
+        ok = len(points) > 0 and np.isfinite(points).all()
+        boxes.append((np.floor(points.min(0)).astype(int) - margin, np.ceil(points.max(0)).astype(int) + margin) if ok else None)
+    there = [k for k, box in enumerate(boxes) if box is not None]
+    moved = [[[ring - boxes[k][0] for ring in rings] for rings in cells[k]] for k in there]
+    masks = rasterised_all(moved, [tuple((boxes[k][1] - boxes[k][0] + 1)[::-1]) for k in there], label) if there else []
+    out: list = [None] * len(cells)
+    for k, mask in zip(there, masks, strict=True):
+        (x0, y0), (x1, y1) = boxes[k]
+        out[k] = mask, (int(x0), int(y0), int(x1), int(y1))
+    return out
 
 
 def local_mask(polygons: list, label: int = 255, margin: int = 1) -> tuple[np.ndarray, tuple[int, int, int, int]]:
-    """Mask of polygons in the frame of their bounding box with a margin, and that box (x, y of both corners)."""
-    polygons = [[points_of(ring) for ring in rings] for rings in polygons]
-    outer = [rings[0] for rings in polygons if rings and len(rings[0])]
-    if not outer:
+    """local_masks() of one cell; one without a polygon is an error."""
+    (made,) = local_masks([polygons], label, margin)
+    if made is None:
         raise ValueError("no polygon to paint")
-    points = np.concatenate(outer)
-    low, high = np.floor(points.min(0)).astype(int) - margin, np.ceil(points.max(0)).astype(int) + margin
-    moved = [[ring - low for ring in rings] for rings in polygons]
-    return rasterised(moved, int(high[1] - low[1] + 1), int(high[0] - low[0] + 1), label), (int(low[0]), int(low[1]), int(high[0]), int(high[1]))
+    return made
 
 
 #: Per arrangement of the four corners of a cell (bits: top left, top right, bottom right, bottom left), the edges that
@@ -481,39 +553,71 @@ def statistics(x: np.ndarray) -> np.ndarray | None:
     ])
 
 
-def cell_shape(geometry: list, h: int, w: int) -> dict[str, float] | None:
-    """Shape of what of a cell lies in an image; None where that is under three pixels or there is no polygon.
+def cell_shapes(cells: list[list], h: int, w: int) -> list[dict[str, float]]:
+    """Shapes of what of each cell lies in an image; cells of which that is under three pixels, or without a polygon, have none.
 
     Ten decimals are kept, so that the order of sums does not make equal cells differ.
     """
-    try:
-        mask, (x0, y0, _, _) = local_mask(geometry)
-    except ValueError:
-        return None
-    made = shape2d(mask[max(0, -y0) : max(0, h - y0), max(0, -x0) : max(0, w - x0)])
-    return None if made is None else {f: round(v, 10) for f, v in made.items()}
+    out = []
+    for found in local_masks(cells):
+        if found is not None:
+            mask, (x0, y0, _, _) = found
+            made = shape2d(mask[max(0, -y0) : max(0, h - y0), max(0, -x0) : max(0, w - x0)])
+            if made is not None:
+                out.append({f: round(v, 10) for f, v in made.items()})
+    return out
+
+
+#: The eight neighbours (row, column) of a pixel, counter-clockwise on the screen from the right one on.
+_AROUND = ((0, 1), (-1, 1), (-1, 0), (-1, -1), (0, -1), (1, -1), (1, 0), (1, 1))
+
+
+def border(part: np.ndarray, y: int, x: int) -> list[tuple[int, int]]:
+    """The pixels (row, column) of the outer border of a part from its first one on, down its left side and around.
+
+    At each pixel the neighbours are searched counter-clockwise from the one after where the walk came from; it ends when the first step
+    would be made again. part has a frame of background.
+    """
+    back = next((d for d in range(4, -4, -1) if part[y + _AROUND[d % 8][0], x + _AROUND[d % 8][1]]), None)
+    if back is None:
+        return [(y, x)]
+    walk, came = [(y, x)], back % 8
+    last = (y + _AROUND[came][0], x + _AROUND[came][1])
+    while True:
+        a, b = walk[-1]
+        d = next(k % 8 for k in range(came + 1, came + 9) if part[a + _AROUND[k % 8][0], b + _AROUND[k % 8][1]])
+        to = (a + _AROUND[d][0], b + _AROUND[d][1])
+        if to == (y, x) and (a, b) == last:
+            return walk
+        walk.append(to)
+        came = (d + 4) % 8
+
+
+def corners(walk: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The pixels of a closed walk where it turns."""
+    at = np.array(walk)
+    turn = (at - np.roll(at, 1, 0) != np.roll(at, -1, 0) - at).any(1)
+    return [p for p, t in zip(walk, turn, strict=True) if t]
 
 
 def outlines(mask: np.ndarray) -> list[list[tuple[float, float]]]:
-    """Closed outer outlines (x, y) along pixel edges of the 8-connected parts of a mask, with positive area."""
+    """Outer outlines (x, y) through the centres of border pixels of the 8-connected parts of a mask, in the order of their first pixels.
+
+    Only vertices where an outline turns are kept. Parts that are no polygon that way are left out: single pixels and lines, and
+    parts with a bridge or a spike of one pixel, whose outline meets itself.
+    """
+    return [ring for _, ring in numbered_outlines(mask)]
+
+
+def numbered_outlines(mask: np.ndarray) -> list[tuple[int, list[tuple[float, float]]]]:
+    """The same with the number of each part, from 1 on in the order of first pixels; parts that are left out keep theirs."""
     label = zones((mask > 0).astype(int)[None])[0]
     out = []
-    for part in np.unique(label[label >= 0]):
-        m = np.pad(label == part, 1)
-        after: dict[tuple[int, int], list[tuple[int, int]]] = {}
-        for y, x in zip(*np.nonzero(m), strict=True):  # edges with the part on the right hand
-            for (dy, dx), (p, q) in (((-1, 0), ((x, y), (x + 1, y))), ((0, 1), ((x + 1, y), (x + 1, y + 1))), ((1, 0), ((x + 1, y + 1), (x, y + 1))), ((0, -1), ((x, y + 1), (x, y)))):
-                if not m[y + dy, x + dx]:
-                    after.setdefault(p, []).append(q)
-        start = min(after, key=lambda p: (p[1], p[0]))
-        ring, at, came = [start], after[start].pop(), None
-        came = (at[0] - start[0], at[1] - start[1])
-        while at != start:
-            ring.append(at)
-            # where two parts touch, turn so that the outline stays outside
-            nexts = after[at]
-            pick = max(nexts, key=lambda q: came[1] * (q[0] - at[0]) - came[0] * (q[1] - at[1])) if len(nexts) > 1 else nexts[0]
-            nexts.remove(pick)
-            came, at = (pick[0] - at[0], pick[1] - at[1]), pick
-        out.append([(float(px - 1), float(py - 1)) for px, py in ring])
+    for number, part in enumerate(np.unique(label[label >= 0]), 1):
+        y, x = divmod(int(part), mask.shape[1])
+        at = np.argwhere(label == part)
+        (top, left), (bottom, right) = at.min(0), at.max(0)
+        walk = border(np.pad(label[top : bottom + 1, left : right + 1] == part, 1), y - top + 1, x - left + 1)
+        if len(walk) > 2 and len(set(walk)) == len(walk):
+            out.append((number, [(float(b + left - 1), float(a + top - 1)) for a, b in corners(walk)]))
     return out

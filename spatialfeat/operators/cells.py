@@ -56,14 +56,19 @@ def numbered(cells: DataFrame, order: list[str], keys=("patch_idx",)) -> DataFra
     return cells.withColumn("cell_id_in_patch", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long"))
 
 
+def class_of(class_id: Column) -> Column:
+    """The name of a class, class_N for one without."""
+    name = F.concat(F.lit("class_"), class_id.cast("string"))
+    for k, v in CLASS_NAMES.items():
+        name = F.when(class_id == k, v).otherwise(name)
+    return name
+
+
 def majority_class(pixels: DataFrame, keys: list[str], class_id: str = "class_id") -> DataFrame:
     """Most frequent positive class, the smallest of equally frequent ones, -1 if there is none; with its name."""
     mode = F.mode(F.when(F.col(class_id) > 0, F.col(class_id)), True)
     found = pixels.groupBy(*keys).agg(F.coalesce(mode, F.lit(-1)).cast("long").alias("class_id"))
-    name = F.concat(F.lit("class_"), F.col("class_id").cast("string"))
-    for k, v in CLASS_NAMES.items():
-        name = F.when(F.col("class_id") == k, v).otherwise(name)
-    return found.withColumn("class_name", name)
+    return found.withColumn("class_name", class_of(F.col("class_id")))
 
 
 def with_summary(cells: DataFrame, summary: DataFrame | None) -> DataFrame:

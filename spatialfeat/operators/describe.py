@@ -55,17 +55,17 @@ def box_stats(df: DataFrame, features: list[str], keys=("sample_id",), reach: fl
     return agg.select(*keys, _named(features).alias("feature_name"), "q1", "med", "q3", F.least("low", "q1").alias("whislo"), F.greatest("high", "q3").alias("whishi"))
 
 
-def representatives(df: DataFrame, features: list[str], order: list[str], carry: list[str], keys=("sample_id",), stats=tuple(TARGETS), digits: int = 6) -> DataFrame:
+def representatives(df: DataFrame, features: list[str], order: list[str], carry: list[str], keys=("sample_id",), stats=tuple(TARGETS)) -> DataFrame:
     """Per key, feature and statistic the row nearest to the statistic; ties by `order`, the file order.
 
-    Differences that agree to `digits` digits are ties. The smallest difference is found first, and only rows that have it are
+    Differences are compared as they are. The smallest difference is found first, and only rows that have it are
     then made long and compared by order, so rows are not multiplied or sorted. Statistics with other names are ignored;
     features without values have no row.
     """
     stats = [s for s in stats if s in TARGETS]
     keys = list(keys)
     places = range(len(stats))
-    near = lambda i: F.round(F.abs(F.col(f"r.{VALUES}") - F.get("r.q_", F.lit(i))) + 1e-9, digits)
+    near = lambda i: F.abs(F.col(f"r.{VALUES}") - F.get("r.q_", F.lit(i)))
     found = with_quantiles(with_values(df, features), keys, [TARGETS[s] for s in stats])
     least = long(found, F.arrays_zip(VALUES, "q_"), keys, "r").groupBy(*keys, PLACE).agg(*(F.min(near(i)).alias(f"m{i}") for i in places))
     found = met(found, gathered(least, keys, F.array(*(f"m{i}" for i in places)), "best_"), keys)

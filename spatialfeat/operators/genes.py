@@ -1,7 +1,13 @@
-"""Gene sets over long expression tables (sample_id, obs_id, gene, value); observations without a row are zeros."""
+"""Gene sets from sums per sample and gene.
+
+The sums come from matrices in rows (operators/expression.py) or from long tables (sample_id, obs_id, gene, value), in which an observation
+without counts is a row whose gene is null. Every observation counts, also where it has no row for a gene: that is a zero.
+"""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,46 +19,63 @@ def check_criteria(criteria: str) -> None:
         raise ValueError(f"criteria must be one of {CRITERIA}, is {criteria!r}")
 
 
-def unique_observations(expr: DataFrame) -> DataFrame:
-    """Observations whose name stands more than once for a gene of a sample get -1, -2 and so on from the second on, in order
-    of their values, so that each is one of its own."""
-    again = F.row_number().over(Window.partitionBy("sample_id", "obs_id", "gene").orderBy("value")) - 1
-    return expr.withColumn("again_", again).withColumn("obs_id", F.when(F.col("again_") > 0, F.concat_ws("-", "obs_id", "again_")).otherwise(F.col("obs_id"))).drop("again_")
+@dataclass
+class Totals:
+    """sums: sample_id, gene, place (null if genes have none), n_detected (values above zero), s1 and s2 (sums of values and squares).
+    sizes: sample_id, n_obs."""
+
+    sums: DataFrame
+    sizes: DataFrame
+
 
+def totals(expr: DataFrame) -> Totals:
+    """Totals of a long table; obs_row tells observations apart where there is one, obs_id where there is none."""
+    own = "obs_row" if "obs_row" in expr.columns else "obs_id"
+    sums = expr.where("gene IS NOT NULL").groupBy("sample_id", "gene").agg(
+        F.lit(None).cast("long").alias("place"), F.count_if(F.col("value") > 0).alias("n_detected"), F.coalesce(F.sum("value"), F.lit(0.0)).alias("s1"), F.coalesce(F.sum(F.col("value") * F.col("value")), F.lit(0.0)).alias("s2"),
+    )
+    return Totals(sums, expr.select("sample_id", own).distinct().groupBy("sample_id").agg(F.count("*").alias("n_obs")))
 
-def named_genes(expr: DataFrame) -> DataFrame:
+
+def named_genes(rows: DataFrame) -> DataFrame:
     """Without blanks and controls."""
-    return expr.where(~F.col("gene").contains("BLANK") & ~F.col("gene").contains("Control"))
+    return rows.where(~F.col("gene").contains("BLANK") & ~F.col("gene").contains("Control"))
 
 
-def detected(expr: DataFrame, share: float = 0.1) -> DataFrame:
+def detected(of: Totals, share: float = 0.1) -> DataFrame:
     """(sample_id, gene, n_detected) of genes above zero in at least ceil(share x observations) of a sample."""
-    n_obs = expr.select("sample_id", "obs_id").distinct().groupBy("sample_id").agg(F.count("*").alias("n_obs"))
-    hits = expr.groupBy("sample_id", "gene").agg(F.count_if(F.col("value") > 0).alias("n_detected"))
-    return hits.join(n_obs, "sample_id").where(F.col("n_detected") >= F.ceil(F.lit(share) * F.col("n_obs"))).select("sample_id", "gene", "n_detected")
+    same = F.col("s.sample_id").eqNullSafe(F.col("n.sample_id"))
+    met = of.sums.alias("s").join(of.sizes.alias("n"), same)
+    return met.where(F.col("n_detected") >= F.ceil(F.lit(share) * F.col("n_obs"))).select("s.sample_id", "gene", "n_detected")
 
 
-def common_genes(expr: DataFrame, share: float = 0.1) -> DataFrame:
-    """(gene) detected in every sample, blanks and controls left out. The number of samples is a scalar subquery."""
-    samples = expr.select("sample_id").distinct().agg(F.count("*").alias("samples"))
-    kept = named_genes(detected(expr, share)).groupBy("gene").agg(F.count("*").alias("n"))
-    return kept.where(F.col("n") == samples.scalar()).select("gene")
+def common_genes(of: Totals, share: float = 0.1) -> DataFrame:
+    """(gene, place) detected in every sample, blanks and controls left out. Genes of a single sample keep their places, those of several
+    are in order of their names (place is null). The number of samples is a scalar subquery."""
+    samples = of.sizes.agg(F.count("*").alias("samples")).scalar()
+    kept = named_genes(detected(of, share)).groupBy("gene").agg(F.count("*").alias("n")).where(F.col("n") == samples).select("gene")
+    places = of.sums.groupBy("gene").agg(F.min("place").alias("place"))
+    return kept.join(places, "gene").select("gene", F.when(samples == 1, F.col("place")).alias("place"))
 
 
-def moments(expr: DataFrame, genes: DataFrame) -> DataFrame:
-    """Per common gene the number of all observations and sums over them; absent values add nothing."""
-    n = expr.select("sample_id", "obs_id").distinct().agg(F.count("*").alias("n_obs"))
-    sums = expr.join(genes, "gene").groupBy("gene").agg(F.sum("value").alias("s1"), F.sum(F.col("value") * F.col("value")).alias("s2"))
+def moments(of: Totals, genes: DataFrame) -> DataFrame:
+    """Per common gene its place, the number of all observations and sums over them; absent values add nothing."""
+    n = of.sizes.agg(F.sum("n_obs").alias("n_obs"))
+    sums = of.sums.groupBy("gene").agg(F.sum("s1").alias("s1"), F.sum("s2").alias("s2"))
     return genes.join(sums, "gene", "left").na.fill(0.0, ["s1", "s2"]).withColumn("n_obs", n.scalar())
 
 
+#: Orders genes like the columns of a matrix.
+COLUMNS = ("place", "gene")
+
+
 def top_by_mean(sums: DataFrame, k: int) -> DataFrame:
-    """(gene, mean) of the k largest means over all observations, from moments; ties in gene order."""
-    return sums.select("gene", (F.col("s1") / F.col("n_obs")).alias("mean")).orderBy(F.desc("mean"), "gene").limit(k)
+    """(gene, mean) of the k largest means over all observations, from moments; ties in the order of columns."""
+    return sums.select("gene", "place", (F.col("s1") / F.col("n_obs")).alias("mean")).orderBy(F.desc("mean"), *COLUMNS).limit(k).select("gene", "mean")
 
 
 def dispersions(sums: DataFrame, bins: int = 20) -> DataFrame:
-    """(gene, norm): dispersion of each gene normalised within genes of similar mean, from moments.
+    """(gene, place, norm): dispersion of each gene normalised within genes of similar mean, from moments.
 
     Log dispersion of counts, centred and scaled in equal-width bins of log mean; a gene alone in its bin is at 1. Windows
     are over one row per gene.
@@ -60,9 +83,9 @@ def dispersions(sums: DataFrame, bins: int = 20) -> DataFrame:
     n, s1, s2 = F.col("n_obs"), F.col("s1"), F.col("s2")
     mean = s1 / n
     var = (s2 - n * mean * mean) / (n - 1)
-    m = sums.select("gene", F.when(mean == 0, 1e-12).otherwise(mean).alias("mu"), var.alias("var"))
+    m = sums.select("gene", "place", F.when(mean == 0, 1e-12).otherwise(mean).alias("mu"), var.alias("var"))
     d = F.col("var") / F.col("mu")
-    m = m.select("gene", F.log(F.when(d > 0, d)).alias("disp"), F.log1p("mu").alias("m"))
+    m = m.select("gene", "place", F.log(F.when(d > 0, d)).alias("disp"), F.log1p("mu").alias("m"))
     every = Window.partitionBy(F.lit(0))
     low, high = F.min("m").over(every), F.max("m").over(every)
     m = m.withColumns({"low": low, "high": high})
@@ -70,18 +93,19 @@ def dispersions(sums: DataFrame, bins: int = 20) -> DataFrame:
     own = Window.partitionBy("bin")
     m = m.withColumn("bin", place.cast("int"))
     mean, std, alone = F.avg("disp").over(own), F.stddev_samp("disp").over(own), F.count("disp").over(own) == 1
-    return m.select("gene", F.when(F.col("disp").isNotNull() & alone, 1.0).otherwise((F.col("disp") - mean) / F.nullif(std, F.lit(0.0))).alias("norm"))
+    return m.select("gene", "place", F.when(F.col("disp").isNotNull() & alone, 1.0).otherwise((F.col("disp") - mean) / F.nullif(std, F.lit(0.0))).alias("norm"))
 
 
-def highly_variable(sums: DataFrame, k: int, digits: int = 6) -> DataFrame:
-    """(gene, norm): genes at or above the k-th largest dispersion, in gene order, cut to k; from moments.
+def highly_variable(sums: DataFrame, k: int) -> DataFrame:
+    """(gene, norm): genes at or above the k-th largest dispersion, in the order of columns, cut to k; from moments.
 
-    Dispersions are compared to `digits` digits, so that the last bit does not decide.
+    Values are compared as they are. The k-th largest is found in the same rows, so that no second sum decides in its last bit.
     """
-    d = dispersions(sums).select("gene", F.round(F.coalesce("norm", F.lit(0.0)) + 1e-9, digits).alias("norm"))
-    ranked = d.orderBy(F.desc("norm"), "gene").limit(k)
-    cut = ranked.agg(F.min("norm").alias("cut"))
-    return d.where(F.col("norm") >= cut.scalar()).select("gene", "norm").orderBy("gene").limit(k)
+    d = dispersions(sums).select("gene", "place", F.coalesce("norm", F.lit(0.0)).alias("norm"))
+    every = Window.partitionBy(F.lit(0))
+    d = d.withColumn("rank_", F.row_number().over(every.orderBy(F.desc("norm"))))
+    d = d.withColumn("cut_", F.min(F.when(F.col("rank_") <= k, F.col("norm"))).over(every))
+    return d.where(F.col("norm") >= F.col("cut_")).orderBy(*COLUMNS).limit(k).select("gene", "norm")
 
 
 def gene_sets(sums: DataFrame, criteria=CRITERIA, ks=(50, 100, 250)) -> dict[tuple[str, int], DataFrame]:

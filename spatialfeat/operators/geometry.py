@@ -13,9 +13,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import kernels
+from ..functions import kernels, wkb
+from ..schema import RINGS
 from .spread import spread
 
+#: Polygons: arrays of rings of points.
+GEOMETRIES = T.ArrayType(RINGS)
+
 
 def rectangle(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
     """A geometry with the corners of a rectangle in order."""
@@ -69,6 +73,49 @@ def crop(box: Column, h: Column, w: Column) -> Column:
     )
 
 
+@F.arrow_udf(GEOMETRIES)
+def from_wkb(column: pa.Array) -> pa.Array:
+    """The polygons of well-known binary, however collections nest; null is null, a geometry without polygons is empty."""
+    return wkb.decoded(column)
+
+
+@F.arrow_udf(GEOMETRIES)
+def from_wkt(column: pa.Array) -> pa.Array:
+    """The polygons of well-known text, however collections nest; null is null, a geometry without polygons is empty."""
+    return wkb.parsed(column)
+
+
+@F.arrow_udf(T.BinaryType())
+def to_wkb(column: pa.Array) -> pa.Array:
+    """Well-known binary of an array of polygons."""
+    return wkb.encoded(column)
+
+
+#: Bits of a place on the curve in each direction.
+CURVE_BITS = 16
+
+
+@F.arrow_udf(T.LongType())
+def curve_place(x: pa.Array, y: pa.Array) -> pa.Array:
+    """Place of whole coordinates below 2**CURVE_BITS on a Hilbert curve, on which near places are near; null is at the beginning."""
+    x, y = (np.asarray(c.fill_null(0)).astype(np.int64) for c in (x, y))
+    place = np.zeros(len(x), np.int64)
+    for bit in reversed(range(CURVE_BITS)):
+        right, low = (x >> bit) & 1, (y >> bit) & 1
+        place = (place << 2) + ((3 * right) ^ low)
+        flip = (low == 0) & (right == 1)
+        x, y = np.where(flip, (1 << CURVE_BITS) - 1 - x, x), np.where(flip, (1 << CURVE_BITS) - 1 - y, y)
+        x, y = np.where(low == 0, y, x), np.where(low == 0, x, y)
+    return pa.array(place)
+
+
+def bounds(polygons: Column) -> Column:
+    """xmin, ymin, xmax and ymax of an array of polygons; null where there is no point."""
+    points = F.flatten(F.flatten(polygons))
+    x, y = F.transform(points, lambda p: p["x"]), F.transform(points, lambda p: p["y"])
+    return F.struct(F.array_min(x).alias("xmin"), F.array_min(y).alias("ymin"), F.array_max(x).alias("xmax"), F.array_max(y).alias("ymax"))
+
+
 def polygons_of(geometry: Column) -> Column:
     """The single geometries of an array of geometries, empty ones dropped."""
     return F.filter(geometry, lambda g: (F.size(g) > 0) & (F.size(F.get(g, F.lit(0))) > 0))
@@ -105,15 +152,29 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int32), *arrays]).astype(np.int32)))
 
 
+#: Pixels of masks that a task paints at once.
+MOST_PIXELS = 1 << 24
+
+
+def _chunks(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Runs of rows of `most` pixels, or of one row that has more."""
+    ends, at = np.concatenate([[0], np.cumsum(sizes)]), 0
+    while at < len(sizes):
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + most, "right")) - 1)
+        yield at, to
+        at = to
+
+
 def _painted(batches: Iterator[pa.RecordBatch], label: int, area: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         *keys, geometries, h, w = batch.columns
+        shapes = np.stack([np.asarray(c.fill_null(0)) for c in (h, w)], 1).astype(np.int64)
+        cells = _grouped(_rings(geometries.flatten()), geometries)
         masks = []
-        cells = _rings(geometries.flatten())
-        counts = np.cumsum([0, *np.asarray(geometries.value_lengths().fill_null(0))])
-        for a, b, rows, cols in zip(counts[:-1], counts[1:], h.to_pylist(), w.to_pylist(), strict=True):
-            masks.append(kernels.rasterised([c for c in cells[a:b] if c], rows or 0, cols or 0, label).reshape(-1))
-        made = pa.array([np.count_nonzero(m) for m in masks], pa.int64()) if area else _lists(masks)
+        for a, b in _chunks(shapes.prod(1), MOST_PIXELS):
+            found = kernels.rasterised_all([[c for c in some if c] for some in cells[a:b]], shapes[a:b], label)
+            masks += [np.count_nonzero(m) for m in found] if area else [m.reshape(-1) for m in found]
+        made = pa.array(masks, pa.int64()) if area else _lists(masks)
         yield pa.RecordBatch.from_arrays([*keys, made], [*batch.schema.names[: len(keys)], "area" if area else "mask"])
 
 
@@ -137,13 +198,8 @@ def _shaped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         *keys, geometry = batch.columns
         rows = []
-        for g in _rings(geometry):
-            made = None
-            if g:
-                try:
-                    made = kernels.shape2d(kernels.local_mask([g])[0])
-                except ValueError:
-                    made = None
+        for found in kernels.local_masks([[g] if g else [] for g in _rings(geometry)]):
+            made = None if found is None else kernels.shape2d(found[0])
             rows.append([None] * len(kernels.SHAPE2D) if made is None else list(made.values()))
         columns = [pa.array(c, pa.float64()) for c in zip(*rows, strict=True)] if rows else [pa.nulls(0, pa.float64())] * len(kernels.SHAPE2D)
         yield pa.RecordBatch.from_arrays([*keys, *columns], [*batch.schema.names[: len(keys)], *kernels.SHAPE2D])
@@ -156,31 +212,69 @@ def shape2d(cells: DataFrame, keys: list[str], geometry: str = "geometry") -> Da
     return spread(source).mapInArrow(_shaped, schema)
 
 
-def _instances(batches: Iterator[pa.RecordBatch], what: str) -> Iterator[pa.RecordBatch]:
+POINTS = pa.struct([("x", pa.float64()), ("y", pa.float64())])
+PARTS = pa.list_(pa.struct([("cell_id_in_patch", pa.int32()), ("class_id", pa.int64()), ("geometry", pa.list_(pa.list_(POINTS)))]))
+
+
+def _masks(mask: pa.Array, h: pa.Array, w: pa.Array) -> Iterator[np.ndarray]:
+    """Each mask as an image of 0 and 1; one without values has no pixel."""
+    for m, rows, cols in zip(mask, h.to_pylist(), w.to_pylist(), strict=True):
+        yield (m.values.to_numpy(zero_copy_only=False).reshape(rows, cols) > 0).astype(int) if m.is_valid and len(m) else np.zeros((0, 0), int)
+
+
+def _numbers(mask: np.ndarray) -> np.ndarray:
+    label = kernels.zones(mask[None])[0].reshape(-1)
+    return np.where(label >= 0, np.searchsorted(np.unique(label[label >= 0]), label) + 1, 0)
+
+
+def _ring(points: list[tuple[float, float]]) -> list[list[dict]]:
+    return [[{"x": x, "y": y} for x, y in points]]
+
+
+def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         *keys, mask, h, w = batch.columns
+        out = [_numbers(m) if m.size else np.zeros(0, int) for m in _masks(mask, h, w)]
+        yield pa.RecordBatch.from_arrays([*keys, _lists(out)], [*batch.schema.names[: len(keys)], "labels"])
+
+
+def _outlined(batches: Iterator[pa.RecordBatch], kinds: bool) -> Iterator[pa.RecordBatch]:
+    """The parts of each mask that have an outline; with kinds, the most frequent positive type of a part's pixels (the smallest of equals), -1 without any."""
+    for batch in batches:
+        *keys, types, mask, h, w = batch.columns
         out = []
-        for m, rows, cols in zip(mask, h.to_pylist(), w.to_pylist(), strict=True):
-            m = (m.values.to_numpy(zero_copy_only=False).reshape(rows, cols) > 0).astype(int) if m.is_valid and len(m) else np.zeros((0, 0), int)
-            if what == "labels":
-                label = kernels.zones(m[None])[0].reshape(-1) if m.size else np.zeros(0, int)
-                out.append(np.where(label >= 0, np.searchsorted(np.unique(label[label >= 0]), label) + 1, 0))
-            else:
-                out.append([[[{"x": x, "y": y} for x, y in ring]] for ring in kernels.outlines(m)] if m.size else [])
-        made = _lists(out) if what == "labels" else pa.array(out, pa.list_(pa.list_(pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())])))))
-        yield pa.RecordBatch.from_arrays([*keys, made], [*batch.schema.names[: len(keys)], what])
+        for m, kind in zip(_masks(mask, h, w), types, strict=True):
+            found = kernels.numbered_outlines(m) if m.size else []
+            votes = None
+            if kinds and found:
+                number, kind = _numbers(m), np.asarray(kind.values.fill_null(0))
+                at = (number > 0) & (kind > 0)
+                pairs, n = np.unique(np.stack([number[at], kind[at]]), axis=1, return_counts=True)
+                best = np.lexsort((pairs[1], -n, pairs[0]))[::-1]
+                votes = dict(zip(pairs[0][best].tolist(), pairs[1][best].tolist(), strict=True))
+            out.append([{"cell_id_in_patch": k, "class_id": votes.get(k, -1) if votes is not None else -1, "geometry": _ring(points)} for k, points in found])
+        yield pa.RecordBatch.from_arrays([*keys, pa.array(out, PARTS)], [*batch.schema.names[: len(keys)], "parts"])
 
 
 def instance_labels(patches: DataFrame, keys: list[str], mask: str = "mask", h: str = "h", w: str = "w") -> DataFrame:
     """keys and labels: 8-connected parts of a mask numbered from 1 by their first pixel, 0 outside."""
     source = patches.select(*keys, mask, F.col(h).cast("int"), F.col(w).cast("int"))
     schema = T.StructType([*source.schema.fields[: len(keys)], T.StructField("labels", T.ArrayType(T.IntegerType()))])
-    return spread(source).mapInArrow(lambda it: _instances(it, "labels"), schema)
+    return spread(source).mapInArrow(_labelled, schema)
+
+
+def instance_parts(patches: DataFrame, keys: list[str], types: str | None = None, mask: str = "mask", h: str = "h", w: str = "w") -> DataFrame:
+    """keys and parts (cell_id_in_patch, class_id, geometry): the parts of a mask that have an outline, in order, as one pass.
+
+    A part keeps its number where others have no outline. class_id is the majority of the part's positive types, -1 without.
+    """
+    kind = F.array().cast("array<int>") if types is None else F.col(types).cast("array<long>")
+    source = patches.select(*keys, kind.alias("types_"), mask, F.col(h).cast("int").alias("h_"), F.col(w).cast("int").alias("w_"))
+    part = "parts array<struct<cell_id_in_patch: int, class_id: bigint, geometry: array<array<struct<x: double, y: double>>>>>"
+    schema = T.StructType([*source.schema.fields[: len(keys)], *T.StructType.fromDDL(part).fields])
+    return spread(source).mapInArrow(lambda it: _outlined(it, types is not None), schema)
 
 
 def mask_polygons(patches: DataFrame, keys: list[str], mask: str = "mask", h: str = "h", w: str = "w") -> DataFrame:
-    """keys and polygons: one geometry, its outer outline, per 8-connected part of a mask."""
-    source = patches.select(*keys, mask, F.col(h).cast("int"), F.col(w).cast("int"))
-    point = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])
-    schema = T.StructType([*source.schema.fields[: len(keys)], T.StructField("polygons", T.ArrayType(T.ArrayType(T.ArrayType(point))))])
-    return spread(source).mapInArrow(lambda it: _instances(it, "polygons"), schema)
+    """keys and polygons: one geometry, its outer outline through pixel centres, per 8-connected part of a mask that has one."""
+    return instance_parts(patches, keys, None, mask, h, w).select(*keys, F.transform("parts", lambda p: p["geometry"]).alias("polygons"))

@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 
 from ..functions.names import decoded
 from ..schema import keys_of
-from .cells import majority_class
-from .geometry import instance_labels, mask_polygons
+from .cells import class_of
+from .geometry import instance_parts
 
 
 def cell_rows(found: DataFrame, order: list[str] | None = None) -> DataFrame:
@@ -46,13 +46,9 @@ def sample_summary(patches: DataFrame, cells: DataFrame) -> DataFrame:
 
 
 def cells_from_masks(patches: DataFrame, keys: list[str], mask: str = "mask", types: str = "types", h: str = "h", w: str = "w") -> DataFrame:
-    """Cells of an instance mask: 8-connected parts, the majority of their positive pixel types, and their outlines."""
-    labels = instance_labels(patches, keys, mask, h, w)
-    pixels = patches.select(*keys, types).join(labels, keys).select(*keys, F.explode(F.arrays_zip("labels", types)).alias("p"))
-    pixels = pixels.select(*keys, F.col("p.labels").alias("cell_id_in_patch"), F.col(f"p.{types}").alias("class_id")).where("cell_id_in_patch > 0")
-    named = majority_class(pixels, [*keys, "cell_id_in_patch"])
-    outlines = mask_polygons(patches, keys, mask, h, w).select(*keys, F.posexplode("polygons").alias("at", "geometry"))
-    return named.join(outlines.withColumn("cell_id_in_patch", F.col("at") + 1).drop("at"), [*keys, "cell_id_in_patch"])
+    """Cells of an instance mask: 8-connected parts that have an outline, the majority of their positive pixel types, and their outlines."""
+    parts = instance_parts(patches, keys, types, mask, h, w).select(*keys, F.explode("parts").alias("p"))
+    return parts.select(*keys, "p.cell_id_in_patch", "p.class_id", class_of(F.col("p.class_id")).alias("class_name"), "p.geometry")
 
 
 def overlay_rows(patches: DataFrame, cells: DataFrame) -> DataFrame:

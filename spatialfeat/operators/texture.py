@@ -28,7 +28,7 @@ def _stack_features(gray: np.ndarray, mask: np.ndarray, classes, width: int, off
     level = kernels.levels(gray, mask, width)
     make = {
         "firstorder": lambda: kernels.firstorder(gray, mask, width), "glcm": lambda: kernels.glcm(level, offsets), "glrlm": lambda: kernels.glrlm(level, offsets),
-        "glszm": lambda: kernels.glszm(level), "gldm": lambda: kernels.gldm(level), "ngtdm": lambda: kernels.ngtdm(level),
+        "glszm": lambda: kernels.glszm(level, offsets), "gldm": lambda: kernels.gldm(level, offsets=offsets), "ngtdm": lambda: kernels.ngtdm(level, offsets),
     }
     return {f"{c}_{f}": v for c in classes for f, v in make[c]().items()}
 
@@ -174,7 +174,7 @@ def _featured_patches(batches: Iterator[pa.RecordBatch], names: list[str], filte
         for k in masks if with_cells else ():
 
             def measure(own: list[int]) -> dict[int, dict]:
-                found = [list(s.values()) for g in cells[own[0]] if (s := kernels.cell_shape(g, *images[own[0]].shape)) is not None]
+                found = [list(s.values()) for s in kernels.cell_shapes(cells[own[0]], *images[own[0]].shape)]
                 stats = [kernels.statistics(np.array(x)) for x in zip(*found, strict=True)]
                 return {own[0]: dict(zip(shapes, np.concatenate(stats), strict=True)) if stats else {}}
 

@@ -1,5 +1,5 @@
 """Drivers over all tumour types: discovery, skip of what is done, and outputs. The samples of a tumour type are one plan; only
-where that fails are they run one by one, so that a sample that cannot be read does not keep the others from being written."""
+where that fails are they run in halves, so that a sample that cannot be read does not keep the others from being written."""
 
 from __future__ import annotations
 
@@ -28,18 +28,24 @@ def _wanted(spark: SparkSession, config: Config) -> DataFrame | None:
 
 
 def _each(wanted: list[str], done: list[str], run: Callable[[list[str]], None]) -> dict[str, str]:
-    """Runs the samples that are not done, all at once or else one by one; tells of each what came of it."""
-    out = {s: SKIPPED if s in set(done) else WRITTEN for s in wanted}
-    todo = [s for s in wanted if out[s] == WRITTEN]
-    if not todo:
-        return out
-    try:
-        run(todo)
-    except FAILURES as e:
-        if len(todo) == 1:
-            return out | {todo[0]: f"failed: {e}"}
-        for s in todo:
-            out |= _each([s], [], run)
+    """Runs the samples that are not done, all at once; where that fails, each half of them. Tells of each sample what came of it.
+
+    A bad one of n samples takes two runs for each time that n can be halved, and only it is not written.
+    """
+    skip = set(done)
+    out = {s: SKIPPED if s in skip else WRITTEN for s in wanted}
+    groups = [[s for s in wanted if s not in skip]]
+    while groups:
+        todo = groups.pop()
+        if not todo:
+            continue
+        try:
+            run(todo)
+        except FAILURES as e:
+            if len(todo) == 1:
+                out[todo[0]] = f"failed: {e}"
+            else:
+                groups += [todo[len(todo) // 2 :], todo[: len(todo) // 2]]
     return out
 
 
@@ -122,8 +128,8 @@ def gene_sets_all(spark: SparkSession, config: Config) -> list[dict]:
     for tree in config.oncotrees:
         at = paths.stage(config.root, tree, "genes")
         try:
-            expr = readers.expression(spark, paths.stage(config.root, tree, "st"), _wanted(spark, config))
-            genes.moments(expr, genes.common_genes(expr, config.gene_share)).write.mode("overwrite").parquet(f"{at}/moments")
+            of = readers.expression_totals(spark, paths.stage(config.root, tree, "st"), _wanted(spark, config))
+            genes.moments(of, genes.common_genes(of, config.gene_share)).write.mode("overwrite").parquet(f"{at}/moments")
             sets = genes.gene_sets(spark.read.parquet(f"{at}/moments"), config.genes_criteria, config.genes_k)
         except FAILURES as e:
             print(f"{tree}: {e}")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import kernels, pixels
-from ..operators import geometry, segmentation, texture
+from ..operators import geometry, pictures, segmentation, texture
 from ..schema import SKIPPED_SMALL_MASK, SMALLEST_MASK, Config
 from ..sources import readers, sinks
 from . import pipeline
@@ -57,6 +57,18 @@ def patch_status(spark: SparkSession, d: str) -> DataFrame:
     return s.images(spark, d, 600).select("vec_id", F.when(area < SMALLEST_MASK, SKIPPED_SMALL_MASK).otherwise("ok").alias("status"))
 
 
+@query(f"""WITH {s.images_sql(600)} SELECT vec_id, kind, 8::BIGINT AS width, 8::BIGINT AS height, CASE WHEN kind LIKE '%color%' THEN 2 ELSE 0 END::BIGINT AS colour_type, true AS intact
+FROM img, (VALUES ('color'), ('gray'), ('masked_gray_threshold'), ('masked_color_threshold')) v(kind)""")
+def patch_pictures(spark: SparkSession, d: str) -> DataFrame:
+    """PNGs of patches: what their heads say, and whether head and end have their check sums."""
+    made = pictures.pictures(s.colour_images(spark, d, 600), ["vec_id"])
+    part = lambda at, n: F.substring("png", at, n)
+    number = lambda at, n: F.conv(F.hex(part(at, n)), 16, 10).cast("long")
+    end = F.unhex(F.lit("0000000049454E44AE426082"))
+    intact = (F.crc32(part(13, 17)) == number(30, 4)) & (F.substring(F.col("png"), -12, 12) == end)
+    return made.select("vec_id", "kind", number(17, 4).alias("width"), number(21, 4).alias("height"), number(26, 1).alias("colour_type"), intact.alias("intact"))
+
+
 _KINDS = ("square", "squareroot", "logarithm", "exponential")
 
 
@@ -183,11 +195,27 @@ lab AS (SELECT vec_id, p, min(q) AS z FROM reach GROUP BY ALL), zn AS (SELECT l.
 cnt AS (SELECT vec_id, 0 AS dir, b::DOUBLE AS i, len::DOUBLE AS j, count(*)::DOUBLE AS c FROM zn GROUP BY ALL)"""
 
 
+#: How two pixels a and b are neighbours, in a plane and along one axis.
+_PLANE_NEAR, _AXIS_NEAR = "abs(a.y - b.y) <= 1 AND abs(a.x - b.x) <= 1", "a.y = b.y AND abs(a.x - b.x) <= 1"
+
+
+def _axis_features(spark: SparkSession, d: str, cls: str) -> DataFrame:
+    """Features of a class along one axis, through the driver's settings."""
+    made = pipeline.threshold_features(s.images(spark, d).withColumnRenamed("vec_id", "patch_idx"), Config(directions="axis"), smallest=1)
+    names = [c.removeprefix("patch_original_") for c in made.columns if c.startswith(f"patch_original_{cls}_") and not c.endswith("_MCC")]
+    return rounded(made.where("patch_mask_area > 0").select(F.col("patch_idx").alias("vec_id"), *((F.col(f"patch_original_{f}") / _SCALE.get(f, 1.0)).alias(f) for f in names)))
+
+
 @query(_matrix_sql("glszm", kernels.GLSZM, _ZONES))
 def glszm_features(spark: SparkSession, d: str) -> DataFrame:
     return _features(spark, d, "glszm")
 
 
+@query(_matrix_sql("glszm", kernels.GLSZM, _ZONES.replace(_PLANE_NEAR, _AXIS_NEAR)))
+def glszm_features_axis(spark: SparkSession, d: str) -> DataFrame:
+    return _axis_features(spark, d, "glszm")
+
+
 _DEPENDS = f"""WITH {s.images_sql()}, dep AS (SELECT a.vec_id, a.y, a.x, a.b, count(*) AS len FROM pix a JOIN pix b ON a.vec_id = b.vec_id AND a.b = b.b AND abs(a.y - b.y) <= 1 AND abs(a.x - b.x) <= 1 GROUP BY ALL),
 cnt AS (SELECT vec_id, 0 AS dir, b::DOUBLE AS i, len::DOUBLE AS j, count(*)::DOUBLE AS c FROM dep GROUP BY ALL)"""
 
@@ -197,6 +225,11 @@ def gldm_features(spark: SparkSession, d: str) -> DataFrame:
     return _features(spark, d, "gldm")
 
 
+@query(_matrix_sql("gldm", kernels.GLDM, _DEPENDS.replace(_PLANE_NEAR, _AXIS_NEAR), skip=(3, 6)))
+def gldm_features_axis(spark: SparkSession, d: str) -> DataFrame:
+    return _axis_features(spark, d, "gldm")
+
+
 _TONE = {
     "Coarseness": "CASE WHEN any_value(ps) = 0 THEN 1e6 ELSE 1 / any_value(ps) END",
     "Contrast": "CASE WHEN any_value(ng) = 1 THEN 0 ELSE sum(a.p * b.p * (a.i - b.i) ** 2) * any_value(ss) / (any_value(ng) * (any_value(ng) - 1) * any_value(nv)) END",
@@ -205,14 +238,36 @@ _TONE = {
 }
 
 
-@query(f"""WITH {s.images_sql()}, nb AS (SELECT a.vec_id, a.y, a.x, a.b, avg(b.b) AS m FROM pix a JOIN pix b ON a.vec_id = b.vec_id AND abs(a.y - b.y) <= 1 AND abs(a.x - b.x) <= 1 AND NOT (a.y = b.y AND a.x = b.x) GROUP BY ALL),
+_TONE_SQL = f"""WITH {s.images_sql()}, nb AS (SELECT a.vec_id, a.y, a.x, a.b, avg(b.b) AS m FROM pix a JOIN pix b ON a.vec_id = b.vec_id AND abs(a.y - b.y) <= 1 AND abs(a.x - b.x) <= 1 AND NOT (a.y = b.y AND a.x = b.x) GROUP BY ALL),
 l AS (SELECT vec_id, b::DOUBLE AS i, sum(abs(b - m)) AS s, count(*)::DOUBLE / sum(count(*)) OVER (PARTITION BY vec_id) AS p, count(*) AS n FROM nb GROUP BY vec_id, b),
 t AS (SELECT vec_id, sum(p * s) AS ps, sum(s) AS ss, sum(n) AS nv, count(*) AS ng FROM l GROUP BY vec_id)
-SELECT a.vec_id, {_named('ngtdm', _TONE)} FROM l a JOIN l b ON a.vec_id = b.vec_id JOIN t ON t.vec_id = a.vec_id GROUP BY a.vec_id""")
+SELECT a.vec_id, {_named('ngtdm', _TONE)} FROM l a JOIN l b ON a.vec_id = b.vec_id JOIN t ON t.vec_id = a.vec_id GROUP BY a.vec_id"""
+
+
+@query(_TONE_SQL)
 def ngtdm_features(spark: SparkSession, d: str) -> DataFrame:
     return _features(spark, d, "ngtdm")
 
 
+@query(_TONE_SQL.replace(_PLANE_NEAR, _AXIS_NEAR))
+def ngtdm_features_axis(spark: SparkSession, d: str) -> DataFrame:
+    return _axis_features(spark, d, "ngtdm")
+
+
+_PARTS = f"""{s.images_sql(600)}, near AS (SELECT a.vec_id, a.y * 8 + a.x AS p, b.y * 8 + b.x AS q FROM roi a JOIN roi b ON a.vec_id = b.vec_id AND {_PLANE_NEAR}),
+reach AS (SELECT vec_id, y * 8 + x AS p, y * 8 + x AS q FROM roi UNION SELECT r.vec_id, r.p, n.q FROM reach r JOIN near n ON r.vec_id = n.vec_id AND r.q = n.p),
+lab AS (SELECT vec_id, p, min(q) AS z FROM reach GROUP BY ALL)"""
+#: CTE ring (vec_id, z, n, ps): the walk around the outer border of every part, of those it visits no pixel of twice. Directions are
+#: counter-clockwise on the screen from the right; a walk looks around from after where it came from, and ends at its first step.
+_WALKS = f"""{_PARTS}, dirs(d, dy, dx) AS (VALUES (0, 0, 1), (1, -1, 1), (2, -1, 0), (3, -1, -1), (4, 0, -1), (5, 1, -1), (6, 1, 0), (7, 1, 1)),
+adj AS (SELECT a.vec_id, a.z, a.p, d, b.p AS q FROM lab a, dirs, lab b WHERE b.vec_id = a.vec_id AND b.z = a.z AND b.p // 8 = a.p // 8 + dy AND b.p % 8 = a.p % 8 + dx),
+begun AS (SELECT vec_id, z, d AS came, q AS last FROM adj WHERE p = z QUALIFY row_number() OVER (PARTITION BY vec_id, z ORDER BY (12 - d) % 8) = 1),
+nxt AS (SELECT vec_id, z, p, c AS came, d, q FROM adj, range(0, 8) AS t(c) QUALIFY row_number() OVER (PARTITION BY vec_id, z, p, c ORDER BY (d - c + 15) % 8) = 1),
+walk AS (SELECT vec_id, z, 0 AS i, z AS p, came, last FROM begun UNION ALL
+ SELECT w.vec_id, w.z, w.i + 1, n.q, (n.d + 4) % 8, w.last FROM walk w JOIN nxt n ON n.vec_id = w.vec_id AND n.z = w.z AND n.p = w.p AND n.came = w.came WHERE NOT (n.q = w.z AND w.p = w.last)),
+ring AS (SELECT vec_id, z, count(*) AS n, list(p ORDER BY i) AS ps FROM walk GROUP BY vec_id, z HAVING count(*) > 2 AND count(DISTINCT p) = count(*))"""
+
+
 @query(f"""WITH RECURSIVE {s.images_sql(600)}, near AS (SELECT a.vec_id, a.y * 8 + a.x AS p, b.y * 8 + b.x AS q FROM roi a JOIN roi b ON a.vec_id = b.vec_id AND abs(a.y - b.y) <= 1 AND abs(a.x - b.x) <= 1),
 reach AS (SELECT vec_id, y * 8 + x AS p, y * 8 + x AS q FROM roi UNION SELECT r.vec_id, r.p, n.q FROM reach r JOIN near n ON r.vec_id = n.vec_id AND r.q = n.p),
 lab AS (SELECT vec_id, p, min(q) AS z FROM reach GROUP BY ALL) SELECT vec_id, count(DISTINCT z)::BIGINT AS n_parts FROM img LEFT JOIN lab USING (vec_id) GROUP BY vec_id""")
@@ -221,30 +276,25 @@ def instance_labels(spark: SparkSession, d: str) -> DataFrame:
     return geometry.instance_labels(img, ["vec_id"]).select("vec_id", F.coalesce(F.array_max("labels"), F.lit(0)).cast("long").alias("n_parts"))
 
 
-@query(f"""WITH RECURSIVE {s.images_sql(600)}, near AS (SELECT a.vec_id, a.y * 8 + a.x AS p, b.y * 8 + b.x AS q FROM roi a JOIN roi b ON a.vec_id = b.vec_id AND abs(a.y - b.y) <= 1 AND abs(a.x - b.x) <= 1),
-reach AS (SELECT vec_id, y * 8 + x AS p, y * 8 + x AS q FROM roi UNION SELECT r.vec_id, r.p, n.q FROM reach r JOIN near n ON r.vec_id = n.vec_id AND r.q = n.p),
-lab AS (SELECT vec_id, p, min(q) AS z FROM reach GROUP BY ALL), num AS (SELECT vec_id, z, row_number() OVER (PARTITION BY vec_id ORDER BY z) AS id FROM (SELECT DISTINCT vec_id, z FROM lab)),
-votes AS (SELECT l.vec_id, id, g % 7 AS t, count(*) FILTER (g % 7 > 0) AS n FROM lab l JOIN num USING (vec_id, z) JOIN roi r ON r.vec_id = l.vec_id AND r.y * 8 + r.x = p GROUP BY ALL),
-best AS (SELECT vec_id, id, CASE WHEN n > 0 THEN t ELSE -1 END AS class_id FROM votes QUALIFY row_number() OVER (PARTITION BY vec_id, id ORDER BY n DESC, t) = 1)
-SELECT vec_id, id::INT AS cell_id_in_patch, class_id::BIGINT AS class_id, CASE class_id WHEN 1 THEN 'neoplastic' WHEN 2 THEN 'inflammatory' WHEN 3 THEN 'connective' WHEN 4 THEN 'dead' WHEN 5 THEN 'epithelial' ELSE 'class_' || class_id END AS class_name FROM best""")
+@query(f"""WITH RECURSIVE {_WALKS}, num AS (SELECT vec_id, z, row_number() OVER (PARTITION BY vec_id ORDER BY z) AS id FROM (SELECT DISTINCT vec_id, z FROM lab)),
+votes AS (SELECT l.vec_id, l.z, id, g % 7 AS t, count(*) FILTER (g % 7 > 0) AS n FROM lab l JOIN num USING (vec_id, z) JOIN roi r ON r.vec_id = l.vec_id AND r.y * 8 + r.x = p GROUP BY ALL),
+best AS (SELECT vec_id, z, id, CASE WHEN n > 0 THEN t ELSE -1 END AS class_id FROM votes QUALIFY row_number() OVER (PARTITION BY vec_id, id ORDER BY n DESC, t) = 1)
+SELECT vec_id, id::INT AS cell_id_in_patch, class_id::BIGINT AS class_id, CASE class_id WHEN 1 THEN 'neoplastic' WHEN 2 THEN 'inflammatory' WHEN 3 THEN 'connective' WHEN 4 THEN 'dead' WHEN 5 THEN 'epithelial' ELSE 'class_' || class_id END AS class_name
+FROM best SEMI JOIN ring ON ring.vec_id = best.vec_id AND ring.z = best.z""")
 def instance_classes(spark: SparkSession, d: str) -> DataFrame:
     img = s.images(spark, d, 600).withColumns({"mask": pixels.threshold_mask(F.col("px")), "types": F.transform("px", lambda g: g % 7)})
     return segmentation.cells_from_masks(img, ["vec_id"]).select("vec_id", "cell_id_in_patch", "class_id", "class_name")
 
 
-@query(f"""WITH RECURSIVE {s.images_sql(600)}, near AS (SELECT a.vec_id, a.y * 8 + a.x AS p, b.y * 8 + b.x AS q FROM roi a JOIN roi b ON a.vec_id = b.vec_id AND abs(a.y - b.y) <= 1 AND abs(a.x - b.x) <= 1),
-reach AS (SELECT vec_id, y * 8 + x AS p, y * 8 + x AS q FROM roi UNION SELECT r.vec_id, r.p, n.q FROM reach r JOIN near n ON r.vec_id = n.vec_id AND r.q = n.p),
-lab AS (SELECT vec_id, p, min(q) AS z FROM reach GROUP BY ALL),
-parts AS (SELECT vec_id, z, min(p // 8) AS y0, max(p // 8) AS y1, min(p % 8) AS x0, max(p % 8) AS x1, count(*) AS n FROM lab GROUP BY vec_id, z),
-bg AS (SELECT l.vec_id, l.z, k // 10 AS y, k % 10 AS x FROM parts l, range(0, 100) AS t(k) WHERE NOT EXISTS (SELECT 1 FROM lab b WHERE b.vec_id = l.vec_id AND b.z = l.z AND b.p // 8 = k // 10 - 1 AND b.p % 8 = k % 10 - 1 AND k // 10 BETWEEN 1 AND 8 AND k % 10 BETWEEN 1 AND 8)),
-flood AS (SELECT vec_id, z, y, x FROM bg WHERE y = 0 AND x = 0 UNION SELECT b.vec_id, b.z, b.y, b.x FROM flood f JOIN bg b ON f.vec_id = b.vec_id AND f.z = b.z AND abs(f.y - b.y) + abs(f.x - b.x) = 1),
-outer_ AS (SELECT vec_id, z, 100 - count(*) AS filled FROM flood GROUP BY ALL)
-SELECT vec_id, count(z)::BIGINT AS n_polygons, coalesce(sum(filled), 0)::DOUBLE AS outline_area FROM img LEFT JOIN outer_ USING (vec_id) GROUP BY vec_id""")
+@query(f"""WITH RECURSIVE {_WALKS}, e AS (SELECT vec_id, z, n, ps[k::INT] AS p, ps[(k % n + 1)::INT] AS q, ps[((k + n - 2) % n + 1)::INT] AS o FROM ring, range(1, n + 1) AS t(k)),
+g AS (SELECT vec_id, z, abs(sum((p % 8) * (q // 8) - (q % 8) * (p // 8))) / 2 AS area, count(*) FILTER (q // 8 - p // 8 <> p // 8 - o // 8 OR q % 8 - p % 8 <> p % 8 - o % 8) AS corners FROM e GROUP BY vec_id, z)
+SELECT vec_id, count(z)::BIGINT AS n_polygons, coalesce(sum(area), 0)::DOUBLE AS outline_area, coalesce(sum(corners), 0)::BIGINT AS n_vertices FROM img LEFT JOIN g USING (vec_id) GROUP BY vec_id""")
 def mask_polygons(spark: SparkSession, d: str) -> DataFrame:
     img = s.images(spark, d, 600).withColumn("mask", pixels.threshold_mask(F.col("px")))
     out = geometry.mask_polygons(img, ["vec_id"])
     total = F.aggregate(F.transform("polygons", geometry.area), F.lit(0.0), lambda a, b: a + b)
-    return out.select("vec_id", F.size("polygons").cast("long").alias("n_polygons"), total.alias("outline_area"))
+    vertices = F.aggregate("polygons", F.lit(0).cast("long"), lambda a, g: a + F.size(F.get(g, F.lit(0))))
+    return out.select("vec_id", F.size("polygons").cast("long").alias("n_polygons"), total.alias("outline_area"), vertices.alias("n_vertices"))
 
 
 _BOX = "l_linenumber - 3 AS x0, floor(l_quantity / 10)::BIGINT - 2 AS y0, l_linenumber - 3 + l_quantity::BIGINT AS x1, floor(l_quantity / 10)::BIGINT - 2 + floor(l_discount * 100)::BIGINT + 1 AS y1"
@@ -257,11 +307,11 @@ def rect_raster_area(spark: SparkSession, d: str) -> DataFrame:
     return geometry.raster_area(boxes, list(KEYS))
 
 
-@query(f"""WITH b AS (SELECT {', '.join(KEYS)}, {_BOX} FROM lineitem WHERE l_linenumber = 1), p AS (SELECT * FROM b, range(0, 256) AS t(k) WHERE k % 32 BETWEEN x0 AND x1 AND k // 32 BETWEEN y0 AND y1)
+@query(f"""WITH b AS (SELECT {', '.join(KEYS)}, {_BOX} FROM lineitem), p AS (SELECT * FROM b, range(0, 256) AS t(k) WHERE k % 32 BETWEEN x0 AND x1 AND k // 32 BETWEEN y0 AND y1)
 SELECT {', '.join(f'b.{k}' for k in KEYS)}, coalesce(string_agg(k::VARCHAR, ',' ORDER BY k), '') AS inside FROM b LEFT JOIN p USING ({', '.join(KEYS)}) GROUP BY ALL""")
 def rect_raster_mask(spark: SparkSession, d: str) -> DataFrame:
     """Which pixels of a mask are inside."""
-    boxes = _boxes(spark, d).where("l_linenumber = 1").select(*KEYS, F.array("geometry").alias("geometries"), F.lit(8).alias("h"), F.lit(32).alias("w"))
+    boxes = _boxes(spark, d).select(*KEYS, F.array("geometry").alias("geometries"), F.lit(8).alias("h"), F.lit(32).alias("w"))
     at = F.filter(F.sequence(F.lit(0), F.lit(255)), lambda k: F.get("mask", k) > 0)
     return geometry.rasterise(boxes, list(KEYS)).select(*KEYS, F.array_join(at.cast("array<string>"), ",").alias("inside"))
 
@@ -348,6 +398,54 @@ def _cellseg(spark: SparkSession, d: str, measurements=()) -> DataFrame:
     return pipeline.extract(patches, cells, Config(mask_source="cellseg"), list(measurements), [c for c in s.ORDER if c != "l_quantity"])
 
 
+@query(f"""WITH b AS (SELECT {', '.join(KEYS)}, {_BOX} FROM lineitem), n AS (SELECT *, CASE l_linenumber % 3 WHEN 0 THEN 2 WHEN 1 THEN 1 ELSE 0 END AS n FROM b)
+SELECT {', '.join(KEYS)}, n::INT AS n_polygons, CASE n WHEN 1 THEN 1 + 4 + 4 + 4 + 16 * 5 WHEN 2 THEN 9 + 2 * (9 + 4 + 16 * 5) ELSE 9 END AS n_bytes, {R('n * (x1 - x0) * (y1 - y0)')} AS area,
+ CASE WHEN n > 0 THEN x0::DOUBLE END AS xmin, CASE WHEN n > 0 THEN y0::DOUBLE END AS ymin, CASE n WHEN 1 THEN x1 WHEN 2 THEN x1 + 100 END::DOUBLE AS xmax, CASE n WHEN 1 THEN y1 WHEN 2 THEN y1 + 50 END::DOUBLE AS ymax FROM n""")
+def wkb_cells(spark: SparkSession, d: str) -> DataFrame:
+    """Cells of no, one and two polygons written as well-known binary and read back."""
+    g = F.col("geometry")
+    moved = F.transform(g, lambda ring: F.transform(ring, lambda p: F.struct((p["x"] + 100).alias("x"), (p["y"] + 50).alias("y"))))
+    kind = F.col("l_linenumber") % 3
+    cells = _boxes(spark, d).select(*KEYS, F.when(kind == 0, F.array(g, moved)).when(kind == 1, F.array(g)).otherwise(F.array().cast(geometry.GEOMETRIES)).alias("polygons"))
+    binary = cells.select(*KEYS, geometry.to_wkb("polygons").alias("wkb"))
+    back = binary.select(*KEYS, F.octet_length("wkb").alias("n_bytes"), geometry.from_wkb("wkb").alias("polygons"))
+    area = F.aggregate(F.transform("polygons", geometry.area), F.lit(0.0), lambda a, b: a + b)
+    made = back.select(*KEYS, F.size("polygons").alias("n_polygons"), "n_bytes", area.alias("area"), geometry.bounds(F.col("polygons")).alias("box"))
+    return rounded(made.select(*KEYS, "n_polygons", "n_bytes", "area", "box.*"))
+
+
+#: Corners of a concave outline with slanted edges between pixels, and of the triangle that is cut out of it.
+_CORNERS = (("ax", "ay"), ("ax + w", "ay + h / 3"), ("ax + w / 2", "ay + h / 2"), ("ax + w * 0.8", "ay + h"), ("ax - 2.5", "ay + h * 0.7"))
+_HOLE = (("ax + w / 8", "ay + h / 8"), ("ax + w / 3", "ay + h / 3"), ("ax + w / 9", "ay + h / 2"))
+_FRAME = {"ax": "l_linenumber * 1.75 - 3.4", "ay": "l_quantity / 9 - 2.3", "w": "l_quantity / 2.25 + 3", "h": "l_discount * 64 + 6.5"}
+
+
+def _slanted_sql() -> str:
+    """Spans by the rule of the scan conversion, row by row: crossings of edges in 32 bits, ends of edges twice but in the last row, in pairs."""
+    corner = " UNION ALL ".join(f"SELECT id, {r} AS ring, {k} AS k, trunc({x})::BIGINT AS x, trunc({y})::BIGINT AS y FROM f" for r, corners in enumerate((_CORNERS, _HOLE)) for k, (x, y) in enumerate(corners))
+    up, down = "CASE WHEN xx < 0 THEN -floor(abs(xx) + 0.5::FLOAT) ELSE floor(xx + 0.5::FLOAT) END", "CASE WHEN xb < 0 THEN -ceil(abs(xb) - 0.5::FLOAT) ELSE ceil(xb - 0.5::FLOAT) END"
+    return f"""WITH l AS (SELECT row_number() OVER () AS id, {', '.join(f'{e} AS {c}' for c, e in _FRAME.items())}, {', '.join(KEYS)} FROM lineitem), f AS (SELECT id, {', '.join(f'{c}::DOUBLE AS {c}' for c in _FRAME)} FROM l),
+v AS ({corner}), e AS (SELECT id, ring, x AS x0, y AS y0, coalesce(lead(x) OVER r, first_value(x) OVER r) AS x1, coalesce(lead(y) OVER r, first_value(y) OVER r) AS y1, max(y) OVER (PARTITION BY id, ring) AS last FROM v WINDOW r AS (PARTITION BY id, ring ORDER BY k)),
+c AS (SELECT id, ring, y, least(y0, y1) AS lo, greatest(y0, y1) AS hi, last, ((y - y0)::FLOAT * ((x1 - x0)::FLOAT / (y1 - y0)::FLOAT) + x0::FLOAT)::FLOAT AS xx FROM e, range(0, 16) AS t(y) WHERE y0 <> y1 AND y BETWEEN least(y0, y1) AND greatest(y0, y1)),
+d AS (SELECT id, ring, y, xx FROM c UNION ALL SELECT id, ring, y, xx FROM c WHERE y = hi AND y < last),
+o AS (SELECT *, lead(xx) OVER w AS xb, row_number() OVER w AS n FROM d WINDOW w AS (PARTITION BY id, ring, y ORDER BY xx)),
+s AS (SELECT id, ring, y, ({up})::BIGINT AS a, ({down})::BIGINT AS b FROM o WHERE n % 2 = 1 AND xb IS NOT NULL UNION ALL SELECT id, ring, y0, least(x0, x1), greatest(x0, x1) FROM e WHERE y0 = y1 AND y0 BETWEEN 0 AND 15),
+p AS (SELECT id, y * 32 + x AS k, max(ring) AS ring FROM s, range(0, 32) AS t(x) WHERE x BETWEEN a AND b GROUP BY ALL),
+g AS (SELECT id, count(*) AS area, sum(k)::BIGINT AS places, sum(k * k)::BIGINT AS squares FROM p WHERE ring = 0 GROUP BY id)
+SELECT {', '.join(KEYS)}, coalesce(area, 0)::BIGINT AS area, coalesce(places, 0)::BIGINT AS places, coalesce(squares, 0)::BIGINT AS squares FROM l LEFT JOIN g USING (id)"""
+
+
+@query(_slanted_sql())
+def slanted_raster(spark: SparkSession, d: str) -> DataFrame:
+    """Which pixels slanted, concave outlines with a hole cover: their number, and sums over their places and squared places."""
+    f = s.load(spark, d, "lineitem").select(*KEYS, *(F.expr(e).cast("double").alias(c) for c, e in _FRAME.items()))
+    ring = lambda corners: F.array(*(F.struct(F.expr(x).cast("double").alias("x"), F.expr(y).cast("double").alias("y")) for x, y in corners))
+    cells = f.select(*KEYS, F.array(F.array(ring(_CORNERS), ring(_HOLE))).alias("geometries"), F.lit(16).alias("h"), F.lit(32).alias("w"))
+    at = F.filter(F.transform("mask", lambda m, k: F.when(m > 0, k.cast("long"))), lambda k: k.isNotNull())
+    total = lambda g: F.aggregate(at, F.lit(0).cast("long"), lambda a, k: a + g(k))
+    return geometry.rasterise(cells, list(KEYS)).select(*KEYS, F.size(at).cast("long").alias("area"), total(lambda k: k).alias("places"), total(lambda k: k * k).alias("squares"))
+
+
 _SHAPES = {
     "meshsurface": "w * h - 0.5", "pixelsurface": "w * h", "perimeter": "2 * (w + h - 2) + 4 * sqrt(0.5)", "perimetersurfaceratio": "(2 * (w + h - 2) + 4 * sqrt(0.5)) / (w * h - 0.5)",
     "sphericity": "2 * sqrt(pi() * (w * h - 0.5)) / (2 * (w + h - 2) + 4 * sqrt(0.5))", "maximumdiameter": "sqrt(greatest(w ** 2 + (h - 1) ** 2, (w - 1) ** 2 + h ** 2))",

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import names
 from ..functions.columns import number, r6
 from ..operators import cells as cell_ops
-from ..operators import describe, genes, normalize, segmentation, selection
+from ..operators import describe, expression, genes, normalize, segmentation, selection
 from ..operators.geometry import area, bounding_box, crop, perimeter, rectangle
 from ..schema import radiomics_key
 from ..sources.sinks import parquet_safe
@@ -101,9 +101,13 @@ def box_stats(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _representative_sql(f: str) -> str:
-    t = " UNION ALL ".join(f"SELECT sample_id, '{n}' AS stat_name, quantile_cont({f}, {p}) AS target_value FROM ok GROUP BY sample_id" for n, p in describe.TARGETS.items())
+    """The row nearest to each target by the difference as it is. Targets lie between two neighbours of the sorted values, weighted by the distance to each."""
+    t = " UNION ALL ".join(f"SELECT sample_id, '{n}' AS stat_name, {p}::DOUBLE * (len(v) - 1) AS pos, v FROM sorted" for n, p in describe.TARGETS.items())
+    low, high = "v[floor(pos)::INT + 1]", "v[ceil(pos)::INT + 1]"
+    target = f"CASE WHEN floor(pos) = ceil(pos) OR {low} = {high} THEN {low} ELSE (ceil(pos) - pos) * {low} + (pos - floor(pos)) * {high} END"
     return f"""SELECT sample_id, '{f}' AS feature_name, stat_name, {R('target_value')} AS target_value, {R(f)} AS selected_value, {R(f'abs({f} - target_value)')} AS abs_diff, {', '.join(KEYS)}
- FROM ok JOIN ({t}) USING (sample_id) WHERE {f} IS NOT NULL QUALIFY row_number() OVER (PARTITION BY sample_id, stat_name ORDER BY {R(f'abs({f} - target_value)')}, {s.ORDER_SQL}) = 1"""
+ FROM ok JOIN (SELECT sample_id, stat_name, {target} AS target_value FROM (WITH sorted AS (SELECT sample_id, list_sort(list({f}) FILTER ({f} IS NOT NULL)) AS v FROM ok GROUP BY sample_id) {t})) USING (sample_id)
+ WHERE {f} IS NOT NULL QUALIFY row_number() OVER (PARTITION BY sample_id, stat_name ORDER BY abs({f} - target_value), {s.ORDER_SQL}) = 1"""
 
 
 @query(f"WITH {FT}, ok AS (SELECT * FROM ft WHERE status = 'ok'), u AS ({' UNION ALL '.join(map(_representative_sql, s.FEATURES))}) SELECT *, {_CLASS} AS feature_class FROM u")
@@ -401,52 +405,64 @@ def bbox_crop(spark: SparkSession, d: str) -> DataFrame:
     return _boxes(spark, d).select(*KEYS, cut.alias("cut")).select(*KEYS, "cut.*")
 
 
-_GENES = f"""{s.EXPRESSION_SQL}, obs AS (SELECT sample_id, count(DISTINCT obs_id) AS n_obs FROM expr GROUP BY 1),
+_GENES = f"""{s.EXPRESSION_SQL},
 det AS (SELECT sample_id, gene, count(*) FILTER (value > 0) AS n_detected FROM expr JOIN obs USING (sample_id) GROUP BY sample_id, gene, n_obs HAVING count(*) FILTER (value > 0) >= ceil(0.1 * n_obs)),
 common AS (SELECT gene FROM det WHERE NOT contains(gene, 'BLANK') AND NOT contains(gene, 'Control') GROUP BY gene HAVING count(*) = (SELECT count(*) FROM obs)),
 tot AS (SELECT sum(n_obs) AS n FROM obs), mom AS (SELECT gene, coalesce(sum(value), 0) AS s1, coalesce(sum(value * value), 0) AS s2, (SELECT n FROM tot) AS n FROM expr JOIN common USING (gene) GROUP BY gene)"""
 
 
+def _totals(spark: SparkSession, d: str) -> genes.Totals:
+    return expression.totals(*s.matrix(spark, d))
+
+
 @query(f"WITH {_GENES} SELECT * FROM det")
 def gene_detection_filter(spark: SparkSession, d: str) -> DataFrame:
-    return genes.detected(s.expression(spark, d))
+    return genes.detected(_totals(spark, d))
 
 
 @query(f"WITH {_GENES} SELECT * FROM common")
 def common_genes(spark: SparkSession, d: str) -> DataFrame:
-    return genes.common_genes(s.expression(spark, d))
+    return genes.common_genes(_totals(spark, d)).select("gene")
 
 
-@query(f"WITH {_GENES} SELECT gene, {R('s1 / n')} AS mean FROM mom ORDER BY s1 / n DESC, gene LIMIT 20")
+@query(f"WITH {_GENES} SELECT gene, {R('s1 / n')} AS mean FROM mom ORDER BY s1 / n DESC, gene LIMIT 5")
 def topk_genes_mean(spark: SparkSession, d: str) -> DataFrame:
-    expr = s.expression(spark, d)
-    return rounded(genes.top_by_mean(genes.moments(expr, genes.common_genes(expr)), 20))
+    of = _totals(spark, d)
+    return rounded(genes.top_by_mean(genes.moments(of, genes.common_genes(of)), 5))
 
 
 @query(f"""WITH {_GENES}, a AS (SELECT gene, CASE WHEN s1 = 0 THEN 1e-12 ELSE s1 / n END AS mu, (s2 - n * (s1 / n) * (s1 / n)) / (n - 1) AS var FROM mom),
 b AS (SELECT gene, CASE WHEN var / mu > 0 THEN ln(var / mu) END AS disp, ln(1 + mu) AS m FROM a), c AS (SELECT *, min(m) OVER () AS lo, max(m) OVER () AS hi FROM b),
 e AS (SELECT *, CASE WHEN hi = lo THEN 1 ELSE greatest(1, ceil((m - lo) / ((hi - lo) / 20))) END AS bin FROM c),
-f AS (SELECT gene, round(coalesce(CASE WHEN disp IS NOT NULL AND count(disp) OVER w = 1 THEN 1.0 ELSE (disp - avg(disp) OVER w) / nullif(stddev_samp(disp) OVER w, 0) END, 0) + 1e-9, 6) AS norm FROM e WINDOW w AS (PARTITION BY bin)),
-cut AS (SELECT min(norm) AS cut FROM (SELECT norm FROM f ORDER BY norm DESC, gene LIMIT 20)) SELECT gene, norm FROM f, cut WHERE norm >= cut ORDER BY gene LIMIT 20""")
+f AS (SELECT gene, coalesce(CASE WHEN disp IS NOT NULL AND count(disp) OVER w = 1 THEN 1.0 ELSE (disp - avg(disp) OVER w) / nullif(stddev_samp(disp) OVER w, 0) END, 0) AS norm FROM e WINDOW w AS (PARTITION BY bin)),
+r AS (SELECT *, row_number() OVER (ORDER BY norm DESC) AS place FROM f)
+SELECT gene, {R('norm')} AS norm FROM r WHERE norm >= (SELECT min(norm) FROM r WHERE place <= 5) ORDER BY gene LIMIT 5""")
 def hvg_genes(spark: SparkSession, d: str) -> DataFrame:
-    expr = s.expression(spark, d)
-    return genes.highly_variable(genes.moments(expr, genes.common_genes(expr)), 20)
+    of = _totals(spark, d)
+    return rounded(genes.highly_variable(genes.moments(of, genes.common_genes(of)), 5))
 
 
 @query(f"""WITH {_GENES}, top AS (SELECT gene, row_number() OVER (ORDER BY s1 / n DESC, gene) AS rn FROM mom)
 SELECT 'mean' AS criterion, k::INT AS k, gene FROM top, (VALUES (5), (20)) v(k) WHERE rn <= k""")
 def gene_sets(spark: SparkSession, d: str) -> DataFrame:
     """Gene lists of several sizes from one table of moments."""
-    expr = s.expression(spark, d)
-    sets = genes.gene_sets(genes.moments(expr, genes.common_genes(expr)), ("mean",), (5, 20))
+    of = _totals(spark, d)
+    sets = genes.gene_sets(genes.moments(of, genes.common_genes(of)), ("mean",), (5, 20))
     parts = [chosen.select(F.lit(c).alias("criterion"), F.lit(k).alias("k"), "gene") for (c, k), chosen in sets.items()]
     return selection.chunks_joined(*parts)
 
 
-@query("""WITH e AS (SELECT event_type AS sample_id, user_id::VARCHAR AS obs_id, 'g' || (event_id % 3) AS gene, round(value, 6) AS value, row_number() OVER (PARTITION BY event_type, user_id, event_id % 3 ORDER BY round(value, 6)) - 1 AS k FROM events)
-SELECT sample_id, CASE WHEN k > 0 THEN obs_id || '-' || k ELSE obs_id END AS obs_id, gene, value FROM e""")
+_NAME = "CASE event_id % 11 WHEN 0 THEN user_id || '-1' WHEN 1 THEN user_id || '-2' WHEN 2 THEN user_id || '-2' ELSE user_id::VARCHAR END"
+
+
+@query(f"""WITH RECURSIVE m AS (SELECT event_type AS sample_id, event_id AS obs_row, {_NAME} AS obs_id, value FROM events),
+d AS (SELECT sample_id, obs_row, obs_id, row_number() OVER (PARTITION BY sample_id, obs_id ORDER BY obs_row) - 1 AS copy FROM m),
+t AS (SELECT sample_id, obs_id, obs_row, copy, 0::BIGINT AS n, 0::BIGINT AS free FROM d WHERE copy > 0
+ UNION ALL SELECT t.sample_id, t.obs_id, t.obs_row, t.copy, t.n + 1, t.free + CASE WHEN k.obs_id IS NULL THEN 1 ELSE 0 END
+  FROM t LEFT JOIN (SELECT DISTINCT sample_id, obs_id FROM m) k ON k.sample_id = t.sample_id AND k.obs_id = t.obs_id || '-' || (t.n + 1) WHERE t.free < t.copy)
+SELECT m.sample_id, m.obs_row, coalesce(t.obs_id || '-' || t.n, m.obs_id) AS obs_id, m.value FROM m LEFT JOIN t ON t.sample_id = m.sample_id AND t.obs_row = m.obs_row AND t.free = t.copy""")
 def unique_observations(spark: SparkSession, d: str) -> DataFrame:
-    """Observations under one name, told apart."""
-    gene = F.concat(F.lit("g"), (F.col("event_id") % 3).cast("string"))
-    rows = s.load(spark, d, "events").select(F.col("event_type").alias("sample_id"), F.col("user_id").cast("string").alias("obs_id"), gene.alias("gene"), F.round("value", 6).alias("value"))
-    return genes.unique_observations(rows)
+    """Observations under one name, told apart; some have a name already that another would get."""
+    name = _NAME.replace("user_id::VARCHAR", "cast(user_id AS string)")
+    rows = s.load(spark, d, "events").select(F.col("event_type").alias("sample_id"), F.col("event_id").alias("obs_row"), F.expr(name).alias("obs_id"), "value")
+    return expression.unique_observations(rows)

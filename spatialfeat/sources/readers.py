@@ -9,6 +9,11 @@ from pyspark.sql import types as T
 from ..functions.names import class_name, decoded
 from ..functions.pixels import as_uint8, interleaved, repeated, without_alpha
 from ..operators.describe import ok_rows
+from ..operators.expression import totals as matrix_totals
+from ..operators.expression import unique_observations
+from ..operators.genes import Totals
+from ..operators.genes import totals as long_totals
+from ..operators.geometry import from_wkb, from_wkt
 from ..operators.selection import of_samples, wanted_datasets
 from ..schema import resolve
 from .sinks import read_samples, samples_at
@@ -80,31 +85,25 @@ def as_rgb8(df: DataFrame) -> DataFrame:
     return df.withColumns({"px": F.coalesce(px, bad), "layout": F.lit("hwc")})
 
 
-def cells(spark: SparkSession, path: str) -> DataFrame:
-    """Segmented cells; a table without geometry is an error."""
+def cells(spark: SparkSession, path: str, window: tuple[float, float, float, float] | None = None) -> DataFrame:
+    """Segmented cells; a table without geometry is an error.
+
+    geometry is an array of rings, an array of polygons, or well-known binary as GeoParquet has it; geometry_wkt is well-known text. Of a
+    table with bounds (sinks.geo_cells) a window (xmin, ymin, xmax, ymax) reads the cells that reach into it, and no others of its row groups.
+    """
     df = read_samples(spark, path)
     if "geometry" not in df.columns:
         if "geometry_wkt" not in df.columns:
             raise KeyError(f"cells need a geometry column, there are {df.columns}")
         if missing := [c for c in CELL_COLUMNS if c not in df.columns]:
             raise KeyError(f"cells with WKT need {missing}, there are {df.columns}")
-        df = df.withColumn("geometry", wkt_polygons(F.col("geometry_wkt"))).drop("geometry_wkt")
-    return df
-
-
-def wkt_polygons(text: Column) -> Column:
-    """Polygons (arrays of rings of points) of a WKT POLYGON or MULTIPOLYGON; empty ones and other kinds give none."""
-    numbers = r"[-+0-9.eE]+"
-    ring = lambda t: F.transform(F.regexp_extract_all(t, F.lit(rf"({numbers}\s+{numbers})")), _point)
-    rings = lambda t: F.transform(F.regexp_extract_all(t, F.lit(r"(\([^()]*\))")), ring)
-    polygons = F.regexp_extract_all(text, F.lit(r"(\((?:\s*\([^()]*\)\s*,?)+\))"))
-    kind = F.upper(F.regexp_extract(text, r"^\s*([A-Za-z]+)", 1))
-    return F.when(kind.isin("POLYGON", "MULTIPOLYGON"), F.transform(polygons, rings))
-
-
-def _point(text: Column) -> Column:
-    xy = F.split(text, r"\s+")
-    return F.struct(F.get(xy, F.lit(0)).cast("double").alias("x"), F.get(xy, F.lit(1)).cast("double").alias("y"))
+        return df.withColumn("geometry", from_wkt("geometry_wkt")).drop("geometry_wkt")
+    if window is not None:
+        if "bbox" not in df.columns:
+            raise KeyError("cells without bounds cannot be read by window")
+        xmin, ymin, xmax, ymax = window
+        df = df.where((F.col("bbox.xmax") >= xmin) & (F.col("bbox.xmin") <= xmax) & (F.col("bbox.ymax") >= ymin) & (F.col("bbox.ymin") <= ymax))
+    return df.withColumn("geometry", from_wkb("geometry")) if isinstance(df.schema["geometry"].dataType, T.BinaryType) else df
 
 
 def cells_normalised(spark: SparkSession, path: str | None) -> DataFrame | None:
@@ -119,11 +118,18 @@ def cells_normalised(spark: SparkSession, path: str | None) -> DataFrame | None:
 
 
 def expression(spark: SparkSession, path: str, samples: DataFrame | None = None) -> DataFrame:
-    """Long expression table (sample_id, obs_id, gene, value) of the wanted samples; none is an error."""
+    """Expression of the wanted samples: a long table (sample_id, obs_id, gene, value) or a matrix in rows (sample_id, obs_row, obs_id,
+    indices, data), whose observations get names of their own. No sample is an error."""
     df = of_samples(read_samples(spark, path), samples)
     if df.isEmpty():
         raise FileNotFoundError(f"no sample to read in {path}")
-    return df
+    return unique_observations(df) if "indices" in df.columns else df
+
+
+def expression_totals(spark: SparkSession, path: str, samples: DataFrame | None = None) -> Totals:
+    """Sums per sample and gene of either form; the genes of a matrix are in the table `path`_var (sample_id, index, gene)."""
+    df = expression(spark, path, samples)
+    return matrix_totals(df, of_samples(read_samples(spark, f"{path}_var"), samples)) if "indices" in df.columns else long_totals(df)
 
 
 def features(spark: SparkSession, path: str, status_filter: str | None = "ok") -> DataFrame:

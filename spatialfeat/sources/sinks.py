@@ -8,9 +8,10 @@ from pyspark.sql import types as T
 
 from ..functions.columns import number
 from ..operators.cells import with_summary
+from ..operators.geometry import CURVE_BITS, bounds, curve_place, to_wkb
 from ..schema import normalised_columns
 
-#: Outputs of an extraction; a sample is done when its table and its matrix are there.
+#: Outputs of an extraction.
 PROCESSED = ("table", "X", "obs", "stats")
 
 
@@ -19,12 +20,6 @@ def _file_system(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether there is a finished table at a path, in whatever file system it is in."""
-    fs, _ = _file_system(spark, path)
-    return fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS"))
-
-
 def samples_at(spark: SparkSession, path: str) -> list[str]:
     """Samples of a partitioned table in order, from its folders; none if there is no table."""
     fs, p = _file_system(spark, path)
@@ -47,18 +42,21 @@ def samples(df: DataFrame, path: str) -> None:
     df.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("sample_id").parquet(path)
 
 
-def write_once(df: DataFrame, path: str, overwrite: bool = False, partition_by: list[str] | None = None) -> bool:
-    """Writes a table unless it is finished already; tells whether it wrote."""
-    if not overwrite and exists(df.sparkSession, path):
-        return False
-    out = df.write.mode("overwrite")
-    (out.partitionBy(*partition_by) if partition_by else out).parquet(path)
-    return True
+#: States of a sample's outputs.
+BEGUN, DONE = "begun", "done"
+
+
+def mark(spark: SparkSession, path: str, some: list[str], state: str) -> None:
+    """Says of samples that their outputs are being written, or are all there."""
+    rows = spark.createDataFrame([(s, state) for s in some], "sample_id string, state string").coalesce(1)
+    samples(rows, f"{path}/state")
 
 
 def processed_samples(spark: SparkSession, path: str) -> list[str]:
-    """Samples whose extraction is done: table and matrix are there."""
-    return sorted(set(samples_at(spark, f"{path}/table")) & set(samples_at(spark, f"{path}/X")))
+    """Samples whose extraction is done: all outputs were written by one run that came to its end."""
+    if not samples_at(spark, f"{path}/state"):
+        return []
+    return sorted(r.sample_id for r in read_samples(spark, f"{path}/state").where(F.col("state") == DONE).select("sample_id").collect())  # names of samples
 
 
 def matrix(df: DataFrame) -> dict[str, DataFrame]:
@@ -78,9 +76,11 @@ def matrix(df: DataFrame) -> dict[str, DataFrame]:
 def processed(df: DataFrame, stats: DataFrame, path: str, some: list[str]) -> None:
     """The processed table, its statistics, its feature list, and the matrix with its row and column tables, of some samples.
 
-    The table is worked out once; the matrix, written last, and its rows are read from it.
+    The table is worked out once; the matrix and its rows are read from it. The samples are marked as begun before the first output
+    and as done after the last one, so a run that ends in between is one that has to be repeated.
     """
     spark = df.sparkSession
+    mark(spark, path, some, BEGUN)
     samples(df, f"{path}/table")
     samples(stats, f"{path}/stats")
     made = matrix(read_samples(spark, f"{path}/table").where(F.col("sample_id").isin(some)))
@@ -88,6 +88,7 @@ def processed(df: DataFrame, stats: DataFrame, path: str, some: list[str]) -> No
     made["var"].write.mode("overwrite").parquet(f"{path}/var")
     samples(made["obs"], f"{path}/obs")
     samples(made["X"], f"{path}/X")
+    mark(spark, path, some, DONE)
 
 
 def cells(df: DataFrame, summary: DataFrame | None, path: str) -> None:
@@ -95,15 +96,42 @@ def cells(df: DataFrame, summary: DataFrame | None, path: str) -> None:
     samples(with_summary(df, summary), path)
 
 
+#: Bytes of a row group of cells with bounds: small enough for a window to leave most of a file out.
+GROUP_BYTES = 8 << 20
+
+
+def geo_cells(df: DataFrame, summary: DataFrame | None, path: str, group_bytes: int = GROUP_BYTES) -> None:
+    """Cells with the summary of their patch, of the samples of df, in the columns of GeoParquet: geometry as well-known binary and bbox with its bounds.
+
+    Rows of a sample are in order along a Hilbert curve through the middles of their bounds, so that row groups are compact and a window
+    reads few. Every sample is dealt to as many tasks as it needs, in runs of that order. The file's own `geo` entry is not
+    written, as Spark's writer has no place for it.
+    """
+    own = with_summary(df, summary)
+    whole = F.col("geometry") if isinstance(own.schema["geometry"].dataType.elementType.elementType, T.ArrayType) else F.when(F.col("geometry").isNotNull(), F.array("geometry"))
+    boxed = own.withColumn("geometry", whole).withColumn("bbox", bounds(F.col("geometry")))
+    every = boxed.groupBy("sample_id").agg(
+        *(F.min(f"bbox.{c}").alias(f"low_{c[0]}") for c in ("xmin", "ymin")), F.greatest(F.max("bbox.xmax") - F.min("bbox.xmin"), F.max("bbox.ymax") - F.min("bbox.ymin"), F.lit(1e-9)).alias("span_"),
+    )
+    met = boxed.alias("c").join(every.alias("e"), F.col("c.sample_id").eqNullSafe(F.col("e.sample_id"))).select("c.*", "low_x", "low_y", "span_")
+    middle = lambda a: (F.col(f"bbox.{a}min") + F.col(f"bbox.{a}max")) / 2 - F.col(f"low_{a}")
+    whole_number = lambda v: F.least(F.floor(v / F.col("span_") * (1 << CURVE_BITS)), F.lit((1 << CURVE_BITS) - 1)).cast("long")
+    placed = met.withColumn("curve_", curve_place(whole_number(middle("x")), whole_number(middle("y")))).drop("low_x", "low_y", "span_").withColumn("geometry", to_wkb("geometry"))
+    ordered = placed.repartitionByRange("sample_id", "curve_").sortWithinPartitions("sample_id", "curve_").drop("curve_")
+    out = ordered.write.option("partitionOverwriteMode", "dynamic").option("parquet.block.size", group_bytes).mode("overwrite")
+    out.partitionBy("sample_id").parquet(path)
+
+
 def csv_and_parquet(df: DataFrame, path: str) -> None:
-    """A statistics table in both formats."""
-    df.write.mode("overwrite").parquet(f"{path}/parquet")
-    df.coalesce(1).write.mode("overwrite").csv(f"{path}/csv", header=True)
+    """A table of statistics in both formats, of the samples of df; those of other samples stay."""
+    samples(df, f"{path}/parquet")
+    manifest(df, f"{path}/csv")
 
 
 def manifest(df: DataFrame, path: str) -> None:
-    """A manifest with its header, also when it is empty."""
-    df.coalesce(1).write.mode("overwrite").csv(path, header=True)
+    """A table as text with a header, one folder a sample, of the samples of df; those of other samples stay."""
+    out = df.repartition("sample_id").write.option("partitionOverwriteMode", "dynamic").mode("overwrite").option("header", True)
+    out.partitionBy("sample_id").csv(path)
 
 
 def json_rows(df: DataFrame, path: str) -> None:

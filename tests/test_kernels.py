@@ -137,12 +137,84 @@ def test_shape_of_a_rectangle():
     assert k.shape2d(np.ones((1, 2))) is None
 
 
-def test_outlines_enclose_their_parts():
-    m = np.zeros((6, 7), int)
-    m[1:3, 1:4] = 1
-    m[3, 4] = 1  # touches by a corner
-    m[5, 0] = 1
-    rings = k.outlines(m)
-    assert len(rings) == 2 and len(k.outlines(np.zeros((3, 3), int))) == 0
-    area = lambda r: abs(sum(a * d - c * b for (a, b), (c, d) in zip(r, r[1:] + r[:1], strict=True))) / 2
-    assert sorted(map(area, rings)) == [1.0, 7.0]
+def test_spans_of_slanted_sub_pixel_and_concave_rings():
+    """Masks worked out by hand: vertices are cut to whole pixels; spans run from halves up to halves down."""
+
+    def drawn(*polygons, h=8, w=8):
+        return ["".join("#" if v else "." for v in row) for row in k.rasterised(list(polygons), h, w)]
+
+    assert drawn([[(0, 0), (6, 3), (2, 7)]]) == ["#.......", "###.....", ".####...", ".######.", ".#####..", ".####...", "..##....", "..#....."]
+    assert drawn([[(0.9, 0.2), (6.7, 3.9), (2.2, 7.9)]]) == drawn([[(0, 0), (6, 3), (2, 7)]])
+    assert drawn([[(0, 0), (4, 0), (2, 2), (4, 4), (0, 4)]], h=5, w=5) == ["#####", "####.", "###..", "####.", "#####"]  # concave
+    assert drawn([[(1, 1), (4, 1), (4, 1.9), (1, 1.2)]], h=4, w=6) == ["......", ".####.", "......", "......"]  # no height: its edges only
+    assert drawn([[(-0.9, -0.9), (2.5, -0.5), (2.5, 1.5), (-0.5, 1.5)]], h=3, w=4) == ["###.", "###.", "...."]  # cut towards 0
+    assert drawn([[(-5, -5), (20, -5), (20, 20), (-5, 20)]], h=3, w=4) == ["####"] * 3
+    assert drawn([[(0, 0), (7, 0), (7, 7), (0, 7)], [(2, 2), (5, 2), (5, 5)]])[2:6] == ["##....##", "###...##", "####..##", "#####.##"]
+    assert k.rasterised([[[(0, 0), (3, np.nan), (3, 3)]], [[(1, 1), (2, 1)]], []], 4, 4).sum() == 0
+
+
+def test_masks_of_many_images_are_those_of_each():
+    rng = np.random.default_rng(4)
+    images = [[[rng.uniform(-6, 26, (rng.integers(3, 9), 2)) for _ in range(rng.integers(1, 3))] for _ in range(rng.integers(0, 5))] for _ in range(30)]
+    shapes = [(int(rng.integers(1, 20)), int(rng.integers(1, 20))) for _ in images]
+    for got, polygons, shape in zip(k.rasterised_all(images, shapes), images, shapes, strict=True):
+        one = np.zeros(shape, np.uint8)
+        for rings in polygons:  # one ring after the other, span by span
+            for i, ring in enumerate(rings):
+                for _, y, a, b in zip(*k.ring_spans([k.points_of(ring)], np.array([shape[0]])), strict=True):
+                    one[y, max(a, 0) : max(b + 1, 0)] = 0 if i else 255
+        assert np.array_equal(got, one)
+    assert k.rasterised_all([], []) == [] and k.rasterised_all([[]], [(2, 3)])[0].tolist() == [[0] * 3] * 2
+
+
+def test_zones_and_neighbours_along_one_axis():
+    level = np.array([[[1, 1, 2, 2], [1, 2, 2, 1]]])
+    assert k.zones(level, k.AXIS).tolist() == [[[0, 0, 2, 2], [4, 5, 5, 7]]]
+    assert k.glszm(level, k.AXIS)["ZonePercentage"][0] == 5 / 8 and k.glszm(level)["ZonePercentage"][0] == 3 / 8
+    assert k.gldm(level, offsets=k.AXIS)["LargeDependenceEmphasis"][0] == (6 * 4 + 2) / 8
+    assert k.ngtdm(level, k.AXIS)["Coarseness"][0] == pytest.approx(1 / ((4 / 8) * (0 + 0.5 + 1 + 1) + (4 / 8) * (0.5 + 0 + 0.5 + 0.5)))
+
+
+def test_outlines_run_through_pixel_centres():
+    m = np.zeros((9, 9), int)
+    m[0, 0] = 1  # a pixel
+    m[0, 3:7] = 1  # a line
+    m[2:5, 1:4] = 1  # a block
+    m[2:5, 6] = m[4, 6:9] = m[2:5, 8] = 1  # a bay of one pixel's width
+    m[6, 1] = m[7, 0:3] = m[8, 1] = 1  # a diamond
+    m[6:9, 5:8] = 1
+    m[7, 6] = 0  # a ring, whose hole does not count
+    got = k.numbered_outlines(m)
+    assert [n for n, _ in got] == [3, 5, 6]  # numbers stay where parts are left out
+    assert got[0][1] == [(1.0, 2.0), (1.0, 4.0), (3.0, 4.0), (3.0, 2.0)]
+    assert got[1][1] == [(1.0, 6.0), (0.0, 7.0), (1.0, 8.0), (2.0, 7.0)]
+    assert got[2][1] == [(5.0, 6.0), (5.0, 8.0), (7.0, 8.0), (7.0, 6.0)]
+    assert k.outlines(np.zeros((3, 3), int)) == []
+
+
+def test_parts_with_a_spike_or_a_bridge_have_no_outline():
+    spike, bridge, corner = np.zeros((3, 10, 10), int)
+    spike[1:4, 1:4] = 1
+    assert len(k.outlines(spike)) == 1
+    spike[2, 4] = 1  # a bump: the outline turns around it without a second visit
+    assert k.outlines(spike) == [[(1.0, 1.0), (1.0, 3.0), (3.0, 3.0), (4.0, 2.0), (3.0, 1.0)]]
+    spike[2, 5] = 1
+    assert k.outlines(spike) == []
+    bridge[1:4, 1:4] = bridge[1:4, 6:9] = bridge[2, 4:6] = 1
+    corner[1:4, 1:4] = corner[4:7, 4:7] = 1
+    assert k.outlines(bridge) == k.outlines(corner) == []  # the way over is walked there and back
+
+
+def test_outlines_of_random_masks_are_simple_and_enclose_their_pixels():
+    rng = np.random.default_rng(9)
+    for _ in range(60):
+        m = (rng.random((12, 14)) < 0.6).astype(int)
+        label = k.zones(m[None])[0]
+        parts = np.unique(label[label >= 0])
+        for number, ring in k.numbered_outlines(m):
+            own = label == parts[number - 1]
+            area = abs(sum(a * d - c * b for (a, b), (c, d) in zip(ring, ring[1:] + ring[:1], strict=True))) / 2
+            steps = sum(int(max(abs(c - a), abs(d - b))) for (a, b), (c, d) in zip(ring, ring[1:] + ring[:1], strict=True))
+            outside = k.zones((np.pad(own, 1) == 0).astype(int)[None], ((0, 1), (1, 0)))[0]
+            filled = int((outside[1:-1, 1:-1] != 0).sum())  # the part with its holes
+            assert area > 0 and area + steps / 2 + 1 == filled  # by the points that a simple outline has on and in it

@@ -1,13 +1,17 @@
 """Operators on edge cases that the stand-in tables do not have."""
 
 import math
+import struct
+import zlib
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from spatialfeat import schema
-from spatialfeat.functions import names, pixels
-from spatialfeat.operators import cells, describe, genes, geometry, normalize, selection, texture
+from spatialfeat.functions import names, pixels, wkb
+from spatialfeat.operators import cells, describe, expression, genes, geometry, normalize, pictures, selection, texture
 from spatialfeat.plans import pipeline
 from spatialfeat.sources import readers, sinks
 
@@ -69,9 +73,10 @@ def test_region_of_49_and_50_pixels(spark):
 def test_genes(spark):
     rows = [("a", "o1", "G1", 1.0), ("a", "o2", "G1", 0.0), ("a", "o2", "BLANK_1", 5.0), ("b", "p1", "G1", 2.0), ("b", "p1", "NegControl", 3.0), ("b", "p1", "G2", 3.0), ("a", "o1", "BLANK_1", 5.0), ("b", "p1", "BLANK_1", 1.0)]
     df = spark.createDataFrame(rows, "sample_id string, obs_id string, gene string, value double")
-    common = genes.common_genes(df)
+    of = genes.totals(df)
+    common = genes.common_genes(of)
     assert [r.gene for r in common.collect()] == ["G1"]
-    sums = genes.moments(df, common)
+    sums = genes.moments(of, common)
     assert genes.top_by_mean(sums, 5).first()["mean"] == 1.0
     assert [r.norm for r in genes.highly_variable(sums, 5).collect()] == [1.0]
     assert set(genes.gene_sets(sums, ks=(1,))) == {("mean", 1), ("var", 1)}
@@ -79,8 +84,48 @@ def test_genes(spark):
         genes.gene_sets(sums, criteria=("median",))
     other = df.where("gene = 'G2'").unionByName(df.where("sample_id = 'a'"))
     with pytest.raises(ValueError):
-        genes.gene_sets(genes.moments(other, genes.common_genes(other)))
-
+        genes.gene_sets(genes.moments(genes.totals(other), genes.common_genes(genes.totals(other))))
+
+
+def test_matrix_counts_observations_without_counts(spark):
+    rows = [("a", i, f"o{i}", [0, 2] if i == 0 else [], [3.0, 0.0] if i == 0 else []) for i in range(10)] + [("b", 0, "p", [1], [1.0]), (None, 0, "q", [0], [2.0])]
+    matrix = spark.createDataFrame(rows, expression.MATRIX)
+    var = spark.createDataFrame([(s, i, g) for s in ("a", "b", None) for i, g in enumerate(("G2", "G1", "G3"))], "sample_id string, index int, gene string")
+    of = expression.totals(matrix, var)
+    assert {r.sample_id: r.n_obs for r in of.sizes.collect()} == {"a": 10, "b": 1, None: 1}
+    got = {(r.sample_id, r.gene): (r.n_detected, r.s1, r.s2) for r in of.sums.collect()}
+    assert got["a", "G2"] == (1, 3.0, 9.0) and got["a", "G3"] == (0, 0.0, 0.0) and got["b", "G1"] == (1, 1.0, 1.0) and len(got) == 9
+    assert {(r.sample_id, r.gene) for r in genes.detected(of, 0.1).collect()} == {("a", "G2"), ("b", "G1"), (None, "G2")}
+    assert genes.detected(of, 0.11).where("sample_id = 'a'").count() == 0
+    one = expression.totals(matrix.where("sample_id = 'a'"), var.where("sample_id = 'a'"))
+    assert [(r.gene, r.mean) for r in genes.top_by_mean(genes.moments(one, genes.common_genes(one, 0.0)), 3).collect()] == [("G2", 0.3), ("G1", 0.0), ("G3", 0.0)]  # ties in the order of columns
+    back = expression.from_long(matrix.select("sample_id", "obs_row", "obs_id"), expression.long(matrix, var).where("sample_id IS NOT NULL"))[0]
+    assert {(r.sample_id, r.obs_row): r.data for r in back.collect()}["a", 0] == [3.0, 0.0] and back.where("size(data) = 0").count() == 10
+    empty = expression.totals(matrix.limit(0), var.limit(0))
+    assert empty.sums.count() == empty.sizes.count() == 0
+
+
+def test_sums_of_many_samples_and_of_any_partition(spark, monkeypatch):
+    monkeypatch.setattr(expression, "SAMPLES", 3)
+    rows = [(f"s{i % 50}", i, f"o{i}", [i % 7, 7 + i % 5], [float(i), 1.0]) for i in range(2000)]
+    var = spark.createDataFrame([(f"s{k}", i, f"G{i}") for k in range(50) for i in range(12)], "sample_id string, index int, gene string")
+    got = {(r.sample_id, r.gene): r.s1 for r in expression.totals(spark.createDataFrame(rows, expression.MATRIX).repartition(3), var).sums.collect()}
+    want = {(f"s{k}", f"G{i}"): float(sum((r[1] if i < 7 else 1) for r in rows if r[0] == f"s{k}" and i in r[3])) for k in range(50) for i in range(12)}
+    assert got == want
+
+
+def test_names_move_with_their_rows_and_do_not_collide(spark):
+    names = ["A", "A", "A-1", "B", "A", "B", "B-2", "B", None, None, "A-1"]
+    df = spark.createDataFrame([("s", i, n, [0], [float(i)]) for i, n in enumerate(names)] + [("t", 0, "A", [], [])], expression.MATRIX)
+    got = {(r.sample_id, r.obs_row): (r.obs_id, r.data) for r in expression.unique_observations(df).collect()}
+    assert [got["s", i][0] for i in range(8)] == ["A", "A-2", "A-1", "B", "A-3", "B-1", "B-2", "B-3"] and got["s", 10][0] == "A-1-1"
+    assert all(got["s", i][1] == [float(i)] for i in range(len(names))) and got["t", 0] == ("A", [])
+
+
+def test_representatives_tell_tiny_differences_apart(spark):
+    df = spark.createDataFrame([("a", i, i * 1e-8) for i in range(11)], "sample_id string, ord long, f double")
+    out = {r.stat_name: r.ord for r in describe.representatives(df, ["f"], ["ord"], ["ord"]).collect()}
+    assert out["min"] == 0 and out["max"] == 10 and out["q50"] == 5
 
 @pytest.mark.parametrize("ratio", [0.01, 0.1, 0.33, 0.5, 0.99, 1.0])
 def test_even_spacing_matches_numpy(spark, ratio):
@@ -327,7 +372,62 @@ def test_samples_are_extracted_one_after_the_other(spark, dataset):
     again = drivers.extract_all(spark, config(overwrite=True, sample_ids=("s1",)))
     assert again["IDC"] == {"s1": "written"} and read_samples(spark, f"{dataset}/IDC/radiomics/table").count() == 15
     assert drivers.statistics_all(spark, config()) == {"IDC": True, "NONE": False}
-    assert spark.read.parquet(f"{dataset}/IDC/radiomics_statistics/describe/parquet").count() == 3 * 94
+    at = f"{dataset}/IDC/radiomics_statistics/describe"
+    assert read_samples(spark, f"{at}/parquet").count() == 3 * 94
+    # statistics of one sample leave those of others
+    before = sorted(map(str, read_samples(spark, f"{at}/parquet").where("sample_id <> 's1'").collect()))
+    assert drivers.statistics_all(spark, config(sample_ids=("s1",))) == {"IDC": True, "NONE": False}
+    assert read_samples(spark, f"{at}/parquet").count() == 3 * 94 and sorted(map(str, read_samples(spark, f"{at}/parquet").where("sample_id <> 's1'").collect())) == before
+    assert spark.read.csv(f"{at}/csv", header=True).count() == 3 * 94
+    chosen = spark.read.csv(f"{dataset}/IDC/radiomics_statistics/representatives", header=True)
+    assert chosen.select("sample_id").distinct().count() == 3
+
+
+@pytest.mark.parametrize("step", ["stats", "X", "done"])
+def test_a_run_that_ends_between_its_outputs_is_repeated(spark, dataset, monkeypatch, step):
+    from spatialfeat.plans import drivers
+
+    with_image(spark, dataset)
+    config = schema.Config(root=dataset, sample_ids=("s1",))
+    whole, marked = sinks.samples, sinks.mark
+    with monkeypatch.context() as m:
+
+        def broken(df, path):
+            if path.endswith(f"/{step}"):
+                raise OSError("the cluster went away")
+            whole(df, path)
+
+        def unmarked(spark, path, some, state):
+            if state == sinks.DONE and step == "done":
+                raise OSError("the cluster went away")
+            marked(spark, path, some, state)
+
+        m.setattr(sinks, "samples", broken)
+        m.setattr(sinks, "mark", unmarked)
+        assert drivers.extract_all(spark, config)["IDC"]["s1"].startswith("failed")
+    assert drivers.extract_all(spark, config)["IDC"] == {"s1": "written"} and drivers.extract_all(spark, config)["IDC"] == {"s1": "skipped"}
+    with monkeypatch.context() as m:  # an overwrite that does not come to its end is no longer done either
+        m.setattr(sinks, "samples", broken)
+        m.setattr(sinks, "mark", unmarked)
+        drivers.extract_all(spark, schema.Config(root=dataset, sample_ids=("s1",), overwrite=True))
+    assert drivers.extract_all(spark, config)["IDC"] == {"s1": "written"}
+
+
+@pytest.mark.parametrize("bad", [set(), {0}, {37}, {63}, {3, 50}])
+def test_bad_samples_cost_few_runs(bad):
+    from spatialfeat.plans import drivers
+
+    runs, names = [], [f"s{k}" for k in range(64)]
+
+    def run(some):
+        runs.append(some)
+        if any(names.index(s) in bad for s in some):
+            raise ValueError("cannot be read")
+
+    out = drivers._each(names, [], run)
+    assert {k for k, v in enumerate(out.values()) if v != "written"} == bad and list(out) == names
+    assert len(runs) <= 1 + 12 * len(bad)
+    assert drivers._each(names, names, run) == dict.fromkeys(names, "skipped")
 
 
 def test_a_sample_that_cannot_be_read_fails_alone(spark, dataset):
@@ -376,8 +476,8 @@ def test_readers_and_sinks(spark, tmp_path):
     (tmp_path / "m.csv").write_text("id,species,oncotree_code,st_technology,more\na,Homo sapiens,IDC,Visium,1\nb,Mus musculus,IDC,Visium,2\nc,Homo sapiens,LUAD,Visium,3\n")
     assert [r.id for r in readers.wanted(spark, str(tmp_path / "m.csv"), ["IDC"], ["Visium"]).collect()] == ["a"]
     wkt = ["POLYGON ((0 0, 4 0, 4 4, 0 4, 0 0), (1 1, 2 1, 2 2, 1 2, 1 1))", "MULTIPOLYGON (((0 0, 1 0, 1 1, 0 0)), ((5.5 5, 6 5, 6 6e0, 5.5 5)))", "POINT (1 1)", None, "POLYGON EMPTY"]
-    g = [r.g for r in spark.createDataFrame([(w,) for w in wkt], "w string").select(readers.wkt_polygons(F.col("w")).alias("g")).collect()]
-    assert [len(p) for p in g[0]] == [2] and tuple(g[0][0][1][2]) == (2.0, 2.0) and len(g[1]) == 2 and tuple(g[1][1][0][0]) == (5.5, 5.0) and g[2] is None and g[3] is None and g[4] == []
+    g = [r.g for r in spark.createDataFrame([(w,) for w in wkt], "w string").select(geometry.from_wkt("w").alias("g")).collect()]
+    assert [len(p) for p in g[0]] == [2] and tuple(g[0][0][1][2]) == (2.0, 2.0) and len(g[1]) == 2 and tuple(g[1][1][0][0]) == (5.5, 5.0) and g[2] == [] and g[3] is None and g[4] == []
     rows = [(0, "b", 1, 1, " Dead", wkt[0])]
     spark.createDataFrame(rows, "patch_idx long, barcode string, cell_id_in_patch long, class_id long, class_name string, geometry_wkt string").write.parquet(str(tmp_path / "cells/sample_id=1"))
     got = readers.cells_normalised(spark, str(tmp_path / "cells")).first()
@@ -388,7 +488,7 @@ def test_readers_and_sinks(spark, tmp_path):
     made = pipeline.statistics(pipeline.extract(some_patches(spark), None, schema.Config()), schema.Config(save_boxplot=False), ["patch_idx"], ["barcode"])
     assert set(made) == {"describe", "representatives"}
     sinks.csv_and_parquet(made["describe"], str(tmp_path / "stats"))
-    sinks.manifest(made["representatives"].limit(0), str(tmp_path / "manifest"))
+    sinks.manifest(made["representatives"], str(tmp_path / "manifest"))
     sinks.json_rows(sinks.parquet_safe(some_patches(spark)), str(tmp_path / "json"))
     assert spark.read.parquet(str(tmp_path / "stats/parquet")).count() == made["describe"].count()
     assert readers.sample_ids(spark, str(tmp_path / "cells"), ["x", "1"]) == ["1"] and readers.sample_ids(spark, str(tmp_path / "none")) == []
@@ -414,3 +514,151 @@ def test_paths_and_settings(tmp_path):
     (tmp_path / "c.yml").write_text("- 1")
     with pytest.raises(ValueError):
         paths.config_file(str(tmp_path / "c.yml"))
+
+
+# ------------------------------------------------------------ well-known binary and text, cells with bounds
+
+
+def _wkb(kind, body, order="<", flags=0, srid=None):
+    head = (b"\x01" if order == "<" else b"\x00") + struct.pack(order + "I", kind | flags | (wkb.SRID if srid is not None else 0))
+    return head + (struct.pack(order + "I", srid) if srid is not None else b"") + body
+
+
+def _rings(rings, order="<", more=0):
+    return struct.pack(order + "I", len(rings)) + b"".join(struct.pack(order + "I", len(r)) + b"".join(struct.pack(order + f"{2 + more}d", *p, *[7.0] * more) for p in r) for r in rings)
+
+
+def _many(parts, order="<"):
+    return struct.pack(order + "I", len(parts)) + b"".join(parts)
+
+
+A, B = [(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (0.0, 0.0)], [(1.0, 1.0), (2.0, 1.0), (1.5, 2.25), (1.0, 1.0)]
+
+
+def _plain(rows):
+    return [None if r is None else [[[(p["x"], p["y"]) for p in ring] for ring in polygon] for polygon in r] for r in rows]
+
+
+def test_well_known_binary_of_all_kinds():
+    point, line = _wkb(1, struct.pack("<2d", 5, 6)), _wkb(2, struct.pack(">I4d", 2, 0, 0, 1, 1), ">")
+    cases = [
+        (_wkb(3, _rings([A])), [[A]]), (_wkb(3, _rings([A, B], ">"), ">"), [[A, B]]), (None, None), (_wkb(6, _many([_wkb(3, _rings([A])), _wkb(3, _rings([B], ">"), ">")])), [[A], [B]]),
+        (_wkb(7, _many([point, line, _wkb(7, _many([_wkb(3, _rings([A, B])), point])), _wkb(3, _rings([])), _wkb(6, _many([_wkb(3, _rings([B], ">"), ">")], ">"), ">")])), [[A, B], [B]]),
+        (point, []), (line, []), (_wkb(4, _many([point, point])), []), (_wkb(5, _many([line])), []), (_wkb(7, _many([])), []),
+        (_wkb(1003, _rings([A], more=1)), [[A]]), (_wkb(2003, _rings([A], more=1)), [[A]]), (_wkb(3003, _rings([A, B], more=2)), [[A, B]]),
+        (_wkb(3, _rings([A], more=1), flags=wkb.Z), [[A]]), (_wkb(3, _rings([A], ">", more=2), ">", flags=wkb.Z | wkb.M, srid=4326), [[A]]), (_wkb(1001, struct.pack("<3d", 1, 2, 3)), []),
+    ]
+    column = pa.array([c for c, _ in cases], pa.binary())
+    assert _plain(wkb.decoded(column).to_pylist()) == [w for _, w in cases]
+    assert _plain(wkb.decoded(column[3:9]).to_pylist()) == [w for _, w in cases][3:9]  # a part of a column
+    back = wkb.encoded(wkb.decoded(column))
+    assert _plain(wkb.decoded(back).to_pylist()) == [w for _, w in cases] and back[0].as_py() == cases[0][0] and back[3].as_py()[5:9] == struct.pack("<I", 2)
+    open_ = pa.array([[[[{"x": x, "y": y} for x, y in A[:-1]]]]], wkb.POLYGONS)
+    assert wkb.encoded(open_)[0].as_py() == cases[0][0]  # rings are closed
+    assert len(wkb.decoded(pa.array([], pa.binary()))) == len(wkb.encoded(pa.array([], wkb.POLYGONS))) == 0
+    for bad in (cases[0][0][:-1], b"\x05", b"", _wkb(9, b""), _wkb(6, _many([_wkb(3, _rings([A]))])[:-3])):
+        with pytest.raises(ValueError, match="a geometry"):
+            wkb.decoded(pa.array([bad], pa.binary()))
+
+
+def test_well_known_binary_of_random_cells():
+    rng = np.random.default_rng(2)
+    rows = [[[[(float(x), float(y)) for x, y in rng.normal(size=(rng.integers(1, 9), 2))] for _ in range(rng.integers(1, 4))] for _ in range(rng.integers(0, 4))] if k % 7 else None for k in range(200)]
+    column = pa.array([r and [[[{"x": x, "y": y} for x, y in ring] for ring in p] for p in r] for r in rows], wkb.POLYGONS)
+    closed = [None if r is None else [[ring if ring[0] == ring[-1] else [*ring, ring[0]] for ring in p] for p in r] for r in (r if r is None or r else [] for r in rows)]
+    got = _plain(wkb.decoded(wkb.encoded(column)).to_pylist())
+    assert got == [None if r is None and rows[k] is None else (r or []) for k, r in enumerate(closed)]
+
+
+def test_well_known_text_of_all_kinds():
+    text = wkb.polygons_of_text
+    assert text("POLYGON ((0 0, 4 0, 4 4, 0 0), (1 1,2 1,1.5 2.25,1 1))") == [[A, B]]
+    assert text("MULTIPOLYGON Z (((0 0 9, 4 0 9, 4 4 9, 0 0 9)), ((1 1 9,2 1 9,1.5 2.25 9,1 1 9)))") == [[A], [B]]
+    nested = "GEOMETRYCOLLECTION (POINT (1 2), POLYGON ((0 0,4 0,4 4,0 0)), GEOMETRYCOLLECTION(LINESTRING(0 0,1 1), MULTILINESTRING((0 0,1 1),(2 2,3 3)), MULTIPOLYGON(((1 1,2 1,1.5 2.25,1 1)))), POLYGON EMPTY)"
+    assert text(nested) == [[A], [B]]
+    assert [text(t) for t in ("POINT(1 2)", "polygon empty", "SRID=3;POLYGON((0 0,1e1 0,1 -1))", "")] == [[], [], [[[(0.0, 0.0), (10.0, 0.0), (1.0, -1.0)]]], []]
+    for bad in ("POLYGON ((0 0, 1 1", "POLYGON ((0, 1 1))", "POLYGON ((a b, 1 1))"):
+        with pytest.raises(ValueError):
+            text(bad)
+
+
+def test_cells_with_bounds_are_read_by_window(spark, tmp_path):
+    rows = [(f"s{s}", k, f"B{k}", k, "Dead", BOX(100.0 * (k % 40), 100.0 * (k % 40) + 5.0)) for s in range(2) for k in range(1600)]
+    rows += [("s0", 9999, "B", 1, "Dead", None)]
+    df = spark.createDataFrame(rows, "sample_id string, patch_idx long, barcode string, cell_id_in_patch long, class_name string, geometry array<array<struct<x:double,y:double>>>")
+    path = str(tmp_path / "cells")
+    sinks.geo_cells(df, None, path, group_bytes=1)  # as small as row groups get
+    back = readers.cells(spark, path)
+    assert back.count() == len(rows) and spark.read.parquet(path).schema["geometry"].dataType.typeName() == "binary"
+    assert {(r.sample_id, r.patch_idx): r.geometry and r.geometry[0][0][0].x for r in back.collect()} == {(r[0], r[1]): r[5] and r[5][0][0][0] for r in rows}
+    some = readers.cells(spark, path, (1000.0, 0.0, 1101.0, 1e9))
+    assert {r.patch_idx % 40 for r in some.collect()} == {10, 11} and some.count() == 2 * 2 * 40
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plan = readers.cells(spark, path, (1000.0, 0.0, 1101.0, 1e9))._jdf.queryExecution().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(bbox.xmax,1000.0)" in plan and "LessThanOrEqual(bbox.xmin,1101.0)" in plan
+    with pytest.raises(KeyError):
+        df.write.partitionBy("sample_id").parquet(str(tmp_path / "plain"))
+        readers.cells(spark, str(tmp_path / "plain"), (0, 0, 1, 1))
+    # the features of cells from this table are those of the cells themselves
+    cells = some_cells(spark)
+    sinks.geo_cells(cells, None, str(tmp_path / "few"))
+    cols = ["patch_idx", "status", "cellseg_mask_area", "morph_pixelsurface_mean", "cellseg_all_original_glcm_Id"]
+    got = pipeline.cell_features(some_patches(spark), readers.cells_normalised(spark, str(tmp_path / "few"))).select(cols).collect()
+    assert sorted(map(str, got)) == sorted(map(str, pipeline.cell_features(some_patches(spark), cells).select(cols).collect()))
+
+
+def test_places_on_the_curve_are_near(spark):
+    df = spark.range(64 * 64).selectExpr("id % 64 AS x", "id DIV 64 AS y").withColumn("p", geometry.curve_place("x", "y"))
+    at = [(r.x, r.y) for r in df.orderBy("p").collect()]
+    assert df.select("p").distinct().count() == 64 * 64 and all(abs(a - c) + abs(b - d) == 1 for (a, b), (c, d) in zip(at, at[1:]))
+
+
+def _unpacked(data):
+    """The image of a PNG, by its own filters."""
+    assert data.startswith(pictures.SIGNATURE)
+    at, body = 8, b""
+    while at < len(data):
+        (n,), name = struct.unpack(">I", data[at : at + 4]), data[at + 4 : at + 8]
+        chunk = data[at + 8 : at + 8 + n]
+        assert struct.unpack(">I", data[at + 8 + n : at + 12 + n])[0] == zlib.crc32(name + chunk)
+        if name == b"IHDR":
+            w, h, depth, kind = struct.unpack(">IIBB", chunk[:10])
+        body += chunk if name == b"IDAT" else b""
+        at += 12 + n
+    step, lines = {0: 1, 2: 3}[kind], np.frombuffer(zlib.decompress(body), np.uint8).reshape(h, -1)
+    out = np.zeros((h, w * step), np.uint8)
+    for y, line in enumerate(lines):
+        for x in range(w * step):
+            before = {0: 0, 1: out[y, x - step] if x >= step else 0, 2: out[y - 1, x] if y else 0}[int(line[0])]
+            out[y, x] = (int(line[1 + x]) + int(before)) % 256
+    assert depth == 8
+    return out.reshape((h, w) if step == 1 else (h, w, 3))
+
+
+def test_pictures_hold_what_masks_and_cells_say(spark):
+    from spatialfeat.functions import kernels
+    from spatialfeat.operators import segmentation
+
+    rng = np.random.default_rng(6)
+    rgb = rng.integers(0, 256, (2, 9, 7, 3))
+    patches = spark.createDataFrame([("s", i, rgb[i].reshape(-1).tolist() if i < 2 else None, 9, 7) for i in range(3)], "sample_id string, patch_idx long, px array<int>, h int, w int")
+    cells = spark.createDataFrame([("s", 0, 1, "dead", BOX(1.0, 4.0)), ("s", 0, 2, "other", BOX(5.0, 9.0))], "sample_id string, patch_idx long, cell_id_in_patch long, class_name string, geometry array<array<struct<x:double,y:double>>>")
+    rows = pictures.pictures(segmentation.overlay_rows(patches, cells), ["sample_id", "patch_idx"], cells="cells").collect()
+    got = {(r.patch_idx, r.kind): _unpacked(r.png) for r in rows}
+    assert {k for i, k in got if i == 0} == set(pictures.KINDS) and {k for i, k in got if i == 1} == set(pictures.KINDS[:4]) and not any(i == 2 for i, _ in got)
+    for i in (0, 1):
+        gray = kernels.luma(rgb[i])
+        inside = (gray > 30) & (gray < 220)
+        assert np.array_equal(got[i, "color"], rgb[i]) and np.array_equal(got[i, "gray"], gray)
+        assert np.array_equal(got[i, "masked_gray_threshold"], np.where(inside, gray, 0)) and np.array_equal(got[i, "masked_color_threshold"], np.where(inside[..., None], rgb[i], 0))
+    covered = np.zeros((9, 7), bool)
+    covered[1:5, 1:5] = covered[5:9, 5:7] = True
+    assert np.array_equal(got[0, "masked_color_cellseg"], np.where(covered[..., None], rgb[0], 0))
+    edges, want = got[0, "outlines"], rgb[0].copy()
+    want[1:5, [1, 4]] = want[[1, 4], 1:5] = (255, 255, 0)
+    want[5:9, 5] = want[5, 5:7] = (255, 255, 255)
+    assert np.array_equal(edges, want)
+    assert pictures.pictures(patches, ["patch_idx"], ("gray",)).count() == 2
+    with pytest.raises(ValueError):
+        pictures.pictures(patches, ["patch_idx"], ("sepia",))
