@@ -93,6 +93,24 @@ def carried(columns: list[str], own: tuple[str, ...]) -> list[str]:
     return [c for c in dict.fromkeys(columns) if c not in own]
 
 
+#: Rows that one value of an array stands for at most where rows are repeated.
+REPEATED = 1 << 16
+
+
+def repeated(df: DataFrame, count: str, number: str, block: int = REPEATED) -> DataFrame:
+    """Every row as often as its column `count` says, numbered from 1; not at all where that is null or below 1.
+
+    Numbers are made in two levels, of which neither is an array of more than `block` values (a count of up to block squared), so a row that stands
+    for very many is never one large value.
+    """
+    many = F.col(count) >= 1
+    last = F.shiftright((F.col(count) - 1).cast("long"), block.bit_length() - 1)
+    blocks = df.where(many).withColumn("rp_block", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    first = F.col("rp_block") * block
+    own = F.explode(F.sequence(first + 1, F.least(first + block, F.col(count).cast("long"))))
+    return blocks.withColumn(number, own).drop("rp_block")
+
+
 def word_count(col):
     """Number of words of a text column; 0 for null."""
     return F.coalesce(F.regexp_count(col, F.lit(WORD)), F.lit(0)).cast("long")

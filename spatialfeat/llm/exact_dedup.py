@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, reduce_partitions, whole_row
+from .common import materialise, reduce_partitions, repeated, whole_row
 
 #: Columns of a record before those that come along; of rows with one id, the larger tie stays.
 CONTENT, ID, COUNT, TIE = "gd_content", "gd_id", "gd_count", "gd_tie"
@@ -180,7 +180,6 @@ def groups(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame
     once = Window.partitionBy("text_sha256")
     same = F.when(F.count("*").over(once) > 1, F.raise_error(F.lit("two texts have one SHA-256")).cast("long")).otherwise(F.col("keep_id"))
     texts = materialise(texts.withColumn("keep_id", same))
-    met = members.join(texts, "text_sha256")
-    met = met.withColumn("gd_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("gd_rows"))))
+    met = repeated(members.join(texts, "text_sha256"), "gd_rows", "gd_row")
     kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("gd_row") == 1)
     return met.select("doc_id", "keep_id", "group_size", kept.alias("kept"), "text_sha256")

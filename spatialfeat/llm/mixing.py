@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, word_count
+from .common import materialise, repeated, word_count
 
 #: Weights of the sources in code point order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -98,7 +98,7 @@ def mix(docs: DataFrame, text: str = "text", seed: str = "mix", weights: tuple[i
     rows = docs.select("doc_id", "source", word_count(F.col(text)).alias("mix_size"), place_key(F.col("doc_id"), F.col(text)).alias("mix_key"))
     counted = materialise(rows.groupBy("doc_id", "source", "mix_size", "mix_key").agg(F.count("*").alias("mix_n")))
     ranked = _ranked(counted, ["mix_key"], seed, weights, most)
-    each = ranked.withColumn("mix_at", F.explode(F.sequence(F.col("mix_before") + 1, F.col("mix_before") + F.col("mix_n"))))
+    each = repeated(ranked, "mix_n", "mix_row").withColumn("mix_at", F.col("mix_before") + F.col("mix_row"))
     copies = (_crossed(F.col("mix_at")) - _crossed(F.col("mix_at") - 1)).alias("mix_copies")
     return each.select("doc_id", "source", "mix_size", "mix_source_size", "mix_target", copies)
 
@@ -112,5 +112,5 @@ def mixed(docs: DataFrame, text: str = "text", seed: str = "mix", weights: tuple
     tie = F.to_json(F.struct(*(own(c).alias(f"c{k}") for k, c in enumerate(docs.columns) if c != text)))
     ranked = _ranked(counted.withColumn("mix_tie", tie), ["mix_key", "mix_tie"], seed, weights, most)
     copies = _crossed(F.col("mix_before") + F.col("mix_n")) - _crossed(F.col("mix_before"))
-    drawn = ranked.select("mix_row", copies.alias("mix_copies")).where("mix_copies > 0")
-    return drawn.select("mix_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("mix_copies")))).select("mix_row.*")
+    drawn = ranked.select("mix_row", copies.alias("mix_copies"))
+    return repeated(drawn, "mix_copies", "mix_copy").select("mix_row.*")

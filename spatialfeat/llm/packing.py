@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import word_count
+from .common import repeated, word_count
 
 CAPACITY = 2048
 SOURCE_MOST = 3
@@ -109,6 +109,6 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, source_most: int = SOURCE_MO
     shards = max(1, -(-docs.count() // shard_rows))
     # repeated rows are counted first and then spread by their number, so that many of them do not meet in one shard
     counted = small.groupBy(*small.columns).agg(F.count("*").alias("rows"))
-    each = counted.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
+    each = repeated(counted, "rows", "copy")
     dealt = each.select(*small.columns, F.pmod(F.xxhash64("doc_id", "n_words", "cluster", "copy"), F.lit(shards)).alias("shard"))
     return dealt.groupBy("shard").applyInArrow(lambda rows: _packed(rows, capacity, source_most), SCHEMA)

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import materialise, repeated
 
 END = "\r\n"
 DATE = "1970-01-01T00:00:00Z"
@@ -54,7 +54,7 @@ def records(pages: DataFrame, least: int = 0, date: str = DATE) -> DataFrame:
         F.max(F.struct("page_id", "url")).alias("top"), F.max(F.struct("bytes", "sha1")).alias("high"), F.min(F.struct("bytes", "sha1")).alias("low"),
     ).withColumn("top", F.when(F.col("high") == F.col("low"), F.col("top")).otherwise(F.raise_error(F.lit("two payloads have one SHA-256"))))
     owners = materialise(owners.select("digest", F.col("top.page_id").alias("owner"), F.col("top.url").alias("owner_url")))  # a plain table: the hot side of the join can be split
-    met = seen.join(owners, "digest").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    met = repeated(seen.join(owners, "digest"), "copies", "copy")
     first = F.col("page_id").eqNullSafe(F.col("owner")) & F.col("url").eqNullSafe(F.col("owner_url")) & (F.col("copy") == 1)
     again = (F.col("bytes") >= least) & ~first
     target = F.concat(F.lit("WARC-Target-URI: "), F.regexp_replace(F.regexp_replace("url", "\r", "%0D"), "\n", "%0A"))

@@ -322,3 +322,31 @@ def test_carried_columns_that_clash_give_way(spark):
     pages = docs.select("*", F.lit("http://a.net/").alias("url"), F.lit("x").alias("html"))
     out = url_filters.judge(pages, ["doc_id", "host", "path", "score"])
     assert len(out.columns) == len({*out.columns}) and out.first().host == "a.net"
+
+
+def test_rows_without_ids_are_documents_of_their_own(spark):
+    passage = " ".join(f"w{k}" for k in range(60))
+    rows = [(None, passage), (None, passage), (None, "short"), (7, f"before it {passage}"), (7, "nothing else"), (None, " ".join(f"v{k}" for k in range(70)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted((str(r.doc_id), [tuple(s) for s in r.spans]) for r in suffix_dedup.repeated_spans(docs).collect())
+    assert got == [("7", [(2, 62)]), ("None", [(0, 60)]), ("None", [(0, 60)])]
+    only = suffix_dedup.repeated_spans(docs.where("doc_id IS NULL")).collect()
+    assert len(only) == 2 and all(r.doc_id is None for r in only)
+    own = spark.createDataFrame([(7, passage), (7, passage)], "doc_id long, text string")
+    assert suffix_dedup.repeated_spans(own).count() == 0
+
+
+def test_rows_are_repeated_in_two_levels(spark):
+    from spatialfeat.llm.common import repeated
+
+    rows = [("a", 1), ("b", 4), ("c", 5), ("d", 0), ("e", None), ("f", 17)]
+    got = repeated(spark.createDataFrame(rows, "own string, n long"), "n", "k", 4).collect()
+    assert sorted((r.own, r.k) for r in got) == [(own, k) for own, n in rows for k in range(1, (n or 0) + 1)]
+    many = repeated(spark.createDataFrame([("x", 5_000_000)], "own string, n long"), "n", "k").agg(F.count("*"), F.count_distinct("k"), F.max("k")).first()
+    assert tuple(many) == (5_000_000,) * 3
+
+
+def test_millions_of_equal_rows(spark):
+    docs = spark.range(2_000_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("one text").alias("text"), F.lit("s").alias("source"))
+    out = mixing.mix(docs).agg(F.count("*").alias("n"), F.sum(F.col("mix_copies") * F.col("mix_size")).alias("taken"), F.first("mix_target").alias("target")).first()
+    assert out.n == 2_000_000 and abs(out.taken - out.target) <= 2
