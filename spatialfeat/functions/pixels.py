@@ -83,3 +83,8 @@ def filtered(px: Column, kind: str) -> Column:
     if kind == "exponential":
         return F.transform(x, lambda v: F.exp(F.log(top) / top * v))
     raise ValueError(f"no such filter: {kind}")
+
+
+def in_bytes(px: Column) -> Column:
+    """Pixels of 8 bits as bytes."""
+    return F.unhex(F.array_join(F.transform(px, lambda v: F.lpad(F.hex(v.cast("long")), 2, "0")), ""))

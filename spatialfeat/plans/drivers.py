@@ -11,11 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.pixels import in_bytes
 from ..operators import genes, segmentation
 from ..operators.selection import chosen, of_samples
 from ..operators.texture import patch_features
 from ..schema import Config
-from ..sources import paths, readers, sinks
+from ..sources import hdf5, paths, readers, sinks
 from . import pipeline
 
 #: What reading, planning and running can raise.
@@ -50,12 +51,23 @@ def _each(wanted: list[str], done: list[str], run: Callable[[list[str]], None])
 
 
 def _patches(spark: SparkSession, config: Config, tree: str, some: list[str], reader: str = "extract") -> DataFrame:
-    """Patches of some samples; only their partitions are listed and read."""
+    """Patches of some samples, from the partitions of a table and from HDF5 files; only theirs are listed and read."""
     at = paths.stage(config.root, tree, "patches")
-    one = spark.read.option("basePath", at).parquet(f"{at}/sample_id={some[0]}").schema
-    fields = [T.StructField(f.name, T.StringType()) if f.name == "sample_id" else f for f in one.fields]
-    found = spark.read.option("basePath", at).schema(T.StructType(fields)).parquet(*(f"{at}/sample_id={s}" for s in some))
-    return readers.patches(found, reader)
+    files = set(sinks.files_at(spark, at, readers.HDF5_ENDINGS))
+    stored, parts = [s for s in some if s not in files], []
+    if stored:
+        one = spark.read.option("basePath", at).parquet(f"{at}/sample_id={stored[0]}").schema
+        fields = [T.StructField(f.name, T.StringType()) if f.name == "sample_id" else f for f in one.fields]
+        found = spark.read.option("basePath", at).schema(T.StructType(fields)).parquet(*(f"{at}/sample_id={s}" for s in stored))
+        parts.append(readers.patches(found, reader))
+    if files & set(some):
+        parts.append(hdf5.patches(spark, at, reader, [s for s in some if s in files]))
+    if len(parts) == 1:
+        return parts[0]
+    columns = ("sample_id", "patch_idx", "barcode", "x", "y", "h", "w", "layout", "px")
+    as_bytes = lambda df: df if isinstance(df.schema["px"].dataType, T.BinaryType) else df.withColumn("px", in_bytes(F.col("px")))
+    first, second = (as_bytes(df).select(*columns) for df in parts)
+    return first.unionByName(second)
 
 
 def extract_all(spark: SparkSession, config: Config, measurements: list[str] = (), order: list[str] = ()) -> dict[str, dict[str, str]]:

@@ -16,7 +16,11 @@ from ..operators.genes import totals as long_totals
 from ..operators.geometry import from_wkb, from_wkt
 from ..operators.selection import of_samples, wanted_datasets
 from ..schema import resolve
-from .sinks import read_samples, samples_at
+from . import h5ad
+from .sinks import files_at, read_samples, samples_at
+
+#: Endings of files that hold the patches of a sample.
+HDF5_ENDINGS = (".h5", ".hdf5")
 
 #: Columns that a table of segmented cells must have.
 CELL_COLUMNS = ("patch_idx", "barcode", "cell_id_in_patch", "class_id", "class_name", "geometry_wkt")
@@ -127,7 +131,14 @@ def expression(spark: SparkSession, path: str, samples: DataFrame | None = None)
 
 
 def expression_totals(spark: SparkSession, path: str, samples: DataFrame | None = None) -> Totals:
-    """Sums per sample and gene of either form; the genes of a matrix are in the table `path`_var (sample_id, index, gene)."""
+    """Sums per sample and gene of either form, or of the HDF5 files in the folder; the genes of a matrix are in the table `path`_var
+    (sample_id, index, gene), or in its file."""
+    if files_at(spark, path, (".h5ad",)):
+        matrix, var = h5ad.matrix(spark, path)
+        matrix, var = of_samples(matrix, samples), of_samples(var, samples)
+        if matrix.isEmpty():
+            raise FileNotFoundError(f"no sample to read in {path}")
+        return matrix_totals(unique_observations(matrix), var)
     df = expression(spark, path, samples)
     return matrix_totals(df, of_samples(read_samples(spark, f"{path}_var"), samples)) if "indices" in df.columns else long_totals(df)
 
@@ -138,6 +149,6 @@ def features(spark: SparkSession, path: str, status_filter: str | None = "ok") -
 
 
 def sample_ids(spark: SparkSession, path: str, wanted_ids: list[str] | None = None) -> list[str]:
-    """Samples of a partitioned table in order, or the wanted ones in the order asked for; unknown ids are left out."""
-    there = samples_at(spark, path)
+    """Samples of a partitioned table and of HDF5 files beside it in order, or the wanted ones in the order asked for; unknown ids are left out."""
+    there = sorted({*samples_at(spark, path), *files_at(spark, path, HDF5_ENDINGS)})
     return there if wanted_ids is None else [s for s in dict.fromkeys(wanted_ids) if s in set(there)]

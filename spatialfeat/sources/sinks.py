@@ -30,6 +30,15 @@ def samples_at(spark: SparkSession, path: str) -> list[str]:
     return sorted(unescape(n.partition("=")[2]) for n in names if n.startswith("sample_id="))
 
 
+def files_at(spark: SparkSession, path: str, endings: tuple[str, ...]) -> list[str]:
+    """Names without their endings of the files in a folder that have one of some endings, in order."""
+    fs, p = _file_system(spark, path)
+    if not fs.exists(p):
+        return []
+    names = [f.getPath().getName() for f in fs.listStatus(p) if not f.isDirectory()]
+    return sorted(n.rpartition(".")[0] for n in names if n.endswith(endings))
+
+
 def read_samples(spark: SparkSession, path: str) -> DataFrame:
     """A table partitioned by sample, whose ids are text even where they look like numbers."""
     found = spark.read.parquet(path).schema
