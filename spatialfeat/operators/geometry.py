@@ -28,11 +28,10 @@ def rectangle(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
 
 
 def _over_edges(ring: Column, term) -> Column:
-    """Sum of a term over the edges of a closed ring."""
+    """Sum of a term over the edges of a closed ring: its points beside the same ones moved on by one."""
     n = F.size(ring)
-    at = lambda i: F.get(ring, i)
-    terms = F.transform(F.sequence(F.lit(0), n - 1), lambda i: term(at(i), at((i + 1) % n)))
-    return F.when(n >= 3, F.aggregate(terms, F.lit(0.0), lambda a, b: a + b)).otherwise(0.0)
+    moved = F.concat(F.slice(ring, 2, F.greatest(n - 1, F.lit(0))), F.slice(ring, 1, 1))
+    return F.when(n >= 3, F.aggregate(F.zip_with(ring, moved, term), F.lit(0.0), lambda a, b: a + b)).otherwise(0.0)
 
 
 def ring_area(ring: Column) -> Column:

@@ -128,14 +128,14 @@ def batch_of(p: Run, names: bool) -> pa.RecordBatch:
 
 class _Reader(DataSourceReader):
     def __init__(self, options: dict):
-        self.options = options
-        self.names = options.get("names", "false").lower() == "true"
+        self.options = {k.lower(): v for k, v in options.items()}
+        self.names = self.options.get("names", "false").lower() == "true"
 
     def partitions(self) -> list[Run]:
         paths = files_at(self.options["path"], ENDINGS)
         if wanted := self.options.get("samples"):
             paths = [p for p in paths if posixpath.splitext(posixpath.basename(p))[0] in wanted.split(",")]
-        most = int(self.options.get("partitionRows", PARTITION_ROWS))
+        most = int(self.options.get("partitionrows", PARTITION_ROWS))
         return [r for p in paths for r in planned(p, self.names, most)] or [Run("", 0, 0)]
 
     def read(self, partition: Run) -> Iterator[pa.RecordBatch]:

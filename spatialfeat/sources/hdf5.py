@@ -150,13 +150,13 @@ def batch_of(p: Rows) -> pa.RecordBatch:
 
 class _Reader(DataSourceReader):
     def __init__(self, options: dict):
-        self.options = options
+        self.options = {k.lower(): v for k, v in options.items()}
 
     def partitions(self) -> list[Rows]:
         paths = files_at(self.options["path"])
         if wanted := self.options.get("samples"):
             paths = [p for p in paths if posixpath.splitext(posixpath.basename(p))[0] in wanted.split(",")]
-        most = int(self.options.get("partitionBytes", PARTITION_BYTES))
+        most = int(self.options.get("partitionbytes", PARTITION_BYTES))
         return [r for p in paths for r in planned(p, self.options.get("reader", "extract"), most)] or [Rows("", 0, 0)]
 
     def read(self, partition: Rows) -> Iterator[pa.RecordBatch]:

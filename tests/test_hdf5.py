@@ -195,10 +195,11 @@ def test_features_from_files_are_those_of_tables(spark, folder, images):
     at, codes, places = folder
     flat = [("s1", i, codes[i], float(places[i, 0]), float(places[i, 1]), 8, 8, images[i].reshape(-1).tolist()) for i in range(23)]
     table = spark.createDataFrame(flat, schema.PATCHES)
-    want = pipeline.threshold_features(table).drop("sample_id").collect()
+    # sums over other batches may differ in their last bits
+    plain = lambda rows, s: sorted(str([float(f"{v:.9g}") if isinstance(v, float) else v for c, v in r.asDict().items() if c != "sample_id"]) for r in rows if r.sample_id == s)
+    want = plain(pipeline.threshold_features(table).collect(), "s1")
     got = pipeline.threshold_features(source.patches(spark, str(at))).collect()
-    for s in ("s1", "s2"):
-        assert sorted(map(str, want)) == sorted(str(r) for r in spark.createDataFrame([r for r in got if r.sample_id == s], pipeline.threshold_features(table).schema).drop("sample_id").collect())
+    assert plain(got, "s1") == want and plain(got, "s2") == want
 
 
 def test_drivers_read_files(spark, folder):
