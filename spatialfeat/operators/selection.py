@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..schema import keys_of
+
 
 def of_samples(df: DataFrame, wanted: DataFrame | None, key: str = "sample_id") -> DataFrame:
     """Rows of the wanted samples in their own order; None keeps all, unknown ids are ignored."""
@@ -19,8 +21,8 @@ def not_done(requested: DataFrame, done: DataFrame, key: str = "sample_id", over
 
 
 def by_barcode(features: DataFrame, expression: DataFrame, key: str = "barcode") -> DataFrame:
-    """Rows of both tables that share a barcode."""
-    return features.join(expression, key)
+    """Rows of both tables that share a barcode, and a sample where both have one: barcodes repeat across samples."""
+    return features.join(expression, keys_of(features, expression, keys=(key,)))
 
 
 def chunks_joined(*chunks: DataFrame) -> DataFrame:

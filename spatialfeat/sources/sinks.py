@@ -105,6 +105,10 @@ def cells(df: DataFrame, summary: DataFrame | None, path: str) -> None:
     samples(with_summary(df, summary), path)
 
 
+#: What GeoParquet says of a geometry column with bounds.
+GEO = {
+    "encoding": "WKB", "geometry_types": ["Polygon", "MultiPolygon"], "covering": {"bbox": {c: ["bbox", c] for c in ("xmin", "ymin", "xmax", "ymax")}},
+}
 #: Bytes of a row group of cells with bounds: small enough for a window to leave most of a file out.
 GROUP_BYTES = 8 << 20
 
@@ -113,8 +117,8 @@ def geo_cells(df: DataFrame, summary: DataFrame | None, path: str, group_bytes:
     """Cells with the summary of their patch, of the samples of df, in the columns of GeoParquet: geometry as well-known binary and bbox with its bounds.
 
     Rows of a sample are in order along a Hilbert curve through the middles of their bounds, so that row groups are compact and a window
-    reads few. Every sample is dealt to as many tasks as it needs, in runs of that order. The file's own `geo` entry is not
-    written, as Spark's writer has no place for it.
+    reads few. Every sample is dealt to as many tasks as it needs, in runs of that order. What GeoParquet says of a geometry in a `geo` entry
+    of the file stands in the column's metadata, as Spark's writer has no place for such an entry.
     """
     own = with_summary(df, summary)
     whole = F.col("geometry") if isinstance(own.schema["geometry"].dataType.elementType.elementType, T.ArrayType) else F.when(F.col("geometry").isNotNull(), F.array("geometry"))
@@ -126,6 +130,7 @@ def geo_cells(df: DataFrame, summary: DataFrame | None, path: str, group_bytes:
     middle = lambda a: (F.col(f"bbox.{a}min") + F.col(f"bbox.{a}max")) / 2 - F.col(f"low_{a}")
     whole_number = lambda v: F.least(F.floor(v / F.col("span_") * (1 << CURVE_BITS)), F.lit((1 << CURVE_BITS) - 1)).cast("long")
     placed = met.withColumn("curve_", curve_place(whole_number(middle("x")), whole_number(middle("y")))).drop("low_x", "low_y", "span_").withColumn("geometry", to_wkb("geometry"))
+    placed = placed.withColumn("geometry", F.col("geometry").alias("geometry", metadata=GEO))
     ordered = placed.repartitionByRange("sample_id", "curve_").sortWithinPartitions("sample_id", "curve_").drop("curve_")
     out = ordered.write.option("partitionOverwriteMode", "dynamic").option("parquet.block.size", group_bytes).mode("overwrite")
     out.partitionBy("sample_id").parquet(path)

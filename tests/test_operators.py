@@ -539,6 +539,13 @@ def _plain(rows):
     return [None if r is None else [[[(p["x"], p["y"]) for p in ring] for ring in polygon] for polygon in r] for r in rows]
 
 
+def test_barcodes_meet_within_their_sample(spark):
+    features = spark.createDataFrame([("s", "B1", 1), ("t", "B1", 2), ("t", "B2", 3)], "sample_id string, barcode string, f int")
+    expr = spark.createDataFrame([("s", "B1", 7), ("t", "B1", 8)], "sample_id string, barcode string, g int")
+    assert sorted((r.f, r.g) for r in selection.by_barcode(features, expr).collect()) == [(1, 7), (2, 8)]
+    assert selection.by_barcode(features, expr.drop("sample_id")).count() == 4
+
+
 def test_well_known_binary_of_all_kinds():
     point, line = _wkb(1, struct.pack("<2d", 5, 6)), _wkb(2, struct.pack(">I4d", 2, 0, 0, 1, 1), ">")
     cases = [
@@ -591,6 +598,7 @@ def test_cells_with_bounds_are_read_by_window(spark, tmp_path):
     back = readers.cells(spark, path)
     assert back.count() == len(rows) and spark.read.parquet(path).schema["geometry"].dataType.typeName() == "binary"
     assert {(r.sample_id, r.patch_idx): r.geometry and r.geometry[0][0][0].x for r in back.collect()} == {(r[0], r[1]): r[5] and r[5][0][0][0] for r in rows}
+    assert spark.read.parquet(path).schema["geometry"].metadata["covering"]["bbox"]["xmin"] == ["bbox", "xmin"]
     some = readers.cells(spark, path, (1000.0, 0.0, 1101.0, 1e9))
     assert {r.patch_idx % 40 for r in some.collect()} == {10, 11} and some.count() == 2 * 2 * 40
     spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
