@@ -158,7 +158,22 @@ def glcm_features(spark: SparkSession, d: str) -> DataFrame:
     return _features(spark, d, "glcm", without=("glcm_MCC",))
 
 
-@query()
+def _mcc_sql(rounds: int = 26) -> str:
+    """The second largest eigenvalue by repeated squaring: what is left of the scaled matrix without its first eigenvector, which is known
+    (the roots of the margins, with eigenvalue 1), is squared until only the largest one counts."""
+    return f"""WITH RECURSIVE {s.images_sql()}, {_PAIRS},
+m AS (SELECT vec_id, dir, i, j, count(*)::DOUBLE / sum(count(*)) OVER (PARTITION BY vec_id, dir) AS p FROM sym GROUP BY vec_id, dir, i, j),
+mx AS (SELECT vec_id, dir, i, sum(p) AS pi FROM m GROUP BY ALL),
+e AS (SELECT a.vec_id, a.dir, a.i, b.i AS j, coalesce(p, 0) / sqrt(a.pi * b.pi) - sqrt(a.pi * b.pi) AS v FROM mx a JOIN mx b ON a.vec_id = b.vec_id AND a.dir = b.dir LEFT JOIN m ON m.vec_id = a.vec_id AND m.dir = a.dir AND m.i = a.i AND m.j = b.i),
+e2 AS (SELECT a.vec_id, a.dir, a.i, b.j, sum(a.v * b.v) AS v FROM e a JOIN e b ON a.vec_id = b.vec_id AND a.dir = b.dir AND a.j = b.i GROUP BY ALL),
+sq(vec_id, dir, i, j, v, k) AS (SELECT vec_id, dir, i, j, v / nullif(sum(v) FILTER (i = j) OVER (PARTITION BY vec_id, dir), 0), 0 FROM e2 UNION ALL
+ SELECT vec_id, dir, i, j, v / nullif(sum(v) FILTER (i = j) OVER (PARTITION BY vec_id, dir), 0), k FROM
+ (SELECT a.vec_id, a.dir, a.i, b.j, sum(a.v * b.v) AS v, a.k + 1 AS k FROM sq a JOIN sq b ON a.vec_id = b.vec_id AND a.dir = b.dir AND a.j = b.i WHERE a.k < {rounds} GROUP BY ALL)),
+l AS (SELECT e2.vec_id, e2.dir, count(DISTINCT e2.i) AS levels, sum(e2.v * sq.v) AS squared FROM e2 LEFT JOIN sq ON sq.vec_id = e2.vec_id AND sq.dir = e2.dir AND sq.i = e2.i AND sq.j = e2.j AND sq.k = {rounds} GROUP BY ALL)
+SELECT vec_id, {R('avg(CASE WHEN levels < 2 THEN 1.0 ELSE sqrt(greatest(coalesce(squared, 0), 0)) END)')} AS "glcm_MCC" FROM l GROUP BY vec_id"""
+
+
+@query(_mcc_sql())
 def glcm_mcc(spark: SparkSession, d: str) -> DataFrame:
     return _features(spark, d, "glcm", only=("glcm_MCC",))
 
