@@ -37,8 +37,17 @@ def first_rows(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(best).select(*keys, *(F.col(f"best.{c}").alias(c) for c in rest))
 
 
-def wanted_datasets(meta: DataFrame, oncotrees: list[str], technologies: list[str], species: str = "Homo sapiens") -> DataFrame:
-    return meta.where((F.col("species") == species) & F.col("oncotree_code").isin(oncotrees) & F.col("st_technology").isin(technologies))
+def among(df: DataFrame, column: str, wanted: list[str] | DataFrame) -> DataFrame:
+    """Rows whose column is one of some values: of a list that the settings hold, or of the only column of a table."""
+    if not isinstance(wanted, DataFrame):
+        return df.where(F.col(column).isin(wanted))
+    values = wanted.toDF("wanted_")
+    return df.join(values, F.col(column) == F.col("wanted_"), "left_semi")
+
+
+def wanted_datasets(meta: DataFrame, oncotrees: list[str] | DataFrame, technologies: list[str] | DataFrame, species: str = "Homo sapiens") -> DataFrame:
+    """The datasets of a species with a wanted tumour type and technology."""
+    return among(among(meta.where(F.col("species") == species), "oncotree_code", oncotrees), "st_technology", technologies)
 
 
 def allow_patterns(samples: DataFrame, required: list[str], optional: list[str]) -> DataFrame:

@@ -274,9 +274,9 @@ def _catalogue(spark: SparkSession, d: str) -> DataFrame:
 @query("""SELECT c_custkey::VARCHAR AS id, 'Homo sapiens' AS species, n_name AS oncotree_code, c_mktsegment AS st_technology FROM customer JOIN nation ON c_nationkey = n_nationkey
 WHERE c_custkey % 3 <> 0 AND n_nationkey IN (1, 2, 3) AND c_mktsegment IN (SELECT min(c_mktsegment) FROM customer UNION ALL SELECT max(c_mktsegment) FROM customer)""")
 def metadata_filter(spark: SparkSession, d: str) -> DataFrame:
-    codes = [r[0] for r in s.load(spark, d, "nation").where("n_nationkey IN (1, 2, 3)").select("n_name").collect()]
-    ends = s.load(spark, d, "customer").agg(F.min("c_mktsegment"), F.max("c_mktsegment")).first()
-    return selection.wanted_datasets(_catalogue(spark, d), codes, list(ends))
+    codes = s.load(spark, d, "nation").where("n_nationkey IN (1, 2, 3)").select("n_name")
+    ends = s.load(spark, d, "customer").agg(F.array(F.min("c_mktsegment"), F.max("c_mktsegment")).alias("ends")).select(F.explode("ends").alias("end"))
+    return selection.wanted_datasets(_catalogue(spark, d), codes, ends)
 
 
 @query("SELECT place::INT AS place, s_name AS sample_id, folder || '/*' || s_name || '[_.]**' AS pattern FROM supplier, (VALUES (0, 'patches'), (1, 'st'), (2, 'metadata')) v(place, folder)")
