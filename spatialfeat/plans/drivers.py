@@ -191,9 +191,10 @@ def run_all(spark: SparkSession, config: Config, found: dict[str, DataFrame] | N
 
 
 def main(arguments: list[str]) -> None:
-    """Runs all stages with the settings of a YAML file."""
+    """Runs all stages with the settings of YAML files, of which later ones stand above earlier ones; sections are only for the eye."""
     spark = SparkSession.builder.appName("spatialfeat").getOrCreate()
-    print(run_all(spark, paths.settings(paths.config_file(arguments[0]) if arguments else {})))
+    found = paths.layered(*(paths.config_file(a) for a in arguments))
+    print(run_all(spark, paths.settings(paths.without_sections(found))))
 
 
 if __name__ == "__main__":

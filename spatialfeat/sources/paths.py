@@ -41,6 +41,30 @@ def config_file(path: str) -> dict:
     return found
 
 
+def layered(*mappings: dict) -> dict:
+    """Mappings as one: a later value stands above an earlier one unless it is None, and sections meet key by key, however deep they are."""
+    out: dict = {}
+    for mapping in mappings:
+        for key, value in mapping.items():
+            below = out.get(key)
+            if isinstance(value, dict):
+                out[key] = layered(below if isinstance(below, dict) else {}, value)
+            elif value is not None or key not in out:
+                out[key] = value
+    return out
+
+
+def without_sections(mapping: dict) -> dict:
+    """The settings of all sections beside each other; one that two sections have is an error."""
+    out: dict = {}
+    for key, value in mapping.items():
+        own = without_sections(value) if isinstance(value, dict) else {key: value}
+        if twice := sorted(set(own) & set(out)):
+            raise KeyError(f"settings that stand twice: {twice}")
+        out |= own
+    return out
+
+
 def settings(found: dict, **over) -> Config:
     """Settings from a mapping, with what is given besides in its place; what means nothing leaves the default.
 

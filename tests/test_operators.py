@@ -539,6 +539,17 @@ def _plain(rows):
     return [None if r is None else [[[(p["x"], p["y"]) for p in ring] for ring in polygon] for polygon in r] for r in rows]
 
 
+def test_settings_in_layers_and_sections():
+    from spatialfeat.sources import paths
+
+    base = {"a": {"x": 1, "deep": {"y": 2, "z": 3}}, "b": 4, "c": {"k": 1}}
+    assert paths.layered(base, {"a": {"deep": {"z": 9, "y": None}}, "b": None, "c": 7}, {"c": {"m": 2}}) == {"a": {"x": 1, "deep": {"y": 2, "z": 9}}, "b": 4, "c": {"m": 2}}
+    assert base == {"a": {"x": 1, "deep": {"y": 2, "z": 3}}, "b": 4, "c": {"k": 1}} and paths.layered() == {}
+    assert paths.settings(paths.without_sections({"normalise": {"lower_q": 0.05}, "root": "r"})).lower_q == 0.05
+    with pytest.raises(KeyError):
+        paths.without_sections({"a": {"root": 1}, "root": 2})
+
+
 def test_barcodes_meet_within_their_sample(spark):
     features = spark.createDataFrame([("s", "B1", 1), ("t", "B1", 2), ("t", "B2", 3)], "sample_id string, barcode string, f int")
     expr = spark.createDataFrame([("s", "B1", 7), ("t", "B1", 8)], "sample_id string, barcode string, g int")
