@@ -153,11 +153,11 @@ PIECES = [
 ]
 
 
-@pytest.mark.parametrize("reach", [0, 20, 256])
+@pytest.mark.parametrize("reach", [20, 256])
 def test_secrets_match_brute_force(spark, reach):
     rnd = random.Random(reach)
     filler = lambda: " ".join(rnd.choice(["the", "é", "cafe", "😀", "of it.", "\n", "decade", "-"]) for _ in range(rnd.choice([0, 1, 5, 30, 200])))
-    texts = [None, "", " ", *PIECES] + [" ".join(x for _ in range(rnd.randint(1, 8)) for x in (filler(), rnd.choice(PIECES))) for _ in range(400)]
+    texts = [None, "", " ", *PIECES] + [" ".join(x for _ in range(rnd.randint(1, 8)) for x in (filler(), rnd.choice(PIECES))) for _ in range(150)]
     texts += ["token=abcdef " * 3000, ("user=alice " + "x " * 40 + "pwd=longenough ") * 300, "a" * 100_000 + " user=alice " + "0" * 5000 + "Aa" * 20, "s" * 200_000]
     rows = [(i if i % 9 else None, t, "x") for i, t in enumerate(texts)] + [(7, texts[40], "x"), (7, texts[40], "x")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, own string").repartition(4)
@@ -166,7 +166,7 @@ def test_secrets_match_brute_force(spark, reach):
     for r in got:
         assert [tuple(s) for s in r.secrets] == brute_secrets(r.text, reach), r.text
     kinds = {s["kind"] for r in got for s in r.secrets}
-    assert kinds == set(ORDER) or reach == 0
+    assert kinds == set(ORDER)
 
 
 def test_weak_parts_need_their_complements(spark):
