@@ -232,9 +232,9 @@ def test_binomial_bound_above_the_mean_and_of_many():
             assert quality_rules.at_most(k, n, 0.05) == pytest.approx(float(sums), rel=1e-9, abs=1e-300)
     for n in (10**5, 10**7):
         deviation = math.sqrt(n * 0.05 * 0.95)
-        for z in (-6, -3, -1, 0, 1, 3, 6, 60):
+        for z in (-3, -1, 0, 1, 3, 60):  # further out the normal curve is another one
             got = quality_rules.at_most(round(n * 0.05 + z * deviation), n, 0.05)
-            assert got == pytest.approx(0.5 * math.erfc(-z / math.sqrt(2)), rel=0.2 if z < -2 else 0.02)
+            assert got == pytest.approx(0.5 * math.erfc(-z / math.sqrt(2)), rel=0.05 if z < -2 else 0.02)
         assert quality_rules.at_most(n // 2, n, 0.05) == quality_rules.at_most(n - 1, n, 0.05) == 1.0
 
 
