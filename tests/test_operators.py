@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from spatialfeat import schema
 from spatialfeat.functions import names, pixels, wkb
 from spatialfeat.operators import cells, describe, expression, genes, geometry, normalize, pictures, selection, texture
-from spatialfeat.plans import pipeline
+from spatialfeat.plans import pipeline, relational
 from spatialfeat.sources import readers, sinks
 
 
@@ -681,3 +681,12 @@ def test_pictures_hold_what_masks_and_cells_say(spark):
     assert pictures.pictures(patches, ["patch_idx"], ("gray",)).count() == 2
     with pytest.raises(ValueError):
         pictures.pictures(patches, ["patch_idx"], ("sepia",))
+
+
+def test_gene_queries_take_all_events_and_twenty_genes(spark, tmp_path):
+    """Thirty genes that every user of a sample has, also the fifth ones."""
+    rows = [(8 * k + u, "view" if u < 4 else "buy", 5 * (u % 4), float(k + u + 1), f'{{"k": {100 + k}}}') for k in range(30) for u in range(8)]
+    spark.createDataFrame(rows, "event_id long, event_type string, user_id long, value double, props string").write.parquet(f"{tmp_path}/events.parquet")
+    top = relational.topk_genes_mean(spark, str(tmp_path)).collect()
+    assert [r.gene for r in top] == [f"g{k}" for k in range(129, 109, -1)]
+    assert top[0].mean == 30 + 3.5
