@@ -690,3 +690,4 @@ def test_gene_queries_take_all_events_and_twenty_genes(spark, tmp_path):
     top = relational.topk_genes_mean(spark, str(tmp_path)).collect()
     assert [r.gene for r in top] == [f"g{k}" for k in range(129, 109, -1)]
     assert top[0].mean == 30 + 3.5
+    assert relational.hvg_genes(spark, str(tmp_path)).count() == 20
