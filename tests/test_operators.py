@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from spatialfeat import schema
 from spatialfeat.functions import names, pixels, wkb
-from spatialfeat.operators import cells, describe, expression, genes, geometry, normalize, pictures, selection, texture
+from spatialfeat.operators import cells, describe, expression, genes, geometry, normalize, pictures, segmentation, selection, texture
 from spatialfeat.plans import pipeline, relational
 from spatialfeat.sources import readers, sinks
 
@@ -691,3 +691,15 @@ def test_gene_queries_take_all_events_and_twenty_genes(spark, tmp_path):
     assert [r.gene for r in top] == [f"g{k}" for k in range(129, 109, -1)]
     assert top[0].mean == 30 + 3.5
     assert relational.hvg_genes(spark, str(tmp_path)).count() == 20
+
+
+def test_every_instance_has_a_class(spark):
+    """A square, a pixel and a line: only the square has an outline, all three are instances."""
+    mask = np.zeros((6, 6), int)
+    mask[:3, :3], mask[0, 5], mask[5, 1:5] = 1, 1, 1
+    types = np.where(mask > 0, 2, 0)
+    types[0, 5] = 3
+    one = spark.createDataFrame([(1, mask.reshape(-1).tolist(), types.reshape(-1).tolist(), 6, 6)], "id int, mask array<int>, types array<int>, h int, w int")
+    found = segmentation.cells_from_masks(one, ["id"], every=True).orderBy("cell_id_in_patch").collect()
+    assert [(r.cell_id_in_patch, r.class_id, r.geometry is None) for r in found] == [(1, 2, False), (2, 3, True), (3, 2, True)]
+    assert [r.cell_id_in_patch for r in segmentation.cells_from_masks(one, ["id"]).collect()] == [1]
