@@ -218,3 +218,21 @@ def test_outlines_of_random_masks_are_simple_and_enclose_their_pixels():
             outside = k.zones((np.pad(own, 1) == 0).astype(int)[None], ((0, 1), (1, 0)))[0]
             filled = int((outside[1:-1, 1:-1] != 0).sum())  # the part with its holes
             assert area > 0 and area + steps / 2 + 1 == filled  # by the points that a simple outline has on and in it
+
+
+def test_shapes_of_many_cells_are_those_of_each(limits=(20, 25)):
+    """Cells of all sizes at once against one mask at a time: closed, short and broken rings, holes, several polygons, images that cut them."""
+    rng = np.random.default_rng(5)
+    cells = [[[rng.uniform(-15, 40, (rng.integers(0, 7), 2)).round(int(rng.integers(0, 2))) for _ in range(rng.integers(1, 3))] for _ in range(rng.integers(0, 3))] for _ in range(300)]
+    cells += [[[np.array([(0, 0), (4, 0), (4, 3), (0, 3), (0, 0)], float)]], [[np.array([(0, 0), (np.nan, 0), (4, 3)])]]]
+    flat = [(r, c, j == 0) for c, polygons in enumerate(cells) for rings in polygons for j, r in enumerate(rings)]
+    args = np.concatenate([f[0] for f in flat]), np.array([len(f[0]) for f in flat]), np.array([f[1] for f in flat]), np.array([f[2] for f in flat]), len(cells)
+    for cut in (None, limits):
+        made = k.shapes_of(*args, None if cut is None else np.tile(cut, (len(cells), 1)))
+        for polygons, row in zip(cells, made, strict=True):
+            (found,) = k.local_masks([polygons])
+            want = None
+            if found is not None:
+                mask, (x0, y0, _, _) = found
+                want = k.shape2d(mask if cut is None else mask[max(0, -y0) : max(0, cut[0] - y0), max(0, -x0) : max(0, cut[1] - x0)])
+            assert np.isnan(row).all() if want is None else np.allclose(row, list(want.values()), 0, 1e-10)

@@ -703,3 +703,13 @@ def test_every_instance_has_a_class(spark):
     found = segmentation.cells_from_masks(one, ["id"], every=True).orderBy("cell_id_in_patch").collect()
     assert [(r.cell_id_in_patch, r.class_id, r.geometry is None) for r in found] == [(1, 2, False), (2, 3, True), (3, 2, True)]
     assert [r.cell_id_in_patch for r in segmentation.cells_from_masks(one, ["id"]).collect()] == [1]
+
+
+def test_places_are_those_of_the_mask(spark):
+    square = [[{"x": 1.0, "y": 1.0}, {"x": 3.0, "y": 1.0}, {"x": 3.0, "y": 2.0}, {"x": 1.0, "y": 2.0}]]
+    rows = [(1, [square], 4, 5), (2, [], 4, 5), (3, None, 4, 5), (4, [square], 2, 3)]
+    patches = spark.createDataFrame(rows, "id int, geometries array<array<array<struct<x: double, y: double>>>>, h int, w int")
+    places = {r.id: r.places for r in geometry.raster_places(patches, ["id"]).collect()}
+    assert places == {1: [6, 7, 8, 11, 12, 13], 2: [], 3: [], 4: [4, 5]}
+    masks = {r.id: [i for i, v in enumerate(r["mask"]) if v] for r in geometry.rasterise(patches, ["id"]).collect()}
+    assert masks == places
