@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from ..functions import kernels
 from ..schema import ERROR_CELLSEG, ERROR_MORPHOLOGY, ERROR_PATCH, MASK_HIGH, MASK_LABEL, MASK_LOW, SKIPPED_NO_CELLS, SKIPPED_SMALL_MASK, SMALLEST_MASK, STATUS_ERROR, STATUS_OK
-from .geometry import cells_of
+from .geometry import flat_cells
 from .spread import spread
 
 CLASSES = {
@@ -110,25 +110,37 @@ def _images(batch: pa.RecordBatch) -> tuple[dict[int, np.ndarray], dict[int, str
     return images, errors
 
 
-def _guarded(make, rows: list[int]) -> tuple[dict[int, dict], dict[int, str]]:
-    """make(rows) as features by row; where it fails, row by row, with what went wrong."""
+def _guarded(make, rows: list[int]) -> tuple[list[tuple[list[int], dict]], dict[int, str]]:
+    """make(rows), arrays by feature, with its rows; where it fails, row by row, with what went wrong."""
     try:
-        return make(rows), {}
+        return [(rows, make(rows))], {}
     except Exception as e:  # noqa: BLE001 (a patch that fails must not take others along)
         if len(rows) == 1:
-            return {}, {rows[0]: repr(e)}
-    done, failed = {}, {}
+            return [], {rows[0]: repr(e)}
+    done, failed = [], {}
     for k in rows:
         some, wrong = _guarded(make, [k])
-        done |= some
+        done += some
         failed |= wrong
     return done, failed
 
 
-def _featured_patches(batches: Iterator[pa.RecordBatch], names: list[str], filters, width: int, offsets, smallest: int, label: int, with_cells: bool, most_pixels: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+#: Patches, and pixels of patches, that are taken from a batch at once: what Python holds besides the batch.
+SLICE_ROWS, SLICE_PIXELS = 1024, 1 << 18
+
+
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch of patches in slices of few rows and pixels; columns h and w are the third and fourth."""
+    h, w = (np.asarray(batch.column(i).fill_null(0)).astype(np.int64) for i in (2, 3))
+    step = max(1, min(SLICE_ROWS, SLICE_PIXELS // max(1, int((h * w).max(initial=1)))))
+    for at in range(0, max(1, batch.num_rows), step):
+        yield batch.slice(at, step)
+
+
+def _featured_patches(batches: Iterator[pa.RecordBatch], names: list[str], filters, width: int, offsets, smallest: int, label: int, with_cells: bool) -> Iterator[pa.RecordBatch]:
     skip = 5 if with_cells else 4
     shapes = MORPHOLOGY if with_cells else ()
-    for batch in batches:
+    for batch in (some for whole in batches for some in _slices(whole)):
         images, errors = _images(batch)
         n = batch.num_rows
         status: list[str] = [STATUS_ERROR if k in errors else STATUS_OK for k in range(n)]
@@ -136,53 +148,61 @@ def _featured_patches(batches: Iterator[pa.RecordBatch], names: list[str], filte
         out = {f: np.full(n, np.nan) for f in names}
         morphology = {f: np.full(n, np.nan) for f in shapes}
         masks: dict[int, np.ndarray] = {}
-        cells = cells_of(batch.column(4)) if with_cells else None
+        size = np.array([images[k].shape if k in images else (0, 0) for k in range(n)], np.int64).reshape(n, 2)
+        if with_cells:
+            xy, points, ring_cell, outer, cell_row = flat_cells(batch.column(4))
+            painted = kernels.flat_painted(*kernels.drawable(*kernels.opened(xy, points)), np.where(outer, label, 0).astype(np.uint8), cell_row[ring_cell], size)
+            there = np.bincount(cell_row, minlength=n) > 0
         for k, image in images.items():
-            if cells is None:
+            if not with_cells:
                 masks[k] = (image > MASK_LOW) & (image < MASK_HIGH)
-            elif cells[k]:
-                masks[k] = kernels.rasterised([rings for polygons in cells[k] for rings in polygons], *image.shape, label) > 0
+            elif there[k]:
+                masks[k] = painted[0][painted[1][k] : painted[1][k + 1]].reshape(image.shape) > 0
             else:
                 status[k] = SKIPPED_NO_CELLS
                 continue
             area[k] = int(masks[k].sum())
-            if cells is None and area[k] < smallest:
+            if not with_cells and area[k] < smallest:
                 status[k] = SKIPPED_SMALL_MASK
         large = [k for k in masks if area[k] >= smallest]
         for shape in sorted({images[k].shape for k in large}):
             rows = [k for k in large if images[k].shape == shape]
-            step = max(1, most_pixels // (shape[0] * shape[1]))
-            for some in (rows[i : i + step] for i in range(0, len(rows), step)):
-                for classes in EXTRACTORS:
-
-                    def make(own: list[int], classes=classes) -> dict[int, dict]:
-                        gray, mask = np.stack([images[k] for k in own]), np.stack([masks[k] for k in own])
-                        made = {}
-                        for kind in ("original", *filters):
-                            image = gray if kind == "original" else kernels.filtered(gray, kind)
-                            if not np.isfinite(image).all():
-                                raise ValueError(f"no {kind} image")
-                            made |= {f"{kind}_{f}": v for f, v in _stack_features(image, mask, classes, width, offsets).items()}
-                        return {k: {f: v[i] for f, v in made.items()} for i, k in enumerate(own)}
-
-                    done, failed = _guarded(make, some)
-                    for k, values in done.items():
-                        for f, v in values.items():
-                            out[f][k] = v
-                    for k, wrong in failed.items():
-                        status[k] = f"{ERROR_CELLSEG if with_cells else ERROR_PATCH}: {wrong}" if status[k] == STATUS_OK else status[k]
-        for k in masks if with_cells else ():
-
-            def measure(own: list[int]) -> dict[int, dict]:
-                found = [list(s.values()) for s in kernels.cell_shapes(cells[own[0]], *images[own[0]].shape)]
-                stats = [kernels.statistics(np.array(x)) for x in zip(*found, strict=True)]
-                return {own[0]: dict(zip(shapes, np.concatenate(stats), strict=True)) if stats else {}}
-
-            done, failed = _guarded(measure, [k])
-            for f, v in done.get(k, {}).items():
-                morphology[f][k] = v
-            if failed and status[k] == STATUS_OK:
-                status[k] = f"{ERROR_MORPHOLOGY}: {failed[k]}"
+            for classes in EXTRACTORS:
+
+                def make(own: list[int], classes=classes) -> dict[str, np.ndarray]:
+                    gray, mask = np.stack([images[k] for k in own]), np.stack([masks[k] for k in own])
+                    made = {}
+                    for kind in ("original", *filters):
+                        image = gray if kind == "original" else kernels.filtered(gray, kind)
+                        if not np.isfinite(image).all():
+                            raise ValueError(f"no {kind} image")
+                        made |= {f"{kind}_{f}": v for f, v in _stack_features(image, mask, classes, width, offsets).items()}
+                    return made
+
+                done, failed = _guarded(make, rows)
+                for own, values in done:
+                    for f, v in values.items():
+                        out[f][own] = v
+                for k, wrong in failed.items():
+                    status[k] = f"{ERROR_CELLSEG if with_cells else ERROR_PATCH}: {wrong}" if status[k] == STATUS_OK else status[k]
+        if with_cells and masks:
+
+            def measure(own: list[int]) -> dict[str, np.ndarray]:
+                some = np.isin(cell_row, own)  # noqa: B023
+                rings = some[ring_cell]  # noqa: B023
+                number = np.cumsum(some) - 1
+                row = cell_row[some]  # noqa: B023
+                found = kernels.shapes_of(xy[np.repeat(rings, points)], points[rings], number[ring_cell[rings]], outer[rings], len(row), size[row])  # noqa: B023
+                kept = ~np.isnan(found[:, 0])
+                made = kernels.statistics_of(found[kept].round(10), np.searchsorted(own, row[kept]), len(own))
+                return dict(zip(shapes, made.T, strict=True))
+
+            done, failed = _guarded(measure, sorted(masks))
+            for own, values in done:
+                for f, v in values.items():
+                    morphology[f][own] = v
+            for k, wrong in failed.items():
+                status[k] = f"{ERROR_MORPHOLOGY}: {wrong}" if status[k] == STATUS_OK else status[k]
         columns = [pa.array(area, pa.int64()), pa.array(status, pa.string()), pa.array([errors.get(k) for k in range(n)], pa.string())]
         columns += [pa.array(v, pa.float64(), mask=np.isnan(v)) for v in (*out.values(), *morphology.values())]
         yield pa.RecordBatch.from_arrays([*batch.columns[skip:], *columns], [*batch.schema.names[skip:], "mask_area", "status", "error", *names, *shapes])
@@ -198,7 +218,8 @@ def patch_features(patches: DataFrame, carry: list[str], cells: str | None = Non
     A patch that is no image has status `error` and a message. A small threshold mask and a patch without cells are
     skipped. An extractor that fails leaves its features null and its code and message as status, the first one that fails.
 
-    Python holds a batch of patches at a time, as many as the session says; spread.fitting_batches fits that to their size.
+    Python holds a batch of patches at a time, as many as the session says; spread.fitting_batches fits that to their size. What is made of
+    them is made slice by slice.
     """
     filters = tuple(f.lower() for f in filters if f.lower() != "original")
     if unknown := set(filters) - set(kernels.FILTERS):

@@ -236,3 +236,16 @@ def test_shapes_of_many_cells_are_those_of_each(limits=(20, 25)):
                 mask, (x0, y0, _, _) = found
                 want = k.shape2d(mask if cut is None else mask[max(0, -y0) : max(0, cut[0] - y0), max(0, -x0) : max(0, cut[1] - x0)])
             assert np.isnan(row).all() if want is None else np.allclose(row, list(want.values()), 0, 1e-10)
+
+
+def test_statistics_of_many_rows_are_those_of_each():
+    rng = np.random.default_rng(6)
+    count = rng.integers(0, 30, 80)
+    values = rng.integers(0, 12, (count.sum(), 2)) / 4
+    values[:, 1] = np.where(np.arange(len(values)) % 2 > 0, 1.5, rng.normal(size=len(values)).round(10))
+    row = np.repeat(np.arange(80), count)
+    made = k.statistics_of(values, row, 80).reshape(80, 2, -1)
+    for i in range(80):
+        for c in range(2):
+            want = k.statistics(values[row == i, c])
+            assert np.isnan(made[i, c]).all() if want is None else np.allclose(made[i, c], want, 1e-12, 1e-12)

@@ -713,3 +713,15 @@ def test_places_are_those_of_the_mask(spark):
     assert places == {1: [6, 7, 8, 11, 12, 13], 2: [], 3: [], 4: [4, 5]}
     masks = {r.id: [i for i, v in enumerate(r["mask"]) if v] for r in geometry.rasterise(patches, ["id"]).collect()}
     assert masks == places
+
+
+def test_patches_are_measured_in_small_slices():
+    """What Python makes of a batch of many patches at once is bounded, whatever the batch."""
+    n = 2500
+    px = pa.array([[100 + k % 7] * 64 for k in range(n)], pa.list_(pa.int32()))
+    batch = pa.RecordBatch.from_arrays([px, pa.nulls(n, pa.string()), pa.array([8] * n, pa.int32()), pa.array([8] * n, pa.int32()), pa.array(range(n))], ["px", "layout", "h", "w", "k0"])
+    names_ = texture.feature_names()
+    made = list(texture._featured_patches(iter([batch]), names_, (), 25, texture.kernels.PLANE, 1, 255, False))
+    assert [m.num_rows for m in made] == [1024, 1024, 452]
+    assert [v for m in made for v in m.column(0).to_pylist()] == list(range(n))
+    assert {s for m in made for s in m.column(2).to_pylist()} == {"ok"}
