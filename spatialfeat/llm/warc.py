@@ -1,7 +1,9 @@
 """A content-addressed WARC archive.
 
-Two tables in a folder: `payloads` has every distinct payload once under its SHA-256, `headers` has the exact header block
-of every record with that digest. The original record is the header block, the payload found by digest, and two line ends.
+Two tables in a folder: `payloads` has every distinct payload once under its SHA-256, with the header block of the response that is
+its first record; `headers` has the exact header block of every record with that digest. The original record is the header block, the
+payload found by digest, and two line ends. First records are read as they stand, so that payloads are shuffled once, when they are
+filled, and not again when they are read.
 Equal digests are verified: length and SHA-1 of all payloads under one SHA-256 must agree, and reading checks the stored
 bytes against their digest.
 
@@ -46,7 +48,7 @@ def record_id(page_id: Column, url: Column, digest: Column, copy: Column) -> Col
 
 
 def records(pages: DataFrame, least: int = 0, date: str = DATE) -> DataFrame:
-    """page_id, digest, owner (page_id of the payload's response) and the header block of every page."""
+    """page_id, digest, owner (page_id of the payload's response), whether it is the first record of its payload, and the header block of every page."""
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     seen = pages.select("page_id", "url", F.sha2(payload, 256).alias("digest"), F.octet_length(payload).cast("long").alias("bytes"), base32_sha1(payload).alias("sha1"))
     seen = seen.groupBy(*seen.columns).agg(F.count("*").alias("copies"))
@@ -66,37 +68,78 @@ def records(pages: DataFrame, least: int = 0, date: str = DATE) -> DataFrame:
         F.when(again, F.lit("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")),
         F.lit("Content-Type: text/html; charset=utf-8"), F.concat(F.lit("Content-Length: "), F.when(again, F.lit(0)).otherwise(F.col("bytes")).cast("string")), F.lit(END),
     )
-    return met.select("page_id", "digest", "owner", head.alias("header"))
+    return met.select("page_id", "digest", "owner", first.alias("first"), head.alias("header"))
 
 
 def write_archive(pages: DataFrame, path: str, least: int = 0, date: str = DATE) -> None:
     """Writes headers and payloads of pages (page_id, url, html) below path."""
     spark = pages.sparkSession
     records(pages, least, date).write.parquet(f"{path}/headers")
-    owned = spark.read.parquet(f"{path}/headers").groupBy("digest").agg(F.max("owner").alias("page_id"))
+    owned = spark.read.parquet(f"{path}/headers").where("first").select("digest", F.col("owner").alias("page_id"), "header")
     bytes_ = pages.select("page_id", F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload")).withColumn("digest", F.sha2("payload", 256))
     same = F.col("a.page_id").eqNullSafe(F.col("b.page_id")) & (F.col("a.digest") == F.col("b.digest"))
-    store = bytes_.alias("a").join(owned.alias("b"), same, "left_semi")
+    store = bytes_.alias("a").join(owned.alias("b"), same).select("a.digest", "b.header", "a.payload")
     many = spark.read.parquet(f"{path}/headers").where(F.col("page_id").eqNullSafe(F.col("owner"))).groupBy("digest").count().where("count > 1").select("digest")
     if many.isEmpty():  # no page_id stands twice with one payload
-        store.select("digest", "payload").write.parquet(f"{path}/payloads")
+        store.write.parquet(f"{path}/payloads")
         return
-    one = store.join(many, "digest", "left_anti").select("digest", "payload")
-    again = store.join(many, "digest", "left_semi").groupBy("digest").agg(F.first("payload").alias("payload"))
+    one = store.join(many, "digest", "left_anti")
+    again = store.join(many, "digest", "left_semi").groupBy("digest").agg(F.first("header").alias("header"), F.first("payload").alias("payload"))
     one.unionByName(again).write.parquet(f"{path}/payloads")
 
 
+def _stored(spark: SparkSession, path: str) -> DataFrame:
+    """digest, header and payload of every first record; fails if a stored payload does not have its digest."""
+    stored = spark.read.parquet(f"{path}/payloads")
+    checked = F.when(F.sha2("payload", 256) == F.col("digest"), F.col("payload")).otherwise(F.raise_error(F.lit("a stored payload does not have its digest")))
+    return stored.select("digest", "header", checked.alias("payload"))
+
+
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
     """Every record with its header and full payload; fails if a stored payload does not have its digest."""
-    stored = spark.read.parquet(f"{path}/payloads")
-    stored = stored.withColumn("payload", F.when(F.sha2("payload", 256) == F.col("digest"), F.col("payload")).otherwise(F.raise_error(F.lit("a stored payload does not have its digest"))))
-    return spark.read.parquet(f"{path}/headers").select("digest", "header").join(stored, "digest").select("header", "payload")
+    return spark.read.parquet(f"{path}/headers").select("digest", "header").join(_stored(spark, path).select("digest", "payload"), "digest").select("header", "payload")
 
 
-def rebuild(archive: DataFrame) -> DataFrame:
-    """record, the bytes of the original records (header block, payload unless it is a revisit, two line ends), and payload."""
+def read_described(spark: SparkSession, path: str) -> DataFrame:
+    """described() of every record of an archive. A revisit has length and digest of the payload of the first record under its digest,
+    which is parsed once and whose payload does not move; other responses (of payloads under `least` bytes) meet their payloads."""
+    own = described(rebuild(_stored(spark, path)))
+    rest = spark.read.parquet(f"{path}/headers").where(~F.col("first")).select("digest", "header")
+    revisit = F.col("header").contains(f"{END}WARC-Type: revisit{END}")
+    small = rest.where(~revisit).join(_stored(spark, path).select("digest", "payload"), "digest")
+    of = own.select("digest", "payload_bytes", "payload_digest")
+    again = rest.where(revisit).join(of, "digest")
+    again = _told(_parsed(rebuild(again.withColumn("payload", F.lit(b"")), "payload_bytes", "payload_digest")), F.col("payload_bytes"), F.col("payload_digest"))
+    return own.drop("digest").unionByName(described(rebuild(small)).drop("digest")).unionByName(again)
+
+
+def rebuild(archive: DataFrame, *carry: str) -> DataFrame:
+    """record, the bytes of the original records (header block, payload unless it is a revisit, two line ends), and payload; digest
+    where the archive has it, and `carry`."""
     own = F.when(F.col("header").contains(f"{END}WARC-Type: revisit{END}"), F.lit(b"")).otherwise(F.col("payload"))
-    return archive.select(F.concat(F.col("header").cast("binary"), own, F.lit(END * 2).cast("binary")).alias("record"), "payload")
+    return archive.select(F.concat(F.col("header").cast("binary"), own, F.lit(END * 2).cast("binary")).alias("record"), "payload", *(c for c in ("digest",) if c in archive.columns), *carry)
+
+
+def _field(key: str, what: str) -> Column:
+    return F.regexp_extract("header", rf"\r\n{key}: {what}\r\n", 1)
+
+
+def _parsed(rebuilt: DataFrame) -> DataFrame:
+    """With header, the block up to the first empty line, type, and the place and length of the record's block."""
+    header = F.concat(F.substring_index(F.col("record").cast("string"), END * 2, 1), F.lit(END))
+    parsed = rebuilt.withColumn("header", header)
+    return parsed.withColumns({"type": _field("WARC-Type", "([a-z]+)"), "start": F.octet_length("header") + len(END) + 1, "length": _field("Content-Length", "([0-9]+)").cast("int")})
+
+
+def _told(parsed: DataFrame, size: Column, sha1: Column, *carry: str) -> DataFrame:
+    """What records say, if it is so of payloads of that size and digest."""
+    page = lambda key: _field(key, r"<urn:page:(-?[0-9]+|null):[0-9a-f]{16}:[0-9]+>").try_cast("bigint")
+    sound = (sha1 == _field("WARC-Payload-Digest", "sha1:([A-Z2-7]+)")) & (F.octet_length("record") == F.col("start") - 1 + F.col("length") + 2 * len(END))
+    return parsed.select(
+        page("WARC-Record-ID").alias("page_id"), size.cast("long").alias("payload_bytes"),
+        F.when(sound, sha1).otherwise(F.raise_error(F.lit("a record is not what its header says"))).alias("payload_digest"),
+        F.col("type").alias("record_type"), page("WARC-Refers-To").alias("refers_to"), *carry,
+    )
 
 
 def described(rebuilt: DataFrame) -> DataFrame:
@@ -106,18 +149,7 @@ def described(rebuilt: DataFrame) -> DataFrame:
     a record whose length or digest is not what its header says is an error. The payload of a revisit is that of the response
     it refers to, which the join on digests has found.
     """
-    text = F.col("record").cast("string")
-    parsed = rebuilt.withColumn("header", F.concat(F.substring_index(text, END * 2, 1), F.lit(END)))
-    field = lambda key, what: F.regexp_extract("header", rf"\r\n{key}: {what}\r\n", 1)
-    page = lambda key: field(key, r"<urn:page:(-?[0-9]+|null):[0-9a-f]{16}:[0-9]+>").try_cast("bigint")
-    length = field("Content-Length", "([0-9]+)").cast("int")
-    start = F.octet_length("header") + len(END) + 1
-    block = F.substring(F.col("record"), start, length)
+    block = F.substring(F.col("record"), F.col("start"), F.col("length"))
     payload = F.when(F.col("type") == "response", block).otherwise(F.col("payload"))
-    parsed = parsed.withColumn("type", field("WARC-Type", "([a-z]+)")).withColumn("whole", payload).withColumn("sha1", base32_sha1(F.col("whole")))
-    sound = (F.col("sha1") == field("WARC-Payload-Digest", "sha1:([A-Z2-7]+)")) & (F.octet_length("record") == start - 1 + length + 2 * len(END))
-    return parsed.select(
-        page("WARC-Record-ID").alias("page_id"), F.octet_length("whole").cast("long").alias("payload_bytes"),
-        F.when(sound, F.col("sha1")).otherwise(F.raise_error(F.lit("a record is not what its header says"))).alias("payload_digest"),
-        F.col("type").alias("record_type"), page("WARC-Refers-To").alias("refers_to"),
-    )
+    parsed = _parsed(rebuilt).withColumn("whole", payload).withColumn("sha1", base32_sha1(F.col("whole")))
+    return _told(parsed, F.octet_length("whole"), F.col("sha1"), *(c for c in ("digest",) if c in rebuilt.columns))
