@@ -106,11 +106,14 @@ def read_described(spark: SparkSession, path: str) -> DataFrame:
     own = described(rebuild(_stored(spark, path)))
     rest = spark.read.parquet(f"{path}/headers").where(~F.col("first")).select("digest", "header")
     revisit = F.col("header").contains(f"{END}WARC-Type: revisit{END}")
-    small = rest.where(~revisit).join(_stored(spark, path).select("digest", "payload"), "digest")
+    small = rest.where(~revisit)
     of = own.select("digest", "payload_bytes", "payload_digest")
     again = rest.where(revisit).join(of, "digest")
     again = _told(_parsed(rebuild(again.withColumn("payload", F.lit(b"")), "payload_bytes", "payload_digest")), F.col("payload_bytes"), F.col("payload_digest"))
-    return own.drop("digest").unionByName(described(rebuild(small)).drop("digest")).unionByName(again)
+    told = own.drop("digest").unionByName(again)
+    if small.isEmpty():  # nothing was stored under `least`, and payloads need not be dealt for it
+        return told
+    return told.unionByName(described(rebuild(small.join(_stored(spark, path).select("digest", "payload"), "digest"))).drop("digest"))
 
 
 def rebuild(archive: DataFrame, *carry: str) -> DataFrame:
