@@ -26,20 +26,24 @@ def _named(features: list[str]):
     return F.get(F.array(*map(F.lit, features)), F.col(PLACE))
 
 
-def describe(df: DataFrame, features: list[str] | None = None, keys=()) -> DataFrame:
-    """22 statistics per key and feature, as one aggregate of long values."""
+def describe(df: DataFrame, features: list[str] | None = None, keys=(), at=()) -> DataFrame:
+    """22 statistics per key and feature, as one aggregate of long values.
+
+    With `at`, also PLACE, the place of the feature, and at_, the array of the exact quantiles at these shares.
+    """
     features = described_columns(df) if features is None else features
     keys = list(keys)
     x = F.col("x")
     agg = long(with_values(df, features), VALUES, keys).groupBy(*keys, PLACE).agg(
         F.count(x).alias("count"), F.count("*").alias("all_"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"),
-        F.percentile(x, F.array(*map(F.lit, _AT))).alias("q_"), F.count_if(x == 0).alias("zero_count"), F.count_if(x > 0).alias("positive_count"), F.count_if(x < 0).alias("negative_count"),
+        F.percentile(x, F.array(*map(F.lit, (*_AT, *at)))).alias("q_"), F.count_if(x == 0).alias("zero_count"), F.count_if(x > 0).alias("positive_count"), F.count_if(x < 0).alias("negative_count"),
     )
     name, missing = _named(features), F.col("all_") - F.col("count")
     q = {n: F.get("q_", F.lit(i)) for i, n in enumerate(_NAMES)}
     return agg.select(
         *keys, name.alias("feature_name"), feature_class(name).alias("feature_class"), "count", missing.alias("nan_count"), F.try_divide(missing.cast("double"), F.col("all_")).alias("nan_ratio"),
         "mean", "std", "min", *(v.alias(n) for n, v in q.items()), "max", (q["q75"] - q["q25"]).alias("iqr"), "zero_count", "positive_count", "negative_count",
+        *((PLACE, F.slice("q_", len(_AT) + 1, len(at)).alias("at_")) if at else ()),
     )
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import clip
 from ..schema import STATUS_OK, normalised_columns
-from .quantiles import PLACE, VALUES, long, with_quantiles, with_values
+from .quantiles import PLACE, VALUES, long, met, with_quantiles, with_values
 
 
 def _features(df: DataFrame, features: list[str] | None) -> list[str]:
@@ -33,6 +33,20 @@ def normalize(df: DataFrame, features: list[str] | None = None, keys=("sample_id
     A feature that is constant or all null in a sample is 0 on every row that is ok, null ones included.
     """
     features = _features(df, features)
+    return _scaled(_bounded(df, features, list(keys), status, lower, upper), df.columns, features, status)
+
+
+def normalize_by(df: DataFrame, known: DataFrame, features: list[str], keys=("sample_id",), status: str | None = "status") -> DataFrame:
+    """normalize() by quantiles that are known already, and the other columns of `known`, in one join.
+
+    `known` has a row per key with q_: an array, by feature, of its lower and upper quantile. Keys that it lacks have no rows that are ok.
+    """
+    rest = [c for c in known.columns if c not in (*keys, "q_")]
+    return _scaled(met(with_values(df, features), known, list(keys), "left"), [*df.columns, *rest], features, status)
+
+
+def _scaled(found: DataFrame, columns: list[str], features: list[str], status: str | None) -> DataFrame:
+    """The columns of rows that have VALUES and q_, features scaled."""
     place = {f: i for i, f in enumerate(features)}
 
     def scaled(x: Column, q: Column) -> Column:
@@ -40,8 +54,8 @@ def normalize(df: DataFrame, features: list[str] | None = None, keys=("sample_id
         return F.when(low.isNull() | (low == high), F.lit(0.0)).otherwise((clip(x, low, high) - low) / (high - low))
 
     every = F.zip_with(VALUES, "q_", scaled)
-    found = _bounded(df, features, list(keys), status, lower, upper).withColumn("scaled_", every if status is None else F.when(F.col(status) == STATUS_OK, every))
-    return found.select(*(F.get("scaled_", F.lit(place[c])).alias(c) if c in place else F.col(f"`{c}`") for c in df.columns))
+    found = found.withColumn("scaled_", every if status is None else F.when(F.col(status) == STATUS_OK, every))
+    return found.select(*(F.get("scaled_", F.lit(place[c])).alias(c) if c in place else F.col(f"`{c}`") for c in columns))
 
 
 def normalization_stats(df: DataFrame, features: list[str] | None = None, keys=("sample_id",), status: str | None = "status", lower: float = 0.01, upper: float = 0.99) -> DataFrame:

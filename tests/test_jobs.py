@@ -158,6 +158,26 @@ def test_release_names_the_sample_that_drifts_and_reruns_agree(spark, tmp_path):
     assert spark.read.parquet(f"{out}/features").count() == len(rows) and spark.read.parquet(f"{out}/report").select("sample_id").distinct().count() == 1
 
 
+def test_release_of_many_samples_makes_few_folders_and_keeps_the_neighbours(spark, tmp_path):
+    rows = [(f"s{s}", "R" if s == 7 else "N", i, 1, float(i + s % 5), float(i), "F", 0.5) for s in range(900) for i in range(3)] + [(None, "N", 1, 1, 2.0, 3.0, "F", 0.5)]
+    spark.createDataFrame(rows, ROWS).write.parquet(str(tmp_path / "in"))
+    out = str(tmp_path / "out")
+    for _ in range(2):
+        assert cohort_release.run(spark, str(tmp_path / "in"), out)["rows"] == len(rows)
+        folders = [f for f in (tmp_path / "out/features").iterdir() if f.is_dir()]
+        assert len(folders) <= 256 and sum(len(list(f.glob("*.parquet"))) for f in folders) <= 2 * 256
+    before = {(r.sample_id, r.patch_idx): r for r in spark.read.parquet(f"{out}/features").collect()}
+    assert len(before) == len(rows)
+    # every third sample again, with one row less and other values: the others stay as they are, whatever they share a folder with
+    some = [(*r[:4], -r[4], *r[5:]) for r in rows if r[0] and int(r[0][1:]) % 3 == 0 and r[2] != 2]
+    spark.createDataFrame(some, ROWS).write.parquet(str(tmp_path / "some"))
+    cohort_release.run(spark, str(tmp_path / "some"), out)
+    after = {(r.sample_id, r.patch_idx): r for r in spark.read.parquet(f"{out}/features").collect()}
+    again = lambda k: k[0] is not None and int(k[0][1:]) % 3 == 0
+    assert {k: r for k, r in after.items() if not again(k)} == {k: r for k, r in before.items() if not again(k)}
+    assert {k for k in after if again(k)} == {(r[0], r[2]) for r in some} and spark.read.parquet(f"{out}/features").count() == len(after)
+
+
 def test_release_of_nothing(spark, tmp_path):
     spark.createDataFrame([], ROWS).write.parquet(str(tmp_path / "in"))
     assert cohort_release.run(spark, str(tmp_path / "in"), str(tmp_path / "out")) == {"rows": 0, "samples": 0, "drifts": 0}
