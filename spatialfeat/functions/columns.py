@@ -1,4 +1,4 @@
-"""Column expressions shared by the operators: coercion, clipping, rounding, entropy."""
+"""Column expressions shared by the operators: coercion, clipping, rounding."""
 
 from __future__ import annotations
 
@@ -26,19 +26,3 @@ def clip(x: Column, low: Column, high: Column) -> Column:
 def r6(x: Column) -> Column:
     """Rounded to six digits, with a nudge that keeps decimal ties on one side whatever the last bit."""
     return F.round(x + F.lit(1e-9), 6)
-
-
-def quantiles(x: Column, *at: float) -> Column:
-    """Exact linear quantiles in one buffer."""
-    return F.percentile(x, F.array(*map(F.lit, at)))
-
-
-def bins_for(n: Column, most: int = 16, fewest: int = 2) -> Column:
-    """Number of histogram bins of n values."""
-    return F.least(F.lit(most), F.greatest(F.lit(fewest), n))
-
-
-def bin_of(x: Column, low: Column, high: Column, bins: Column) -> Column:
-    """0-based equal-width bin of x; the last bin is closed."""
-    at = F.floor((x - low) / ((high - low) / bins))
-    return F.least(at, bins - 1)

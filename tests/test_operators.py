@@ -332,6 +332,22 @@ def test_statistics_of_cells_match_the_column_form(spark):
         assert (got is None and want[0] is None) or got == pytest.approx(want, rel=1e-9, abs=1e-9)
 
 
+def test_bins_of_measurements_are_as_sql_says_and_cells_are_gathered_once(spark):
+    import duckdb
+
+    rows = [(k % 9, round(0.01 * (k * k % 11), 2), float(k % 50) if k % 7 else None) for k in range(500)]
+    made = cells.measurement_stats(spark.createDataFrame(rows, "patch_idx long, f double, g double"), ["f", "g"])
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "percentile" not in plan and plan.count("functions=[collect_list(") == 1 and "lambda" not in plan
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (patch_idx BIGINT, f DOUBLE, g DOUBLE)")
+    con.executemany("INSERT INTO t VALUES (?, ?, ?)", rows)
+    for x in ("f", "g"):
+        want = dict(con.execute(f"""WITH a AS (SELECT patch_idx, {x} AS x, min({x}) OVER w AS lo, max({x}) OVER w AS hi, count(*) OVER w AS n, least(16, count(*) OVER w) AS bins FROM t WHERE {x} IS NOT NULL WINDOW w AS (PARTITION BY patch_idx)),
+            b AS (SELECT patch_idx, any_value(n) AS n, count(*) AS k FROM a GROUP BY patch_idx, least(floor((x - lo) / ((hi - lo) / bins)), bins - 1)) SELECT patch_idx, -sum(k / n * log2(k / n)) FROM b GROUP BY patch_idx""").fetchall())
+        assert {r.patch_idx: r[f"morph_{x}_entropy"] for r in made.collect()} == pytest.approx(want)
+
+
 # ------------------------------------------------------------ drivers
 
 
