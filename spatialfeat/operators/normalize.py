@@ -42,7 +42,7 @@ def normalize_by(df: DataFrame, known: DataFrame, features: list[str], keys=("sa
     `known` has a row per key with q_: an array, by feature, of its lower and upper quantile. Keys that it lacks have no rows that are ok.
     """
     rest = [c for c in known.columns if c not in (*keys, "q_")]
-    return _scaled(met(with_values(df, features), known, list(keys), "left"), [*df.columns, *rest], features, status)
+    return _scaled(met(with_values(df, features), known, list(keys)), [*df.columns, *rest], features, status)
 
 
 def _scaled(found: DataFrame, columns: list[str], features: list[str], status: str | None) -> DataFrame:

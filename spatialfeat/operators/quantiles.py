@@ -31,11 +31,11 @@ def gathered(rows: DataFrame, keys: list[str], element: Column, name: str) -> Da
     return rows.groupBy(*keys).agg(F.transform(sorted_, lambda r: r["e"]).alias(name))
 
 
-def met(df: DataFrame, arrays: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+def met(df: DataFrame, arrays: DataFrame, keys: list[str]) -> DataFrame:
     """Rows with the arrays of their key, in an equi-join: adaptive execution broadcasts the arrays where they turn out small
-    enough, and else splits keys with many rows."""
+    enough, and else splits keys with many rows. An outer join, so that it can never be the rows that are broadcast."""
     same = [F.col(f"a.`{k}`").eqNullSafe(F.col(f"b.`{k}`")) for k in keys]
-    return df.alias("a").join(arrays.alias("b"), same, how).select("a.*", *(f"b.{c}" for c in arrays.columns if c not in keys))
+    return df.alias("a").join(arrays.alias("b"), same, "left").select("a.*", *(f"b.{c}" for c in arrays.columns if c not in keys))
 
 
 def with_quantiles(df: DataFrame, keys: list[str], at: list[float], name: str = "q_") -> DataFrame:

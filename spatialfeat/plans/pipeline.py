@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from ..functions import kernels
 from ..functions.names import feature_prefix
 from ..functions.status import blank_on_error
-from ..operators.cells import class_counts, class_shares, measurement_stats, normalised_cells
+from ..operators.cells import class_counts, class_shares, measured, normalised_cells, statistics as cell_statistics
 from ..operators.describe import box_stats, describe, ok_rows, representatives
 from ..operators.geometry import polygons_of
 from ..operators.normalize import normalization_stats, normalize
@@ -51,7 +51,7 @@ def threshold_features(patches: DataFrame, config: Config | None = None, smalles
 def cell_features(patches: DataFrame, cells: DataFrame, config: Config | None = None, measurements: list[str] = (), order: list[str] = (), smallest: int = SMALLEST_MASK, bucketed: bool = False) -> DataFrame:
     """Raw features under the union of the cells, prefix cellseg_all_, with composition and morphology of the cells.
 
-    Cells are summed up per patch and meet it in one join. Both sides are dealt by patch for it, which also spreads the kernels,
+    Cells are summed up per patch, with their outlines and measurements, and meet it in one join. Both sides are dealt by patch for it, which also spreads the kernels,
     unless both tables are `bucketed` by sample_id and patch_idx; raster, texture and the shapes of all cells with their 18 statistics are then one pass. Shapes are
     painted in `order`, by default by cell_id_in_patch, the file order. Patches without cells are skipped with a composition of
     zeros; unions under `smallest` pixels have no texture but are ok. A cell without a shape is left out of the statistics, and
@@ -62,19 +62,22 @@ def cell_features(patches: DataFrame, cells: DataFrame, config: Config | None =
     order = list(order) or [c for c in ("cell_id_in_patch",) if c in cells.columns]
     one = F.col("geometry")
     parts = one if isinstance(cells.schema["geometry"].dataType.elementType.elementType, T.ArrayType) else F.array(one)
-    drawn = F.array_sort(F.collect_list(F.struct(*(F.col(c).alias(f"o{i}") for i, c in enumerate(order)), polygons_of(parts).alias("geometry"))))
+    extra = [measured(measurements).alias("m")] if measurements else []
+    drawn = F.collect_list(F.struct(*(F.col(c).alias(f"o{i}") for i, c in enumerate(order)), polygons_of(parts).alias("geometry"), *extra))
     n = None if bucketed else enough_partitions(patches)
     dealt = lambda df: df if n is None else df.repartition(n, *KEYS)
-    per = dealt(cells).groupBy(*KEYS).agg(*class_counts(), F.transform(drawn, lambda c: c["geometry"]).alias("cells"))
+    measures = cell_statistics(F.transform("drawn_", lambda c: c["m"]), list(measurements)) if measurements else []
+    per = dealt(cells).groupBy(*KEYS).agg(*class_counts(), drawn.alias("drawn_"))
+    per = per.select("*", F.transform(F.array_sort("drawn_"), lambda c: c["geometry"]).alias("cells"), *measures).drop("drawn_")
+    told = [c for c in per.columns if c not in (*KEYS, "cells")]
     places = [c for c in PLACES if c in patches.columns]
     met = dealt(patches).join(per, KEYS, "left")
-    counts = [c for c in per.columns if c.startswith("dist_")]
-    made = patch_features(met, [*KEYS, *places, *counts], cells="cells", **_options(config, smallest))
+    made = patch_features(met, [*KEYS, *places, *told], cells="cells", **_options(config, smallest))
     keep = blank_on_error(F.col("status"))
     rest = [F.col(m).alias(f"morph_{m}") for m in MORPHOLOGY] + [keep(v).alias(k) for k, v in class_shares().items()]
     areas = {"n_cells_total": F.coalesce("dist_n", F.lit(0)), "cellseg_mask_area": F.col("mask_area")}
-    out = _rows(made, places, areas, config, feature_prefix("cellseg", "all"), rest)
-    return out.join(measurement_stats(cells, list(measurements), KEYS), KEYS, "left") if measurements else out
+    rest += [F.col(f"`{c}`") for c in told if not c.startswith("dist_")]
+    return _rows(made, places, areas, config, feature_prefix("cellseg", "all"), rest)
 
 
 def raw_features(patches: DataFrame, cells: DataFrame | None, config: Config, measurements: list[str] = (), order: list[str] = ()) -> DataFrame:

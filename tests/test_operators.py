@@ -348,6 +348,26 @@ def test_bins_of_measurements_are_as_sql_says_and_cells_are_gathered_once(spark)
         assert {r.patch_idx: r[f"morph_{x}_entropy"] for r in made.collect()} == pytest.approx(want)
 
 
+def test_cells_and_measurements_of_few_patches_are_shuffled_once(spark, tmp_path):
+    some_cells(spark).withColumn("q", F.col("cell_id_in_patch") * 1.5).write.parquet(str(tmp_path / "cells"))
+    drawn = spark.read.parquet(str(tmp_path / "cells"))
+    made = pipeline.cell_features(some_patches(spark), drawn, measurements=["q"])
+    assert made._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1
+    want = {r.patch_idx: (r.m, r.n) for r in drawn.groupBy("patch_idx").agg(F.avg("q").alias("m"), F.count("q").alias("n")).collect()}
+    got = {r.patch_idx: (r.morph_q_mean, r.n_cells_total) for r in made.collect()}
+    assert want and {k: v for k, v in got.items() if v[1]} == want and all(v == (None, 0) for k, v in got.items() if k not in want)
+    lines = spark.createDataFrame([(k, f"c{k}") for k in (-5, 1, 2, 2, 3, 9, None)], "patch_idx long, cell string")
+    there = spark.createDataFrame([(1, "s"), (3, "t"), (4, "s")], "patch_idx long, sample_id string")
+    assert sorted((r.patch_idx, r.cell, r.sample_id) for r in cells.of_patches(lines, there).collect()) == [(1, "c1", "s"), (3, "c3", "t")]
+    assert cells.of_patches(lines, there.where("patch_idx > 9")).count() == 0
+
+
+def test_rows_are_never_broadcast_to_meet_their_quantiles(spark):
+    df = spark.createDataFrame([("s", "ok", 1.0), ("s", "ok", 2.0), (None, "error", 3.0)], "sample_id string, status string, morph_x double")
+    plan = normalize.normalize(df)._jdf.queryExecution().executedPlan().toString()
+    assert "LeftOuter" in plan and "BuildLeft" not in plan
+
+
 # ------------------------------------------------------------ drivers
 
 
